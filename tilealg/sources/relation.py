@@ -42,7 +42,7 @@ def from_relation(df: DataFrame, i="i", j="j", v="v", shape: tuple[int, int] | N
     grouped = cells.groupBy(I, J).agg(aggs[agg](V).cast("double").alias(V))
     if shape is None:
         shape = tuple(infer_extent(cells, I, J))
-    nrows, ncols = int(shape[0]), int(shape[1])
+    nrows, ncols = (int(x) for x in shape)
     if check:
         bad = (F.col(I) < 0) | (F.col(I) >= nrows) | (F.col(J) < 0) | (F.col(J) >= ncols)
         grouped = grouped.select(

@@ -54,7 +54,7 @@ def read_text(spark: SparkSession, path: str, shape: tuple[int, int],
               tile: tuple[int, int] = (1024, 1024), delim: str = ",",
               on_duplicate: str = "error", mode: str = "error") -> TileMatrix:
     """Matrix from text triplets (the reference's ``fromTextFile``)."""
-    nrows, ncols = int(shape[0]), int(shape[1])
+    nrows, ncols = (int(x) for x in shape)
     raw = _reader(spark, MATRIX_SCHEMA, delim).csv(path)
     checked = _range_check(raw, {I: nrows, J: ncols}, mode)
     return TileMatrix(_combine(checked, [I, J], on_duplicate), nrows, ncols, tile, CELLS)
