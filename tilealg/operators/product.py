@@ -40,6 +40,10 @@ from ..session import broadcast_limit, maybe_broadcast, shuffle_parallelism
 
 CELL_BYTES = 24          # bound per stored cell row (i, j, v) in a broadcast relation
 ACCUMULATOR_BYTES = 128 << 20
+# AQE merges small shuffle partitions by *input* size, but a product's join emits far
+# more rows than it reads.  A probe side whose bound is below this many bytes per task
+# is spread over the shuffle parallelism explicitly (a user repartition is not merged).
+SPREAD_BYTES_PER_TASK = 64 << 20
 
 
 def _pick_strategy(a: TileMatrix, strategy: str | None) -> str:
@@ -61,6 +65,14 @@ def matmul(a: TileMatrix, b: TileMatrix, strategy: str | None = None, salt: int
     return _matmul_tiles(a, b, accumulator_bytes)
 
 
+def _spread(df: DataFrame, bound_bytes: int, *keys: str) -> DataFrame:
+    """Hash-spread a small probe side over the shuffle parallelism (see module doc)."""
+    par = shuffle_parallelism(df.sparkSession)
+    if bound_bytes < SPREAD_BYTES_PER_TASK * par:
+        return df.repartition(par, *keys)
+    return df
+
+
 def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     left = a.df.select(F.col(I), F.col(J).alias("_k"), F.col(V).alias("_a"))
     right = b.df.select(F.col(I).alias("_k"), F.col(J), F.col(V).alias("_b"))
@@ -70,8 +82,10 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     if 0 < limit and min(a_bound, b_bound) <= limit:
         if b_bound <= a_bound:
             right = F.broadcast(right)
+            left = _spread(left, a_bound, I, "_k")
         else:
             left = F.broadcast(left)
+            right = _spread(right, b_bound, "_k", J)
     elif salt > 1:
         left = left.withColumn("_s", F.pmod(F.xxhash64(F.col(I)), F.lit(int(salt))))
         right = right.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1)))
@@ -97,8 +111,10 @@ def _matmul_tiles(a: TileMatrix, b: TileMatrix, accumulator_bytes: int) -> TileM
     if 0 < limit and min(a_bound, b_bound) <= limit:
         if b_bound <= a_bound:
             right = F.broadcast(right)
+            left = _spread(left, a_bound, BI, "_k")
         else:
             left = F.broadcast(left)
+            right = _spread(right, b_bound, "_k", BJ)
     elif k_tiles < par:
         if a_bound <= b_bound:
             r = min(tb.grid.ncols, -(-par // k_tiles))
@@ -112,6 +128,11 @@ def _matmul_tiles(a: TileMatrix, b: TileMatrix, accumulator_bytes: int) -> TileM
                 left = left.withColumn("_g", F.pmod(F.col(BI), F.lit(r)).cast("int"))
                 right = right.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(r - 1))))
                 keys = ["_k", "_g"]
+    if len(keys) > 1 or not (0 < limit and min(a_bound, b_bound) <= limit):
+        # tile pairs are few and heavy: fix the join's partition count so AQE cannot
+        # merge it into a handful of GEMM tasks
+        left = left.repartition(par, *keys)
+        right = right.repartition(par, *keys)
     pairs = left.join(right, keys).select(BI, BJ, "ah", "aw", "bw", "ad", "bd")
     partial = pairs.mapInArrow(
         functools.partial(kernels.gemm_partial, cap_bytes=accumulator_bytes), TILE_SCHEMA)

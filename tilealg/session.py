@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TILEALG_DRIVER_MEMORY", "16g")))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
