@@ -88,8 +88,8 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
             right = _spread(right, b_bound, "_k", J)
     elif salt > 1:
         left = left.withColumn("_s", F.pmod(F.xxhash64(F.col(I)), F.lit(int(salt))))
-        right = right.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1)))
-                                 .cast("bigint"))
+        right = right.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                            F.lit(int(salt) - 1).cast("bigint"))))
         keys = ["_k", "_s"]
     df = (left.join(right, keys)
           .groupBy(I, J).agg(F.sum(F.col("_a") * F.col("_b")).alias(V)))
