@@ -65,11 +65,15 @@ def matmul(a: TileMatrix, b: TileMatrix, strategy: str | None = None, salt: int
     return _matmul_tiles(a, b, accumulator_bytes)
 
 
-def _spread(df: DataFrame, bound_bytes: int, *keys: str) -> DataFrame:
-    """Hash-spread a small probe side over the shuffle parallelism (see module doc)."""
+def _spread(df: DataFrame, bound_bytes: int) -> DataFrame:
+    """Spread a small probe side over the shuffle parallelism (see module doc).
+
+    Round-robin with an explicit count: unlike a hash repartition on keys the side is
+    already partitioned by, it is neither dropped as redundant nor merged by AQE (and
+    Spark sorts before a round-robin, so a retried task sees the same rows)."""
     par = shuffle_parallelism(df.sparkSession)
     if bound_bytes < SPREAD_BYTES_PER_TASK * par:
-        return df.repartition(par, *keys)
+        return df.repartition(par)
     return df
 
 
@@ -82,10 +86,10 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     if 0 < limit and min(a_bound, b_bound) <= limit:
         if b_bound <= a_bound:
             right = F.broadcast(right)
-            left = _spread(left, a_bound, I, "_k")
+            left = _spread(left, a_bound)
         else:
             left = F.broadcast(left)
-            right = _spread(right, b_bound, "_k", J)
+            right = _spread(right, b_bound)
     elif salt > 1:
         left = left.withColumn("_s", F.pmod(F.xxhash64(F.col(I)), F.lit(int(salt))))
         right = right.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"),
@@ -111,10 +115,10 @@ def _matmul_tiles(a: TileMatrix, b: TileMatrix, accumulator_bytes: int) -> TileM
     if 0 < limit and min(a_bound, b_bound) <= limit:
         if b_bound <= a_bound:
             right = F.broadcast(right)
-            left = _spread(left, a_bound, BI, "_k")
+            left = _spread(left, a_bound)
         else:
             left = F.broadcast(left)
-            right = _spread(right, b_bound, "_k", BJ)
+            right = _spread(right, b_bound)
     elif k_tiles < par:
         if a_bound <= b_bound:
             r = min(tb.grid.ncols, -(-par // k_tiles))

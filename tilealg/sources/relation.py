@@ -33,9 +33,15 @@ def from_relation(df: DataFrame, i="i", j="j", v="v", shape: tuple[int, int] | N
     ``i``/``j``/``v`` are column names or Column expressions (0-based integer indices).
     ``shape`` defaults to ``max index + 1`` (one small aggregate job).  With ``check``
     an index outside the shape fails the job that reads it (no extra pass).
+
+    Rows with a NULL index are not cells (as SQL aggregates skip NULLs).  The explicit
+    filter on *both* indices also makes every use of this matrix canonicalize to the
+    same plan, so ``A @ A`` or ``A @ A.T`` reads and aggregates the source once (Spark
+    reuses the exchange) instead of once per operand.
     """
-    cells = df.select(_c(i).cast("bigint").alias(I), _c(j).cast("bigint").alias(J),
-                      _c(v).cast("double").alias(V))
+    cells = (df.select(_c(i).cast("bigint").alias(I), _c(j).cast("bigint").alias(J),
+                       _c(v).cast("double").alias(V))
+             .filter(F.col(I).isNotNull() & F.col(J).isNotNull()))
     aggs = {"sum": F.sum, "max": F.max, "min": F.min, "first": F.first, "count": F.count}
     if agg not in aggs:
         raise ValueError(f"unknown agg {agg!r}")
