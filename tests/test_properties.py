@@ -78,8 +78,7 @@ def test_products_with_vectors(spark):
 
 
 def test_tiles_gemm_replicated_join(spark):
-    """Inner tile grid (1) below the shuffle parallelism and operands above the
-    broadcast threshold: the replicated (k, g) join path."""
+    """Products with broadcast disabled, and the 3-D plan forced to tiny groups."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rng = np.random.default_rng(21)
@@ -88,9 +87,12 @@ def test_tiles_gemm_replicated_join(spark):
         assert np.array_equal((A @ B).to_numpy(), a @ b)
         C, c = _rand_matrix(spark, rng, 20, 4, (3, 4), layout="tiles")
         assert np.array_equal((B.T @ C.T).to_numpy(), b.T @ c.T)
-        # small accumulator cap: partials flushed often, still exact
+        # tiny group budget: one tile per group, partials summed over inner groups
         from tilealg.operators.product import matmul
-        assert np.array_equal(matmul(A, B, accumulator_bytes=1).to_numpy(), a @ b)
+        assert np.array_equal(matmul(A, B, group_bytes=1).to_numpy(), a @ b)
+        D, d = _rand_matrix(spark, rng, 10, 14, (3, 4), layout="tiles")
+        E, e = _rand_matrix(spark, rng, 14, 9, (4, 2), layout="tiles")
+        assert np.array_equal(matmul(D, E, group_bytes=1).to_numpy(), d @ e)
         # cells path with explicit salting
         Ac, Bc = A.to_cells(), B.to_cells()
         assert np.array_equal(matmul(Ac, Bc, salt=4).to_numpy(), a @ b)

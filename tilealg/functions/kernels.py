@@ -1,8 +1,8 @@
 """Numpy tile kernels run inside Arrow tasks (``mapInArrow`` / ``applyInArrow``).
 
 Spark partitions and shuffles the tiles; each function here only handles the tiles of
-one Arrow batch or one group, so its memory is bounded by the tile size and the
-accumulator cap, never by the matrix.
+one Arrow batch or one planned group, so its memory is bounded by the tile size and
+the group budget, never by the matrix.
 
 Tiles are column-major: the buffer of an ``h x w`` tile reshaped in C order to
 ``(w, h)`` is the transpose, a free view.  Since (AB)ᵀ = BᵀAᵀ, a product can be formed
@@ -84,54 +84,6 @@ def scatter_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 # ----------------------------------------------------------------------------- GEMM
-def gemm_partial(batches: Iterator[pa.RecordBatch], cap_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Joined tile pairs ``(bi, bj, ah, aw, ad, bw, bd)`` -> partial product tiles.
-
-    Products landing on the same output tile within this task are summed in a dict
-    (map-side combine).  When the dict passes ``cap_bytes`` it is emitted and cleared,
-    so memory stays bounded however many output tiles a task touches.
-    """
-    acc: dict[tuple[int, int], np.ndarray] = {}
-    shapes: dict[tuple[int, int], tuple[int, int]] = {}
-    used = 0
-    for b in batches:
-        n = b.num_rows
-        if n == 0:
-            continue
-        bi = b.column("bi").to_numpy(zero_copy_only=False)
-        bj = b.column("bj").to_numpy(zero_copy_only=False)
-        ah = b.column("ah").to_numpy(zero_copy_only=False)
-        aw = b.column("aw").to_numpy(zero_copy_only=False)
-        bw = b.column("bw").to_numpy(zero_copy_only=False)
-        af, ao = list_parts(b.column("ad"))
-        bf, bo = list_parts(b.column("bd"))
-        for r in range(n):
-            h, k, w = int(ah[r]), int(aw[r]), int(bw[r])
-            at = af[ao[r]:ao[r + 1]].reshape(k, h)      # Aᵀ view
-            btt = bf[bo[r]:bo[r + 1]].reshape(w, k)     # Bᵀ view
-            ct = btt @ at                               # Cᵀ, shape (w, h)
-            key = (int(bi[r]), int(bj[r]))
-            cur = acc.get(key)
-            if cur is None:
-                acc[key] = ct
-                shapes[key] = (h, w)
-                used += ct.nbytes
-            else:
-                cur += ct
-            if used >= cap_bytes:
-                yield _emit(acc, shapes)
-                acc, shapes, used = {}, {}, 0
-    if acc:
-        yield _emit(acc, shapes)
-
-
-def _emit(acc: dict, shapes: dict) -> pa.RecordBatch:
-    keys = list(acc)
-    return tile_batch({"bi": [k[0] for k in keys], "bj": [k[1] for k in keys]},
-                      [shapes[k][0] for k in keys], [shapes[k][1] for k in keys],
-                      [acc[k].ravel() for k in keys])
-
-
 def sum_tiles_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All partial tiles of one output tile -> their sum (streamed, one buffer)."""
     total = None
@@ -151,6 +103,82 @@ def sum_tiles_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield tile_batch({"bi": [bi], "bj": [bj]}, [h], [w], [total])
 
 
+def gemm_block(left: pa.Table, right: pa.Table) -> pa.Table:
+    """One block of the 3-D product: A tiles ``(bi, _k, ah, aw, ad)`` and B tiles
+    ``(_k, bj, bw, bd)`` of one (row group, column group, inner group).
+
+    The tiles are laid into two dense panels and multiplied with ONE numpy GEMM; each
+    output tile ``(bi, bj)`` that meets at least one inner tile on both sides is cut out
+    of the product.  Memory is bounded by the group's tile count (chosen by the planner).
+    """
+    if left.num_rows == 0 or right.num_rows == 0:
+        return _empty_tiles()
+    a_bi = left.column("bi").to_numpy()
+    a_k = left.column("_k").to_numpy()
+    a_h = left.column("ah").to_numpy()
+    a_w = left.column("aw").to_numpy()
+    b_k = right.column("_k").to_numpy()
+    b_bj = right.column("bj").to_numpy()
+    b_w = right.column("bw").to_numpy()
+    ks = np.intersect1d(a_k, b_k)
+    if ks.size == 0:
+        return _empty_tiles()
+    rows = np.unique(a_bi)
+    cols = np.unique(b_bj)
+    kpos = {int(k): n for n, k in enumerate(ks)}
+    rpos = {int(r): n for n, r in enumerate(rows)}
+    cpos = {int(c): n for n, c in enumerate(cols)}
+    kwid = np.zeros(len(ks), dtype=np.int64)
+    hgt = np.zeros(len(rows), dtype=np.int64)
+    wid = np.zeros(len(cols), dtype=np.int64)
+    for r in range(left.num_rows):
+        hgt[rpos[int(a_bi[r])]] = a_h[r]
+        kp = kpos.get(int(a_k[r]))
+        if kp is not None:
+            kwid[kp] = a_w[r]
+    for r in range(right.num_rows):
+        wid[cpos[int(b_bj[r])]] = b_w[r]
+    koff = np.concatenate(([0], np.cumsum(kwid)))
+    roff = np.concatenate(([0], np.cumsum(hgt)))
+    coff = np.concatenate(([0], np.cumsum(wid)))
+    apanel = np.zeros((roff[-1], koff[-1]))
+    bpanel = np.zeros((koff[-1], coff[-1]))
+    apres = np.zeros((len(rows), len(ks)), dtype=bool)
+    bpres = np.zeros((len(ks), len(cols)), dtype=bool)
+    af, ao = list_parts(left.column("ad"))
+    for r in range(left.num_rows):
+        kp = kpos.get(int(a_k[r]))
+        if kp is None:
+            continue
+        rp = rpos[int(a_bi[r])]
+        h, kw = int(a_h[r]), int(kwid[kp])
+        apanel[roff[rp]:roff[rp] + h, koff[kp]:koff[kp] + kw] = af[ao[r]:ao[r + 1]].reshape(kw, h).T
+        apres[rp, kp] = True
+    bf, bo = list_parts(right.column("bd"))
+    for r in range(right.num_rows):
+        kp = kpos.get(int(b_k[r]))
+        if kp is None:
+            continue
+        cp = cpos[int(b_bj[r])]
+        kw, w = int(kwid[kp]), int(b_w[r])
+        bpanel[koff[kp]:koff[kp] + kw, coff[cp]:coff[cp] + w] = bf[bo[r]:bo[r + 1]].reshape(w, kw).T
+        bpres[kp, cp] = True
+    prod = apanel @ bpanel
+    meets = (apres.astype(np.int64) @ bpres.astype(np.int64)) > 0
+    out_bi, out_bj, hs, ws, data = [], [], [], [], []
+    for rp, cp in zip(*np.nonzero(meets)):
+        out_bi.append(int(rows[rp]))
+        out_bj.append(int(cols[cp]))
+        hs.append(int(hgt[rp]))
+        ws.append(int(wid[cp]))
+        data.append(prod[roff[rp]:roff[rp + 1], coff[cp]:coff[cp + 1]].ravel(order="F"))
+    return pa.Table.from_batches([tile_batch({"bi": out_bi, "bj": out_bj}, hs, ws, data)])
+
+
+def _empty_tiles() -> pa.Table:
+    return pa.Table.from_batches([tile_batch({"bi": [], "bj": []}, [], [], [])])
+
+
 def block_local_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full-outer-joined square tiles ``(bi, bj, h, w, ad, bd)`` -> A_t · B_t per tile.
 

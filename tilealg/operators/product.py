@@ -6,9 +6,13 @@ Two strategies, picked by the layout of the left operand (or ``strategy=``):
   Spark SQL: sort-merge or broadcast hash join, partial (map-side) aggregation, whole-
   stage codegen.  Its join emits one row per multiply-add, so it is the right plan for
   sparse operands and the wrong one for dense ones.
-* ``tiles`` — ``A ⋈ B`` on the inner *tile* index, a numpy GEMM per tile pair in Arrow
-  batches with a capped per-task accumulator (map-side combine), then a grouped sum of
-  the partial tiles per output tile.  One row per tile pair, so ~h*w*k fewer rows.
+* ``tiles`` — a 3-D block decomposition: tiles are cogrouped by (row group, column
+  group, inner group), each A tile sent to every column group and each B tile to every
+  row group, and each group runs ONE numpy GEMM over its dense panels in an Arrow task.
+  Partial results are summed per output tile only when the inner dimension spans
+  several groups.  Group extents are planned from the tile grid so a group's tiles fit
+  a memory budget and there are at least as many groups as shuffle partitions
+  (``plan_blocks``); no group ever holds a whole row or column of tiles.
 
 Broadcast: a side is broadcast only when its shape-derived bound (keys are unique, so
 an ``n x m`` matrix has at most ``n*m`` cells) fits the session's broadcast threshold.
@@ -20,10 +24,9 @@ column of A meeting a dense row of B).  AQE's skew-join splitting handles that a
 time; ``salt=n`` additionally splits every inner key into ``n`` sub-keys up front (the
 left side by a hash of its row, the right side replicated ``n`` times).
 
-Low parallelism: the tile join key has only ``ceil(k / tile)`` values.  When that is
-below the shuffle parallelism and no side can be broadcast, the smaller operand is
-replicated ``r`` times and the larger one split into ``r`` groups by its outer tile
-index, so the join runs ``k_tiles * r`` ways.
+Parallelism: AQE merges small shuffle partitions by input size, but a product does
+far more work than it reads.  Small probe sides (cells) and the tile groups get an
+explicit partition count, which AQE leaves alone.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
 from ..session import broadcast_limit, maybe_broadcast, shuffle_parallelism
 
 CELL_BYTES = 24          # bound per stored cell row (i, j, v) in a broadcast relation
-ACCUMULATOR_BYTES = 128 << 20
+GROUP_BYTES = 128 << 20  # tiles (A + B + C) one 3-D product group may hold
 # AQE merges small shuffle partitions by *input* size, but a product's join emits far
 # more rows than it reads.  A probe side whose bound is below this many bytes per task
 # is spread over the shuffle parallelism explicitly (a user repartition is not merged).
@@ -55,14 +58,14 @@ def _pick_strategy(a: TileMatrix, strategy: str | None) -> str:
 
 
 def matmul(a: TileMatrix, b: TileMatrix, strategy: str | None = None, salt: int = 1,
-           accumulator_bytes: int = ACCUMULATOR_BYTES) -> TileMatrix:
+           group_bytes: int = GROUP_BYTES) -> TileMatrix:
     """``A @ B`` (the reference's ``multiply``)."""
     if a.ncols != b.nrows:
         raise ShapeMismatchError(
             f"inner dimensions differ: {a.nrows}x{a.ncols} @ {b.nrows}x{b.ncols}")
     if _pick_strategy(a, strategy) == CELLS:
         return _matmul_cells(a.to_cells(), b.to_cells(), salt)
-    return _matmul_tiles(a, b, accumulator_bytes)
+    return _matmul_tiles(a, b, group_bytes)
 
 
 def _spread(df: DataFrame, bound_bytes: int) -> DataFrame:
@@ -100,47 +103,72 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     return TileMatrix(df, a.nrows, b.ncols, (a.tile_h, b.tile_w), CELLS)
 
 
-def _matmul_tiles(a: TileMatrix, b: TileMatrix, accumulator_bytes: int) -> TileMatrix:
+def plan_blocks(nbi: int, nbj: int, nk: int, tile_bytes: int, par: int,
+                group_bytes: int = GROUP_BYTES) -> tuple[int, int, int]:
+    """Tiles per group along (rows, cols, inner) for the 3-D product.
+
+    A group holds ``gi*gk`` A tiles, ``gk*gj`` B tiles and ``gi*gj`` output tiles; it
+    must fit ``group_bytes``, and there should be at least as many groups as shuffle
+    partitions.  Starting from one group for everything, the largest of the
+    three extents is halved until both hold (or every extent is 1).  Communication is
+    then |A|·⌈nbj/gj⌉ + |B|·⌈nbi/gi⌉ + |C|·⌈nk/gk⌉, the usual 3-D trade-off.
+    """
+    gi, gj, gk = max(1, nbi), max(1, nbj), max(1, nk)
+    max_tiles = max(3, group_bytes // max(1, tile_bytes))
+
+    def groups() -> int:
+        return -(-nbi // gi) * -(-nbj // gj) * -(-nk // gk)
+
+    while (gi * gk + gk * gj + gi * gj > max_tiles or groups() < par) \
+            and (gi, gj, gk) != (1, 1, 1):
+        top = max(gi, gj, gk)
+        if gi == top:
+            gi = -(-gi // 2)
+        elif gj == top:
+            gj = -(-gj // 2)
+        else:
+            gk = -(-gk // 2)
+    return gi, gj, gk
+
+
+def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int) -> TileMatrix:
     ta = a.to_tiles()
     tb = b.to_tiles((ta.tile_w, b.tile_w))   # inner tiles must line up
+    nbi, nk = ta.grid
+    nbj = tb.grid.ncols
+    par = shuffle_parallelism(a.spark)
+    tile_bytes = 8 * max(ta.tile_h * ta.tile_w, tb.tile_h * tb.tile_w, ta.tile_h * tb.tile_w)
+    gi, gj, gk = plan_blocks(nbi, nbj, nk, tile_bytes, par, group_bytes)
+    ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
+
+    def fan(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0).cast("int")
+
     left = ta.df.select(F.col(BI), F.col(BJ).alias("_k"), F.col(H).alias("ah"),
                         F.col(W).alias("aw"), F.col(DATA).alias("ad"))
+    left = left.select("*", F.floor(F.col(BI) / gi).cast("int").alias("_gi"),
+                       F.floor(F.col("_k") / gk).cast("int").alias("_gk"),
+                       fan(ngj).alias("_gj"))
     right = tb.df.select(F.col(BI).alias("_k"), F.col(BJ), F.col(W).alias("bw"),
                          F.col(DATA).alias("bd"))
-    keys = ["_k"]
-    a_bound, b_bound = ta.nrows * ta.ncols * 8, tb.nrows * tb.ncols * 8
-    limit = broadcast_limit(a.spark)
-    k_tiles = ta.grid.ncols
-    par = shuffle_parallelism(a.spark)
-    if 0 < limit and min(a_bound, b_bound) <= limit:
-        if b_bound <= a_bound:
-            right = F.broadcast(right)
-            left = _spread(left, a_bound)
-        else:
-            left = F.broadcast(left)
-            right = _spread(right, b_bound)
-    elif k_tiles < par:
-        if a_bound <= b_bound:
-            r = min(tb.grid.ncols, -(-par // k_tiles))
-            if r > 1:      # replicate A, split B by output tile column
-                left = left.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(r - 1))))
-                right = right.withColumn("_g", F.pmod(F.col(BJ), F.lit(r)).cast("int"))
-                keys = ["_k", "_g"]
-        else:
-            r = min(ta.grid.nrows, -(-par // k_tiles))
-            if r > 1:      # replicate B, split A by output tile row
-                left = left.withColumn("_g", F.pmod(F.col(BI), F.lit(r)).cast("int"))
-                right = right.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(r - 1))))
-                keys = ["_k", "_g"]
-    if len(keys) > 1 or not (0 < limit and min(a_bound, b_bound) <= limit):
-        # tile pairs are few and heavy: fix the join's partition count so AQE cannot
-        # merge it into a handful of GEMM tasks
-        left = left.repartition(par, *keys)
-        right = right.repartition(par, *keys)
-    pairs = left.join(right, keys).select(BI, BJ, "ah", "aw", "bw", "ad", "bd")
-    partial = pairs.mapInArrow(
-        functools.partial(kernels.gemm_partial, cap_bytes=accumulator_bytes), TILE_SCHEMA)
-    df = partial.groupBy(BI, BJ).applyInArrow(kernels.sum_tiles_group, TILE_SCHEMA)
+    right = right.select("*", F.floor(F.col("_k") / gk).cast("int").alias("_gk"),
+                         F.floor(F.col(BJ) / gj).cast("int").alias("_gj"),
+                         fan(ngi).alias("_gi"))
+    # Groups are few and compute-heavy: a dense group id placed straight onto a fixed
+    # number of partitions (no hash collisions, and AQE cannot merge them by their small
+    # input size).  The cogroup on the id needs no further exchange.
+    ngroups = ngi * ngj * ngk
+    nparts = max(1, min(ngroups, 4 * par))
+
+    def gid(df):
+        g = ((F.col("_gi") * ngj + F.col("_gj")) * ngk + F.col("_gk")).cast("int")
+        return df.withColumn("_gid", g).repartitionById(nparts, "_gid")
+
+    left, right = gid(left), gid(right)
+    df = (left.groupBy("_gid").cogroup(right.groupBy("_gid"))
+          .applyInArrow(kernels.gemm_block, TILE_SCHEMA))
+    if ngk > 1:   # partial products over inner groups: sum them per output tile
+        df = df.groupBy(BI, BJ).applyInArrow(kernels.sum_tiles_group, TILE_SCHEMA)
     return TileMatrix(df, ta.nrows, tb.ncols, (ta.tile_h, tb.tile_w), TILES)
 
 

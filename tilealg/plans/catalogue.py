@@ -183,6 +183,17 @@ def ew_div_sparse(t: Tables) -> DataFrame:
     return _cells(s / s.T)
 
 
+@query("mult_test_ab", "the reference's sample job: scale, Hadamard, write text, read back",
+       _ew_sql("(coalesce(a.v, 0) * 10) * (coalesce(b.v, 0) * 10)"))
+def mult_test_ab(t: Tables) -> DataFrame:
+    """Its driver multiplied two scaled matrices element-wise and wrote triplets; here
+    the operands are table-derived so the result can be checked."""
+    a, b = t.a(), t.b()
+    path = scratch_path(t.spark, "mult-test")
+    ((a * 10) * (b * 10)).write_text(path)
+    return _cells(text.read_text(t.spark, path, a.shape, a.tile))
+
+
 # ================================================================== scalar maps (A*)
 def _scalar_sql(expr: str) -> str:
     return _with("s gs", f"SELECT i, j, {expr} AS v FROM gs LEFT JOIN s USING (i, j)")
