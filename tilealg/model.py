@@ -221,9 +221,9 @@ class TileMatrix:
         from .operators.mapops import map_tiles
         return map_tiles(self, fn)
 
-    def tile_scalars(self, fn) -> DataFrame:
+    def tile_scalars(self, fn, native: bool = False) -> DataFrame:
         from .operators.mapops import tile_scalars
-        return tile_scalars(self, fn)
+        return tile_scalars(self, fn, native)
 
     def transpose(self) -> "TileMatrix":
         from .operators.mapops import transpose
@@ -428,9 +428,9 @@ class TileVector:
 
     map_blocks = map_tiles
 
-    def tile_scalars(self, fn) -> DataFrame:
+    def tile_scalars(self, fn, native: bool = False) -> DataFrame:
         """Per-tile scalar ``(bi, s)`` (the reference's ``mapBlocksToScalar``)."""
-        return self.mat.tile_scalars(fn).select(BI, "s")
+        return self.mat.tile_scalars(fn, native).select(BI, "s")
 
     def zip_cells(self, other: "TileVector", fn) -> "TileVector":
         return TileVector(self.mat.zip_cells(other.mat, fn))

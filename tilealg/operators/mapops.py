@@ -84,19 +84,14 @@ def map_tiles(m: TileMatrix, fn) -> TileMatrix:
     return t._with(df)
 
 
-def tile_scalars(m: TileMatrix, fn) -> DataFrame:
+def tile_scalars(m: TileMatrix, fn, native: bool = False) -> DataFrame:
     """One scalar per stored tile: ``(bi, bj, s)`` (the reference's ``mapBlocksToScalar``).
 
-    ``fn`` is either a Column function of the tile array (native, e.g.
-    ``lambda d: F.aggregate(d, F.lit(0.0), lambda s, x: s + x)``) or, with
-    ``numpy=True`` semantics, any Python callable taking a 2-D numpy tile: a Python
-    callable is detected by trying it on a Column first.
+    ``native=True``: ``fn`` maps the tile's ``data`` Column to a Column and runs in the
+    JVM, e.g. ``lambda d: F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x)``.
+    Otherwise ``fn`` takes a 2-D numpy tile and returns a float, run in Arrow batches.
     """
     t = m.to_tiles()
-    try:
-        expr = fn(F.col(DATA))
-        if isinstance(expr, Column):
-            return t.df.select(BI, BJ, expr.cast("double").alias("s"))
-    except Exception:  # noqa: BLE001 - not a Column function; run it in Arrow
-        pass
+    if native:
+        return t.df.select(BI, BJ, fn(F.col(DATA)).cast("double").alias("s"))
     return t.df.mapInArrow(kernels.tile_scalar_batches(fn), "bi bigint, bj bigint, s double")

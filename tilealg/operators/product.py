@@ -43,6 +43,7 @@ from ..session import broadcast_limit, maybe_broadcast, shuffle_parallelism
 
 CELL_BYTES = 24          # bound per stored cell row (i, j, v) in a broadcast relation
 GROUP_BYTES = 128 << 20  # tiles (A + B + C) one 3-D product group may hold
+GROUP_FLOPS = 2e8        # below this much work per group, more groups only add overhead
 # AQE merges small shuffle partitions by *input* size, but a product's join emits far
 # more rows than it reads.  A probe side whose bound is below this many bytes per task
 # is spread over the shuffle parallelism explicitly (a user repartition is not merged).
@@ -103,32 +104,48 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     return TileMatrix(df, a.nrows, b.ncols, (a.tile_h, b.tile_w), CELLS)
 
 
+def _extents(n: int) -> list[int]:
+    """Candidate group extents along one axis: ceil(n / 2^m)."""
+    out, x = {1}, 1
+    while x < n:
+        out.add(-(-n // x))
+        x *= 2
+    out.add(max(1, n))
+    return sorted(out)
+
+
 def plan_blocks(nbi: int, nbj: int, nk: int, tile_bytes: int, par: int,
-                group_bytes: int = GROUP_BYTES) -> tuple[int, int, int]:
+                group_bytes: int = GROUP_BYTES, flops: float | None = None) -> tuple[int, int, int]:
     """Tiles per group along (rows, cols, inner) for the 3-D product.
 
-    A group holds ``gi*gk`` A tiles, ``gk*gj`` B tiles and ``gi*gj`` output tiles; it
-    must fit ``group_bytes``, and there should be at least as many groups as shuffle
-    partitions.  Starting from one group for everything, the largest of the
-    three extents is halved until both hold (or every extent is 1).  Communication is
-    then |A|·⌈nbj/gj⌉ + |B|·⌈nbi/gi⌉ + |C|·⌈nk/gk⌉, the usual 3-D trade-off.
+    A group holds ``gi*gk`` A tiles, ``gk*gj`` B tiles and ``gi*gj`` output tiles and
+    must fit ``group_bytes``.  Among the extents that fit, pick the one with at least
+    ``par`` groups (or as many as the grid allows, and no more than ``flops`` /
+    ``GROUP_FLOPS``: a tiny product is one GEMM) that ships the fewest tiles:
+    A goes to ⌈nbj/gj⌉ column groups, B to ⌈nbi/gi⌉ row groups, and when the inner
+    dimension is split into ⌈nk/gk⌉ > 1 groups the partial C tiles are shuffled once
+    more to be summed.  This is the usual 3-D (communication-avoiding) trade-off.
     """
-    gi, gj, gk = max(1, nbi), max(1, nbj), max(1, nk)
+    nbi, nbj, nk = max(1, nbi), max(1, nbj), max(1, nk)
     max_tiles = max(3, group_bytes // max(1, tile_bytes))
-
-    def groups() -> int:
-        return -(-nbi // gi) * -(-nbj // gj) * -(-nk // gk)
-
-    while (gi * gk + gk * gj + gi * gj > max_tiles or groups() < par) \
-            and (gi, gj, gk) != (1, 1, 1):
-        top = max(gi, gj, gk)
-        if gi == top:
-            gi = -(-gi // 2)
-        elif gj == top:
-            gj = -(-gj // 2)
-        else:
-            gk = -(-gk // 2)
-    return gi, gj, gk
+    target = min(max(1, par), nbi * nbj * nk)
+    if flops is not None:
+        target = min(target, max(1, int(-(-flops // GROUP_FLOPS))))
+    best, best_key = (1, 1, 1), None
+    for gi in _extents(nbi):
+        for gj in _extents(nbj):
+            if gi * gj > max_tiles:
+                continue
+            for gk in _extents(nk):
+                if gi * gk + gk * gj + gi * gj > max_tiles:
+                    continue
+                ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
+                groups = ngi * ngj * ngk
+                shipped = nbi * nk * ngj + nk * nbj * ngi + (2 * nbi * nbj * ngk if ngk > 1 else 0)
+                key = (groups < target, shipped, -groups)
+                if best_key is None or key < best_key:
+                    best, best_key = (gi, gj, gk), key
+    return best
 
 
 def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int) -> TileMatrix:
@@ -138,7 +155,8 @@ def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int) -> TileMatrix:
     nbj = tb.grid.ncols
     par = shuffle_parallelism(a.spark)
     tile_bytes = 8 * max(ta.tile_h * ta.tile_w, tb.tile_h * tb.tile_w, ta.tile_h * tb.tile_w)
-    gi, gj, gk = plan_blocks(nbi, nbj, nk, tile_bytes, par, group_bytes)
+    flops = 2.0 * ta.nrows * ta.ncols * tb.ncols
+    gi, gj, gk = plan_blocks(nbi, nbj, nk, tile_bytes, par, group_bytes, flops)
     ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
 
     def fan(n: int):

@@ -665,7 +665,8 @@ def zip_cells_s(t: Tables) -> DataFrame:
 @query("tile_sums_s", "U3 mapBlocksToScalar (native aggregate over tile arrays)",
        _with("s", "SELECT i // 10 AS bi, j // 10 AS bj, sum(v) AS s FROM s GROUP BY 1, 2"))
 def tile_sums_s(t: Tables) -> DataFrame:
-    return t.s().tile_scalars(lambda d: F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x))
+    return t.s().tile_scalars(lambda d: F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x),
+                              native=True)
 
 
 @query("tile_norms_u", "D4 per-tile 2-norm (numpy fn via Arrow)",
