@@ -103,6 +103,22 @@ def ingest_e(t: Tables) -> DataFrame:
     return _cells(t.e())
 
 
+@query("ingest_keyed_orders", "S6 with string keys: index_keys dictionaries + from_relation",
+       "WITH p AS (SELECT k, CAST(dense_rank() OVER (ORDER BY k) - 1 AS BIGINT) AS idx FROM "
+       "(SELECT DISTINCT o_orderpriority AS k FROM orders) x), "
+       "q AS (SELECT k, CAST(dense_rank() OVER (ORDER BY k) - 1 AS BIGINT) AS idx FROM "
+       "(SELECT DISTINCT o_orderstatus AS k FROM orders) y) "
+       "SELECT p.idx AS i, q.idx AS j, CAST(count(*) AS DOUBLE) AS v FROM orders "
+       "JOIN p ON o_orderpriority = p.k JOIN q ON o_orderstatus = q.k GROUP BY 1, 2")
+def ingest_keyed_orders(t: Tables) -> DataFrame:
+    from ..sources.relation import from_relation, index_keys
+    o = t.read("orders").select("o_orderpriority", "o_orderstatus")
+    p = index_keys(o, "o_orderpriority", "_pi")
+    q = index_keys(o, "o_orderstatus", "_qi")
+    rel = o.join(p, "o_orderpriority").join(q, "o_orderstatus")
+    return _cells(from_relation(rel, "_pi", "_qi", F.lit(1.0)))
+
+
 @query("text_roundtrip_a", "K1 write_text + S1 read_text", _with("a", "SELECT i, j, v FROM a"))
 def text_roundtrip_a(t: Tables) -> DataFrame:
     a = t.a()

@@ -86,16 +86,30 @@ def from_arrays(df: DataFrame, row: str, array: str, ncols: int | None = None,
 
 
 def index_keys(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
-    """Dictionary ``(key, idx)`` giving each distinct key a dense 0-based index.
-
-    Sorted distinct keys are numbered with ``zipWithIndex``, which counts rows per
-    partition and numbers each partition in parallel (not a one-task global window).
-    Join it to the data to use non-integer keys as matrix indices.
+    """Dictionary ``(key, idx)`` giving each distinct key a dense 0-based index in key
+    order, so non-integer keys can serve as matrix indices (join it to the data).
+
+    All in DataFrame operators, in parallel: the distinct keys are range-partitioned
+    and sorted; ``monotonically_increasing_id`` gives each key its partition and its
+    position inside it; a running sum over the per-partition counts (one row per
+    partition, so a bounded broadcast) turns positions into global indices.  The
+    ranged exchange is shared by both uses, so counts and positions agree.  Checkpoint
+    the result when it must stay fixed across jobs.
     """
-    keys = df.select(key).distinct().orderBy(key)
-    schema = f"{key} {dict(keys.dtypes)[key]}, {name} bigint"
-    rdd = keys.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-    return keys.sparkSession.createDataFrame(rdd, schema)
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = (df.select(key).distinct().repartitionByRange(nparts, key)
+              .sortWithinPartitions(key))
+    mid = F.monotonically_increasing_id()
+    tagged = ranged.select(key, F.shiftright(mid, 33).alias("_pid"),
+                           (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
+                            .alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .select(key, (F.col("_off") + F.col("_pos")).cast("bigint").alias(name)))
 
 
 def check_unique(m: TileMatrix) -> DataFrame:
