@@ -20,9 +20,12 @@ Otherwise both sides shuffle on the join key and AQE may still switch to a broad
 from runtime statistics, or split a skewed partition.
 
 Skew: in the cells join one inner index can carry a large share of the cells (a dense
-column of A meeting a dense row of B).  AQE's skew-join splitting handles that at run
-time; ``salt=n`` additionally splits every inner key into ``n`` sub-keys up front (the
-left side by a hash of its row, the right side replicated ``n`` times).
+column of A meeting a dense row of B).  Broadcast joins spread the probe side over all
+tasks, which splits such a key.  Shuffle joins of operands small enough for AQE to
+merge are salted automatically: the smaller side is replicated (at most
+``REPLICATE_BYTES`` by its shape bound) and the other split by a hash of its outer
+index, with a fixed partition count.  Large operands are left to AQE's skew-join
+splitting; ``salt=n`` forces an explicit split of every inner key into ``n`` sub-keys.
 
 Parallelism: AQE merges small shuffle partitions by input size, but a product does
 far more work than it reads.  Small probe sides (cells) and the tile groups get an
@@ -48,6 +51,8 @@ GROUP_FLOPS = 2e8        # below this much work per group, more groups only add
 # more rows than it reads.  A probe side whose bound is below this many bytes per task
 # is spread over the shuffle parallelism explicitly (a user repartition is not merged).
 SPREAD_BYTES_PER_TASK = 64 << 20
+# Auto-salting of a small shuffle join replicates its smaller side at most this much.
+REPLICATE_BYTES = 2 << 30
 
 
 def _pick_strategy(a: TileMatrix, strategy: str | None) -> str:
@@ -86,19 +91,37 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     right = b.df.select(F.col(I).alias("_k"), F.col(J), F.col(V).alias("_b"))
     keys = ["_k"]
     a_bound, b_bound = a.nrows * a.ncols * CELL_BYTES, b.nrows * b.ncols * CELL_BYTES
-    limit = broadcast_limit(a.spark)
-    if 0 < limit and min(a_bound, b_bound) <= limit:
+    small = min(a_bound, b_bound)
+    spark = a.spark
+    par = shuffle_parallelism(spark)
+    limit = broadcast_limit(spark)
+    if 0 < limit and small <= limit:
+        # broadcast the bounded side; spreading the probe side also splits a hot inner
+        # index over all tasks
         if b_bound <= a_bound:
             right = F.broadcast(right)
             left = _spread(left, a_bound)
         else:
             left = F.broadcast(left)
             right = _spread(right, b_bound)
-    elif salt > 1:
-        left = left.withColumn("_s", F.pmod(F.xxhash64(F.col(I)), F.lit(int(salt))))
-        right = right.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                            F.lit(int(salt) - 1).cast("bigint"))))
-        keys = ["_k", "_s"]
+    else:
+        collapsible = small < SPREAD_BYTES_PER_TASK * par
+        if salt <= 1 and collapsible:
+            # small inputs, heavy join: AQE would merge the join into a few tasks by input
+            # size.  Replicate the smaller side (bounded bytes) and split the other.
+            salt = int(max(1, min(par, REPLICATE_BYTES // max(1, small))))
+        if salt > 1:
+            seq = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(int(salt) - 1).cast("bigint")))
+            if b_bound <= a_bound:
+                left = left.withColumn("_s", F.pmod(F.xxhash64(F.col(I)), F.lit(int(salt))))
+                right = right.withColumn("_s", seq)
+            else:
+                left = left.withColumn("_s", seq)
+                right = right.withColumn("_s", F.pmod(F.xxhash64(F.col(J)), F.lit(int(salt))))
+            keys = ["_k", "_s"]
+        if collapsible:
+            left = left.repartition(par, *keys)
+            right = right.repartition(par, *keys)
     df = (left.join(right, keys)
           .groupBy(I, J).agg(F.sum(F.col("_a") * F.col("_b")).alias(V)))
     return TileMatrix(df, a.nrows, b.ncols, (a.tile_h, b.tile_w), CELLS)
