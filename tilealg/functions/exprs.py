@@ -30,12 +30,3 @@ def uniform01(i: Column, j: Column, seed: int) -> Column:
 
 def zeros_array(n: Column) -> Column:
     return F.array_repeat(F.lit(0.0), n)
-
-
-def col_major_row(p: Column, h: Column) -> Column:
-    """Row of position ``p`` in a column-major ``h x w`` tile."""
-    return F.pmod(p, h)
-
-
-def col_major_col(p: Column, h: Column) -> Column:
-    return F.floor(p / h).cast("bigint")

@@ -17,8 +17,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-LIST_DOUBLE = pa.list_(pa.float64())
-
 # Ship these kernels to Python workers by value, so executors need no copy of the
 # package on their path.
 try:  # pragma: no cover - depends on the bundled cloudpickle

@@ -34,7 +34,6 @@ explicit partition count, which AQE leaves alone.
 
 from __future__ import annotations
 
-import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import BI, BJ, I, J, V, TileMatrix, TileVector
+from ..model import BI, I, J, V, TileMatrix, TileVector
 from ..operators import mapops
 from ..session import scratch_path
 from ..sources import generators as gen

@@ -46,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="tilealg-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
