@@ -49,3 +49,14 @@ def test_out_of_range_index_fails_job(spark):
 def test_norm_p_positive(spark):
     with pytest.raises(ValueError):
         ta.vec_ones(spark, 4, 2).norm(0)
+
+
+def test_validate(spark):
+    good = ta.uniform(spark, 7, 5, seed=1, tile=(3, 2))
+    r = good.validate().first()
+    assert (r["rows"], r["duplicate_keys"], r["out_of_range"], r["bad_tiles"]) == (35, 0, 0, 0)
+    r = good.to_tiles().validate().first()
+    assert (r["rows"], r["duplicate_keys"], r["out_of_range"], r["bad_tiles"]) == (9, 0, 0, 0)
+    df = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (9, 0, 1.0)], "i long, j long, v double")
+    r = ta.TileMatrix(df, 4, 4).validate().first()
+    assert (r["duplicate_keys"], r["out_of_range"]) == (1, 1)

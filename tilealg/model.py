@@ -161,6 +161,36 @@ class TileMatrix:
         """The ``(i, j, v)`` frame of this matrix."""
         return self.to_cells().df
 
+    def validate(self) -> DataFrame:
+        """One-row ``(rows, duplicate_keys, out_of_range, bad_tiles)`` check of the stored
+        data against the metadata (one aggregation pass; all counts should be 0 but rows).
+        """
+        if self.layout == CELLS:
+            keyed = self.df.groupBy(I, J).agg(F.count(F.lit(1)).alias("_n"))
+            bad_range = ((F.col(I) < 0) | (F.col(I) >= self.nrows)
+                         | (F.col(J) < 0) | (F.col(J) >= self.ncols))
+            bad_tile = F.lit(False)
+        else:
+            th, tw = self.tile
+            keyed = self.df.groupBy(BI, BJ).agg(F.count(F.lit(1)).alias("_n"),
+                                                 F.first(H).alias(H), F.first(W).alias(W),
+                                                 F.first(F.size(DATA)).alias("_len"))
+            g = self.grid
+            bad_range = ((F.col(BI) < 0) | (F.col(BI) >= g.nrows)
+                         | (F.col(BJ) < 0) | (F.col(BJ) >= g.ncols))
+            exp_h = F.least(F.lit(th).cast("bigint"), F.lit(self.nrows) - F.col(BI) * th)
+            exp_w = F.least(F.lit(tw).cast("bigint"), F.lit(self.ncols) - F.col(BJ) * tw)
+            bad_tile = ((F.col(H) != exp_h) | (F.col(W) != exp_w)
+                        | (F.col("_len") != F.col(H) * F.col(W)))
+
+        def count_if(c):
+            return F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+
+        return keyed.agg(F.sum("_n").cast("bigint").alias("rows"),
+                         count_if(F.col("_n") > 1).alias("duplicate_keys"),
+                         count_if(bad_range).alias("out_of_range"),
+                         count_if(bad_tile).alias("bad_tiles"))
+
     def checkpoint(self, eager: bool = True) -> "TileMatrix":
         """Cut the lineage into the cluster's shared ``spark.checkpoint.dir``."""
         from .session import ensure_checkpoint_dir
