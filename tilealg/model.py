@@ -486,7 +486,7 @@ class TileVector:
         return dot(self, other, **kw)
 
     def multiply(self, m: TileMatrix, **kw) -> "TileVector":
-        """``vᵀ M``, returned as a column vector (the reference's ``BlockVec.multiply``)."""
+        """``vᵀ M``, returned as a column vector (like the original vector-matrix product)."""
         from .operators.product import vecmat
         return vecmat(self, m, **kw)
 
