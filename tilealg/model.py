@@ -67,7 +67,7 @@ class TileMatrix:
     """A distributed matrix: a DataFrame in the ``cells`` or ``tiles`` layout."""
 
     def __init__(self, df: DataFrame, nrows: int, ncols: int,
-                 tile: tuple[int, int] = (1024, 1024), layout: str = CELLS):
+                 tile: tuple[int, int] = (512, 512), layout: str = CELLS):
         nrows, ncols = int(nrows), int(ncols)
         th, tw = int(tile[0]), int(tile[1])
         if nrows < 0 or ncols < 0:

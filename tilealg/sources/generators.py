@@ -20,7 +20,7 @@ from ..functions.exprs import uniform01
 from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
                      TileMatrix, TileVector)
 
-DEFAULT_TILE = (1024, 1024)
+DEFAULT_TILE = (512, 512)
 ROWS_PER_TASK = 1 << 20
 
 

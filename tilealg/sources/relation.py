@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..model import CELLS, I, J, V, ShapeMismatchError, TileMatrix, TileVector
 
-DEFAULT_TILE = (1024, 1024)
+DEFAULT_TILE = (512, 512)
 
 
 def _c(x) -> Column:

@@ -51,7 +51,7 @@ def _range_check(df: DataFrame, bounds: dict[str, int], mode: str) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path: str, shape: tuple[int, int],
-              tile: tuple[int, int] = (1024, 1024), delim: str = ",",
+              tile: tuple[int, int] = (512, 512), delim: str = ",",
               on_duplicate: str = "error", mode: str = "error") -> TileMatrix:
     """Matrix from text triplets (the reference's ``fromTextFile``)."""
     nrows, ncols = (int(x) for x in shape)

@@ -48,7 +48,7 @@ def append_cells_log(stream: DataFrame, log_path: str, checkpoint: str | None =
 
 
 def load_cells_log(spark: SparkSession, log_path: str, shape: tuple[int, int],
-                   tile: tuple[int, int] = (1024, 1024)) -> TileMatrix:
+                   tile: tuple[int, int] = (512, 512)) -> TileMatrix:
     """The matrix accumulated so far: all logged updates summed per ``(i, j)``."""
     log = spark.read.schema(MATRIX_SCHEMA).parquet(log_path)
     return from_relation(log, I, J, V, shape=shape, tile=tile)
