@@ -163,3 +163,19 @@ def test_get_tile_and_drop_zero(spark):
     kept = (A.to_tiles() * eye).drop_zero_tiles()
     assert kept.df.count() == 3
     assert ta.scalar(A.approx_equal(A.to_tiles()).select("equal"))
+
+
+@pytest.mark.parametrize("tile", [(4, 3), (11, 7), (1, 1), (5, 7)])
+def test_arrays_straight_to_tiles(spark, tile):
+    rng = np.random.default_rng(1)
+    a = np.round(rng.normal(size=(11, 7)) * 10)
+    rows = [(k, a[k].tolist()) for k in range(10) if k not in (3, 8)]
+    rows.append((10, a[10][:4].tolist()))          # a short row: padded with zeros
+    exp = a.copy()
+    exp[[3, 8]] = 0                                   # missing rows read as zeros
+    exp[10, 4:] = 0
+    df = spark.createDataFrame(rows, "r long, x array<double>")
+    m = ta.from_arrays(df, "r", "x", ncols=7, nrows=11, tile=tile, layout="tiles")
+    assert np.array_equal(m.to_numpy(), exp)
+    v = m.validate().first()
+    assert (v["duplicate_keys"], v["out_of_range"], v["bad_tiles"]) == (0, 0, 0)

@@ -60,16 +60,29 @@ def power(m: TileMatrix, p: float) -> TileMatrix:
     return map_cells(m, lambda c: F.pow(c, F.lit(p)))
 
 
+def permute(data, newpos):
+    """Reorder an array by a same-length array of target positions, without a lambda
+    that reads the array (Catalyst may inline an expensive ``data`` expression into
+    such a lambda and evaluate it once per element): zip, sort by position, unzip."""
+    zipped = F.arrays_zip(newpos.alias("p"), data.alias("x"))
+    return F.transform(F.sort_array(zipped), lambda e: e["x"])
+
+
 def transpose(m: TileMatrix) -> TileMatrix:
     """Swap indices; on tiles also swap tile ids and permute each tile.  Narrow."""
     if m.layout == CELLS:
         df = m.df.select(F.col(J).alias(I), F.col(I).alias(J), V)
     else:
-        # Tile t (h x w, column-major) becomes u (w x h): u[r + c*w] = t[c + r*h].
-        df = m.df.select(
-            F.col(BJ).alias(BI), F.col(BI).alias(BJ), F.col(W).alias(H), F.col(H).alias(W),
-            F.expr("transform(sequence(0, h * w - 1), "
-                   "q -> data[cast(floor(q / w) + pmod(q, w) * h as int)])").alias(DATA))
+        # element p of an h x w column-major tile (row p mod h, column p div h) goes to
+        # position (p div h) + (p mod h) * w of the w x h transposed tile
+        h, w = F.col(H), F.col(W)
+        newpos = F.transform(F.sequence(F.lit(0), h * w - 1),
+                             lambda p: F.floor(p / h).cast("int") + F.pmod(p, h) * w)
+        # permute first, rename after: in one select the lambda's h/w could resolve to
+        # the swapped lateral aliases
+        moved = m.df.select(BI, BJ, H, W, permute(F.col(DATA), newpos).alias("_t"))
+        df = moved.select(F.col(BJ).alias(BI), F.col(BI).alias(BJ), F.col(W).alias(H),
+                          F.col(H).alias(W), F.col("_t").alias(DATA))
     return TileMatrix(df, m.ncols, m.nrows, (m.tile_w, m.tile_h), m.layout)
 
 

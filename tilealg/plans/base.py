@@ -80,12 +80,12 @@ class Tables:
         return from_relation(rel, "s_nationkey", "c_nationkey", "l_quantity", shape=(n, n),
                              tile=tile)
 
-    def e(self, tile=TILE_E) -> TileMatrix:
+    def e(self, tile=TILE_E, layout: str = "cells") -> TileMatrix:
         emb = self.read("embeddings").select(
             "vec_id", F.transform("embedding", lambda x: F.round(x.cast("double") * 1000.0))
             .alias("q"))
         n, d = self.e_shape
-        return from_arrays(emb, "vec_id", "q", ncols=d, nrows=n, tile=tile)
+        return from_arrays(emb, "vec_id", "q", ncols=d, nrows=n, tile=tile, layout=layout)
 
     # ------------------------------------------------------------------- vectors
     def u(self, tile: int = 10) -> TileVector:

@@ -103,6 +103,12 @@ def ingest_e(t: Tables) -> DataFrame:
     return _cells(t.e())
 
 
+@query("ingest_tiles_e", "S5 from_arrays straight to dense tiles (JVM only, ragged tiles)",
+       _with("e", "SELECT i, j, v FROM e"))
+def ingest_tiles_e(t: Tables) -> DataFrame:
+    return _cells(t.e((96, 40), layout="tiles"))
+
+
 @query("ingest_keyed_orders", "S6 with string keys: index_keys dictionaries + from_relation",
        "WITH p AS (SELECT k, CAST(dense_rank() OVER (ORDER BY k) - 1 AS BIGINT) AS idx FROM "
        "(SELECT DISTINCT o_orderpriority AS k FROM orders) x), "
@@ -139,7 +145,7 @@ def text_roundtrip_u(t: Tables) -> DataFrame:
 @query("parquet_roundtrip_e", "K3 save + S3 load (tiles layout, shape kept)",
        _with("e", "SELECT i, j, v FROM e"))
 def parquet_roundtrip_e(t: Tables) -> DataFrame:
-    e = t.e().to_tiles()
+    e = t.e(layout="tiles")
     path = scratch_path(t.spark, "parquet-e")
     e.save(path)
     back = pq.load(t.spark, path)
@@ -343,7 +349,7 @@ def matmul_nation_tiles(t: Tables) -> DataFrame:
        _with("e", "SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM e x JOIN e y "
                   "ON x.i = y.i GROUP BY x.j, y.j"))
 def gram_embed(t: Tables) -> DataFrame:
-    e = t.e().to_tiles()
+    e = t.e(layout="tiles")
     return _cells(e.T @ e)
 
 
@@ -351,7 +357,7 @@ def gram_embed(t: Tables) -> DataFrame:
        _with("e", "SELECT x.i AS i, y.i AS j, sum(x.v * y.v) AS v FROM e x JOIN e y "
                   "ON x.j = y.j GROUP BY x.i, y.i"))
 def gram_embed_rows(t: Tables) -> DataFrame:
-    e = t.e().to_tiles()
+    e = t.e(layout="tiles")
     return _cells(e @ e.T)
 
 
@@ -372,7 +378,7 @@ def matvec_a_w(t: Tables) -> DataFrame:
 @query("matvec_tiles_e", "J2 M·v on tiles (GEMV)",
        _with("e", "SELECT i, sum(v * (j + 1)) AS v FROM e GROUP BY i"))
 def matvec_tiles_e(t: Tables) -> DataFrame:
-    e = t.e().to_tiles()
+    e = t.e(layout="tiles")
     x = gen.vec_generate(t.spark, e.ncols, lambda i: i + 1, tile=e.tile_w)
     return _vec_df(e @ x)
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import CELLS, I, J, V, ShapeMismatchError, TileMatrix, TileVector
+from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILES, V, W, ShapeMismatchError,
+                     TileMatrix, TileVector)
 
 DEFAULT_TILE = (512, 512)
 
@@ -71,20 +72,65 @@ def vector_from_relation(df: DataFrame, i="i", v="v", n: int | None = None,
 
 def from_arrays(df: DataFrame, row: str, array: str, ncols: int | None = None,
                 nrows: int | None = None, tile: tuple[int, int] = DEFAULT_TILE,
-                skip_zeros: bool = False) -> TileMatrix:
-    """Rows of ``array<numeric>`` with an explicit 0-based row id -> cells matrix."""
+                skip_zeros: bool = False, layout: str = CELLS) -> TileMatrix:
+    """Rows of ``array<numeric>`` with an explicit, unique 0-based row id -> a matrix.
+
+    ``layout="cells"`` posexplodes the arrays.  ``layout="tiles"`` builds dense tiles
+    without a cell stage: each row is cut into tile-wide segments, the (at most ``h``)
+    segments of a tile are grouped and laid out column-major with higher-order
+    functions, all in the JVM.  Missing rows read as zeros; short arrays are padded.
+    """
+    if nrows is None or ncols is None:
+        ext = df.agg(F.max(row).alias("n"), F.max(F.size(array)).alias("d")).first()
+        nrows = (0 if ext["n"] is None else int(ext["n"]) + 1) if nrows is None else nrows
+        ncols = int(ext["d"] or 0) if ncols is None else ncols
+    if layout == TILES:
+        return _arrays_to_tiles(df, row, array, int(nrows), int(ncols), tile)
     ex = df.select(F.col(row).cast("bigint").alias(I),
                    F.posexplode(array).alias("_p", "_x"))
     cells = ex.select(I, F.col("_p").cast("bigint").alias(J), F.col("_x").cast("double").alias(V))
     if skip_zeros:
         cells = cells.filter(F.col(V) != 0)
-    if nrows is None or ncols is None:
-        nr, nc = infer_extent(cells, I, J)
-        nrows = nr if nrows is None else nrows
-        ncols = nc if ncols is None else ncols
     return TileMatrix(cells, nrows, ncols, tile, CELLS)
 
 
+def _arrays_to_tiles(df: DataFrame, row: str, array: str, nrows: int, ncols: int,
+                     tile: tuple[int, int]) -> TileMatrix:
+    th, tw = int(tile[0]), int(tile[1])
+    gc = max(1, -(-ncols // tw))
+    bj = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(gc - 1).cast("bigint"))) \
+        if gc > 1 else F.lit(0).cast("bigint")
+    rows = df.select(F.col(row).cast("bigint").alias(I),
+                     F.transform(array, lambda x: x.cast("double")).alias("_a"))
+    rows = rows.filter(F.col(I).isNotNull()).select(I, bj.alias(BJ), "_a")
+    bi = F.floor(F.col(I) / th).cast("bigint")
+    w = F.least(F.lit(tw).cast("bigint"), F.lit(ncols) - F.col(BJ) * tw).cast("int")
+    seg = F.slice("_a", (F.col(BJ) * tw + 1).cast("int"), w)
+    seg = F.concat(seg, F.array_repeat(F.lit(0.0), w - F.size(seg)))   # pad short rows
+    parts = rows.select(bi.alias(BI), BJ, (F.col(I) - bi * th).alias("_r"), w.alias(W),
+                        seg.alias("_s"))
+    grouped = parts.groupBy(BI, BJ).agg(F.collect_list(F.struct("_r", "_s")).alias("_l"),
+                                        F.first(W).alias(W))
+    h = F.least(F.lit(th).cast("bigint"), F.lit(nrows) - F.col(BI) * th).cast("int")
+    grouped = grouped.select(BI, BJ, h.alias(H), W, "_l")
+    # (column-major position, value) for every stored element, zeros for missing rows,
+    # then one sort by position.  No lambda reads a column array, so nothing is
+    # re-evaluated per element whatever Catalyst inlines.
+    hh, ww = F.col(H), F.col(W)
+    present = F.flatten(F.transform("_l", lambda x: F.transform(
+        F.sequence(F.lit(0), ww - 1),
+        lambda c: F.struct((c * hh + x["_r"]).cast("int").alias("p"),
+                           x["_s"][c].alias("x")))))
+    missing = F.array_except(F.sequence(F.lit(0), hh - 1),
+                             F.transform("_l", lambda x: x["_r"].cast("int")))
+    zeros = F.flatten(F.transform(missing, lambda r: F.transform(
+        F.sequence(F.lit(0), ww - 1),
+        lambda c: F.struct((c * hh + r).cast("int").alias("p"), F.lit(0.0).alias("x")))))
+    data = F.transform(F.sort_array(F.concat(present, zeros)), lambda e: e["x"])
+    out = grouped.select(BI, BJ, H, W, data.alias(DATA))
+    return TileMatrix(out, nrows, ncols, (th, tw), TILES)
+
+
 def index_keys(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
     """Dictionary ``(key, idx)`` giving each distinct key a dense 0-based index in key
     order, so non-integer keys can serve as matrix indices (join it to the data).
