@@ -10,9 +10,10 @@ Two strategies, picked by the layout of the left operand (or ``strategy=``):
   group, inner group), each A tile sent to every column group and each B tile to every
   row group, and each group runs ONE numpy GEMM over its dense panels in an Arrow task.
   Partial results are summed per output tile only when the inner dimension spans
-  several groups.  Group extents are planned from the tile grid so a group's tiles fit
-  a memory budget and there are at least as many groups as shuffle partitions
-  (``plan_blocks``); no group ever holds a whole row or column of tiles.
+  several groups.  Group extents are planned from the tile grid (``plan_blocks``): a
+  group's tiles fit a memory budget, there are as many groups as shuffle partitions
+  (fewer for small products), and among those extents the one shipping the fewest
+  tiles wins.  No group ever holds a whole row or column of tiles.
 
 Broadcast: a side is broadcast only when its shape-derived bound (keys are unique, so
 an ``n x m`` matrix has at most ``n*m`` cells) fits the session's broadcast threshold.
@@ -34,7 +35,6 @@ explicit partition count, which AQE leaves alone.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
