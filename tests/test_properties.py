@@ -179,3 +179,30 @@ def test_arrays_straight_to_tiles(spark, tile):
     assert np.array_equal(m.to_numpy(), exp)
     v = m.validate().first()
     assert (v["duplicate_keys"], v["out_of_range"], v["bad_tiles"]) == (0, 0, 0)
+
+
+def test_mixed_layouts(spark):
+    rng = np.random.default_rng(31)
+    A, a = _rand_matrix(spark, rng, 9, 8, (4, 3))
+    B, b = _rand_matrix(spark, rng, 9, 8, (2, 5), layout="tiles")
+    r = A + B
+    assert r.layout == "cells" and np.array_equal(r.to_numpy(), a + b)
+    r = B * A
+    assert r.layout == "tiles" and r.tile == (2, 5) and np.array_equal(r.to_numpy(), b * a)
+    assert np.array_equal((B / 2 - A).to_numpy()[(a != 0) | (b != 0)],
+                          (b / 2 - a)[(a != 0) | (b != 0)])
+    C, c = _rand_matrix(spark, rng, 8, 6, (3, 3), layout="tiles")
+    assert np.array_equal((A @ C).to_numpy(), a @ c)          # cells strategy
+    assert np.array_equal((B @ C).to_numpy(), b @ c)          # tiles, B retiled inner
+
+
+def test_describe_show_persist(spark, capsys):
+    m = ta.uniform(spark, 5, 4, seed=1, tile=(2, 3)).persist()
+    assert m.describe() == {"shape": (5, 4), "tile": (2, 3), "grid": (3, 2), "layout": "cells"}
+    assert (m.nrows, m.ncols, m.brows, m.bcols, m.num_tiles) == (5, 4, 2, 3, 6)
+    m.show(3)
+    out = capsys.readouterr().out
+    assert "'shape': (5, 4)" in out and "only showing top 3 rows" in out
+    m.unpersist()
+    v = ta.vec_ones(spark, 7, 3)
+    assert v.describe() == {"size": 7, "tile": 3, "grid": 3, "layout": "cells"}

@@ -191,6 +191,15 @@ class TileMatrix:
                          count_if(bad_range).alias("out_of_range"),
                          count_if(bad_tile).alias("bad_tiles"))
 
+    def persist(self, storage_level=None) -> "TileMatrix":
+        """Cache the underlying frame (the caller's choice; operators never cache)."""
+        return self._with(self.df.persist() if storage_level is None
+                          else self.df.persist(storage_level))
+
+    def unpersist(self) -> "TileMatrix":
+        self.df.unpersist()
+        return self
+
     def checkpoint(self, eager: bool = True) -> "TileMatrix":
         """Cut the lineage into the cluster's shared ``spark.checkpoint.dir``."""
         from .session import ensure_checkpoint_dir
@@ -420,6 +429,13 @@ class TileVector:
     def checkpoint(self, eager: bool = True) -> "TileVector":
         return TileVector(self.mat.checkpoint(eager))
 
+    def persist(self, storage_level=None) -> "TileVector":
+        return TileVector(self.mat.persist(storage_level))
+
+    def unpersist(self) -> "TileVector":
+        self.mat.unpersist()
+        return self
+
     # --------------------------------------------------------------- arithmetic
     def _bin(self, other, op):
         o = other.mat if isinstance(other, TileVector) else other
