@@ -206,3 +206,15 @@ def test_describe_show_persist(spark, capsys):
     m.unpersist()
     v = ta.vec_ones(spark, 7, 3)
     assert v.describe() == {"size": 7, "tile": 3, "grid": 3, "layout": "cells"}
+
+
+def test_approx_equal_tiles(spark):
+    rng = np.random.default_rng(41)
+    A, a = _rand_matrix(spark, rng, 9, 7, (4, 3), layout="tiles")
+    r = A.approx_equal((A * 1.0).retile((2, 5))).first()
+    assert r["equal"] and r["max_abs_diff"] == 0.0
+    B = A + ta.eye(spark, 9, 7, (4, 3), layout="tiles") * 0.5
+    r = A.approx_equal(B, tol=0.1).first()
+    assert not r["equal"] and r["max_abs_diff"] == 0.5
+    assert A.approx_equal(B, tol=0.5).first()["equal"]
+    assert not A.approx_equal(ta.ones(spark, 9, 8, (4, 3))).first()["equal"]
