@@ -94,17 +94,22 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     spark = a.spark
     par = shuffle_parallelism(spark)
     limit = broadcast_limit(spark)
+    # Work per input row: a row of one side meets up to this many rows of the other.
+    # With no fan-out (matrix-vector) the join is linear and AQE's sizing is right.
+    fan_left, fan_right = b.ncols, a.nrows
     if 0 < limit and small <= limit:
         # broadcast the bounded side; spreading the probe side also splits a hot inner
         # index over all tasks
         if b_bound <= a_bound:
             right = F.broadcast(right)
-            left = _spread(left, a_bound)
+            if fan_left > 1:
+                left = _spread(left, a_bound)
         else:
             left = F.broadcast(left)
-            right = _spread(right, b_bound)
+            if fan_right > 1:
+                right = _spread(right, b_bound)
     else:
-        collapsible = small < SPREAD_BYTES_PER_TASK * par
+        collapsible = small < SPREAD_BYTES_PER_TASK * par and min(fan_left, fan_right) > 1
         if salt <= 1 and collapsible:
             # small inputs, heavy join: AQE would merge the join into a few tasks by input
             # size.  Replicate the smaller side (bounded bytes) and split the other.
