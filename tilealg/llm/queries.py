@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup
+from . import bpe, exact_dedup, mixing, near_dedup, sharding
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -37,6 +37,35 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_mix_sources")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 3, 1, 2 repeating over the sources, 150 % of all words, at most twice a source."""
+    plan = mixing.Mix(spark, _documents(spark, sf_dir), mixing.cyclic_weights(3, 1, 2))
+    return plan.taken()
+
+
+@query("op7_feistel_shards")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards under the law `rows`."""
+    s = sharding.shard_rows(spark, _documents(spark, sf_dir), shards=16)
+    return s.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_exact_dedup", sql="""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = exact_dedup.exact_groups(spark, _documents(spark, sf_dir))
+    return g.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(spark, _documents(spark, sf_dir), bpe.tokenizer_path())
+
+
 @query("op10_minhash_near_dedup", sql=r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
