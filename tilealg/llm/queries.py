@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, near_dedup, sharding
+from . import bpe, exact_dedup, langid, mixing, near_dedup, sharding
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -44,6 +44,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.taken()
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    parser = langid.learn(spark, docs)
+    p = langid.identify(spark, docs.select("doc_id", "text"), parser)
+    return p.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_feistel_shards")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards under the law `rows`."""
