@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing, near_dedup, sharding
+from . import bpe, exact_dedup, langid, mixing, near_dedup, sharding, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -44,6 +44,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.taken()
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.learn(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    s = toxicity.score(spark, docs, model)
+    return s.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)

@@ -25,6 +25,8 @@ PIECE = 1 << 19
 #: Java and RE2 pattern of a word, and of one separator.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
+#: Code points of all white space, the six separators of words included.
+SPACES_AND_MORE = [c for c in range(0x3001) if chr(c).isspace()]
 
 
 def small_batches(spark: SparkSession) -> None:
