@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing, near_dedup, sharding, toxicity
+from . import bpe, exact_dedup, langid, licenses, mixing, near_dedup, quality, sharding, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -44,6 +44,76 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.taken()
 
 
+@query("op2_quality_lines", sql=r"""
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (
+  SELECT doc_id, source, text, list_filter(string_split(text, chr(10)),
+    lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words),
+each AS (
+  SELECT doc_id, source, text, unnest(l) AS line FROM lines),
+norm AS (
+  SELECT doc_id, source, text, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
+    '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM each),
+frequent AS (
+  SELECT source, line FROM norm GROUP BY source, line HAVING count(DISTINCT text) > 10),
+lost AS (
+  SELECT doc_id, sum(n) AS removed FROM norm JOIN frequent
+    ON norm.line = frequent.line AND norm.source IS NOT DISTINCT FROM frequent.source GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS x
+  FROM words, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i) t),
+twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM windows) q WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 8) r(k) GROUP BY doc_id),
+base AS (
+  SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(w.text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(w.text) - length(regexp_replace(w.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l.l) - len(list_distinct(l.l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.removed, 0) AS BIGINT) AS removed_words
+  FROM words w JOIN lines l ON w.doc_id = l.doc_id LEFT JOIN covered c ON w.doc_id = c.doc_id
+    LEFT JOIN lost ON w.doc_id = lost.doc_id),
+failed AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND 2 * removed_words <= n_words AS kept FROM failed""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(spark, _documents(spark, sf_dir)).drop("rid", "removed")
+
+
+def _template_values() -> str:
+    return ", ".join("({}, '{}', '{}')".format(k, lic, text.replace("'", "''"))
+                     for k, (lic, text) in enumerate(licenses.TEMPLATES))
+
+
+@query("op4_license_scan", sql=rf"""
+WITH templates(k, license, text) AS (VALUES {_template_values()}),
+tw AS (SELECT k, license, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM templates),
+ts AS (SELECT DISTINCT k, license, array_to_string(w[i:i + 4], ' ') AS x
+  FROM tw, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i) t),
+tn AS (SELECT k, count(*) AS n FROM ts GROUP BY k),
+dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x
+  FROM dw, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i) t),
+common AS (SELECT doc_id, k, license, count(*) AS c FROM ds JOIN ts ON ds.x = ts.x GROUP BY doc_id, k, license),
+hits AS (SELECT doc_id, license, c / n AS contained FROM common JOIN tn ON common.k = tn.k WHERE c / n >= 0.8),
+found AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+  count(*) AS n_templates, max(contained) AS contained FROM hits GROUP BY doc_id)
+SELECT d.doc_id, coalesce(licenses, '') AS licenses, CAST(coalesce(n_templates, 0) AS INTEGER) AS n_templates,
+  CAST(coalesce(contained, 0) AS DOUBLE) AS contained
+FROM documents d LEFT JOIN found ON d.doc_id = found.doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its licenses (sorted, comma between), the templates that matched, and
+    the largest share of a template's shingles that it holds (0 without a match)."""
+    m = licenses.scan(spark, _documents(spark, sf_dir))
+    return m.select("doc_id", F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+                    F.size("matches").alias("n_templates"),
+                    F.coalesce(F.array_max("matches.contained"), F.lit(0.0)).alias("contained"))
+
+
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
