@@ -13,9 +13,10 @@ with probability 2.4e-5.  Met pairs further apart than FAR symbols are dropped u
 
 *Groups, not pairs.*  In a round, every member of a key's bucket is compared with one
 member, the anchor; verified links join components.  Rounds with other anchors follow while
-they at least halve the number of open pairs (in one bucket but in different components);
-the open pairs that remain are then compared one by one.  So a group of near copies costs
-its size, not its square, and no pair that could still join two components is left out.
+they at least halve the number of open pairs (in one bucket but in different components).
+The texts of the open pairs that remain are compared where their rarest shingles allow the
+similarity at all (``could_link``).  So a group of near copies costs its size, not its
+square, and no pair that could still join two components is left out.
 
 *Links are exact*: similarity is computed on the full shingle sets of the texts.
 
@@ -246,6 +247,32 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         check = check.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both))
         return near.where(same).select("a", "b").union(check.select("a", "b"))
 
+    def could_link(open_docs: DataFrame) -> DataFrame:
+        """Pairs of (rid, comp) in different components that can reach the similarity.
+
+        Shingles are ordered by how many of these texts hold them, rarest first.  If two
+        sets of sizes n and m share ceil(percent * (n + m) / (100 + percent)) shingles, their
+        first common shingle comes so early in both that as many can follow in either; so
+        only early shingles are joined, and none that a single text holds."""
+        one = (open_docs.join(who.select("rid", "fp1", "fp2", "n"), "rid").groupBy("fp1", "fp2")
+               .agg(F.min("rid").alias("rid"), F.min("comp").alias("comp"), F.min("n").alias("n")))
+        items = written(one.join(sets, ["fp1", "fp2"]).select("rid", "comp", "n", "items"), "items")
+        each = items.select("rid", F.explode("items").alias("item"))
+        held = written(each.groupBy("item").agg(F.count("*").alias("held")).where("held > 1"), "held")
+        few = (each.join(held, "item").groupBy("rid")
+               .agg(F.sort_array(F.collect_list(F.struct("held", "item"))).alias("few")))
+        early = F.expr(f"n - ceil({percent} * n / 100) + 1 - (n - size(few))")
+        few = (items.drop("items").join(few, "rid").withColumn("early", early.cast("int")).where("early > 0")
+               .withColumn("alone", F.col("n") - F.size("few")))
+        few = written(few.select("rid", "comp", "n", "alone", F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
+                      .select("rid", "comp", "n", F.col("col.item").alias("item"),
+                              (F.col("alone") + F.col("pos")).alias("at")), "early")
+        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at")])
+        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at")])
+        met = x.join(y, "item").where(
+            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
+        return met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
+
     pair = [F.least("rid", "anchor").alias("a"), F.greatest("rid", "anchor").alias("b")]
     equal = (who.groupBy("fp1", "fp2").agg(F.min("rid").alias("anchor"), F.count("*").alias("size"))
              .where("size > 1").select("fp1", "fp2", "anchor"))
@@ -268,10 +295,7 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         placed = placed.join(open_keys.select("key"), "key")
         last = left <= 4 * leads.count() or (before is not None and left > before / 2)
         if last:
-            x = placed.select("key", F.col("rid").alias("a"), F.col("comp").alias("comp_a"))
-            y = placed.select("key", F.col("rid").alias("b"), F.col("comp").alias("comp_b"))
-            more = x.join(y, "key").where("comp_a < comp_b").select(
-                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            more = could_link(placed.select("rid", "comp").distinct())
         else:
             mixed = F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), F.col("rid").alias("anchor"),
                              F.col("comp").alias("comp_x"))
