@@ -24,6 +24,7 @@ import json
 import unicodedata
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -215,19 +216,23 @@ def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col:
 
 def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id and ``token_ids`` (array of int) of every text."""
+    """doc_id, n_tokens and ``token_ids`` (array of int) of every text."""
     small_batches(spark)
     content = _file(spark, tokenizer)
 
     def run(batches):
         model = _model(content)
         for batch in batches:
-            ids = [unpack(model.encode(t)[0]) for t in batch.column("text").to_pylist()]
+            ids = [model.encode(t)[0] for t in batch.column("text").to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
+            flat = np.frombuffer(b"".join(ids), np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "token_ids"])
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                ["doc_id", "n_tokens", "token_ids"])
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, "doc_id long, token_ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>")
 
 
 def decode(spark: SparkSession, encoded: DataFrame, tokenizer: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .shared import plain, small_batches, with_group_values, written
+from .shared import discard, keep_rows, plain, small_batches, text_key, with_group_values, written
 
 #: Bytes of a block at the first level.
 BLOCK = 8192
@@ -35,7 +35,7 @@ BUCKETS = 1 << 20
 #: Bytes of distinct blocks a task remembers; beyond it a block may be listed twice.
 LOCAL_BYTES = 48 << 20
 
-_FIRST = ("rid long, doc_id long, n_bytes long, sha binary, lids array<long>, "
+_FIRST = ("rid long, doc_id long, key long, n_bytes long, sha binary, lids array<long>, "
           "lid long, block binary")
 _LATER = "rid long, lids array<long>, lid long, block binary"
 
@@ -89,6 +89,7 @@ def _cut_texts(batches):
         lids = [listed.numbers(t, BLOCK) for t in texts]
         yield _rows({"rid": (pa.int64(), range(rid, rid + n)),
                      "doc_id": (pa.int64(), batch.column("doc_id").to_pylist()),
+                     "key": (pa.int64(), batch.column("key").to_pylist()),
                      "n_bytes": (pa.int64(), [len(t) for t in texts]),
                      "sha": (pa.binary(), [hashlib.sha256(t).digest() for t in texts]),
                      "lids": (pa.list_(pa.int64()), lids)}, *listed.take())
@@ -121,13 +122,14 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Group rows with identical texts; the row with the largest id of each group stays.
 
-    Returns one row per row of ``docs``: rid (row id), doc_id, level and name (the identity
-    of the text), keep_id, group_size, kept and text_sha256.
+    Returns one row per row of ``docs``: rid (row id), doc_id, key (``text_key``), level and
+    name (the identity of the text), keep_id, group_size, kept and text_sha256.
     """
     small_batches(spark)
-    texts = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = plain(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
     cut = first = written(texts.mapInArrow(_cut_texts, _FIRST), "blocks")
-    level, done = 0, None
+    level, done, cuts = 0, None, [first]
     while True:
         names = _named(cut)
         rows = cut.where("rid IS NOT NULL")
@@ -142,12 +144,21 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             break
         level += 1
         cut = written(state.mapInArrow(_cut_names, _LATER), "pairs")
-    found = (first.where("rid IS NOT NULL").select("rid", "doc_id", "sha")
-             .join(done, "rid"))
+        cuts.append(cut)
+    found = written(first.where("rid IS NOT NULL").select("rid", "doc_id", "key", "sha")
+                    .join(done, "rid"), "named")
+    for table in cuts:
+        discard(table)
     found = with_group_values(
         found, ["level", "name"], "rid",
         {"top": F.max(F.struct("doc_id", "rid")), "size": F.count("*")},
         {"top": F.max("top"), "group_size": F.sum("size")})
-    return found.select("rid", "doc_id", "level", "name", F.col("top.doc_id").alias("keep_id"),
+    return found.select("rid", "doc_id", "key", "level", "name", F.col("top.doc_id").alias("keep_id"),
                         "group_size", (F.col("rid") == F.col("top.rid")).alias("kept"),
                         F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of identical texts."""
+    groups = exact_groups(spark, docs, id_col, text_col).where("kept").select("doc_id", "key")
+    return keep_rows(docs, groups, id_col, text_col)

@@ -273,3 +273,12 @@ def identify(spark: SparkSession, docs: DataFrame, parser: Parser, text_col: str
     out = StructType(docs.schema.fields + [StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     schema = to_arrow_schema(out)
     return docs.mapInArrow(run, out)
+
+
+def accepted(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the rows whose text is in no learned language (``und``) or scores
+    below MIN_SCORE; all columns are kept."""
+    parser = learn(spark, docs, id_col, text_col, lang_col)
+    judged = identify(spark, docs, parser, text_col, ("_lang", "_score"))
+    return judged.where(f"_lang <> 'und' AND _score >= {MIN_SCORE}").drop("_lang", "_score")

@@ -34,8 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import (components, mix64, plain, shingles, small_batches, text_words,
-                     with_group_values, written)
+from .shared import (components, keep_rows, mix64, plain, shingles, small_batches, text_key,
+                     text_words, with_group_values, written)
 
 CHUNKS, WIDTH, ERRORS = 10, 6, 1
 SYMBOLS = CHUNKS * WIDTH
@@ -47,7 +47,7 @@ BLOOM_BITS = 1 << 23
 #: Texts remembered per task to find equal ones early; beyond it the memory starts anew.
 LOCAL_MEMORY = 200_000
 
-_SIGNED = "rid long, lead long, doc_id long, n long, fp1 long, fp2 long, sig binary, keys array<long>"
+_SIGNED = "rid long, lead long, doc_id long, key long, n long, fp1 long, fp2 long, sig binary, keys array<long>"
 _SETS = "fp1 long, fp2 long, items array<long>"
 
 
@@ -142,9 +142,9 @@ def _signer(words: int):
             flush()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(rid, rid + n_rows, dtype=np.int64)), pa.array(lead),
-                 batch.column("doc_id"), pa.array(n), pa.array(f1), pa.array(f2),
+                 batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(f1), pa.array(f2),
                  pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["rid", "lead", "doc_id", "n", "fp1", "fp2", "sig", "keys"])
+                ["rid", "lead", "doc_id", "key", "n", "fp1", "fp2", "sig", "keys"])
             rid += n_rows
     return run
 
@@ -205,12 +205,13 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """Group near copies: link documents whose shingle sets have
     100 * intersection >= ``percent`` * union, and take connected components.
 
-    Returns one row per row of ``docs``: rid (row id), doc_id, n_shingles, component_id
+    Returns one row per row of ``docs``: rid (row id), doc_id, key (``text_key``), n_shingles, component_id
     (smallest doc_id of the group) and stays (true for exactly one row of each group: the
     first with the smallest id).
     """
     small_batches(spark)
-    texts = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = plain(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
     signed = written(texts.mapInArrow(_signer(words), _SIGNED), "signed")
     leads = signed.where("keys IS NOT NULL")
     who = leads.select("rid", "n", "fp1", "fp2", "sig")
@@ -308,10 +309,17 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             break
         before, turn = left, turn + 1
 
-    found = (signed.select("rid", "lead", "doc_id", "n").join(labels, F.col("lead") == F.col("id"), "left")
-             .select("rid", "doc_id", "n", F.coalesce("comp", "lead").alias("comp")))
+    found = (signed.select("rid", "lead", "doc_id", "key", "n").join(labels, F.col("lead") == F.col("id"), "left")
+             .select("rid", "doc_id", "key", "n", F.coalesce("comp", "lead").alias("comp")))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
     found = with_group_values(found, ["comp"], "rid", {"best": best}, {"best": F.min("best")})
-    return found.select("rid", "doc_id", F.col("n").alias("n_shingles"),
+    return found.select("rid", "doc_id", "key", F.col("n").alias("n_shingles"),
                         F.col("best.doc_id").alias("component_id"),
                         (F.col("rid") == F.col("best.rid")).alias("stays"))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near copies."""
+    groups = near_groups(spark, docs, id_col, text_col, words, percent)
+    return keep_rows(docs, groups.where("stays").select("doc_id", "key"), id_col, text_col)

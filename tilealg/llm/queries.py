@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, licenses, mixing, near_dedup, quality, sharding, toxicity
+from . import bpe, exact_dedup, html_text, langid, licenses, mixing, near_dedup, quality, sharding, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -123,6 +123,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op5_html_main_text", sql=r"""
+WITH article AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS a FROM pages),
+flat AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(a, '<!--.*?-->', '', 'gs'),
+    '</?(p|h1|h2|h3|br|div|ul|li)( [^>]*)?>', ' ', 'g'), '</?[a-zA-Z][^>]*>', '', 'g') AS t FROM article),
+plain AS (
+  SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'),
+    '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM flat)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM plain""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)

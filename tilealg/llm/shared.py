@@ -39,8 +39,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     compute it again, also after an executor is lost."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``written`` made, once nothing reads it any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text (by ``text_key``) are in ``kept`` (columns
+    doc_id and key, each pair once); of rows that repeat both, one stays.  All columns are
+    kept; the texts are shuffled once."""
+    from pyspark.sql import Window
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col(f"`{id_col}`").cast("long").alias("id"), text_key(F.col(f"`{text_col}`")).alias("k"))
+    kept = kept.select(F.col("doc_id").alias("id2"), F.col("key").alias("k2"))
+    same = rows.join(kept, (F.col("k") == F.col("k2")) & F.col("id").eqNullSafe(F.col("id2")))
+    first = F.row_number().over(Window.partitionBy("k", "id").orderBy("k"))
+    return same.withColumn("first", first).where("first = 1").select("row.*")
+
+
+def text_key(text):
+    """A 64-bit hash of a text that, with its id, names a row."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def plain(docs: DataFrame, **wanted: str) -> DataFrame:
