@@ -131,7 +131,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     cut = first = written(texts.mapInArrow(_cut_texts, _FIRST), "blocks")
     level, done, cuts = 0, None, [first]
     while True:
-        names = _named(cut)
+        names = written(_named(cut), "names")  # the texts' blocks are shuffled here, once
         rows = cut.where("rid IS NOT NULL")
         one = (rows.where("size(lids) = 1").select("rid", F.col("lids")[0].alias("lid"))
                .join(names, "lid").select("rid", F.lit(level).alias("level"), "name"))
