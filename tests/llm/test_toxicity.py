@@ -1,0 +1,99 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tilealg.llm import toxicity as tx
+
+SYL = ["the", "an", "ro", "ti", "men", "sh", "ou", "ing", "er", "la"]
+INSULTS = ["blimpface", "zorgling", "quackhead"]
+
+
+def corpus(n=400, seed=3):
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for k in range(n):
+        w = ["".join(rng.choice(SYL) for _ in range(rng.randint(1, 4))) for _ in range(40)]
+        if toxic := k % 4 == 0:
+            w[rng.randrange(40)] = rng.choice(INSULTS)
+        docs.append((k, " ".join(w)))
+        labels.append((k, int(toxic)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def model():
+    docs, labels = corpus()
+    return tx.train([t for _, t in docs], [y for _, y in labels])
+
+
+def explicit(word):
+    """The kernel's feature vector of a word by its definition."""
+    out = {}
+    for i, j, k in tx._triples(len(word)):
+        u = (word[i], word[j], word[k])
+        out[u] = out.get(u, 0) + tx.DECAY ** (k - i + 1)
+    return out, tx._scale(len(word))
+
+
+def test_scores_are_the_kernel_expansion():
+    words = ["idiot", "idoit", "clown", "abcabcabc"]
+    marks = ["idiot", "crown"]
+    coded = ["".join(chr(ord(c) - 96) for c in w) for w in words + marks]
+    rows = tx._triple_rows(coded[len(words):])
+    got = tx._kernel(coded[: len(words)], np.ascontiguousarray(rows.T))
+    for a, w in enumerate(words):
+        for b, m in enumerate(marks):
+            (x, sx), (y, sy) = explicit(w), explicit(m)
+            assert got[a, b] == pytest.approx(sum(v * y.get(u, 0) for u, v in x.items()) / (sx * sy), rel=1e-4)
+        direct = tx.unit_scores(rows[0], *tx._as_units([coded[a]]))
+        assert direct[0] == pytest.approx(got[a, 0], rel=1e-4)
+
+
+def test_units():
+    def of(text):
+        letters, start, size, _ = tx.units([text])
+        return sorted("".join(chr(96 + c) for c in letters[s: s + n]) for s, n in zip(start, size))
+    assert of("Id-i.o*t ÏDIÖT 1d10t") == ["idiot"] * 3
+    assert of("x i d i o t now") == ["now", "xidiot"]
+    assert of("a an ant %%% 999") == ["ant"]
+    long = of("abcdefghij" * 5)
+    assert all(len(u) <= tx.WINDOW for u in long) and len(long) == 4
+
+
+def test_held_out_texts_and_disguises(model):
+    docs, labels = corpus(200, seed=8)
+    s = model.score([t for _, t in docs])
+    assert ((s >= tx.THRESHOLD) == (np.array([y for _, y in labels]) == 1)).mean() > 0.98
+    clean = "thean roti menla sher ouing"
+    hidden = ["b.l.i.m.p.f.a.c.e", "blim-pface", "blimpxface", "z o r g l i n g", "zorgl!ng", "Quackhead", "quackheads"]
+    got = model.score([f"{clean} {h} {clean}" for h in hidden] + [clean])
+    assert (got[:-1] >= tx.THRESHOLD).mean() > 0.8
+    assert got[-1] < tx.THRESHOLD
+
+
+def test_long_texts_are_scored_whole(model):
+    filler = "thean roti menla sher ouing " * 30_000
+    s = model.score([filler, filler + " zorgling", "zorgling " + filler, filler[:400_000] + "zorgling" + filler])
+    assert s[0] < tx.THRESHOLD and (s[1:] >= tx.THRESHOLD).all()
+
+
+def test_query_form(spark, docs_of, clashing):
+    docs, labels = corpus()
+    rows = docs + [(9000, None), (9001, ""), (9002, "123 !!"), (None, "zorgling zorgling"), (0, docs[0][1])]
+    lab = spark.createDataFrame(labels + [(1, None), (0, 0), (None, 1), (77777, 1)], "doc_id long, toxic int")
+    m = tx.learn(spark, clashing(docs_of(rows)), lab)
+    got = {r["doc_id"]: r["score"] for r in tx.score(spark, clashing(docs_of(rows)), m).collect()}
+    assert [got[k] for k in (9000, 9001, 9002)] == [0.0] * 3 and got[None] >= tx.THRESHOLD
+    held = [(k, y) for k, y in labels if zlib.crc32(str(k).encode()) % 4 == 2]
+    assert np.mean([(got[k] >= tx.THRESHOLD) == (y == 1) for k, y in held]) > 0.97
+
+
+def test_without_labels_or_rows(spark, docs_of):
+    docs, _ = corpus(20)
+    one_kind = spark.createDataFrame([(k, 0) for k in range(20)], "doc_id long, toxic int")
+    m = tx.learn(spark, docs_of(docs), one_kind)
+    assert m is None
+    assert {r["score"] for r in tx.score(spark, docs_of(docs), m).collect()} == {0.0}
+    assert tx.score(spark, docs_of([]), m).count() == 0

@@ -10,9 +10,10 @@ is mostly links.  A block with enough stop words, long enough and with few links
 Everything else is undecided: short blocks (headings, one-line paragraphs), and blocks with
 few stop words inside an article element; a long block with few stop words elsewhere is bad.
 
-*Second pass.*  Undecided blocks take the label of the nearest decided block of their
-section; if the section has none, an article is good, and otherwise the nearest decided
-neighbours on either side must agree (of two different ones, the nearer; a tie is bad).
+*Second pass.*  Undecided blocks take the label of the nearest decided block of the element
+they lie in, else of their section; if there is none, an article is good, and elsewhere the
+nearest decided blocks of the page count.  Of two different ones at the same distance, both
+must be good, in an article one.
 
 Scanning is linear in the page: a page of any length is taken whole, and unclosed or
 misnested tags do not matter.  Defined results: a null or empty page, or one without
@@ -62,6 +63,8 @@ INLINE = frozenset("""
 a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span
 strike strong sub sup time tt u var wbr
 """.split())
+#: Block elements that hold text rather than other blocks.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd html body".split())
 #: Start tags that end an open element of the given names.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",), "a": ("a",)}
@@ -73,11 +76,11 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Block:
-    __slots__ = ("text", "links", "bad", "article", "section", "label")
+    __slots__ = ("text", "links", "bad", "article", "section", "box")
 
-    def __init__(self, text: str, links: int, bad: bool, article: bool, section: int):
-        self.text, self.links, self.bad, self.article, self.section = text, links, bad, article, section
-        self.label: bool | None = None
+    def __init__(self, text: str, links: int, bad: bool, article: bool, section: int, box: int):
+        self.text, self.links, self.bad, self.article = text, links, bad, article
+        self.section, self.box = section, box  # numbers of the elements it lies in; 0: none
 
 
 def _attributes(raw: str) -> tuple[bool, bool]:
@@ -100,9 +103,9 @@ def _attributes(raw: str) -> tuple[bool, bool]:
 class _Page:
     def __init__(self):
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, bool, bool, int]] = []  # name, bad, article, section
+        self.stack: list[tuple[str, bool, bool, int, int]] = []  # name, and the state outside it
         self.open: dict[str, int] = {}
-        self.bad, self.article, self.section, self.sections = False, False, 0, 0
+        self.bad, self.article, self.section, self.box, self.boxes = False, False, 0, 0, 0
         self.parts: list[str] = []
         self.links, self.in_link = 0, False
 
@@ -117,7 +120,7 @@ class _Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, self.links, self.bad, self.article, self.section))
+                self.blocks.append(Block(text, self.links, self.bad, self.article, self.section, self.box))
         self.parts, self.links, self.in_link = [], 0, False
 
     def start(self, name: str, attrs: str) -> None:
@@ -140,15 +143,17 @@ class _Page:
             article = True
         if name in BAD_TAGS or name == "header" and not self.article:
             bad = True
-        self.stack.append((name, self.bad, self.article, self.section))
+        self.stack.append((name, self.bad, self.article, self.section, self.box))
         self.open[name] = self.open.get(name, 0) + 1
         if bad and name not in ("body", "html"):
             self.bad = True
         if article and not bad and not self.article:
             self.article = True
-        if name in ("article", "main", "section") or article:
-            self.sections += 1
-            self.section = self.sections
+        if block and name not in PARTS:
+            self.boxes += 1
+            self.box = self.boxes
+            if name in ("article", "main", "section") or article:
+                self.section = self.box
 
     def close(self, name: str, within: bool = False) -> None:
         """End the innermost open element of this name; ``within``: only if no container
@@ -162,7 +167,7 @@ class _Page:
                 if self.stack[k][0] not in INLINE:
                     return
         while self.stack:
-            n, self.bad, self.article, self.section = self.stack.pop()
+            n, self.bad, self.article, self.section, self.box = self.stack.pop()
             self.open[n] -= 1
             if n == name:
                 return
@@ -239,33 +244,30 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     first = [_first_pass(b) for b in found]
     n = len(found)
-    # nearest decided blocks, in the section and on the page, on either side
-    near = [[None, None, None, None] for _ in range(n)]  # section before, after; page before, after
+    # nearest decided blocks on either side: of the element, of the section, of the page
+    near = [[[None, None], [None, None], [None, None]] for _ in range(n)]
     for side, order in ((0, range(n)), (1, range(n - 1, -1, -1))):
-        last_page, by_section = None, {}
+        last: list[dict[int, int]] = [{}, {}, {}]
         for k in order:
-            near[k][side] = by_section.get(found[k].section)
-            near[k][2 + side] = last_page
-            if first[k] is not None:
-                if not found[k].bad:
-                    by_section[found[k].section] = k
-                last_page = k
-    out = []
-    for k, b in enumerate(found):
-        label = first[k]
-        if label is None:
-            sides = [s for s in near[k][:2] if s is not None]
-            if not sides and b.article:
-                label = True
-            else:
-                sides = sides or [s for s in near[k][2:] if s is not None]
-                sides.sort(key=lambda s: abs(s - k))
-                label = bool(sides) and first[sides[0]]
-                if len(sides) == 2 and abs(sides[0] - k) == abs(sides[1] - k):
-                    label = first[sides[0]] and first[sides[1]] or b.article and (first[sides[0]] or first[sides[1]])
-        if label:
-            out.append(b.text)
-    return " ".join(out)
+            places = (found[k].box, found[k].section, 0)
+            for level, place in enumerate(places):
+                if place or level == 2:
+                    near[k][level][side] = last[level].get(place)
+                    if first[k] is not None and (level == 2 or not found[k].bad):
+                        last[level][place] = k
+    return " ".join(b.text for k, b in enumerate(found)
+                    if (first[k] if first[k] is not None else _second_pass(k, b, near[k], first)))
+
+
+def _second_pass(k: int, b: Block, near: list, first: list[bool | None]) -> bool:
+    for level, sides in enumerate(near):
+        if level == 2 and b.article:
+            return True
+        sides = sorted((s for s in sides if s is not None), key=lambda s: abs(s - k))
+        if sides:
+            labels = [first[s] for s in sides if abs(s - k) == abs(sides[0] - k)]
+            return any(labels) if b.article else all(labels)
+    return False
 
 
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

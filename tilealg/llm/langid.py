@@ -280,5 +280,7 @@ def accepted(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     """``docs`` without the rows whose text is in no learned language (``und``) or scores
     below MIN_SCORE; all columns are kept."""
     parser = learn(spark, docs, id_col, text_col, lang_col)
-    judged = identify(spark, docs, parser, text_col, ("_lang", "_score"))
-    return judged.where(f"_lang <> 'und' AND _score >= {MIN_SCORE}").drop("_lang", "_score")
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
+    judged = identify(spark, docs, parser, text_col, (free + "lang", free + "score"))
+    good = (F.col(free + "lang") != "und") & (F.col(free + "score") >= MIN_SCORE)
+    return judged.where(good).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -160,7 +160,7 @@ class Mix:
                                         .alias("place2"), "shard"))
         named = self.sources.select(F.col("sid").alias("sid3"), F.col("source").alias("src"))
         self.draws = written(
-            picked.join(where, (F.col("sid") == F.col("sid2")) & (F.col("place") == F.col("place2")))
+            picked.hint("merge").join(where, (F.col("sid") == F.col("sid2")) & (F.col("place") == F.col("place2")))
             .join(F.broadcast(named), F.col("sid") == F.col("sid3"))
             .select("src", F.col("block").alias("blk"), "epoch", "shard"), "draws")
         #: Proven bound of a draw's row times the most draws there can be.
