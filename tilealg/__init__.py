@@ -13,7 +13,7 @@ Quick start::
 from .model import (CELLS, TILES, Shape, ShapeMismatchError, TileMatrix,  # noqa: F401
                     TileVector, scalar)
 from .operators.mapops import cos, exp, power, sin, transpose  # noqa: F401
-from .operators.product import dot, matmul, matvec, quad_form, vecmat  # noqa: F401
+from .operators.product import dot, gram, matmul, matvec, quad_form, vecmat  # noqa: F401
 from .operators.reduce import (col_sums, norm, norm_squared, reduce_cols,  # noqa: F401
                                reduce_rows, row_sums, vsum)
 from .operators.zipops import approx_equal, mult_blocks  # noqa: F401

@@ -18,6 +18,12 @@ def ieee_div(x: Column, y: Column) -> Column:
     return F.coalesce(F.try_divide(x, y), x * F.pow(y, F.lit(-1.0)))
 
 
+def idiv(x: Column, n) -> Column:
+    """Integer division of non-negative bigints (exact beyond 2^53, unlike ``/`` and floor)."""
+    n = n if isinstance(n, Column) else F.lit(int(n))
+    return F.call_function("div", x.cast("bigint"), n.cast("bigint"))
+
+
 def uniform01(i: Column, j: Column, seed: int) -> Column:
     """Deterministic U[0,1) per cell from a 64-bit hash of ``(i, j, seed)``.
 

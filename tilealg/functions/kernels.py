@@ -101,83 +101,263 @@ def sum_tiles_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield tile_batch({"bi": [bi], "bj": [bj]}, [h], [w], [total])
 
 
-def gemm_block(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One block of the 3-D product: A tiles ``(bi, _k, ah, aw, ad)`` and B tiles
-    ``(_k, bj, bw, bd)`` of one (row group, column group, inner group).
+#: Rows that the product kernel reads: one tile of A (side 0) or B (side 1) for a group.
+#: ``r`` is its row (A) or column (B) in the tile grid of the product, ``k`` the inner index,
+#: ``flip`` tells that ``data`` holds the transposed tile.
+PRODUCT_ROWS = ["_gid", "k", "side", "r", "h", "w", "flip", "data"]
 
-    The tiles are laid into two dense panels and multiplied with ONE numpy GEMM; each
-    output tile ``(bi, bj)`` that meets at least one inner tile on both sides is cut out
-    of the product.  Memory is bounded by the group's tile count (chosen by the planner).
+
+def _tile_view(flat, offs, row: int, h: int, w: int, flip: bool) -> np.ndarray:
+    """An ``h x w`` view of a column-major tile, or of one stored transposed."""
+    x = flat[offs[row]:offs[row + 1]]
+    return x.reshape(h, w) if flip else x.reshape(w, h).T
+
+
+def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tile product over rows sorted by (group, k): C tiles of one group stay in memory and
+    the inner index streams by.  At each k the present A tiles are stacked, the present B
+    tiles are set side by side, and one GEMM adds to every C tile whose pair is present: an
+    absent tile is never multiplied, whatever the plan.  Memory: the C tiles of a group and
+    the tiles of one inner index.
     """
-    if left.num_rows == 0 or right.num_rows == 0:
-        return _empty_tiles()
-    a_bi = left.column("bi").to_numpy()
-    a_k = left.column("_k").to_numpy()
-    a_h = left.column("ah").to_numpy()
-    a_w = left.column("aw").to_numpy()
-    b_k = right.column("_k").to_numpy()
-    b_bj = right.column("bj").to_numpy()
-    b_w = right.column("bw").to_numpy()
-    ks = np.intersect1d(a_k, b_k)
-    if ks.size == 0:
-        return _empty_tiles()
-    rows = np.unique(a_bi)
-    cols = np.unique(b_bj)
-    kpos = {int(k): n for n, k in enumerate(ks)}
-    rpos = {int(r): n for n, r in enumerate(rows)}
-    cpos = {int(c): n for n, c in enumerate(cols)}
-    kwid = np.zeros(len(ks), dtype=np.int64)
-    hgt = np.zeros(len(rows), dtype=np.int64)
-    wid = np.zeros(len(cols), dtype=np.int64)
-    for r in range(left.num_rows):
-        hgt[rpos[int(a_bi[r])]] = a_h[r]
-        kp = kpos.get(int(a_k[r]))
-        if kp is not None:
-            kwid[kp] = a_w[r]
-    for r in range(right.num_rows):
-        wid[cpos[int(b_bj[r])]] = b_w[r]
-    koff = np.concatenate(([0], np.cumsum(kwid)))
-    roff = np.concatenate(([0], np.cumsum(hgt)))
-    coff = np.concatenate(([0], np.cumsum(wid)))
-    apanel = np.zeros((roff[-1], koff[-1]))
-    bpanel = np.zeros((koff[-1], coff[-1]))
-    apres = np.zeros((len(rows), len(ks)), dtype=bool)
-    bpres = np.zeros((len(ks), len(cols)), dtype=bool)
-    af, ao = list_parts(left.column("ad"))
-    for r in range(left.num_rows):
-        kp = kpos.get(int(a_k[r]))
-        if kp is None:
-            continue
-        rp = rpos[int(a_bi[r])]
-        h, kw = int(a_h[r]), int(kwid[kp])
-        apanel[roff[rp]:roff[rp] + h, koff[kp]:koff[kp] + kw] = af[ao[r]:ao[r + 1]].reshape(kw, h).T
-        apres[rp, kp] = True
-    bf, bo = list_parts(right.column("bd"))
-    for r in range(right.num_rows):
-        kp = kpos.get(int(b_k[r]))
-        if kp is None:
-            continue
-        cp = cpos[int(b_bj[r])]
-        kw, w = int(kwid[kp]), int(b_w[r])
-        bpanel[koff[kp]:koff[kp] + kw, coff[cp]:coff[cp] + w] = bf[bo[r]:bo[r + 1]].reshape(w, kw).T
-        bpres[kp, cp] = True
-    prod = apanel @ bpanel
-    meets = (apres.astype(np.int64) @ bpres.astype(np.int64)) > 0
-    out_bi, out_bj, hs, ws, data = [], [], [], [], []
-    for rp, cp in zip(*np.nonzero(meets)):
-        out_bi.append(int(rows[rp]))
-        out_bj.append(int(cols[cp]))
-        hs.append(int(hgt[rp]))
-        ws.append(int(wid[cp]))
-        data.append(prod[roff[rp]:roff[rp + 1], coff[cp]:coff[cp + 1]].ravel(order="F"))
-    return pa.Table.from_batches([tile_batch({"bi": out_bi, "bj": out_bj}, hs, ws, data)])
-
-
-def _empty_tiles() -> pa.Table:
-    return pa.Table.from_batches([tile_batch({"bi": [], "bj": []}, [], [], [])])
-
-
-def block_local_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    state = {"gid": None, "k": None}
+    c: dict[tuple[int, int], np.ndarray] = {}
+    a: dict[int, np.ndarray] = {}
+    b: dict[int, np.ndarray] = {}
+
+    def multiply():
+        if a and b:
+            rows, cols = sorted(a), sorted(b)
+            top = np.concatenate([[0], np.cumsum([a[r].shape[0] for r in rows])])
+            left = np.concatenate([[0], np.cumsum([b[q].shape[1] for q in cols])])
+            prod = np.vstack([a[r] for r in rows]) @ np.hstack([b[q] for q in cols])
+            for m, r in enumerate(rows):
+                for n, q in enumerate(cols):
+                    part = prod[top[m]:top[m + 1], left[n]:left[n + 1]]
+                    if (r, q) in c:
+                        c[r, q] += part
+                    else:
+                        c[r, q] = part.copy()
+        a.clear()
+        b.clear()
+
+    def finished():
+        multiply()
+        for (r, q), x in sorted(c.items()):
+            yield tile_batch({"bi": [r], "bj": [q]}, [x.shape[0]], [x.shape[1]], [x.ravel(order="F")])
+        c.clear()
+
+    for batch in batches:
+        gid, k, side, r, h, w, flip = (batch.column(n).to_numpy(zero_copy_only=False)
+                                       for n in PRODUCT_ROWS[:-1])
+        flat, offs = list_parts(batch.column("data"))
+        for row in range(batch.num_rows):
+            if gid[row] != state["gid"]:
+                yield from finished()
+                state["gid"], state["k"] = gid[row], k[row]
+            elif k[row] != state["k"]:
+                multiply()
+                state["k"] = k[row]
+            # a copy: views of an Arrow batch must not outlive it
+            (b if side[row] else a)[int(r[row])] = _tile_view(
+                flat, offs, row, int(h[row]), int(w[row]), bool(flip[row])).copy()
+    yield from finished()
+
+
+def transpose_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles -> transposed tiles (ids and sizes swapped)."""
+    for b in batches:
+        hs = b.column("h").to_numpy(zero_copy_only=False)
+        ws = b.column("w").to_numpy(zero_copy_only=False)
+        flat, offs = list_parts(b.column("data"))
+        # the C-order buffer of the (w, h) view read column by column
+        out = [np.ascontiguousarray(flat[offs[r]:offs[r + 1]].reshape(ws[r], hs[r]).T).ravel()
+               for r in range(b.num_rows)]
+        if out:
+            yield tile_batch({"bi": b.column("bj").to_pylist(), "bj": b.column("bi").to_pylist()},
+                             ws.tolist(), hs.tolist(), out)
+
+
+# ------------------------------------------------------------ map-side products with vectors
+def vector_batches(left: bool):
+    """Rows ``(bi, bj, h, w, flip, data, x)``, a tile of M and the tile of a vector that it
+    meets, -> partial result tiles ``(bi, 0)``, summed per batch.  ``left``: xᵀM instead of Mx."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bi, bj, h, w, flip = (b.column(n).to_numpy(zero_copy_only=False)
+                                  for n in ("bi", "bj", "h", "w", "flip"))
+            flat, offs = list_parts(b.column("data"))
+            xflat, xoffs = list_parts(b.column("x"))
+            out: dict[int, np.ndarray] = {}
+            for r in range(b.num_rows):
+                t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), bool(flip[r]))
+                x = xflat[xoffs[r]:xoffs[r + 1]]
+                key, y = (int(bj[r]), x @ t) if left else (int(bi[r]), t @ x)
+                if key in out:
+                    out[key] += y
+                else:
+                    out[key] = y
+            if out:
+                keys = sorted(out)
+                yield tile_batch({"bi": keys, "bj": [0] * len(keys)}, [out[k].size for k in keys],
+                                 [1] * len(keys), [out[k] for k in keys])
+    return run
+
+
+def quad_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a tile of M and the vector tiles on both its sides -> one partial xᵀMy."""
+    for b in batches:
+        h, w, flip = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w", "flip"))
+        flat, offs = list_parts(b.column("data"))
+        (xf, xo), (yf, yo) = list_parts(b.column("x")), list_parts(b.column("y"))
+        total = 0.0
+        for r in range(b.num_rows):
+            t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), bool(flip[r]))
+            total += float(xf[xo[r]:xo[r + 1]] @ t @ yf[yo[r]:yo[r + 1]])
+        if b.num_rows:
+            yield pa.RecordBatch.from_pydict({"s": pa.array([total], pa.float64())})
+
+
+def gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles of a matrix with one tile column -> one partial TᵀT per task."""
+    total = None
+    for b in batches:
+        h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w"))
+        flat, offs = list_parts(b.column("data"))
+        for r in range(b.num_rows):
+            t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), False)
+            total = t.T @ t if total is None else total + t.T @ t
+    if total is not None:
+        yield tile_batch({"bi": [0], "bj": [0]}, [total.shape[0]], [total.shape[1]],
+                         [total.ravel(order="F")])
+
+
+# ------------------------------------------------------------------------- retile, reduce
+PIECE_SCHEMA = "bi bigint, bj bigint, h int, w int, r0 int, c0 int, ph int, pw int, data array<double>"
+
+
+def cut_batches(shape, old: tuple[int, int], new: tuple[int, int]):
+    """Tiles -> the rectangles they share with the tiles of another grid."""
+    (nrows, ncols), (oh, ow), (nh, nw) = shape, old, new
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bi, bj, h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj", "h", "w"))
+            flat, offs = list_parts(b.column("data"))
+            rows: dict[str, list] = {n: [] for n in ("bi", "bj", "h", "w", "r0", "c0", "ph", "pw")}
+            data = []
+            for r in range(b.num_rows):
+                t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), False)
+                i0, j0 = int(bi[r]) * oh, int(bj[r]) * ow
+                i1, j1 = i0 + t.shape[0], j0 + t.shape[1]
+                for ti in range(i0 // nh, (i1 - 1) // nh + 1):
+                    for tj in range(j0 // nw, (j1 - 1) // nw + 1):
+                        a0, a1 = max(i0, ti * nh), min(i1, ti * nh + nh)
+                        b0, b1 = max(j0, tj * nw), min(j1, tj * nw + nw)
+                        for n, v in zip(rows, (ti, tj, min(nh, nrows - ti * nh), min(nw, ncols - tj * nw),
+                                               a0 - ti * nh, b0 - tj * nw, a1 - a0, b1 - b0)):
+                            rows[n].append(v)
+                        data.append(t[a0 - i0:a1 - i0, b0 - j0:b1 - j0].ravel(order="F"))
+            if data:
+                cols = {n: pa.array(v, pa.int64() if n in ("bi", "bj") else pa.int32())
+                        for n, v in rows.items()}
+                yield pa.RecordBatch.from_pydict({**cols, "data": to_list_array(data)})
+    return run
+
+
+def paste_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rectangles of one new tile -> the tile (places no rectangle covers are zeros)."""
+    out, key = None, None
+    for b in batches:
+        cols = {n: b.column(n).to_numpy(zero_copy_only=False) for n in
+                ("bi", "bj", "h", "w", "r0", "c0", "ph", "pw")}
+        flat, offs = list_parts(b.column("data"))
+        for r in range(b.num_rows):
+            if out is None:
+                key = (int(cols["bi"][r]), int(cols["bj"][r]))
+                out = np.zeros((int(cols["h"][r]), int(cols["w"][r])))
+            r0, c0, ph, pw = (int(cols[n][r]) for n in ("r0", "c0", "ph", "pw"))
+            out[r0:r0 + ph, c0:c0 + pw] = _tile_view(flat, offs, r, ph, pw, False)
+    if out is not None:
+        yield tile_batch({"bi": [key[0]], "bj": [key[1]]}, [out.shape[0]], [out.shape[1]],
+                         [out.ravel(order="F")])
+
+
+SEGMENT_SCHEMA = "b bigint, n int, cnt bigint, data array<double>"
+
+
+def reduce_batches(ufunc_name: str, by_rows: bool):
+    """Tiles -> one segment per tile row (or tile column) and batch, reduced by a numpy
+    ufunc, with the number of stored values that went into each of its places."""
+    ufunc = getattr(np, ufunc_name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bi, bj, h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj", "h", "w"))
+            flat, offs = list_parts(b.column("data"))
+            seg: dict[int, tuple[np.ndarray, int]] = {}
+            for r in range(b.num_rows):
+                t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), False)
+                key, y, c = ((int(bi[r]), ufunc.reduce(t, axis=1), t.shape[1]) if by_rows
+                             else (int(bj[r]), ufunc.reduce(t, axis=0), t.shape[0]))
+                seg[key] = (ufunc(seg[key][0], y), seg[key][1] + c) if key in seg else (y, c)
+            if seg:
+                keys = sorted(seg)
+                yield pa.RecordBatch.from_pydict({
+                    "b": pa.array(keys, pa.int64()), "n": pa.array([seg[k][0].size for k in keys], pa.int32()),
+                    "cnt": pa.array([seg[k][1] for k in keys], pa.int64()),
+                    "data": to_list_array([seg[k][0] for k in keys])})
+    return run
+
+
+def combine_segments(ufunc_name: str, full: int):
+    """All segments of one tile row -> a vector tile.  If fewer than ``full`` values went
+    into a place, the absent ones take part as zeros."""
+    ufunc = getattr(np, ufunc_name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, cnt, key = None, 0, 0
+        for b in batches:
+            flat, offs = list_parts(b.column("data"))
+            c = b.column("cnt").to_numpy(zero_copy_only=False)
+            for r in range(b.num_rows):
+                x = flat[offs[r]:offs[r + 1]]
+                key = b.column("b")[r].as_py()
+                total, cnt = (x.copy() if total is None else ufunc(total, x)), cnt + int(c[r])
+        if total is not None:
+            if cnt < full:
+                total = ufunc(total, np.zeros_like(total))
+            yield tile_batch({"bi": [key], "bj": [0]}, [total.size], [1], [total])
+    return run
+
+
+def rows_to_tile(dup_sum: bool, th: int, nrows: int):
+    """Row segments ``(bi, bj, i, w, seg)`` of one tile -> the tile; rows that are missing
+    are zeros, a repeated row is an error or summed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, seen, key = None, None, None
+        for b in batches:
+            i, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("i", "w"))
+            flat, offs = list_parts(b.column("seg"))
+            for r in range(b.num_rows):
+                if out is None:
+                    key = (b.column("bi")[r].as_py(), b.column("bj")[r].as_py())
+                    h = min(th, nrows - key[0] * th)
+                    out, seen = np.zeros((h, int(w[r]))), np.zeros(h, bool)
+                at = int(i[r]) - key[0] * th
+                if seen[at] and not dup_sum:
+                    raise ValueError(f"row {int(i[r])} is there more than once")
+                seen[at] = True
+                x = flat[offs[r]:offs[r + 1]]
+                out[at, :x.size] += x
+        if out is not None:
+            yield tile_batch({"bi": [key[0]], "bj": [key[1]]}, [out.shape[0]], [out.shape[1]],
+                             [out.ravel(order="F")])
+    return run
+
+
+def tile_local_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full-outer-joined square tiles ``(bi, bj, h, w, ad, bd)`` -> A_t · B_t per tile.
 
     A NULL side is the zero tile (the product is then zero)."""

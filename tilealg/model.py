@@ -79,11 +79,24 @@ class TileMatrix:
         if layout == TILES and th * tw > MAX_TILE_CELLS:
             raise ShapeMismatchError(
                 f"tile {th}x{tw} holds {th * tw} cells; the limit is {MAX_TILE_CELLS}")
-        self.df = df
+        self._df = df
+        #: The stored matrix whose transpose this is (tiles layout), or None.  Products read
+        #: it as it is; ``df`` writes the transposed tiles out.
+        self.flipped: TileMatrix | None = None
+        #: Known to store every cell (or every tile).
+        self.full = False
         self.nrows, self.ncols = nrows, ncols
         self.tile_h, self.tile_w = th, tw
         self.layout = layout
 
+    @property
+    def df(self) -> DataFrame:
+        """The frame in this matrix's layout."""
+        if self._df is None:
+            from .functions import kernels
+            self._df = self.flipped.df.mapInArrow(kernels.transpose_batches, TILE_SCHEMA)
+        return self._df
+
     # ----------------------------------------------------------------- metadata
     @property
     def shape(self) -> Shape:
@@ -113,7 +126,7 @@ class TileMatrix:
 
     @property
     def spark(self):
-        return self.df.sparkSession
+        return (self.flipped or self).df.sparkSession
 
     def _with(self, df: DataFrame, nrows: int | None = None, ncols: int | None = None,
               tile: tuple[int, int] | None = None, layout: str | None = None) -> "TileMatrix":
@@ -252,9 +265,21 @@ class TileMatrix:
     def __matmul__(self, other):
         return self.multiply(other)
 
-    def map_cells(self, fn) -> "TileMatrix":
+    def map_cells(self, fn, absent: str = "keep") -> "TileMatrix":
         from .operators.mapops import map_cells
-        return map_cells(self, fn)
+        return map_cells(self, fn, absent)
+
+    def add_scalar(self, a: float, absent: str = "fill") -> "TileMatrix":
+        """``M + a``; ``absent="keep"`` adds to stored values only."""
+        from .operators.mapops import add_scalar
+        return add_scalar(self, a, absent)
+
+    def divide(self, other, absent: str = "fill") -> "TileMatrix":
+        """``M / a`` or ``M / N``; ``absent="keep"`` leaves places stored nowhere absent."""
+        from .operators import mapops, zipops
+        if isinstance(other, TileMatrix):
+            return zipops.divide(self, other, absent)
+        return mapops.div_scalar(self, other, absent)
 
     def map_tiles(self, fn) -> "TileMatrix":
         from .operators.mapops import map_tiles
@@ -297,6 +322,11 @@ class TileMatrix:
             return product.matmul(self, other, **kw)
         raise TypeError(f"cannot multiply TileMatrix by {type(other).__name__}")
 
+    def gram(self) -> "TileMatrix":
+        """``Mᵀ M``."""
+        from .operators.product import gram
+        return gram(self)
+
     def quad_form(self, x: "TileVector", y: "TileVector | None" = None, **kw) -> DataFrame:
         from .operators.product import quad_form
         return quad_form(self, x, x if y is None else y, **kw)
@@ -466,8 +496,14 @@ class TileVector:
     def __neg__(self):
         return TileVector(-self.mat)
 
-    def map_cells(self, fn) -> "TileVector":
-        return TileVector(self.mat.map_cells(fn))
+    def map_cells(self, fn, absent: str = "keep") -> "TileVector":
+        return TileVector(self.mat.map_cells(fn, absent))
+
+    def add_scalar(self, a: float, absent: str = "fill") -> "TileVector":
+        return TileVector(self.mat.add_scalar(a, absent))
+
+    def divide(self, other, absent: str = "fill") -> "TileVector":
+        return TileVector(self.mat.divide(other.mat if isinstance(other, TileVector) else other, absent))
 
     def map_tiles(self, fn) -> "TileVector":
         return TileVector(self.mat.map_tiles(fn))
@@ -487,14 +523,15 @@ class TileVector:
     def sin(self) -> "TileVector":
         return self.map_cells(F.sin)
 
-    def cos(self) -> "TileVector":
-        return self.map_cells(F.cos)
+    def cos(self, absent: str = "fill") -> "TileVector":
+        return self.map_cells(F.cos, absent)
 
-    def exp(self) -> "TileVector":
-        return self.map_cells(F.exp)
+    def exp(self, absent: str = "fill") -> "TileVector":
+        return self.map_cells(F.exp, absent)
 
-    def pow(self, p: float) -> "TileVector":
-        return self.map_cells(lambda c: F.pow(c, F.lit(float(p))))
+    def pow(self, p: float, absent: str = "fill") -> "TileVector":
+        from .operators.mapops import power
+        return TileVector(power(self.mat, p, absent))
 
     # ------------------------------------------------------------------ products
     def dot(self, other: "TileVector", **kw) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..functions.exprs import zeros_array
-from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
+from ..functions.exprs import idiv, zeros_array
+from ..model import (BI, BJ, CELLS, DATA, H, I, J, MAX_TILE_CELLS, TILE_SCHEMA, TILES, V, W,
                      ShapeMismatchError, TileMatrix)
 
 
 def _range(spark, n: int, rows_per_part: int = 1 << 20):
-    parts = max(1, min(1 << 16, -(-n // rows_per_part)))
-    return spark.range(0, n, 1, parts)
+    """``spark.range`` whose number of tasks follows ``n``."""
+    return spark.range(0, n, 1, max(1, -(-n // rows_per_part)))
 
 
 def tile_dims(bi, bj, m: TileMatrix, th: int | None = None, tw: int | None = None):
@@ -27,13 +27,12 @@ def tile_dims(bi, bj, m: TileMatrix, th: int | None = None, tw: int | None = Non
 def to_cells(m: TileMatrix, drop_zeros: bool = False) -> TileMatrix:
     """Tiles -> cells with ``posexplode``; every position of a stored tile becomes a cell."""
     if m.layout == CELLS:
-        out = m.df.filter(F.col(V) != 0) if drop_zeros else m.df
-        return m._with(out)
+        return m._with(m.df.filter(F.col(V) != 0)) if drop_zeros else m
     th, tw = m.tile
     ex = m.df.select(BI, BJ, H, F.posexplode(DATA).alias("p", V))
     p, h = F.col("p"), F.col(H)
     df = ex.select((F.col(BI) * th + F.pmod(p, h)).cast("bigint").alias(I),
-                   (F.col(BJ) * tw + F.floor(p / h)).cast("bigint").alias(J),
+                   (F.col(BJ) * tw + idiv(p, h)).alias(J),
                    F.col(V))
     if drop_zeros:
         df = df.filter(F.col(V) != 0)
@@ -50,12 +49,12 @@ def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     if m.layout == TILES:
         if tile == m.tile:
             return m
-        return to_tiles(to_cells(m), tile)
+        return retile(m, tile)
     th, tw = tile
-    if th * tw > (1 << 18):
-        raise ShapeMismatchError(f"tile {th}x{tw} is larger than 512x512 cells")
-    bi = F.floor(F.col(I) / th).cast("bigint")
-    bj = F.floor(F.col(J) / tw).cast("bigint")
+    if th * tw > MAX_TILE_CELLS:
+        raise ShapeMismatchError(f"tile {th}x{tw} holds {th * tw} cells; the limit is {MAX_TILE_CELLS}")
+    bi = idiv(F.col(I), th)
+    bj = idiv(F.col(J), tw)
     h, w = tile_dims(bi, bj, m, th, tw)
     keyed = m.df.select(bi.alias(BI), bj.alias(BJ), h.alias(H), w.alias(W),
                         (F.pmod(F.col(I), F.lit(th)) + F.pmod(F.col(J), F.lit(tw)) * h)
@@ -66,32 +65,47 @@ def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
 
 
 def retile(m: TileMatrix, tile: tuple[int, int]) -> TileMatrix:
+    """Another tile size.  Tiles are cut into the rectangles they share with the new tiles
+    (numpy views), and the rectangles, not cells, are shuffled and put together."""
     tile = (int(tile[0]), int(tile[1]))
     if m.layout == CELLS:
         return m._with(m.df, tile=tile)
     if tile == m.tile:
         return m
-    return to_tiles(to_cells(m), tile)
+    if tile[0] * tile[1] > MAX_TILE_CELLS:
+        raise ShapeMismatchError(
+            f"tile {tile[0]}x{tile[1]} holds {tile[0] * tile[1]} cells; the limit is {MAX_TILE_CELLS}")
+    parts = m.df.mapInArrow(kernels.cut_batches(m.shape, m.tile, tile), kernels.PIECE_SCHEMA)
+    df = parts.groupBy(BI, BJ).applyInArrow(kernels.paste_group, TILE_SCHEMA)
+    return TileMatrix(df, m.nrows, m.ncols, tile, TILES)
 
 
 def densify(m: TileMatrix) -> TileMatrix:
     """Make every cell (cells layout) or every tile (tiles layout) explicit.
 
     The full index set comes from ``spark.range`` (no cross join), left-joined to the
-    stored data on its key.
+    stored data on its key.  A matrix known to be full is returned as it is.
     """
+    if m.full:
+        return m
+    out = _densified(m)
+    out.full = True
+    return out
+
+
+def _densified(m: TileMatrix) -> TileMatrix:
     spark = m.spark
     if m.layout == CELLS:
         n = m.nrows * m.ncols
         grid = _range(spark, n).select(
-            F.floor(F.col("id") / m.ncols).cast("bigint").alias(I),
+            idiv(F.col("id"), m.ncols).alias(I),
             F.pmod(F.col("id"), F.lit(m.ncols)).cast("bigint").alias(J))
         df = (grid.join(m.df, [I, J], "left")
               .select(I, J, F.coalesce(F.col(V), F.lit(0.0)).alias(V)))
         return m._with(df)
     g = m.grid
     ids = _range(spark, g.nrows * g.ncols, 1 << 14)
-    bi = F.floor(F.col("id") / g.ncols).cast("bigint")
+    bi = idiv(F.col("id"), g.ncols)
     bj = F.pmod(F.col("id"), F.lit(g.ncols)).cast("bigint")
     h, w = tile_dims(bi, bj, m)
     grid = ids.select(bi.alias(BI), bj.alias(BJ), h.alias(H), w.alias(W))

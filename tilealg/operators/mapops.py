@@ -1,9 +1,11 @@
 """Per-cell maps: scalar arithmetic, math functions, transpose, user maps.
 
 All of these are narrow (no shuffle).  On cells they are a ``select``; on tiles a
-``transform`` over the tile array.  Like the reference, they touch *stored* data only:
-``M + a`` on a sparse cells matrix adds ``a`` to stored cells; call ``densify()`` first
-for the total operation.
+``transform`` over the tile array.
+
+A function with f(0) != 0 has a value where nothing is stored, too.  ``absent="fill"``
+(default) gives it there as well: the matrix is made dense first, so cells and tiles agree
+cell for cell.  ``absent="keep"`` maps what is stored and leaves the rest absent.
 """
 
 from __future__ import annotations
@@ -18,17 +20,25 @@ from ..functions.exprs import ieee_div
 from ..model import BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, V, W, TileMatrix
 
 
-def map_cells(m: TileMatrix, fn: Callable[[Column], Column]) -> TileMatrix:
-    """Apply a Column function to every stored value (JVM-side, codegen)."""
+def map_cells(m: TileMatrix, fn: Callable[[Column], Column], absent: str = "keep") -> TileMatrix:
+    """Apply a Column function to every value (JVM-side, codegen); by default to what is
+    stored, with ``absent="fill"`` to every place."""
+    if absent not in ("fill", "keep"):
+        raise ValueError(f"absent must be 'fill' or 'keep', got {absent!r}")
+    if absent == "fill":
+        m = m.densify()
     if m.layout == CELLS:
-        return m._with(m.df.select(I, J, fn(F.col(V)).cast("double").alias(V)))
-    return m._with(m.df.select(BI, BJ, H, W,
-                               F.transform(DATA, lambda x: fn(x).cast("double")).alias(DATA)))
+        out = m._with(m.df.select(I, J, fn(F.col(V)).cast("double").alias(V)))
+    else:
+        out = m._with(m.df.select(BI, BJ, H, W,
+                                  F.transform(DATA, lambda x: fn(x).cast("double")).alias(DATA)))
+    out.full = m.full
+    return out
 
 
-def add_scalar(m: TileMatrix, a: float) -> TileMatrix:
+def add_scalar(m: TileMatrix, a: float, absent: str = "fill") -> TileMatrix:
     a = float(a)
-    return map_cells(m, lambda c: c + F.lit(a))
+    return map_cells(m, lambda c: c + F.lit(a), "keep" if a == 0.0 else absent)
 
 
 def mul_scalar(m: TileMatrix, a: float) -> TileMatrix:
@@ -36,54 +46,42 @@ def mul_scalar(m: TileMatrix, a: float) -> TileMatrix:
     return map_cells(m, lambda c: c * F.lit(a))
 
 
-def div_scalar(m: TileMatrix, a: float) -> TileMatrix:
+def div_scalar(m: TileMatrix, a: float, absent: str = "fill") -> TileMatrix:
     a = float(a)
     if a != 0.0:
         return map_cells(m, lambda c: c / F.lit(a))
-    return map_cells(m, lambda c: ieee_div(c, F.lit(a)))
+    return map_cells(m, lambda c: ieee_div(c, F.lit(a)), absent)
 
 
 def sin(m: TileMatrix) -> TileMatrix:
     return map_cells(m, F.sin)
 
 
-def cos(m: TileMatrix) -> TileMatrix:
-    return map_cells(m, F.cos)
+def cos(m: TileMatrix, absent: str = "fill") -> TileMatrix:
+    return map_cells(m, F.cos, absent)
 
 
-def exp(m: TileMatrix) -> TileMatrix:
-    return map_cells(m, F.exp)
+def exp(m: TileMatrix, absent: str = "fill") -> TileMatrix:
+    return map_cells(m, F.exp, absent)
 
 
-def power(m: TileMatrix, p: float) -> TileMatrix:
+def power(m: TileMatrix, p: float, absent: str = "fill") -> TileMatrix:
     p = float(p)
-    return map_cells(m, lambda c: F.pow(c, F.lit(p)))
-
-
-def permute(data, newpos):
-    """Reorder an array by a same-length array of target positions, without a lambda
-    that reads the array (Catalyst may inline an expensive ``data`` expression into
-    such a lambda and evaluate it once per element): zip, sort by position, unzip."""
-    zipped = F.arrays_zip(newpos.alias("p"), data.alias("x"))
-    return F.transform(F.sort_array(zipped), lambda e: e["x"])
+    return map_cells(m, lambda c: F.pow(c, F.lit(p)), "keep" if p > 0 else absent)
 
 
 def transpose(m: TileMatrix) -> TileMatrix:
-    """Swap indices; on tiles also swap tile ids and permute each tile.  Narrow."""
+    """Swap indices.  On tiles this only marks the matrix as flipped: products read the
+    stored tiles as transposed views, and tiles are written out (numpy, no shuffle) only
+    when something else asks for them."""
     if m.layout == CELLS:
         df = m.df.select(F.col(J).alias(I), F.col(I).alias(J), V)
-    else:
-        # element p of an h x w column-major tile (row p mod h, column p div h) goes to
-        # position (p div h) + (p mod h) * w of the w x h transposed tile
-        h, w = F.col(H), F.col(W)
-        newpos = F.transform(F.sequence(F.lit(0), h * w - 1),
-                             lambda p: F.floor(p / h).cast("int") + F.pmod(p, h) * w)
-        # permute first, rename after: in one select the lambda's h/w could resolve to
-        # the swapped lateral aliases
-        moved = m.df.select(BI, BJ, H, W, permute(F.col(DATA), newpos).alias("_t"))
-        df = moved.select(F.col(BJ).alias(BI), F.col(BI).alias(BJ), F.col(W).alias(H),
-                          F.col(H).alias(W), F.col("_t").alias(DATA))
-    return TileMatrix(df, m.ncols, m.nrows, (m.tile_w, m.tile_h), m.layout)
+        return TileMatrix(df, m.ncols, m.nrows, (m.tile_w, m.tile_h), m.layout)
+    if m.flipped is not None:
+        return m.flipped
+    out = TileMatrix(None, m.ncols, m.nrows, (m.tile_w, m.tile_h), m.layout)
+    out.flipped = m
+    return out
 
 
 def map_tiles(m: TileMatrix, fn) -> TileMatrix:

@@ -1,4 +1,4 @@
-"""Products: matrix-matrix, matrix-vector, vector-matrix, dot, quadratic form.
+"""Products: matrix-matrix, matrix-vector, vector-matrix, dot, quadratic form, Gram.
 
 Two strategies, picked by the layout of the left operand (or ``strategy=``):
 
@@ -6,14 +6,17 @@ Two strategies, picked by the layout of the left operand (or ``strategy=``):
   Spark SQL: sort-merge or broadcast hash join, partial (map-side) aggregation, whole-
   stage codegen.  Its join emits one row per multiply-add, so it is the right plan for
   sparse operands and the wrong one for dense ones.
-* ``tiles`` — a 3-D block decomposition: tiles are cogrouped by (row group, column
-  group, inner group), each A tile sent to every column group and each B tile to every
-  row group, and each group runs ONE numpy GEMM over its dense panels in an Arrow task.
-  Partial results are summed per output tile only when the inner dimension spans
-  several groups.  Group extents are planned from the tile grid (``plan_blocks``): a
-  group's tiles fit a memory budget, there are as many groups as shuffle partitions
-  (fewer for small products), and among those extents the one shipping the fewest
-  tiles wins.  No group ever holds a whole row or column of tiles.
+* ``tiles`` — the output grid is cut into groups of C tiles.  Each A tile goes to every
+  column group, each B tile to every row group; a group's tiles arrive sorted by inner
+  index and stream past its C tiles, which alone stay in memory (``plan_groups``).  Only
+  when there are fewer groups than shuffle partitions is the inner dimension split too,
+  and the partial C tiles summed.  A pair of tiles is multiplied only if both are stored,
+  so the result does not depend on the plan.
+
+Matrix-vector products on tiles do not shuffle the matrix: the vector's tiles are joined
+to it (broadcast if their shape bound fits), each task multiplies map-side, and only
+result segments are shuffled.  ``gram`` of a matrix one tile wide sends one partial per
+task.  Transposed operands are read as they are stored (``TileMatrix.flipped``).
 
 Broadcast: a side is broadcast only when its shape-derived bound (keys are unique, so
 an ``n x m`` matrix has at most ``n*m`` cells) fits the session's broadcast threshold.
@@ -23,14 +26,10 @@ from runtime statistics, or split a skewed partition.
 Skew: in the cells join one inner index can carry a large share of the cells (a dense
 column of A meeting a dense row of B).  Broadcast joins spread the probe side over all
 tasks, which splits such a key.  Shuffle joins of operands small enough for AQE to
-merge are salted automatically: the smaller side is replicated (at most
-``REPLICATE_BYTES`` by its shape bound) and the other split by a hash of its outer
-index, with a fixed partition count.  Large operands are left to AQE's skew-join
-splitting; ``salt=n`` forces an explicit split of every inner key into ``n`` sub-keys.
-
-Parallelism: AQE merges small shuffle partitions by input size, but a product does
-far more work than it reads.  Small probe sides (cells) and the tile groups get an
-explicit partition count, which AQE leaves alone.
+merge are salted: the smaller side is replicated (at most ``REPLICATE_BYTES`` by its
+shape bound) and the other split by a hash of its outer index, with a fixed partition
+count.  Every other join is left to an exchange that the planner makes, which AQE can
+split when a key is hot; ``salt=n`` forces an explicit split of every inner key.
 """
 
 from __future__ import annotations
@@ -39,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
+from ..functions.exprs import idiv
 from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
                      ShapeMismatchError, TileMatrix, TileVector)
 from ..session import broadcast_limit, maybe_broadcast, shuffle_parallelism
 
 CELL_BYTES = 24          # bound per stored cell row (i, j, v) in a broadcast relation
-GROUP_BYTES = 128 << 20  # tiles (A + B + C) one 3-D product group may hold
-GROUP_FLOPS = 2e8        # below this much work per group, more groups only add overhead
+GROUP_BYTES = 128 << 20  # C tiles of a group and the A and B tiles of one inner index
 # AQE merges small shuffle partitions by *input* size, but a product's join emits far
 # more rows than it reads.  A probe side whose bound is below this many bytes per task
 # is spread over the shuffle parallelism explicitly (a user repartition is not merged).
@@ -63,14 +62,15 @@ def _pick_strategy(a: TileMatrix, strategy: str | None) -> str:
 
 
 def matmul(a: TileMatrix, b: TileMatrix, strategy: str | None = None, salt: int = 1,
-           group_bytes: int = GROUP_BYTES) -> TileMatrix:
-    """``A @ B`` (the reference's ``multiply``)."""
+           group_bytes: int = GROUP_BYTES, groups: tuple[int, int, int] | None = None) -> TileMatrix:
+    """``A @ B`` (the reference's ``multiply``).  ``groups`` sets the tiles per group along
+    rows, columns and the inner dimension instead of the planner."""
     if a.ncols != b.nrows:
         raise ShapeMismatchError(
             f"inner dimensions differ: {a.nrows}x{a.ncols} @ {b.nrows}x{b.ncols}")
     if _pick_strategy(a, strategy) == CELLS:
         return _matmul_cells(a.to_cells(), b.to_cells(), salt)
-    return _matmul_tiles(a, b, group_bytes)
+    return _matmul_tiles(a, b, group_bytes, groups)
 
 
 def _spread(df: DataFrame, bound_bytes: int) -> DataFrame:
@@ -123,7 +123,7 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
                 left = left.withColumn("_s", seq)
                 right = right.withColumn("_s", F.pmod(F.xxhash64(F.col(J)), F.lit(int(salt))))
             keys = ["_k", "_s"]
-        if collapsible:
+        if collapsible and salt > 1:  # never a forced partitioning that AQE cannot split
             left = left.repartition(par, *keys)
             right = right.repartition(par, *keys)
     df = (left.join(right, keys)
@@ -131,9 +131,37 @@ def _matmul_cells(a: TileMatrix, b: TileMatrix, salt: int) -> TileMatrix:
     return TileMatrix(df, a.nrows, b.ncols, (a.tile_h, b.tile_w), CELLS)
 
 
+def plan_groups(nbi: int, nbj: int, nk: int, tile_bytes: int, par: int,
+                group_bytes: int = GROUP_BYTES) -> tuple[int, int, int]:
+    """Tiles per group along (rows, cols, inner).
+
+    A group keeps ``gi*gj`` C tiles and, of one inner index, ``gi + gj`` A and B tiles; they
+    must fit ``group_bytes``.  A is shipped ⌈nbj/gj⌉ times and B ⌈nbi/gi⌉ times, so of the
+    extents that give at least ``par`` groups the one shipping the fewest tiles is taken.  A
+    product with fewer output tiles than ``par`` has its inner dimension split as well, and
+    its (few) partial C tiles are summed.
+    """
+    nbi, nbj, nk = max(1, nbi), max(1, nbj), max(1, nk)
+    most = max(3, group_bytes // max(1, tile_bytes))
+    target = min(max(1, par), nbi * nbj)
+    best, best_key = (1, 1), None
+    for gi in _extents(nbi):
+        for gj in _extents(nbj):
+            if gi * gj + gi + gj > most and (gi, gj) != (1, 1):
+                continue
+            ngi, ngj = -(-nbi // gi), -(-nbj // gj)
+            key = (ngi * ngj < target, nbi * nk * ngj + nk * nbj * ngi, -ngi * ngj)
+            if best_key is None or key < best_key:
+                best, best_key = (gi, gj), key
+    gi, gj = best
+    out_groups = -(-nbi // gi) * -(-nbj // gj)
+    inner = min(nk, max(1, par // out_groups))
+    return gi, gj, -(-nk // inner)
+
+
 def _extents(n: int) -> list[int]:
-    """Candidate group extents along one axis: ceil(n / 2^m)."""
-    out, x = {1}, 1
+    """Candidate group extents along one axis: small ones, and ceil(n / 2^m)."""
+    out, x = set(range(1, min(n, 32) + 1)) | {1}, 1
     while x < n:
         out.add(-(-n // x))
         x *= 2
@@ -141,101 +169,98 @@ def _extents(n: int) -> list[int]:
     return sorted(out)
 
 
-def plan_blocks(nbi: int, nbj: int, nk: int, tile_bytes: int, par: int,
-                group_bytes: int = GROUP_BYTES, flops: float | None = None) -> tuple[int, int, int]:
-    """Tiles per group along (rows, cols, inner) for the 3-D product.
+def shipped_tiles(nbi: int, nbj: int, nk: int, groups: tuple[int, int, int]) -> int:
+    """Tiles through the shuffle: A and B copies, and partial C tiles if the inner
+    dimension is split."""
+    ngi, ngj, ngk = (-(-n // g) for n, g in zip((nbi, nbj, nk), groups))
+    return nbi * nk * ngj + nk * nbj * ngi + (nbi * nbj * ngk if ngk > 1 else 0)
 
-    A group holds ``gi*gk`` A tiles, ``gk*gj`` B tiles and ``gi*gj`` output tiles and
-    must fit ``group_bytes``.  Among the extents that fit, pick the one with at least
-    ``par`` groups (or as many as the grid allows, and no more than ``flops`` /
-    ``GROUP_FLOPS``: a tiny product is one GEMM) that ships the fewest tiles:
-    A goes to ⌈nbj/gj⌉ column groups, B to ⌈nbi/gi⌉ row groups, and when the inner
-    dimension is split into ⌈nk/gk⌉ > 1 groups the partial C tiles are shuffled once
-    more to be summed.  This is the usual 3-D (communication-avoiding) trade-off.
-    """
-    nbi, nbj, nk = max(1, nbi), max(1, nbj), max(1, nk)
-    max_tiles = max(3, group_bytes // max(1, tile_bytes))
-    target = min(max(1, par), nbi * nbj * nk)
-    if flops is not None:
-        target = min(target, max(1, int(-(-flops // GROUP_FLOPS))))
-    best, best_key = (1, 1, 1), None
-    for gi in _extents(nbi):
-        for gj in _extents(nbj):
-            if gi * gj > max_tiles:
-                continue
-            for gk in _extents(nk):
-                if gi * gk + gk * gj + gi * gj > max_tiles:
-                    continue
-                ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
-                groups = ngi * ngj * ngk
-                shipped = nbi * nk * ngj + nk * nbj * ngi + (2 * nbi * nbj * ngk if ngk > 1 else 0)
-                key = (groups < target, shipped, -groups)
-                if best_key is None or key < best_key:
-                    best, best_key = (gi, gj, gk), key
-    return best
-
-
-def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int) -> TileMatrix:
+
+def _stored(m: TileMatrix) -> DataFrame:
+    """Tiles as they are stored, under their ids in ``m``: (bi, bj, h, w, flip, data)."""
+    if m.flipped is None:
+        return m.df.select(BI, BJ, H, W, F.lit(False).alias("flip"), DATA)
+    d = m.flipped.df
+    return d.select(F.col(BJ).alias(BI), F.col(BI).alias(BJ), F.col(W).alias(H), F.col(H).alias(W),
+                    F.lit(True).alias("flip"), F.col(DATA))
+
+
+def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int,
+                  groups: tuple[int, int, int] | None) -> TileMatrix:
     ta = a.to_tiles()
     tb = b.to_tiles((ta.tile_w, b.tile_w))   # inner tiles must line up
     nbi, nk = ta.grid
     nbj = tb.grid.ncols
     par = shuffle_parallelism(a.spark)
     tile_bytes = 8 * max(ta.tile_h * ta.tile_w, tb.tile_h * tb.tile_w, ta.tile_h * tb.tile_w)
-    flops = 2.0 * ta.nrows * ta.ncols * tb.ncols
-    gi, gj, gk = plan_blocks(nbi, nbj, nk, tile_bytes, par, group_bytes, flops)
+    gi, gj, gk = groups or plan_groups(nbi, nbj, nk, tile_bytes, par, group_bytes)
     ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
 
     def fan(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0).cast("int")
-
-    left = ta.df.select(F.col(BI), F.col(BJ).alias("_k"), F.col(H).alias("ah"),
-                        F.col(W).alias("aw"), F.col(DATA).alias("ad"))
-    left = left.select("*", F.floor(F.col(BI) / gi).cast("int").alias("_gi"),
-                       F.floor(F.col("_k") / gk).cast("int").alias("_gk"),
-                       fan(ngj).alias("_gj"))
-    right = tb.df.select(F.col(BI).alias("_k"), F.col(BJ), F.col(W).alias("bw"),
-                         F.col(DATA).alias("bd"))
-    right = right.select("*", F.floor(F.col("_k") / gk).cast("int").alias("_gk"),
-                         F.floor(F.col(BJ) / gj).cast("int").alias("_gj"),
-                         fan(ngi).alias("_gi"))
-    # Groups are few and compute-heavy: a dense group id placed straight onto a fixed
-    # number of partitions (no hash collisions, and AQE cannot merge them by their small
-    # input size).  The cogroup on the id needs no further exchange.
-    ngroups = ngi * ngj * ngk
-    nparts = max(1, min(ngroups, 4 * par))
-
-    def gid(df):
-        g = ((F.col("_gi") * ngj + F.col("_gj")) * ngk + F.col("_gk")).cast("int")
-        return df.withColumn("_gid", g).repartitionById(nparts, "_gid")
-
-    left, right = gid(left), gid(right)
-    df = (left.groupBy("_gid").cogroup(right.groupBy("_gid"))
-          .applyInArrow(kernels.gemm_block, TILE_SCHEMA))
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    left = _stored(ta).select(F.col(BJ).alias("k"), F.lit(0).alias("side"), F.col(BI).alias("r"), H, W,
+                              "flip", DATA, idiv(F.col(BI), gi).alias("_gi"), fan(ngj).alias("_gj"))
+    right = _stored(tb).select(F.col(BI).alias("k"), F.lit(1).alias("side"), F.col(BJ).alias("r"), H, W,
+                               "flip", DATA, fan(ngi).alias("_gi"), idiv(F.col(BJ), gj).alias("_gj"))
+    both = left.unionByName(right)
+    gid = (F.col("_gi") * ngj + F.col("_gj")) * ngk + idiv(F.col("k"), gk)
+    # Groups are placed round-robin on the shuffle partitions by their dense number (no hash
+    # collisions, and AQE cannot merge them by their small input size).
+    nparts = max(1, min(ngi * ngj * ngk, par))
+    both = both.withColumn("_gid", gid).withColumn("_part", F.pmod("_gid", F.lit(nparts)).cast("int"))
+    rows = (both.repartitionById(nparts, "_part").sortWithinPartitions("_gid", "k", "side")
+            .select(*kernels.PRODUCT_ROWS))
+    df = rows.mapInArrow(kernels.stream_product, TILE_SCHEMA)
     if ngk > 1:   # partial products over inner groups: sum them per output tile
         df = df.groupBy(BI, BJ).applyInArrow(kernels.sum_tiles_group, TILE_SCHEMA)
     return TileMatrix(df, ta.nrows, tb.ncols, (ta.tile_h, tb.tile_w), TILES)
 
 
+def _with_vector(m: DataFrame, v: TileVector, key: str, name: str) -> DataFrame:
+    """Tiles of a matrix with the vector tile that they meet (none: no row)."""
+    x = v.mat.df.select(F.col(BI).alias(f"_{name}"), F.col(DATA).alias(name))
+    x = maybe_broadcast(x, v.n * 8 + v.num_tiles * 64)
+    return m.join(x, F.col(key) == F.col(f"_{name}")).drop(f"_{name}")
+
+
+def _vector_product(m: TileMatrix, v: TileVector, left: bool) -> TileVector:
+    key, other = (BI, BJ) if left else (BJ, BI)
+    rows = _with_vector(_stored(m), v.to_tiles(m.tile_h if left else m.tile_w), key, "x")
+    part = rows.select(BI, BJ, H, W, "flip", DATA, "x").mapInArrow(kernels.vector_batches(left), TILE_SCHEMA)
+    df = part.groupBy(BI, BJ).applyInArrow(kernels.sum_tiles_group, TILE_SCHEMA)
+    n, tile = (m.ncols, m.tile_w) if left else (m.nrows, m.tile_h)
+    return TileVector(TileMatrix(df, n, 1, (tile, 1), TILES))
+
+
 def matvec(m: TileMatrix, v: TileVector, **kw) -> TileVector:
     """``M v`` as a column vector."""
     if m.ncols != v.n:
         raise ShapeMismatchError(f"inner dimensions differ: {m.nrows}x{m.ncols} @ {v.n}")
-    vm = v.mat
-    if (kw.get("strategy") or (TILES if m.layout == TILES else CELLS)) == TILES:
-        vm = vm.to_tiles((m.tile_w, 1))
-    return TileVector(matmul(m, vm, **kw))
+    if _pick_strategy(m, kw.get("strategy")) == TILES:
+        return _vector_product(m.to_tiles(), v, left=False)
+    return TileVector(matmul(m, v.mat, **kw))
 
 
 def vecmat(v: TileVector, m: TileMatrix, **kw) -> TileVector:
-    """``vᵀ M``, returned as a column vector of length ``ncols(M)``.
-
-    Same plan as ``Mᵀ v``: the transpose is a narrow column swap."""
+    """``vᵀ M``, returned as a column vector of length ``ncols(M)``."""
     if v.n != m.nrows:
         raise ShapeMismatchError(f"inner dimensions differ: {v.n} @ {m.nrows}x{m.ncols}")
+    if _pick_strategy(m, kw.get("strategy")) == TILES:
+        return _vector_product(m.to_tiles(), v, left=True)
     return matvec(m.transpose(), v, **kw)
 
 
+def gram(m: TileMatrix) -> TileMatrix:
+    """``Mᵀ M``.  A matrix one tile wide is never shuffled: each task forms its part of the
+    (one-tile) result."""
+    if m.layout == TILES and m.grid.ncols == 1 and m.flipped is None:
+        part = m.df.mapInArrow(kernels.gram_batches, TILE_SCHEMA)
+        df = part.groupBy(BI, BJ).applyInArrow(kernels.sum_tiles_group, TILE_SCHEMA)
+        return TileMatrix(df, m.ncols, m.ncols, (m.tile_w, m.tile_w), TILES)
+    return matmul(m.transpose(), m)
+
+
 def dot(u: TileVector, v: TileVector) -> DataFrame:
     """One-row frame ``(dot double)``; 0 when the vectors share no stored entry."""
     if u.n != v.n:
@@ -256,10 +281,10 @@ def quad_form(m: TileMatrix, x: TileVector, y: TileVector) -> DataFrame:
     if x.n != m.nrows or y.n != m.ncols:
         raise ShapeMismatchError(f"{x.n} @ {m.nrows}x{m.ncols} @ {y.n}")
     if m.layout == TILES:
-        my = matvec(m, y)
-        d = dot(x.to_tiles(m.tile_h) if x.layout == TILES else x.to_cells(),
-                my if x.layout == TILES else my.to_cells())
-        return d.select(F.col("dot").alias("value"))
+        rows = _with_vector(_stored(m), x.to_tiles(m.tile_h), BI, "x")
+        rows = _with_vector(rows, y.to_tiles(m.tile_w), BJ, "y")
+        part = rows.select(H, W, "flip", DATA, "x", "y").mapInArrow(kernels.quad_batches, "s double")
+        return part.agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("value"))
     cells = m.df.select(I, J, F.col(V).alias("_m"))
     xs = maybe_broadcast(x.mat.to_cells().df.select(F.col(I), F.col(V).alias("_x")),
                          x.n * CELL_BYTES)

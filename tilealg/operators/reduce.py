@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import CELLS, DATA, I, J, TILES, V, TileMatrix, TileVector
+from ..functions import kernels
+from ..functions.exprs import idiv
+from ..model import CELLS, DATA, I, J, TILE_SCHEMA, TILES, V, TileMatrix, TileVector
 
 NAMED_OPS = ("sum", "product", "min", "max")
+UFUNCS = {"sum": "add", "product": "multiply", "min": "minimum", "max": "maximum"}
+#: Values that a user combiner folds at once; longer rows are folded in more levels.
+FOLD = 4096
 
 
 def vsum(v: TileVector) -> DataFrame:
@@ -39,25 +44,33 @@ def norm(v: TileVector, p: float = 2.0, abs: bool = True) -> DataFrame:  # noqa:
     p = float(p)
     if p <= 0:
         raise ValueError("p must be positive")
-    cells = v.mat.to_cells().df
-    base = F.abs(F.col(V)) if abs else F.col(V)
     if p == 2.0 and abs:
-        total = F.sum(F.col(V) * F.col(V))
-        return cells.agg(F.sqrt(F.coalesce(total, F.lit(0.0))).alias("norm"))
-    total = F.coalesce(F.sum(F.pow(base, F.lit(p))), F.lit(0.0))
-    return cells.agg(F.pow(total, F.lit(1.0) / F.lit(p)).alias("norm"))
+        def term(x):
+            return x * x
+    else:
+        def term(x):
+            return F.pow(F.abs(x) if abs else x, F.lit(p))
+    if v.layout == TILES:  # one value per tile, no cells
+        total = F.sum(F.aggregate(DATA, F.lit(0.0), lambda s, x: s + term(x)))
+    else:
+        total = F.sum(term(F.col(V)))
+    total = F.coalesce(total, F.lit(0.0))
+    out = F.sqrt(total) if p == 2.0 and abs else F.pow(total, F.lit(1.0) / F.lit(p))
+    return v.mat.df.agg(out.alias("norm"))
 
 
 def reduce_rows(m: TileMatrix, op) -> TileVector:
     """Reduce each row to one value; result is a column vector of length ``nrows``.
 
     ``op`` is ``"sum" | "product" | "min" | "max"`` (native aggregates) or an
-    associative, commutative ``(Column, Column) -> Column`` combiner, folded in two
-    levels (within a tile's row segment, then across tiles) so no list grows beyond a
-    tile width or the number of tile columns.  Unstored cells are zeros and take part:
+    associative, commutative ``(Column, Column) -> Column`` combiner, folded in levels of
+    at most ``FOLD`` values, however long the row.  Tiles are reduced tile by tile (numpy)
+    for a named op, and only row segments are shuffled.  Unstored cells are zeros and take part:
     a row with fewer than ``ncols`` stored cells has product 0.  Rows with nothing
     stored are absent (read as 0, which is every op's value on an all-zero row).
     """
+    if m.layout == TILES and op in NAMED_OPS:
+        return _reduce_tiles(m, op, by_rows=True)
     cells = m.to_cells().df
     ncols = m.ncols
     cnt = F.count(F.lit(1))
@@ -74,26 +87,40 @@ def reduce_rows(m: TileMatrix, op) -> TileVector:
         df = cells.groupBy(I).agg(
             F.when(full, F.max(V)).otherwise(F.greatest(F.max(V), F.lit(0.0))).alias(V))
     elif callable(op):
-        tw = m.tile_w
-
         def fold(lst: Column) -> Column:
             return F.aggregate(F.slice(lst, 2, F.size(lst)), F.element_at(lst, 1),
                                lambda acc, x: op(acc, x))
 
-        seg = (cells.groupBy(I, F.floor(F.col(J) / tw).alias("_bj"))
-               .agg(fold(F.collect_list(V)).alias("_r"), cnt.alias("_n")))
-        df = (seg.groupBy(I).agg(fold(F.collect_list("_r")).alias("_r"),
-                                 F.sum("_n").alias("_n"))
-              .select(I, F.when(F.col("_n") >= ncols, F.col("_r"))
-                      .otherwise(op(F.col("_r"), F.lit(0.0))).cast("double").alias(V)))
+        # places 0..span-1 of a row are folded in runs of FOLD until one value is left
+        level, span = cells.select(I, F.col(J).alias("_at"), F.col(V).alias("_r"),
+                                   F.lit(1).cast("bigint").alias("_n")), max(1, ncols)
+        while True:
+            level = (level.groupBy(I, idiv(F.col("_at"), FOLD).alias("_at"))
+                     .agg(fold(F.collect_list("_r")).alias("_r"), F.sum("_n").alias("_n")))
+            span = -(-span // FOLD)
+            if span == 1:
+                break
+        df = level.select(I, F.when(F.col("_n") >= ncols, F.col("_r"))
+                          .otherwise(op(F.col("_r"), F.lit(0.0))).cast("double").alias(V))
     else:
         raise ValueError(f"unknown reduction {op!r}; use one of {NAMED_OPS} or a combiner")
     return TileVector.from_df(df, m.nrows, m.tile_h, CELLS)
 
 
+def _reduce_tiles(m: TileMatrix, op: str, by_rows: bool) -> TileVector:
+    """Row (or column) reduction of tiles: segments per task, then per tile row."""
+    name = UFUNCS[op]
+    part = m.df.mapInArrow(kernels.reduce_batches(name, by_rows), kernels.SEGMENT_SCHEMA)
+    full, n, tile = (m.ncols, m.nrows, m.tile_h) if by_rows else (m.nrows, m.ncols, m.tile_w)
+    df = part.groupBy("b").applyInArrow(kernels.combine_segments(name, full), TILE_SCHEMA)
+    return TileVector(TileMatrix(df, n, 1, (tile, 1), TILES))
+
+
 def reduce_cols(m: TileMatrix, op) -> TileVector:
     """Reduce each column; result is a column vector of length ``ncols``."""
     from .mapops import transpose
+    if m.layout == TILES and op in NAMED_OPS:
+        return _reduce_tiles(m, op, by_rows=False)
     return reduce_rows(transpose(m), op)
 
 

@@ -2,7 +2,7 @@
 
 Semantics follow the reference's block cogroup, at cell (or tile) granularity: the
 result is stored wherever *either* operand is stored, a missing side reads as 0, and
-positions stored on neither side stay absent.
+positions stored on neither side stay absent (for ``divide`` only with ``absent="keep"``).
 
 Plan: one full-outer equi-join on the key (``(i, j)`` or ``(bi, bj)``).  Keys are
 unique on each side, so the join cannot blow up and no key can be hot.  When both
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..functions.exprs import ieee_div, zeros_array
+from ..functions.exprs import idiv, ieee_div, zeros_array
 from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
                      ShapeMismatchError, TileMatrix)
 
@@ -75,8 +75,14 @@ def hadamard(a: TileMatrix, b: TileMatrix) -> TileMatrix:
     return zip_cells(a, b, lambda x, y: x * y, "element-wise multiply")
 
 
-def divide(a: TileMatrix, b: TileMatrix) -> TileMatrix:
-    """IEEE element-wise division (x/0 = +-Inf, 0/0 = NaN) on the stored union."""
+def divide(a: TileMatrix, b: TileMatrix, absent: str = "fill") -> TileMatrix:
+    """IEEE element-wise division (x/0 = +-Inf, 0/0 = NaN).  ``absent="fill"`` gives every
+    place its value, also 0/0 where neither side is stored; ``"keep"`` the stored union."""
+    if absent not in ("fill", "keep"):
+        raise ValueError(f"absent must be 'fill' or 'keep', got {absent!r}")
+    _check_same_shape(a, b, "element-wise divide")
+    if absent == "fill" and not b.full:
+        a = a.densify()
     return zip_cells(a, b, ieee_div, "element-wise divide")
 
 
@@ -114,13 +120,13 @@ def mult_blocks(a: TileMatrix, b: TileMatrix) -> TileMatrix:
             f"{b.tile} on {a.nrows}x{a.ncols}")
     if a.layout == TILES or b.layout == TILES:
         ta, tb = a.to_tiles(), b.to_tiles(a.tile)
-        return ta._with(_joined_tiles(ta, tb).mapInArrow(kernels.block_local_product, TILE_SCHEMA))
+        return ta._with(_joined_tiles(ta, tb).mapInArrow(kernels.tile_local_product, TILE_SCHEMA))
     t = th
-    left = a.df.select(F.col(I), F.floor(F.col(I) / t).alias("_bi"),
-                       F.floor(F.col(J) / t).alias("_bj"), F.pmod(F.col(J), F.lit(t)).alias("_c"),
+    left = a.df.select(F.col(I), idiv(F.col(I), t).alias("_bi"), idiv(F.col(J), t).alias("_bj"),
+                       F.pmod(F.col(J), F.lit(t)).alias("_c"),
                        F.col(V).alias("_a"))
-    right = b.df.select(F.col(J), F.floor(F.col(I) / t).alias("_bi"),
-                        F.floor(F.col(J) / t).alias("_bj"), F.pmod(F.col(I), F.lit(t)).alias("_c"),
+    right = b.df.select(F.col(J), idiv(F.col(I), t).alias("_bi"), idiv(F.col(J), t).alias("_bj"),
+                        F.pmod(F.col(I), F.lit(t)).alias("_c"),
                         F.col(V).alias("_b"))
     df = (left.join(right, ["_bi", "_bj", "_c"])
           .groupBy(I, J).agg(F.sum(F.col("_a") * F.col("_b")).alias(V)))

@@ -8,6 +8,9 @@ The test data has no matrix tables, so the catalogue derives matrices from relat
 * ``s`` — supplier nation x customer nation, Σ quantity (25 x 25; sparse at small scale)
 * ``u`` — customers per nation (25);  ``sv`` — suppliers per nation (25)
 * ``w`` — lines per line number (7)
+* ``p`` — part x supplier, Σ quantity (sparse at every scale)
+* ``g`` — nation x region, customers (25 x 5, one region per nation: sparse at every scale);
+  ``gv`` — customers at place 2·nation of a vector of 50 (every other place absent)
 * ``e`` — embeddings quantized to integers, round(x * 1000) (n_vec x dim)
 
 Values are integer-valued doubles where possible so results are exact in any
@@ -30,6 +33,8 @@ LINES = 7
 TILE_S = (10, 10)      # ragged on 25 x 25: edge tiles are 5 wide
 TILE_A = (32, 7)
 TILE_E = (128, 64)
+TILE_G = (4, 2)
+TILE_P = (128, 16)
 
 
 class Tables:
@@ -68,6 +73,28 @@ class Tables:
         return from_relation(li, "l_suppkey", F.col("l_linenumber") - 1, F.lit(1.0),
                              shape=(self.n_supp, LINES), tile=tile)
 
+    @cached_property
+    def n_part(self) -> int:
+        return infer_extent(self.read("part"), "p_partkey")[0]
+
+    @cached_property
+    def n_region(self) -> int:
+        return infer_extent(self.read("region"), "r_regionkey")[0]
+
+    def p(self, tile=TILE_P) -> TileMatrix:
+        return from_relation(self.read("lineitem"), "l_partkey", "l_suppkey", "l_quantity",
+                             shape=(self.n_part, self.n_supp), tile=tile)
+
+    def g(self, tile=TILE_G) -> TileMatrix:
+        per = self.read("customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+        rel = per.join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        return from_relation(rel, "n_nationkey", "n_regionkey", "n",
+                             shape=(self.n_nation, self.n_region), tile=tile)
+
+    def gv(self, tile: int = 4) -> TileVector:
+        return vector_from_relation(self.read("customer"), F.col("c_nationkey") * 2, F.lit(1.0),
+                                    n=2 * self.n_nation, tile=tile)
+
     def s(self, tile=TILE_S) -> TileMatrix:
         li = self.read("lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
         su = self.read("supplier").select("s_suppkey", "s_nationkey")

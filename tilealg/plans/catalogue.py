@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import BI, I, J, V, TileMatrix, TileVector
-from ..operators import mapops
+from ..operators import product
 from ..session import scratch_path
 from ..sources import generators as gen
 from ..sources import parquet as pq
 from ..sources import text
+from ..sources.relation import from_relation, index_keys
 from .base import LINES, Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,15 @@ _CTE = {
     "e": "e AS (SELECT vec_id AS i, CAST(k - 1 AS BIGINT) AS j, "
          "round(CAST(embedding[k] AS DOUBLE) * 1000) AS v FROM embeddings, "
          "LATERAL (SELECT unnest(range(1, len(embedding) + 1)) AS k) t)",
+    "p": "p AS (SELECT l_partkey AS i, l_suppkey AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2)",
+    "g": "g AS (SELECT CAST(n_nationkey AS BIGINT) AS i, CAST(n_regionkey AS BIGINT) AS j, "
+         "CAST(count(*) AS DOUBLE) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)",
+    "gg": "gg AS (SELECT i, j, coalesce(g.v, 0) AS v FROM (SELECT CAST(r // 5 AS BIGINT) AS i, "
+          "CAST(r % 5 AS BIGINT) AS j FROM range(0, (SELECT (max(n_nationkey) + 1) * 5 FROM nation)) t(r)) x "
+          "LEFT JOIN g USING (i, j))",
+    "gv": "gv AS (SELECT CAST(c_nationkey * 2 AS BIGINT) AS i, CAST(count(*) AS DOUBLE) AS v FROM customer GROUP BY 1)",
+    "gvv": "gvv AS (SELECT CAST(r AS BIGINT) AS i, coalesce(gv.v, 0) AS v FROM "
+           "range(0, (SELECT (max(n_nationkey) + 1) * 2 FROM nation)) t(r) LEFT JOIN gv ON gv.i = r)",
     # dense index grids of a's shape (n_supp x 7) and s's shape (25 x 25)
     "ga": "ga AS (SELECT CAST(r // 7 AS BIGINT) AS i, CAST(r % 7 AS BIGINT) AS j FROM "
           "range(0, (SELECT (max(s_suppkey) + 1) * 7 FROM supplier)) t(r))",
@@ -117,12 +127,12 @@ def ingest_tiles_e(t: Tables) -> DataFrame:
        "SELECT p.idx AS i, q.idx AS j, CAST(count(*) AS DOUBLE) AS v FROM orders "
        "JOIN p ON o_orderpriority = p.k JOIN q ON o_orderstatus = q.k GROUP BY 1, 2")
 def ingest_keyed_orders(t: Tables) -> DataFrame:
-    from ..sources.relation import from_relation, index_keys
-    o = t.read("orders").select("o_orderpriority", "o_orderstatus")
+    o = (t.read("orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n")))
     p = index_keys(o, "o_orderpriority", "_pi")
     q = index_keys(o, "o_orderstatus", "_qi")
     rel = o.join(p, "o_orderpriority").join(q, "o_orderstatus")
-    return _cells(from_relation(rel, "_pi", "_qi", F.lit(1.0)))
+    n = p.agg(F.count("*")).first()[0], q.agg(F.count("*")).first()[0]
+    return _cells(from_relation(rel, "_pi", "_qi", "n", shape=n))
 
 
 @query("text_roundtrip_a", "K1 write_text + S1 read_text", _with("a", "SELECT i, j, v FROM a"))
@@ -221,14 +231,14 @@ def _scalar_sql(expr: str) -> str:
     return _with("s gs", f"SELECT i, j, {expr} AS v FROM gs LEFT JOIN s USING (i, j)")
 
 
-@query("scalar_add_s", "A14 densify + A1 M + a", _scalar_sql("coalesce(v, 0) + 10"))
+@query("scalar_add_s", "A1 M + a (every place)", _scalar_sql("coalesce(v, 0) + 10"))
 def scalar_add_s(t: Tables) -> DataFrame:
-    return _cells(t.s().densify() + 10)
+    return _cells(t.s() + 10)
 
 
-@query("scalar_sub_s", "A14 densify + A2 M - a", _scalar_sql("coalesce(v, 0) - 10"))
+@query("scalar_sub_s", "A2 M - a (every place)", _scalar_sql("coalesce(v, 0) - 10"))
 def scalar_sub_s(t: Tables) -> DataFrame:
-    return _cells(t.s().densify() - 10)
+    return _cells(t.s() - 10)
 
 
 @query("scalar_mul_s", "A3 M × a", _with("s", "SELECT i, j, v * 2.5 AS v FROM s"))
@@ -245,7 +255,7 @@ def scalar_div_s(t: Tables) -> DataFrame:
        _with("s gs", "SELECT i, j, (coalesce(v, 0) * 3 + 1) / 2 AS v FROM gs "
                      "LEFT JOIN s USING (i, j)"))
 def scalar_tiles_s(t: Tables) -> DataFrame:
-    return _cells((t.s().to_tiles().densify() * 3 + 1) / 2)
+    return _cells((t.s().to_tiles() * 3 + 1) / 2)
 
 
 @query("vec_scalar_add_u", "A5 v + a", _with("u", "SELECT i, v + 10 AS v FROM u"))
@@ -345,28 +355,88 @@ def matmul_nation_tiles(t: Tables) -> DataFrame:
     return _cells(s @ s)
 
 
-@query("gram_embed", "A13 + J1 tiles: eᵀe",
-       _with("e", "SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM e x JOIN e y "
-                  "ON x.i = y.i GROUP BY x.j, y.j"))
+_GRAM_E = ("SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM e x JOIN e y "
+           "ON x.i = y.i GROUP BY x.j, y.j")
+
+
+@query("gram_embed", "J1 tiles: eᵀe, one partial per task", _with("e", _GRAM_E))
 def gram_embed(t: Tables) -> DataFrame:
+    return _cells(t.e(layout="tiles").gram())
+
+
+@query("matmul_tiles_multigroup_e", "A13 (free) + J1 tiles: eᵀe in several row and column groups",
+       _with("e", _GRAM_E))
+def matmul_tiles_multigroup_e(t: Tables) -> DataFrame:
+    e = t.e((64, 16), layout="tiles")
+    return _cells(product.matmul(e.T, e, groups=(2, 3, e.grid.nrows)))
+
+
+@query("matmul_tiles_partials_e", "J1 + R5 tiles: eᵀe with the inner dimension split, partial tiles summed",
+       _with("e", _GRAM_E))
+def matmul_tiles_partials_e(t: Tables) -> DataFrame:
+    e = t.e((64, 16), layout="tiles")
+    return _cells(product.matmul(e.T, e, groups=(3, 2, 3)))
+
+
+@query("project_embed_tiles", "J1 tiles: e W with a thin W",
+       _with("e", "SELECT e.i, CAST(c AS BIGINT) AS j, sum(e.v * ((e.j + c) % 3 - 1)) AS v FROM e, range(0, 5) r(c) "
+                  "GROUP BY 1, 2"))
+def project_embed_tiles(t: Tables) -> DataFrame:
     e = t.e(layout="tiles")
-    return _cells(e.T @ e)
+    w = gen.generate(t.spark, e.ncols, 5, lambda i, j: F.pmod(i + j, F.lit(3)) - 1, (e.tile_w, 5), "tiles")
+    return _cells(e @ w)
 
 
-@query("gram_embed_rows", "J1 tiles: e eᵀ (n x n output)",
-       _with("e", "SELECT x.i AS i, y.i AS j, sum(x.v * y.v) AS v FROM e x JOIN e y "
-                  "ON x.j = y.j GROUP BY x.i, y.i"))
+@query("gram_embed_rows", "J1 tiles: e (eᵀ c), c the classes vec_id mod 5 (e eᵀ summed by class, n x 5)",
+       _with("e", "SELECT e.i, x.c AS j, sum(e.v * x.v) AS v FROM e JOIN (SELECT j, CAST(i % 5 AS BIGINT) AS c, "
+                  "sum(v) AS v FROM e GROUP BY 1, 2) x ON e.j = x.j GROUP BY 1, 2"))
 def gram_embed_rows(t: Tables) -> DataFrame:
     e = t.e(layout="tiles")
-    return _cells(e @ e.T)
+    c = gen.generate(t.spark, e.nrows, 5, lambda i, j: F.when(F.pmod(i, F.lit(5)) == j, 1.0).otherwise(0.0),
+                     (e.tile_h, 5), "tiles")
+    return _cells(e @ (e.T @ c))
 
 
-@query("matmul_a_at", "J1 cells, shuffle join + partial aggregation: a aᵀ",
-       _with("a", "SELECT x.i AS i, y.i AS j, sum(x.v * y.v) AS v FROM a x JOIN a y "
-                  "ON x.j = y.j GROUP BY x.i, y.i"))
+@query("matmul_a_at", "J1 cells, shuffle join + partial aggregation: a (aᵀ c), c the classes suppkey mod 5 (n x 5)",
+       _with("a", "SELECT a.i, x.c AS j, sum(a.v * x.v) AS v FROM a JOIN (SELECT j, CAST(i % 5 AS BIGINT) AS c, "
+                  "sum(v) AS v FROM a GROUP BY 1, 2) x ON a.j = x.j GROUP BY 1, 2"))
 def matmul_a_at(t: Tables) -> DataFrame:
     a = t.a()
-    return _cells(a @ a.T)
+    c = from_relation(t.read("supplier"), "s_suppkey", F.col("s_suppkey") % 5, F.lit(1.0), shape=(a.nrows, 5),
+                      tile=(32, 5))
+    return _cells(a @ (a.T @ c))
+
+
+@query("gram_a", "J1 cells, shuffle join + partial aggregation: aᵀa",
+       _with("a", "SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM a x JOIN a y "
+                  "ON x.i = y.i GROUP BY x.j, y.j"))
+def gram_a(t: Tables) -> DataFrame:
+    return _cells(t.a().gram())
+
+
+@query("matmul_p_c", "J1 cells, sparse: p times (supplier x 5)",
+       _with("p", "SELECT i, CAST(j % 5 AS BIGINT) AS j, sum(v) AS v FROM p GROUP BY 1, 2"))
+def matmul_p_c(t: Tables) -> DataFrame:
+    p = t.p()
+    c = from_relation(t.read("supplier"), "s_suppkey", F.col("s_suppkey") % 5, F.lit(1.0),
+                      shape=(p.ncols, 5), tile=(16, 5))
+    return _cells(p @ c)
+
+
+@query("matvec_tiles_p", "J2 tiles, sparse matrix, map-side product",
+       _with("p", "SELECT i, sum(v * (j % 4 + 1)) AS v FROM p GROUP BY i"))
+def matvec_tiles_p(t: Tables) -> DataFrame:
+    p = t.p()
+    x = gen.vec_generate(t.spark, p.ncols, lambda i: F.pmod(i, F.lit(4)) + 1, tile=p.tile_w)
+    return _vec_df((p.to_tiles() @ x).to_cells(drop_zeros=True))
+
+
+@query("vecmat_tiles_e", "J3 tiles: xᵀe, map-side product",
+       _with("e", "SELECT j AS i, sum(v * (i % 7 + 1)) AS v FROM e GROUP BY j"))
+def vecmat_tiles_e(t: Tables) -> DataFrame:
+    e = t.e(layout="tiles")
+    x = gen.vec_generate(t.spark, e.nrows, lambda i: F.pmod(i, F.lit(7)) + 1, tile=e.tile_h)
+    return _vec_df(x.multiply(e))
 
 
 @query("matvec_a_w", "J2 M·v", _with("a w", "SELECT a.i, sum(a.v * w.v) AS v FROM a JOIN w "
@@ -522,11 +592,10 @@ def col_min_s(t: Tables) -> DataFrame:
 
 
 # ======================================================================= generators (G*)
-@query("eye_supp", "G6 eye (cells: the diagonal), size from supplier",
-       "SELECT r AS i, r AS j, CAST(1 AS DOUBLE) AS v FROM range(0, (SELECT max(s_suppkey) + 1 FROM supplier)) "
-       "t(r)")
+@query("eye_supp", "G6 eye (cells: the diagonal) + J1: I a = a", _with("a", "SELECT i, j, v FROM a"))
 def eye_supp(t: Tables) -> DataFrame:
-    return _cells(gen.eye(t.spark, t.n_supp))
+    a = t.a()
+    return _cells(gen.eye(t.spark, a.nrows) @ a)
 
 
 @query("ridge_tiles_s", "G6 eye (tiles, ragged) + A3 + E1 on tiles",
@@ -590,49 +659,158 @@ def vec_fill_dot_w(t: Tables) -> DataFrame:
     return w.dot(gen.vec_fill(t.spark, w.n, 2.0, w.tile))
 
 
-@query("rand_stats_a", "G7 uniform: count, range, cells = tiles (values not reproducible in SQL)",
-       "SELECT (max(s_suppkey) + 1) * 7 AS n, (max(s_suppkey) + 1) * 7 AS n_in_unit, "
-       "true AS layouts_equal FROM supplier")
+@query("rand_stats_a", "G7 uniform: every cell of a ∘ U lies in [0, a), cells and tiles agree",
+       _with("a", "SELECT count(*) AS n, count(*) AS n_within, count(*) AS n_layouts_equal, sum(v) AS total FROM a"))
 def rand_stats_a(t: Tables) -> DataFrame:
-    n = t.n_supp
-    r = gen.uniform(t.spark, n, LINES, seed=42, tile=(32, 7))
-    rt = gen.uniform(t.spark, n, LINES, seed=42, tile=(32, 7), layout="tiles").to_cells()
-    both = r.df.join(rt.df.withColumnRenamed(V, "_t"), [I, J], "full_outer")
+    a = t.a()
+    r = a * gen.uniform(t.spark, a.nrows, a.ncols, seed=42, tile=a.tile)
+    rt = a.to_tiles() * gen.uniform(t.spark, a.nrows, a.ncols, seed=42, tile=a.tile, layout="tiles")
+    both = (a.df.join(r.df.withColumnRenamed(V, "_r"), [I, J])
+            .join(rt.to_cells().df.withColumnRenamed(V, "_t"), [I, J]))
     return both.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when((F.col(V) >= 0) & (F.col(V) < 1), 1).otherwise(0)).cast("bigint")
-        .alias("n_in_unit"),
-        F.coalesce(F.bool_and(F.col(V) == F.col("_t")), F.lit(True)).alias("layouts_equal"))
+        F.count_if((F.col("_r") >= 0) & ((F.col("_r") < F.col(V)) | (F.col(V) == 0))).alias("n_within"),
+        F.count_if(F.col("_r") == F.col("_t")).alias("n_layouts_equal"), F.sum(V).alias("total"))
 
 
-@query("vec_rand_stats_w", "G8 vector uniform: count and range",
-       "SELECT CAST(count(DISTINCT l_linenumber) AS BIGINT) AS n, "
-       "CAST(count(DISTINCT l_linenumber) AS BIGINT) AS n_in_unit FROM lineitem")
+@query("vec_rand_stats_w", "G8 vector uniform: every entry of w ∘ U lies in [0, w)",
+       _with("w", "SELECT count(*) AS n, count(*) AS n_within, sum(v) AS total FROM w"))
 def vec_rand_stats_w(t: Tables) -> DataFrame:
     w = t.w()
-    r = gen.vec_uniform(t.spark, w.n, seed=7, tile=w.tile)
-    return r.df.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.when((F.col(V) >= 0) & (F.col(V) < 1), 1).otherwise(0))
-                    .cast("bigint").alias("n_in_unit"))
+    r = w * gen.vec_uniform(t.spark, w.n, seed=7, tile=w.tile)
+    both = w.df.join(r.df.withColumnRenamed(V, "_r"), I)
+    return both.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if((F.col("_r") >= 0) & (F.col("_r") < F.col(V))).alias("n_within"),
+                    F.sum(V).alias("total"))
 
 
-@query("spd_stats_supp", "G9 randSPD (size from supplier): symmetric, diagonal >= n, xᵀAx > 0",
-       "SELECT (max(s_suppkey) + 1) * (max(s_suppkey) + 1) AS n_cells, CAST(0 AS BIGINT) AS n_asym, "
-       "max(s_suppkey) + 1 AS n_diag_ok, true AS positive FROM supplier")
+@query("spd_stats_supp", "G9 randSPD: (s + A) - s is symmetric, its diagonal in [n, n + 2), the rest in [0, 2)",
+       _with("s gs", "SELECT count(*) AS n_cells, count(*) AS n_symmetric, count(*) FILTER (gs.i = gs.j) AS n_diag_ok, "
+                     "count(*) FILTER (gs.i <> gs.j) AS n_rest_ok, coalesce(sum(s.v), 0) AS total "
+                     "FROM gs LEFT JOIN s USING (i, j)"))
 def spd_stats_supp(t: Tables) -> DataFrame:
-    """One aggregate over A joined with Aᵀ; x = (i mod 7) - 3 is generated inline."""
-    n = t.n_supp
-    a = gen.spd(t.spark, n, seed=3, tile=(64, 64))
-    at = mapops.transpose(a).df.withColumnRenamed(V, "_t")
-    both = a.df.join(at, [I, J], "full_outer")
-    x_i = F.pmod(F.col(I), F.lit(7)) - 3
-    x_j = F.pmod(F.col(J), F.lit(7)) - 3
-    return both.agg(
-        F.count(F.lit(1)).alias("n_cells"),
-        F.sum(F.when(F.col(V) != F.col("_t"), 1).otherwise(0)).cast("bigint").alias("n_asym"),
-        F.sum(F.when((F.col(I) == F.col(J)) & (F.col(V) >= n), 1).otherwise(0)).cast("bigint")
-        .alias("n_diag_ok"),
-        (F.sum(x_i * F.col(V) * x_j) > 0).alias("positive"))
+    s = t.s()
+    n = s.nrows
+    # rounded: adding and taking away s costs the last bits
+    d = (s + gen.spd(t.spark, n, seed=3, tile=s.tile)) - s
+    both = (d.df.select(I, J, F.round(V, 6).alias(V)).join(d.T.df.select(I, J, F.round(V, 6).alias("_t")), [I, J])
+            .join(s.df.withColumnRenamed(V, "_s"), [I, J], "left"))
+    low = F.when(F.col(I) == F.col(J), F.lit(float(n))).otherwise(F.lit(0.0))
+    ok = (F.col(V) >= low) & (F.col(V) < low + 2)
+    return both.agg(F.count(F.lit(1)).alias("n_cells"), F.count_if(F.col(V) == F.col("_t")).alias("n_symmetric"),
+                    F.count_if(ok & (F.col(I) == F.col(J))).alias("n_diag_ok"),
+                    F.count_if(ok & (F.col(I) != F.col(J))).alias("n_rest_ok"),
+                    F.coalesce(F.sum("_s"), F.lit(0.0)).alias("total"))
+
+
+@query("ones_zeros_g", "G3 matrix ones + G4 sparse_zeros + E1, cells",
+       _with("g gg", "SELECT i, j, v + 1 AS v FROM gg"))
+def ones_zeros_g(t: Tables) -> DataFrame:
+    g = t.g()
+    zero = gen.sparse_zeros(t.spark, g.nrows, g.ncols, g.tile)
+    return _cells(g + zero + gen.ones(t.spark, g.nrows, g.ncols, g.tile))
+
+
+@query("vec_zeros_gv", "G4 vec_zeros + E5: v made dense", _with("gv gvv", "SELECT i, v FROM gvv"))
+def vec_zeros_gv(t: Tables) -> DataFrame:
+    v = t.gv()
+    return _vec_df(v + gen.vec_zeros(t.spark, v.n, v.tile))
+
+
+@query("vec_generate_tiles_gv", "G2 vec_generate_tiles(numpy fn) + E7",
+       _with("gv gvv", "SELECT i, v * (i // 4 + 1) AS v FROM gvv"))
+def vec_generate_tiles_gv(t: Tables) -> DataFrame:
+    v = t.gv()
+    f = gen.vec_generate_tiles(t.spark, v.n, lambda bi, bj, h, w: np.full((h, w), bi + 1.0), v.tile)
+    return _vec_df(f * v.to_tiles())
+
+
+# ================================================ f(0) != 0 on matrices sparse at every scale
+def _total_sql(expr: str) -> str:
+    return _with("g gg", f"SELECT i, j, {expr} AS v FROM gg")
+
+
+@query("scalar_add_g", "A1 M + a on a sparse matrix, every place", _total_sql("v + 10"))
+def scalar_add_g(t: Tables) -> DataFrame:
+    return _cells(t.g() + 10)
+
+
+@query("scalar_add_tiles_g", "A1 M + a on sparse tiles, every place", _total_sql("v + 10"))
+def scalar_add_tiles_g(t: Tables) -> DataFrame:
+    return _cells(t.g().to_tiles() + 10)
+
+
+@query("scalar_sub_tiles_g", "A2 M - a on sparse tiles", _total_sql("v - 3"))
+def scalar_sub_tiles_g(t: Tables) -> DataFrame:
+    return _cells(t.g().to_tiles() - 3)
+
+
+@query("scalar_add_keep_g", "A1 with absent=keep: stored cells only", _with("g", "SELECT i, j, v + 10 AS v FROM g"))
+def scalar_add_keep_g(t: Tables) -> DataFrame:
+    return _cells(t.g().add_scalar(10, absent="keep"))
+
+
+@query("scalar_div_zero_g", "A4 M ÷ 0: x/0 = Inf, 0/0 = NaN in every place", _total_sql("v / 0.0::DOUBLE"))
+def scalar_div_zero_g(t: Tables) -> DataFrame:
+    return _cells(t.g() / 0)
+
+
+@query("scalar_div_zero_tiles_g", "A4 M ÷ 0 on tiles", _total_sql("v / 0.0::DOUBLE"))
+def scalar_div_zero_tiles_g(t: Tables) -> DataFrame:
+    return _cells(t.g().to_tiles() / 0)
+
+
+@query("ew_div_g", "E4 M ⊘ M, 0/0 where neither side is stored", _total_sql("v / (v * 2)"))
+def ew_div_g(t: Tables) -> DataFrame:
+    g = t.g()
+    return _cells(g / (g * 2))
+
+
+@query("ew_div_tiles_g", "E4 on tiles", _total_sql("v / (v * 2)"))
+def ew_div_tiles_g(t: Tables) -> DataFrame:
+    g = t.g().to_tiles()
+    return _cells(g / (g * 2))
+
+
+def _total_vec_sql(expr: str) -> str:
+    return _with("gv gvv", f"SELECT i, {expr} AS v FROM gvv")
+
+
+@query("vec_scalar_add_gv", "A5 v + a on a sparse vector", _total_vec_sql("v + 10"))
+def vec_scalar_add_gv(t: Tables) -> DataFrame:
+    return _vec_df(t.gv() + 10)
+
+
+@query("vec_scalar_sub_tiles_gv", "A6 v - a on sparse tiles", _total_vec_sql("v - 10"))
+def vec_scalar_sub_tiles_gv(t: Tables) -> DataFrame:
+    return _vec_df(t.gv().to_tiles() - 10)
+
+
+@query("vec_div_zero_gv", "A8 v ÷ 0", _total_vec_sql("v / 0.0::DOUBLE"))
+def vec_div_zero_gv(t: Tables) -> DataFrame:
+    return _vec_df(t.gv() / 0)
+
+
+@query("cos_gv", "A10 cos, cos(0) = 1 where nothing is stored", _total_vec_sql("round(cos(v), 9)"))
+def cos_gv(t: Tables) -> DataFrame:
+    return t.gv().cos().df.select(I, F.round(V, 9).alias(V))
+
+
+@query("exp_tiles_gv", "A11 exp on sparse tiles", _total_vec_sql("round(exp(v / -1000.0), 9)"))
+def exp_tiles_gv(t: Tables) -> DataFrame:
+    return _vec_df((t.gv().to_tiles() / -1000.0).exp()).select(I, F.round(V, 9).alias(V))
+
+
+@query("pow_gv", "A12 pow with p = 0 and p = -1", _total_vec_sql("pow(v, 0.0) + pow(v, -1.0)"))
+def pow_gv(t: Tables) -> DataFrame:
+    v = t.gv()
+    return _vec_df(v.pow(0) + v.pow(-1))
+
+
+@query("vec_ew_div_gv", "E8 v ⊘ v, 0/0 where neither side is stored", _total_vec_sql("v / (v * 4)"))
+def vec_ew_div_gv(t: Tables) -> DataFrame:
+    v = t.gv()
+    return _vec_df(v / (v * 4))
 
 
 # ========================================================== tiles, UDF surface, inspection
@@ -657,6 +835,52 @@ _STORED_TILES_S = ("(SELECT DISTINCT i // 10 AS bi, j // 10 AS bj FROM s) st "
                    "ON gs.i // 10 = st.bi AND gs.j // 10 = st.bj")
 
 
+@query("get_tile_tiles_p", "D1 getBlock on sparse tiles",
+       _with("p", "SELECT i, j, v FROM p WHERE i < 128 AND j < 16"))
+def get_tile_tiles_p(t: Tables) -> DataFrame:
+    return _cells(t.p().to_tiles().get_tile(0, 0).to_cells(drop_zeros=True))
+
+
+@query("vec_map_tiles_gv", "U2 vector map_tiles(numpy fn) over stored tiles",
+       _with("gv gvv", "SELECT i, v * 2 + 1 AS v FROM gvv"))
+def vec_map_tiles_gv(t: Tables) -> DataFrame:
+    return _vec_df(t.gv().to_tiles().densify().map_tiles(lambda x: x * 2 + 1))
+
+
+@query("vec_zip_tiles_gv", "U5 vector zip_tiles(numpy fn)",
+       _with("gv gvv", "SELECT i, greatest(v, 60) AS v FROM gvv"))
+def vec_zip_tiles_gv(t: Tables) -> DataFrame:
+    v = t.gv()
+    return _vec_df(v.zip_tiles(gen.vec_fill(t.spark, v.n, 60.0, v.tile, layout="tiles"), np.maximum))
+
+
+@query("norms_tiles_gv", "R2 R3 R4 on tiles: normSquared, 2-norm, 1-norm",
+       _with("gv", "SELECT 'norm_squared' AS name, sum(v * v) AS v FROM gv UNION ALL "
+                   "SELECT 'norm2', round(sqrt(sum(v * v)), 6) FROM gv UNION ALL SELECT 'norm1', sum(abs(v)) FROM gv"))
+def norms_tiles_gv(t: Tables) -> DataFrame:
+    v = t.gv().to_tiles()
+    return (v.norm_squared().select(F.lit("norm_squared").alias("name"), F.col("norm_squared").alias(V))
+            .union(v.norm().select(F.lit("norm2"), F.round("norm", 6)))
+            .union(v.norm(1).select(F.lit("norm1"), "norm")))
+
+
+@query("row_sums_tiles_p", "R7 row sums on sparse tiles (no cells)",
+       _with("p", "SELECT i, sum(v) AS v FROM p GROUP BY i"))
+def row_sums_tiles_p(t: Tables) -> DataFrame:
+    return _vec_df(t.p().to_tiles().row_sums().to_cells(drop_zeros=True))
+
+
+@query("col_max_tiles_g", "R8 column max on sparse tiles", _with("g gg", "SELECT j AS i, max(v) AS v FROM gg GROUP BY j"))
+def col_max_tiles_g(t: Tables) -> DataFrame:
+    return _vec_df(t.g().to_tiles().reduce_cols("max"))
+
+
+@query("row_prod_tiles_s", "R7 row products on tiles",
+       _with("s gs", "SELECT i, product(coalesce(1 + v % 2, 1)) AS v FROM gs LEFT JOIN s USING (i, j) GROUP BY i"))
+def row_prod_tiles_s(t: Tables) -> DataFrame:
+    return _vec_df(_parity(t.s().to_tiles().densify()).reduce_rows("product"))
+
+
 @query("map_tiles_s", "U1 map_tiles(numpy fn) over stored tiles",
        _with("s gs", f"SELECT i, j, coalesce(v, 0) * 2 + 1 AS v FROM gs JOIN {_STORED_TILES_S} "
                      "LEFT JOIN s USING (i, j)"))
@@ -709,15 +933,25 @@ def drop_zero_tiles_s(t: Tables) -> DataFrame:
     return _cells((s * eye).drop_zero_tiles())
 
 
+_SS = ("SELECT x.i AS i, y.j AS j, sum(x.v * y.v) AS v FROM s x JOIN s y ON x.j = y.i GROUP BY 1, 2")
+
+
 @query("approx_equal_s", "D2 equality: cells product = tiles product",
-       "SELECT true AS equal, CAST(0 AS DOUBLE) AS max_abs_diff FROM "
-       "(SELECT count(*) AS n FROM lineitem) t")
+       _with("s", f"SELECT max(abs(p.v - q.v)) <= 0 AS equal, max(abs(p.v - q.v)) AS max_abs_diff FROM ({_SS}) p "
+                  f"JOIN ({_SS}) q USING (i, j)"))
 def approx_equal_s(t: Tables) -> DataFrame:
     s = t.s()
     st = s.to_tiles()
     return (s @ s).approx_equal(st @ st)
 
 
+@query("approx_unequal_g", "D2 equality of unequal matrices: g and 2 g + 1",
+       _with("g gg", "SELECT max(abs(v + 1)) <= 0.5 AS equal, max(abs(v + 1)) AS max_abs_diff FROM gg"))
+def approx_unequal_g(t: Tables) -> DataFrame:
+    g = t.g()
+    return g.approx_equal((g * 2 + 1).to_tiles(), tol=0.5)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -4,6 +4,7 @@ and the broadcast size rule every join in the library goes through."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +39,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is.  Only when it is
-    unset (local tests) is a fresh local folder created and recorded in the session.
+    On a cluster the setting must name storage that all executors share; without it this
+    raises.  Only a local session (one machine by definition) gets a fresh local folder,
+    which is recorded in the session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder "
+                             "that all executors share")
         d = tempfile.mkdtemp(prefix="tilealg-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

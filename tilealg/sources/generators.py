@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..functions.exprs import uniform01
+from ..functions.exprs import idiv, uniform01
 from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, TILES, V, W,
                      TileMatrix, TileVector)
 
@@ -26,11 +26,10 @@ ROWS_PER_TASK = 1 << 20
 
 def _cell_grid(spark: SparkSession, nrows: int, ncols: int) -> DataFrame:
     n = nrows * ncols
-    parts = max(1, min(1 << 16, -(-n // ROWS_PER_TASK)))
-    ids = spark.range(0, n, 1, parts)
+    ids = spark.range(0, n, 1, max(1, -(-n // ROWS_PER_TASK)))
     if ncols == 1:
         return ids.select(F.col("id").alias(I), F.lit(0).cast("bigint").alias(J))
-    return ids.select(F.floor(F.col("id") / ncols).cast("bigint").alias(I),
+    return ids.select(idiv(F.col("id"), ncols).alias(I),
                       F.pmod(F.col("id"), F.lit(ncols)).cast("bigint").alias(J))
 
 
@@ -38,9 +37,8 @@ def _tile_grid(spark: SparkSession, nrows: int, ncols: int, tile: tuple[int, int
     th, tw = tile
     gr, gc = -(-nrows // th), -(-ncols // tw)
     n = gr * gc
-    parts = max(1, min(1 << 14, -(-n * th * tw // ROWS_PER_TASK)))
-    ids = spark.range(0, n, 1, parts)
-    bi = F.floor(F.col("id") / gc).cast("bigint")
+    ids = spark.range(0, n, 1, max(1, -(-n * th * tw // ROWS_PER_TASK)))
+    bi = idiv(F.col("id"), gc)
     bj = F.pmod(F.col("id"), F.lit(gc)).cast("bigint")
     h = F.least(F.lit(th).cast("bigint"), F.lit(nrows) - bi * th).cast("int")
     w = F.least(F.lit(tw).cast("bigint"), F.lit(ncols) - bj * tw).cast("int")
@@ -53,7 +51,7 @@ def _tile_positions(tile: tuple[int, int], value: Callable[[Column, Column], Col
     return F.transform(
         F.sequence(F.lit(0), F.col(H) * F.col(W) - 1),
         lambda p: value(F.col(BI) * th + F.pmod(p, F.col(H)),
-                        F.col(BJ) * tw + F.floor(p / F.col(H))).cast("double"))
+                        F.col(BJ) * tw + idiv(p, F.col(H))).cast("double"))
 
 
 def generate(spark: SparkSession, nrows: int, ncols: int,
@@ -67,7 +65,13 @@ def generate(spark: SparkSession, nrows: int, ncols: int,
     else:
         df = _tile_grid(spark, nrows, ncols, tile).select(BI, BJ, H, W,
                                                           _tile_positions(tile, fn).alias(DATA))
-    return TileMatrix(df, nrows, ncols, tile, layout)
+    return _full(TileMatrix(df, nrows, ncols, tile, layout))
+
+
+def _full(m: TileMatrix) -> TileMatrix:
+    """Mark a matrix that stores every cell."""
+    m.full = True
+    return m
 
 
 def generate_tiles(spark: SparkSession, nrows: int, ncols: int, fn,
@@ -77,7 +81,7 @@ def generate_tiles(spark: SparkSession, nrows: int, ncols: int, fn,
     tile = (int(tile[0]), int(tile[1]))
     grid = _tile_grid(spark, nrows, ncols, tile)
     df = grid.mapInArrow(kernels.generate_tiles_batches(fn, *tile), TILE_SCHEMA)
-    return TileMatrix(df, nrows, ncols, tile, TILES)
+    return _full(TileMatrix(df, nrows, ncols, tile, TILES))
 
 
 def fill(spark: SparkSession, nrows: int, ncols: int, a: float,
@@ -87,7 +91,7 @@ def fill(spark: SparkSession, nrows: int, ncols: int, a: float,
         tile = (int(tile[0]), int(tile[1]))
         df = _tile_grid(spark, nrows, ncols, tile).select(
             BI, BJ, H, W, F.array_repeat(F.lit(a), F.col(H) * F.col(W)).alias(DATA))
-        return TileMatrix(df, nrows, ncols, tile, TILES)
+        return _full(TileMatrix(df, nrows, ncols, tile, TILES))
     return generate(spark, nrows, ncols, lambda i, j: F.lit(a), tile, layout)
 
 
@@ -116,8 +120,7 @@ def eye(spark: SparkSession, nrows: int, ncols: int | None = None, tile=DEFAULT_
     ncols = nrows if ncols is None else ncols
     if layout == CELLS:
         n = min(nrows, ncols)
-        parts = max(1, min(1 << 16, -(-n // ROWS_PER_TASK)))
-        df = spark.range(0, n, 1, parts).select(F.col("id").alias(I), F.col("id").alias(J),
+        df = spark.range(0, n, 1, max(1, -(-n // ROWS_PER_TASK))).select(F.col("id").alias(I), F.col("id").alias(J),
                                                  F.lit(1.0).alias(V))
         return TileMatrix(df, nrows, ncols, tile, CELLS)
     return generate(spark, nrows, ncols,

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..model import CELLS, TileMatrix, TileVector
+from ..model import BI, BJ, CELLS, I, J, TileMatrix, TileVector
 
 SHAPE_SCHEMA = "nrows bigint, ncols bigint, tile_h int, tile_w int, layout string"
 
@@ -14,7 +14,10 @@ def save(m, path: str, mode: str = "error") -> None:
     if isinstance(m, TileVector):
         m = m.mat
     spark = m.spark
-    m.df.write.mode(mode).parquet(f"{path}/data")
+    # files and row groups cover ranges of ids, so that reading one tile skips the others
+    keys = [I, J] if m.layout == CELLS else [BI, BJ]
+    (m.df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .write.mode(mode).parquet(f"{path}/data"))
     (spark.createDataFrame([(m.nrows, m.ncols, m.tile_h, m.tile_w, m.layout)], SHAPE_SCHEMA)
      .coalesce(1).write.mode(mode).parquet(f"{path}/shape"))
 

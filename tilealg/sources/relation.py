@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import (BI, BJ, CELLS, DATA, H, I, J, TILES, V, W, ShapeMismatchError,
+from ..functions import kernels
+from ..functions.exprs import idiv
+from ..model import (BI, BJ, CELLS, I, J, TILE_SCHEMA, TILES, V, W, ShapeMismatchError,
                      TileMatrix, TileVector)
 
 DEFAULT_TILE = (512, 512)
@@ -72,85 +74,83 @@ def vector_from_relation(df: DataFrame, i="i", v="v", n: int | None = None,
 
 def from_arrays(df: DataFrame, row: str, array: str, ncols: int | None = None,
                 nrows: int | None = None, tile: tuple[int, int] = DEFAULT_TILE,
-                skip_zeros: bool = False, layout: str = CELLS) -> TileMatrix:
-    """Rows of ``array<numeric>`` with an explicit, unique 0-based row id -> a matrix.
-
-    ``layout="cells"`` posexplodes the arrays.  ``layout="tiles"`` builds dense tiles
-    without a cell stage: each row is cut into tile-wide segments, the (at most ``h``)
-    segments of a tile are grouped and laid out column-major with higher-order
-    functions, all in the JVM.  Missing rows read as zeros; short arrays are padded.
+                skip_zeros: bool = False, layout: str = CELLS,
+                on_duplicate: str = "error") -> TileMatrix:
+    """Rows of ``array<numeric>`` with an explicit 0-based row id -> a matrix.
+
+    ``layout="cells"`` posexplodes the arrays; ``layout="tiles"`` cuts each array into
+    tile-wide segments and puts the (at most ``h``) segments of a tile together in an Arrow
+    task.  Both check the same things inside the job that reads the rows: a NULL row id,
+    array or element, a row id outside ``nrows`` and an array longer than ``ncols`` are
+    errors; a row id that comes twice is an error, or its arrays are summed
+    (``on_duplicate="sum"``).  Missing rows and the places that a short array leaves read as
+    zeros (absent cells).
     """
+    if on_duplicate not in ("error", "sum"):
+        raise ValueError(f"on_duplicate must be 'error' or 'sum', got {on_duplicate!r}")
     if nrows is None or ncols is None:
         ext = df.agg(F.max(row).alias("n"), F.max(F.size(array)).alias("d")).first()
         nrows = (0 if ext["n"] is None else int(ext["n"]) + 1) if nrows is None else nrows
-        ncols = int(ext["d"] or 0) if ncols is None else ncols
+        ncols = max(0, int(ext["d"] or 0)) if ncols is None else ncols
+    nrows, ncols = int(nrows), int(ncols)
+    raw = df.select(F.col(row).cast("bigint").alias(I),
+                    F.transform(array, lambda x: x.cast("double")).alias("_a"))
+    i, a = F.col(I), F.col("_a")
+    wrong = (i.isNull() | a.isNull() | (i < 0) | (i >= nrows) | (F.size(a) > ncols)
+             | F.exists(a, lambda x: x.isNull()))
+    said = F.concat(F.lit(f"row outside {nrows}x{ncols}, or NULL in it: row id "),
+                    F.coalesce(i.cast("string"), F.lit("NULL")))
+    rows = raw.select(I, F.when(F.coalesce(wrong, F.lit(True)), F.raise_error(said)).otherwise(a).alias("_a"))
     if layout == TILES:
-        return _arrays_to_tiles(df, row, array, int(nrows), int(ncols), tile)
-    ex = df.select(F.col(row).cast("bigint").alias(I),
-                   F.posexplode(array).alias("_p", "_x"))
-    cells = ex.select(I, F.col("_p").cast("bigint").alias(J), F.col("_x").cast("double").alias(V))
+        return _arrays_to_tiles(rows, nrows, ncols, tile, on_duplicate == "sum")
+    # one small shuffle of whole arrays proves that the row ids, and so the cells, are unique
+    one = rows.groupBy(I).agg(F.count("*").alias("_n"), F.first("_a").alias("_a"))
+    twice = F.raise_error(F.concat(F.lit("row id that comes more than once: "), i.cast("string")))
+    if on_duplicate == "sum":
+        cells = (rows.select(I, F.posexplode("_a").alias("_p", V)).groupBy(I, "_p").agg(F.sum(V).alias(V)))
+    else:
+        one = one.select(I, F.when(F.col("_n") > 1, twice).otherwise(F.col("_a")).alias("_a"))
+        cells = one.select(I, F.posexplode("_a").alias("_p", V))
+    cells = cells.select(I, F.col("_p").cast("bigint").alias(J), V)
     if skip_zeros:
         cells = cells.filter(F.col(V) != 0)
     return TileMatrix(cells, nrows, ncols, tile, CELLS)
 
 
-def _arrays_to_tiles(df: DataFrame, row: str, array: str, nrows: int, ncols: int,
-                     tile: tuple[int, int]) -> TileMatrix:
+def _arrays_to_tiles(rows: DataFrame, nrows: int, ncols: int, tile: tuple[int, int],
+                     dup_sum: bool) -> TileMatrix:
     th, tw = int(tile[0]), int(tile[1])
     gc = max(1, -(-ncols // tw))
-    bj = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(gc - 1).cast("bigint"))) \
-        if gc > 1 else F.lit(0).cast("bigint")
-    rows = df.select(F.col(row).cast("bigint").alias(I),
-                     F.transform(array, lambda x: x.cast("double")).alias("_a"))
-    rows = rows.filter(F.col(I).isNotNull()).select(I, bj.alias(BJ), "_a")
-    bi = F.floor(F.col(I) / th).cast("bigint")
+    bj = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(gc - 1).cast("bigint")))
     w = F.least(F.lit(tw).cast("bigint"), F.lit(ncols) - F.col(BJ) * tw).cast("int")
-    seg = F.slice("_a", (F.col(BJ) * tw + 1).cast("int"), w)
-    seg = F.concat(seg, F.array_repeat(F.lit(0.0), w - F.size(seg)))   # pad short rows
-    parts = rows.select(bi.alias(BI), BJ, (F.col(I) - bi * th).alias("_r"), w.alias(W),
-                        seg.alias("_s"))
-    grouped = parts.groupBy(BI, BJ).agg(F.collect_list(F.struct("_r", "_s")).alias("_l"),
-                                        F.first(W).alias(W))
-    h = F.least(F.lit(th).cast("bigint"), F.lit(nrows) - F.col(BI) * th).cast("int")
-    grouped = grouped.select(BI, BJ, h.alias(H), W, "_l")
-    # (column-major position, value) for every stored element, zeros for missing rows,
-    # then one sort by position.  No lambda reads a column array, so nothing is
-    # re-evaluated per element whatever Catalyst inlines.
-    hh, ww = F.col(H), F.col(W)
-    present = F.flatten(F.transform("_l", lambda x: F.transform(
-        F.sequence(F.lit(0), ww - 1),
-        lambda c: F.struct((c * hh + x["_r"]).cast("int").alias("p"),
-                           x["_s"][c].alias("x")))))
-    missing = F.array_except(F.sequence(F.lit(0), hh - 1),
-                             F.transform("_l", lambda x: x["_r"].cast("int")))
-    zeros = F.flatten(F.transform(missing, lambda r: F.transform(
-        F.sequence(F.lit(0), ww - 1),
-        lambda c: F.struct((c * hh + r).cast("int").alias("p"), F.lit(0.0).alias("x")))))
-    data = F.transform(F.sort_array(F.concat(present, zeros)), lambda e: e["x"])
-    out = grouped.select(BI, BJ, H, W, data.alias(DATA))
-    return TileMatrix(out, nrows, ncols, (th, tw), TILES)
+    parts = rows.select(I, "_a", bj.alias(BJ)).select(
+        idiv(F.col(I), th).alias(BI), BJ, I, w.alias(W),
+        F.slice("_a", (F.col(BJ) * tw + 1).cast("int"), w).alias("seg"))
+    df = parts.groupBy(BI, BJ).applyInArrow(kernels.rows_to_tile(dup_sum, th, nrows), TILE_SCHEMA)
+    return TileMatrix(df, nrows, ncols, (th, tw), TILES)
 
 
 def index_keys(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
     """Dictionary ``(key, idx)`` giving each distinct key a dense 0-based index in key
     order, so non-integer keys can serve as matrix indices (join it to the data).
 
-    All in DataFrame operators, in parallel: the distinct keys are range-partitioned
-    and sorted; ``monotonically_increasing_id`` gives each key its partition and its
-    position inside it; a running sum over the per-partition counts (one row per
-    partition, so a bounded broadcast) turns positions into global indices.  The
-    ranged exchange is shared by both uses, so counts and positions agree.  Checkpoint
-    the result when it must stay fixed across jobs.
+    The distinct keys are range-partitioned, sorted and written to the shared scratch folder
+    once, with their partition and place in it; the counts per partition (one row each, a
+    bounded broadcast) turn places into global indices.  Counts and places are read from the
+    same files, so they agree whatever is recomputed.
     """
     from pyspark.sql import Window
 
+    from ..session import scratch_path, shuffle_parallelism
+
     spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = (df.select(key).distinct().repartitionByRange(nparts, key)
-              .sortWithinPartitions(key))
     mid = F.monotonically_increasing_id()
-    tagged = ranged.select(key, F.shiftright(mid, 33).alias("_pid"),
-                           (mid.bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"))
+    ranged = (df.select(key).distinct().repartitionByRange(shuffle_parallelism(spark), key)
+              .sortWithinPartitions(key).withColumn("_mid", mid))
+    path = scratch_path(spark, "keys")
+    ranged.write.parquet(path)
+    tagged = spark.read.schema(ranged.schema).parquet(path).select(
+        key, F.shiftright("_mid", 33).alias("_pid"), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
                             .alias("_off"))

@@ -8,4 +8,4 @@ holds the matrix, so the stream's cost per micro-batch is the size of the new fi
 """
 
 from .text_stream import (append_cells_log, load_cells_log, load_vector_log,  # noqa: F401
-                          read_text_stream, read_text_vector_stream)
+                          read_text_stream, read_text_vector_stream, rejected_lines)
