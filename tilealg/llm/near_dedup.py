@@ -48,7 +48,9 @@ BLOOM_BITS = 1 << 23
 LOCAL_MEMORY = 200_000
 
 _SIGNED = "rid long, lead long, doc_id long, key long, n long, fp1 long, fp2 long, sig binary, keys array<long>"
-_SETS = "fp1 long, fp2 long, items array<long>"
+_SETS = "fp1 long, fp2 long, items array<long>, bits array<long>"
+#: Bits of the map that says, per set, which of so many hash classes hold a shingle.
+MAP_BITS = 512
 
 
 def _seeds():
@@ -168,11 +170,20 @@ def _in_bloom(words: np.ndarray, fp1: int) -> bool:
     return all(int(words[k >> 6]) >> (k & 63) & 1 for k in slots)
 
 
+def bit_map(items: np.ndarray) -> np.ndarray:
+    """MAP_BITS bits, as 64-bit words: which classes of hashes occur in a set.  A bit that x
+    has and y has not stands for a shingle of x that is not in y."""
+    out = np.zeros(MAP_BITS // 64, np.uint64)
+    slot = items & np.uint64(MAP_BITS - 1)
+    np.bitwise_or.at(out, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _set_reader(words: int, bloom):
     def run(batches):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            f1, f2, out = [], [], []
+            f1, f2, out, bits = [], [], [], []
             for _, items in _sets(batch.column("text"), words):
                 if not len(items):
                     continue
@@ -185,9 +196,10 @@ def _set_reader(words: int, bloom):
                 f1.append(p[0])
                 f2.append(p[1])
                 out.append(items.view(np.int64))
+                bits.append(bit_map(items))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(out, pa.list_(pa.int64()))], ["fp1", "fp2", "items"])
+                [pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(out, pa.list_(pa.int64())),
+                 pa.array(bits, pa.list_(pa.int64()))], ["fp1", "fp2", "items", "bits"])
     return run
 
 
@@ -254,10 +266,11 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         Shingles are ordered by how many of these texts hold them, rarest first.  If two
         sets of sizes n and m share ceil(percent * (n + m) / (100 + percent)) shingles, their
         first common shingle comes so early in both that as many can follow in either; so
-        only early shingles are joined, and none that a single text holds."""
+        only early shingles are joined, and none that a single text holds.  Bits that only
+        one of two sets has in its ``bit_map`` bound what they can share as well."""
         one = (open_docs.join(who.select("rid", "fp1", "fp2", "n"), "rid").groupBy("fp1", "fp2")
                .agg(F.min("rid").alias("rid"), F.min("comp").alias("comp"), F.min("n").alias("n")))
-        items = written(one.join(sets, ["fp1", "fp2"]).select("rid", "comp", "n", "items"), "items")
+        items = written(one.join(sets, ["fp1", "fp2"]).select("rid", "comp", "n", "bits", "items"), "items")
         each = items.select("rid", F.explode("items").alias("item"))
         held = written(each.groupBy("item").agg(F.count("*").alias("held")).where("held > 1"), "held")
         few = (each.join(held, "item").groupBy("rid")
@@ -265,13 +278,17 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         early = F.expr(f"n - ceil({percent} * n / 100) + 1 - (n - size(few))")
         few = (items.drop("items").join(few, "rid").withColumn("early", early.cast("int")).where("early > 0")
                .withColumn("alone", F.col("n") - F.size("few")))
-        few = written(few.select("rid", "comp", "n", "alone", F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
-                      .select("rid", "comp", "n", F.col("col.item").alias("item"),
+        few = written(few.select("rid", "comp", "n", "bits", "alone", F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
+                      .select("rid", "comp", "n", "bits", F.col("col.item").alias("item"),
                               (F.col("alone") + F.col("pos")).alias("at")), "early")
-        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at")])
-        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at")])
+        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at", "bits")])
+        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at", "bits")])
+
+        def only(a: str, b: str) -> str:
+            return " + ".join(f"bit_count(bits_{a}[{k}] & ~bits_{b}[{k}])" for k in range(MAP_BITS // 64))
         met = x.join(y, "item").where(
-            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
+            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y, n_x - ({only('x', 'y')}), "
+            f"n_y - ({only('y', 'x')})) >= {percent} * (n_x + n_y)")
         return met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
 
     pair = [F.least("rid", "anchor").alias("a"), F.greatest("rid", "anchor").alias("b")]
