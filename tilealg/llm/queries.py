@@ -145,7 +145,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@query("op7_feistel_shards")
+@query("op7_feistel_shards", sql=sharding.oracle(16))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards under the law `rows`."""
     s = sharding.shard_rows(spark, _documents(spark, sf_dir), shards=16)

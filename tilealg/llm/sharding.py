@@ -197,7 +197,13 @@ walk(row, v, steps) AS (
                FROM walk k, d WHERE k.steps = 0 OR k.v >= d.n),
     {', '.join(steps)}
     SELECT row, y * a + x AS v, steps FROM {last}) q),
-p AS (SELECT row, v FROM walk, d WHERE steps > 0 AND v < n)
-SELECT r.doc_id, r.size, 'rows' AS law, CAST(p.v % {shards} AS INTEGER) AS shard,
-  CAST(p.v // {shards} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, r.text_crc32
-FROM (SELECT *, 0 AS text_crc32 FROM r) r JOIN p USING (row)"""
+p AS (SELECT row, v FROM walk, d WHERE steps > 0 AND v < n),
+tab AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 1, 2, 3, 4, 5, 6, 7],
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+bytes AS (SELECT row, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+  lambda h: ('0x' || h)::BIGINT) AS b FROM r),
+crc AS (SELECT row, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+  lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1]))) AS text_crc32 FROM bytes, tab)
+SELECT r.doc_id, r.size, crc.text_crc32, 'rows' AS law, CAST(p.v % {shards} AS INTEGER) AS shard,
+  CAST(p.v // {shards} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM r JOIN p USING (row) JOIN crc USING (row)"""
