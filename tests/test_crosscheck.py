@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 import tilealg as ta
 
 
-def test_against_mllib_block_matrix(spark):
+def test_against_mllib(spark):
     from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
 
     rng = np.random.default_rng(17)

@@ -1,6 +1,6 @@
 """Element-wise operators on two matrices of equal shape.
 
-Semantics follow the reference's block cogroup, at cell (or tile) granularity: the
+Semantics follow the reference's cogroup of tiles, at cell (or tile) granularity: the
 result is stored wherever *either* operand is stored, a missing side reads as 0, and
 positions stored on neither side stay absent (for ``divide`` only with ``absent="keep"``).
 
