@@ -58,3 +58,51 @@ def test_own_templates_and_empty_table(spark, docs_of):
     got = lc.scan(spark, docs_of(rows), [("own", "My own license words come")]).collect()
     assert [(m["license"], m["contained"]) for m in got[0]["matches"]] == [("own", 1.0)]
     assert lc.scan(spark, docs_of([])).count() == 0
+
+
+GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as "
+       "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+BSD = lc.TEMPLATES[[name for name, _ in lc.TEMPLATES].index("BSD")][1]
+NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+         "products derived from this software without specific prior written permission.")
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES'
+
+
+def test_version_and_name_decide_between_related_licenses(spark, docs_of):
+    cases = [
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License.", "GPL"),
+        ("This work is licensed under the GNU General Public License, version X.", "GPL"),
+        (GPL.format("General Public License", 2), "GPL-2.0"), (GPL.format("General Public License", 3), "GPL-3.0"),
+        (GPL.format("Affero General Public License", 3), "AGPL-3.0"),
+        (GPL.format("Lesser General Public License", 3), "LGPL-3.0"),
+        (GPL.format("Lesser General Public License", "2.1"), "LGPL-2.1"),
+        (GPL.format("General Public License", 3) + " " + GPL.format("Affero General Public License", 3), "AGPL-3.0,GPL-3.0"),
+        ("Licensed under the MIT License.", "MIT"), ("This project is licensed under the MIT License.", "MIT"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY-NC-ND 3.0.", "CC-BY-NC-ND-3.0"),
+        ("All text is available under the Creative Commons Attribution-ShareAlike 3.0 License", "CC-BY-SA-3.0"),
+        (f"{BSD} {AS_IS}", "BSD-2-Clause"), (f"{BSD} {NAMES} {AS_IS}", "BSD-3-Clause"), (BSD, "BSD"),
+        ("Released under CC0 1.0 Universal.", "CC0-1.0"), ("SPDX-License-Identifier: AGPL-3.0-only", "AGPL-3.0"),
+        ("No license is given for the words of this text.", ""),
+    ]
+    rows = [(k, f"Some words before it.\n{t}\nSome words after it.") for k, (t, _) in enumerate(cases)]
+    got = lc.scan(spark, docs_of(rows), lc.CATALOGUE, decide=True).collect()
+    names = {r["doc_id"]: ",".join(sorted({m["license"] for m in r["matches"]})) for r in got}
+    assert [names[k] for k in range(len(cases))] == [want for _, want in cases]
+
+
+def test_every_notice_of_the_catalogue_is_its_own_license(spark, docs_of):
+    got = lc.scan(spark, docs_of([(k, t) for k, (_, t) in enumerate(lc.CATALOGUE)]), lc.CATALOGUE, decide=True).collect()
+    assert {r["doc_id"]: {m["license"] for m in r["matches"]} for r in got} == \
+        {k: {name} for k, (name, _) in enumerate(lc.CATALOGUE)}
+
+
+def test_further_wordings_do_not_count_beside_their_notice(spark, docs_of):
+    rows = list(enumerate(t for _, t in lc.TEMPLATES))
+    plain = {r["doc_id"]: [m for m in r["matches"] if m["license"] == lc.TEMPLATES[r["doc_id"]][0]]
+             for r in lc.scan(spark, docs_of(rows)).collect()}
+    full = {r["doc_id"]: r["matches"] for r in lc.scan(spark, docs_of(rows), lc.CATALOGUE, decide=True).collect()}
+    for k in (0, 2, 4, 11):  # the notices of the given tables among them
+        assert full[k] == plain[k]

@@ -107,8 +107,9 @@ SELECT d.doc_id, coalesce(licenses, '') AS licenses, CAST(coalesce(n_templates,
 FROM documents d LEFT JOIN found ON d.doc_id = found.doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its licenses (sorted, comma between), the templates that matched, and
-    the largest share of a template's shingles that it holds (0 without a match)."""
-    m = licenses.scan(spark, _documents(spark, sf_dir))
+    the largest share of a template's shingles that it holds (0 without a match).  The SQL
+    knows TEMPLATES only, which is all that the given tables' notices need."""
+    m = licenses.scan(spark, _documents(spark, sf_dir), licenses.CATALOGUE, decide=True)
     return m.select("doc_id", F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
                     F.size("matches").alias("n_templates"),
                     F.coalesce(F.array_max("matches.contained"), F.lit(0.0)).alias("contained"))
