@@ -106,3 +106,11 @@ def test_prediction_does_not_depend_on_batches(spark, docs_of, pieces):
            li.identify(spark, docs_of(rows).repartition(pieces), parser).collect()}
     assert [out[k][0] for k, *_ in rows] == direct[0]
     assert np.allclose([out[k][1] for k, *_ in rows], direct[1])
+
+
+def test_ties_of_short_texts_are_accepted(spark, docs_of):
+    rows = corpus() + [(1000, "q", None), (1001, "W q.", None), (1002, "ka sch", None), (1003, "1 - 2", None)]
+    docs = docs_of(rows)
+    lang, score = li.learn(spark, docs).predict(["q", "W q."])
+    assert "und" not in lang and max(score) < li.MIN_SCORE
+    assert {r["doc_id"] for r in li.accepted(spark, docs).where("doc_id >= 1000").collect()} == {1000, 1001, 1002}
