@@ -1,5 +1,5 @@
 """A training-data pipeline over the table ``documents``: language identification, exact
-and near deduplication, mixing of sources to target weights, and BPE encoding.
+and near deduplication, mixing of sources to target weights, and BPE encoding and decoding.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's ``docs``.  All
@@ -42,7 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (operator 9): doc_id, n_tokens, token_ids."""
+    """Token ids of every document, and the checksum of the text they decode to (operator 9):
+    doc_id, n_tokens, token_ids, decoded_sha256."""
     return bpe.encode(spark, docs, bpe.tokenizer_path())
 
 

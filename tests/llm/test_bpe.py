@@ -81,3 +81,15 @@ def test_encode_and_decode(spark, docs_of, library):
         want = library.encode(t or "", add_special_tokens=False).ids
         assert ids[i] == want and back[i] == library.decode(want, skip_special_tokens=False)
     assert bpe.encode(spark, docs_of([]), bpe.tokenizer_path()).count() == 0
+
+
+def test_encode_checks_the_text_its_ids_decode_to(spark, docs_of):
+    rows = [(1, "Hello  world, hello"), (2, ""), (3, None), (4, "é\nx 12")]
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    enc = bpe.encode(spark, docs_of(rows), bpe.tokenizer_path())
+    assert enc.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
+    back = {r["doc_id"]: r["text"] for r in bpe.decode(spark, enc, bpe.tokenizer_path()).collect()}
+    for r in enc.collect():
+        want = library.decode(r["token_ids"], skip_special_tokens=False)
+        assert back[r["doc_id"]] == want
+        assert r["decoded_sha256"] == hashlib.sha256(want.encode()).hexdigest()

@@ -216,7 +216,8 @@ def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col:
 
 def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and ``token_ids`` (array of int) of every text."""
+    """doc_id, n_tokens, ``token_ids`` (array of int) of every text, and ``decoded_sha256``,
+    the checksum of the text that these ids decode to."""
     small_batches(spark)
     content = _file(spark, tokenizer)
 
@@ -226,13 +227,14 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "
             ids = [model.encode(t)[0] for t in batch.column("text").to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
             flat = np.frombuffer(b"".join(ids), np.int32)
+            dec_sha = [hashlib.sha256(model.decode(unpack(x)).encode("utf-8")).hexdigest() for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "n_tokens", "token_ids"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "token_ids", "decoded_sha256"])
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, decoded_sha256 string")
 
 
 def decode(spark: SparkSession, encoded: DataFrame, tokenizer: str) -> DataFrame:
