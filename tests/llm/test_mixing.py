@@ -82,3 +82,26 @@ def test_nulls_empty_texts_and_empty_table(spark, docs_of):
 def test_source_without_words(spark, docs_of):
     rows = [(k, "", "en", "a") for k in range(10)]
     assert sum(r["taken"] for r in mixing.Mix(spark, docs_of(rows), mixing.cyclic_weights(1)).taken().collect()) == 0
+
+
+def test_taken_names_the_shard_of_every_draw(spark, docs_of):
+    m = mixing.Mix(spark, docs_of(corpus(600)), mixing.cyclic_weights(3, 1, 2), shards=4)
+    drawn = {}
+    for r in m.mix().collect():
+        drawn.setdefault(r["doc_id"], []).append(r["shard"])
+    taken = {r["doc_id"]: r["shards"] for r in m.taken().collect()}
+    assert {k: v for k, v in taken.items() if v} == {k: sorted(v) for k, v in drawn.items()}
+    assert len(taken) == 600
+
+
+def test_many_sources_are_not_broadcast(spark, docs_of):
+    rows = [(k, "x y", "en", f"source {k} " + "s" * 2000) for k in range(40)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        m = mixing.Mix(spark, docs_of(rows), mixing.cyclic_weights(1))
+        plan = m.taken()._jdf.queryExecution().optimizedPlan().toString()
+        assert "broadcast" not in plan and m.source_bytes > 80_000
+        assert sum(r["taken"] for r in m.taken().collect()) == 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

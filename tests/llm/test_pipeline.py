@@ -126,3 +126,11 @@ def test_oracles_match(spark):
         a = sorted(str([r[c] for c in cols]) for r in got.collect())
         b = sorted(str([r[want.columns.index(c)] for c in cols]) for r in want.fetchall())
         assert hashlib.sha1(repr(a).encode()).digest() == hashlib.sha1(repr(b).encode()).digest(), name
+
+
+def test_mix_stage_is_dealt_to_shards_and_shuffled(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    want = [(r["shard"], r["order_key"], r["doc_id"]) for r in
+            mixing.Mix(spark, docs, mixing.cyclic_weights(3, 1, 2)).mix().collect()]
+    got = [r["doc_id"] for r in corpus_pipeline.mix(spark, docs, folder[0]).collect()]
+    assert got == [i for _, _, i in sorted(want, key=lambda x: (x[0], x[1], x[2] or 0))] and got != sorted(got)

@@ -146,7 +146,9 @@ class Mix:
         self.sources = spark.createDataFrame(
             [(k, s, n, float(t)) for k, ((s, n), t) in enumerate(zip(totals, goal))],
             "sid int, source string, source_size long, target double")
-        planned = (blocks.join(F.broadcast(self.sources.withColumnRenamed("source", "src")),
+        #: Bytes of the table of sources: their names are known, the rest is numbers.
+        self.source_bytes = sum(64 + len((n or "").encode("utf-8", "surrogatepass")) for n, _ in totals)
+        planned = (blocks.join(maybe_broadcast(self.sources.withColumnRenamed("source", "src"), self.source_bytes),
                                F.col("source").eqNullSafe(F.col("src")))
                    .withColumn("mixed", F.xxhash64("source", "block", F.lit(seed))))
         picked = written(planned.select("sid", "block", "words", "target", "mixed").groupBy("sid")
@@ -161,21 +163,24 @@ class Mix:
         named = self.sources.select(F.col("sid").alias("sid3"), F.col("source").alias("src"))
         self.draws = written(
             picked.hint("merge").join(where, (F.col("sid") == F.col("sid2")) & (F.col("place") == F.col("place2")))
-            .join(F.broadcast(named), F.col("sid") == F.col("sid3"))
+            .join(maybe_broadcast(named, self.source_bytes), F.col("sid") == F.col("sid3"))
             .select("src", F.col("block").alias("blk"), "epoch", "shard"), "draws")
         #: Proven bound of a draw's row times the most draws there can be.
         self.draw_bytes = 64 * BLOCKS * cap * max(1, len(totals))
 
     def taken(self) -> DataFrame:
-        """Every row with its size, its source's size and target, and the words taken of it."""
-        times = self.draws.groupBy("src", "blk").agg(F.count("*").alias("times"))
+        """Every row with its size, its source's size and target, the words taken of it, and
+        ``shards``: the shard of each of its draws, in order."""
+        times = self.draws.groupBy("src", "blk").agg(F.count("*").alias("times"),
+                                                     F.sort_array(F.collect_list("shard")).alias("shards"))
         out = self.rows.join(maybe_broadcast(times, self.draw_bytes),
                              F.col("source").eqNullSafe(F.col("src")) & (F.col("block") == F.col("blk")),
                              "left").drop("src")
         of = self.sources.select(F.col("source").alias("src"), "source_size", "target")
-        return (out.join(F.broadcast(of), F.col("source").eqNullSafe(F.col("src")))
+        return (out.join(maybe_broadcast(of, self.source_bytes), F.col("source").eqNullSafe(F.col("src")))
                 .select("doc_id", "size", "source_size", "target",
-                        (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken")))
+                        (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken"),
+                        F.coalesce("shards", F.array().cast("array<int>")).alias("shards")))
 
     def mix(self) -> DataFrame:
         """The mixed rows: all columns of the documents once per draw, with ``shard`` and
