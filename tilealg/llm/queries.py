@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, langid, licenses, mixing, near_dedup, quality, sharding, toxicity
+from . import (bpe, exact_dedup, html_text, langid, licenses, mixing, near_dedup, prefix_trie, quality, sharding,
+               substring_dedup, toxicity, whitening)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -194,3 +195,79 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = near_dedup.near_groups(spark, _documents(spark, sf_dir), words=4, percent=80)
     return g.select("doc_id", "n_shingles", "component_id",
                     (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query("op11_prefix_trie", sql=r"""
+WITH tab AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 1, 2, 3, 4, 5, 6, 7],
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+turns AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(name ORDER BY turn NULLS FIRST, name, words) AS names,
+    list(words ORDER BY turn NULLS FIRST, name, words) AS words FROM turns GROUP BY conv_id),
+drawn AS (
+  SELECT conv_id, names, words, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1]))) % 4 AS h FROM own, tab),
+rebuilt AS (
+  SELECT d.conv_id, list_concat(coalesce(b.names, [])[1:d.h], d.names[d.h + 1:]) AS names,
+    list_concat(coalesce(b.words, [])[1:d.h], d.words[d.h + 1:]) AS words
+  FROM drawn d LEFT JOIN own b ON d.base = b.conv_id),
+paths AS (
+  SELECT conv_id, len(names) AS len, d AS depth, array_to_string(names[1:d], '') AS node,
+    CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words
+  FROM rebuilt, LATERAL (SELECT unnest(range(0, len(names) + 1)) AS d) r),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len = depth), '') AS ends
+  FROM paths GROUP BY node, depth),
+kids AS (
+  SELECT node, depth, left(node, CAST(32 * (depth - 1) AS BIGINT)) AS above FROM nodes WHERE depth > 0),
+n_kids AS (SELECT above, count(*) AS n FROM kids GROUP BY above),
+under AS (
+  SELECT left(n.node, CAST(32 * d AS BIGINT)) AS node, sum(saved) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM nodes n LEFT JOIN n_kids k ON n.node = k.above, LATERAL (SELECT unnest(range(0, n.depth + 1)) AS d) r GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(u.leaves AS BIGINT) AS n_leaves,
+  CAST(u.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, CAST(32 * (n.depth - 1) AS BIGINT))
+  LEFT JOIN n_kids k ON n.node = k.above JOIN under u ON n.node = u.node""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of twenty consecutive ids share the first turns of the first of them."""
+    seqs = prefix_trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.nodes(spark, prefix_trie.with_shared_starts(seqs, every=20, lengths=4)).drop("turn_key")
+
+
+@query("op12_substring_dedup", sql=r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS x
+  FROM words, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i) t),
+repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) AS low FROM windows) q WHERE low < doc_id),
+steps AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS new FROM repeated),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (
+    SELECT doc_id, i, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM steps) q GROUP BY doc_id, s),
+gaps AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS from_word, b,
+    lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last FROM spans),
+kept AS (
+  SELECT w.doc_id, flatten(list(CASE WHEN last THEN list_concat(w[from_word:a - 1], w[b:]) ELSE w[from_word:a - 1] END
+    ORDER BY a)) AS k FROM gaps g JOIN words w ON g.doc_id = w.doc_id GROUP BY w.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - len(coalesce(k.k, w.w)) AS BIGINT) AS n_removed,
+  sha256(array_to_string(coalesce(k.k, w.w), ' ')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of fifty words."""
+    return substring_dedup.remove_repeats(spark, _documents(spark, sf_dir), window=50)
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four components of the embeddings in steps of 1/256."""
+    return whitening.whiten(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), count=4, scale=256)
