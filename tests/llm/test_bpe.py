@@ -2,6 +2,9 @@ import hashlib
 import random
 import struct
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -27,37 +30,56 @@ ODD = ["", " ", "\n\t", "a<|endoftext|>B <|startoftext|>", "<|endoftext", "ΑΣ
        "a b　c\xa0d e᠎f \x85 g", "\x00\x01", "word\x0b\x0cword"]
 
 
-def same(model, library, text):
-    ids, decoded = model.encode(text)
-    want = library.encode(text, add_special_tokens=False).ids
-    assert bpe.unpack(ids) == want
-    assert decoded == library.decode(want, skip_special_tokens=False) == model.decode(want)
+def same(model, library, *texts):
+    flat, ends = model.encode_all(pa.array(texts, pa.string()))
+    decoded = model.decode_all(flat, ends)
+    for k, text in enumerate(texts):
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert flat[ends[k]: ends[k + 1]].tolist() == want == np.frombuffer(model.encode(text), np.int32).tolist()
+        assert str(decoded[k], "utf-8") == library.decode(want, skip_special_tokens=False)
 
 
 def test_odd_texts(model, library):
     for t in ODD:
         same(model, library, t)
+    same(model, library, *ODD, None, *reversed(ODD))
+    same(model, library)
+
+
+def test_every_white_space_character(model, library):
+    """Arrow's white space and the pattern's: the same but for the ones that `rare` finds."""
+    chars = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    words = pc.utf8_split_whitespace(pa.array([f"a{chr(c)}b" for c in chars])).value_lengths().to_numpy()
+    pattern = [len(model.spaces.split(f"a{chr(c)}b")) for c in chars]
+    assert [c for c, x, y in zip(chars, words, pattern) if x != y] == [0x1c, 0x1d, 0x1e, 0x1f]
+
+
+def test_unknown_ids_decode_to_nothing(model):
+    flat = np.array([-1, 300, 10**7, 301, 10**7], np.int32)
+    one = model.decode_all(flat[[1, 3]], np.array([0, 2]))
+    assert model.decode_all(flat, np.array([0, 5, 5])) == [one[0], b""]
 
 
 def test_random_unicode(model, library):
     rng = random.Random(11)
     chars = [chr(c) for r in (range(0x250), range(0x300, 0x520), range(0x1e00, 0x2070), range(0x3040, 0x3060)) for c in r]
-    for _ in range(1500):
-        same(model, library, "".join(rng.choice(chars) for _ in range(rng.randint(1, 20))))
+    same(model, library, *["".join(rng.choice(chars) for _ in range(rng.randint(1, 20))) for _ in range(1500)])
 
 
 def test_documents(model, library):
     import pyarrow.parquet as pq
-    for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist():
-        same(model, library, t)
+    same(model, library, *pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist())
 
 
-def test_small_memory_gives_the_same(monkeypatch, library, model):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+@pytest.mark.parametrize("size", [3, 700, 5000])
+def test_small_memory_gives_the_same(monkeypatch, library, model, size):
+    """Memory is bounded in bytes: a word larger than it is not kept."""
+    monkeypatch.setattr(bpe, "REMEMBERED", size)
     with open(bpe.tokenizer_path(), "rb") as f:
         small = bpe.WordBpe(f.read())
-    text = " ".join(f"word{k % 17} Other{k % 5}," for k in range(200))
-    assert small.encode(text) == model.encode(text)
+    text = " ".join(f"word{k % 17} Other{k % 5}," for k in range(200)) + " " + "x" * 20_000
+    same(small, library, text, text + "<|endoftext|>")
+    assert small.words.size <= size and all(len(k) < size for k in [*small.words.young, *small.words.old])
 
 
 def test_query_form(spark, docs_of, clashing, library):

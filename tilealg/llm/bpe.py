@@ -8,8 +8,10 @@ vocabulary's strings of the ids together, with a space between tokens, as the to
 asks for (it names no decoder).
 
 The tokenizer file is a parameter; its content is broadcast (a few MB, whatever the data),
-so that executors need no copy.  Words repeat, so each task remembers the tokens of recent
-words (bounded, two generations).
+so that executors need no copy.  Texts are split at white space, and each distinct word of a
+batch is looked up once; the texts' ids are then gathered by the words' numbers, and decoded
+by gathering the vocabulary's strings by the ids.  Words repeat, so each task remembers the
+tokens of recent words and pieces (bounded in bytes, two generations).
 
 Defined results: a null or empty text, or one of white space only, has no tokens and decodes
 to the empty text; strings of special tokens in a text become their ids, as in the library;
@@ -26,14 +28,16 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import plain, small_batches
+from .shared import plain, slices
 
-#: Words remembered per generation.
-REMEMBERED = 150_000
+#: Bytes of words, and of pieces, remembered per generation.
+REMEMBERED = 32 << 20
+#: Bytes that an entry takes besides its word and ids.
+ENTRY = 250
 #: White space as the tokenizer's pattern has it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -45,11 +49,37 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(extra)) for b in range(256)]
 
 
+class Recent:
+    """Values by string, in two generations of at most REMEMBERED bytes each."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def get(self, key: str, make) -> bytes:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is None:
+                got = make(key)
+            size = ENTRY + 4 * len(key) + len(got)
+            if size > REMEMBERED:  # one huge word is not worth all others
+                return got
+            if self.size + size > REMEMBERED:
+                self.old, self.young, self.size = self.young, {}, 0
+            self.young[key] = got
+            self.size += size
+        return got
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizer file with the parts this one has: NFC and lower
     case, a splitting pattern, byte letters, and BPE with a word-end suffix."""
 
     def __init__(self, content: bytes):
+        import regex
+
         spec = json.loads(content)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -59,21 +89,23 @@ class WordBpe:
         for rank, (a, b) in enumerate(merges):
             if (pair := (self.vocab[a], self.vocab[b])) not in self.merges:
                 self.merges[pair] = (rank, self.vocab[a + b])
-        self.tokens = {i: t for t, i in self.vocab.items()}
+        tokens = {i: t for t, i in self.vocab.items()}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens.update({i: t for t, i in special.items()})
+        tokens.update({i: t for t, i in special.items()})
+        #: The string of each id with a space after it; the last one stands for unknown ids.
+        self.strings = pa.array([f"{tokens[i]} ".encode() if i in tokens else b"" for i in range(max(tokens) + 2)],
+                                pa.large_binary())
         self.special = special
         names = sorted(special, key=len, reverse=True)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")")
+        #: Texts with special tokens, or with characters that Arrow and Python take for white
+        #: space and the pattern does not.
+        self.rare = "|".join([*map(_quoted, names), "[\x1c-\x1f]"])
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern.replace(r"\s", SPACE))
         self.spaces = regex.compile(f"[{SPACE}]+")
-        #: Characters that Python takes for white space and the pattern does not.
-        self.odd = regex.compile("[\x1c-\x1f]")
         self.letters = byte_letters()
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-        self.known: dict[str, list[int]] = {}
+        self.words, self.known = Recent(), Recent()
 
     def merge(self, word: str) -> list[int]:
         """Token ids of one piece (normalised, not empty)."""
@@ -112,51 +144,69 @@ class WordBpe:
                     heapq.heappush(queue, (m[0], p, m[1]))
         return [s for s, a in zip(sym, alive) if a]
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids (as bytes) and decoded text of a run without white space."""
-        text = chunk
+    def _piece(self, piece: str) -> bytes:
+        return pack(self.merge(piece))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a run without white space."""
+        text = word
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        ids: list[int] = []
-        for piece in self.pieces.findall(text):
-            got = self.known.get(piece)
-            if got is None:
-                if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                got = self.known[piece] = self.merge(piece)
-            ids += got
-        return pack(ids), " ".join([self.tokens[i] for i in ids])
-
-    def _plain(self, text: str, out: list) -> None:
-        young, old = self.young, self.old
-        chunks = self.spaces.split(text) if self.odd.search(text) else text.split()
-        for chunk in chunks:
-            got = young.get(chunk)
-            if got is None:
-                got = old.get(chunk) or self._chunk(chunk)
-                if len(young) >= REMEMBERED:
-                    self.old, self.young = young, {}
-                    old, young = self.old, self.young
-                young[chunk] = got
-            if got[0]:
-                out.append(got)
-
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and the decoded text."""
-        out: list[tuple[bytes, str]] = []
-        if text and any(s in text for s in self.special):
-            for k, part in enumerate(self.split_special.split(text)):
-                if k % 2:
-                    out.append((pack([self.special[part]]), part))
-                elif part:
-                    self._plain(part, out)
-        elif text:
-            self._plain(text, out)
-        return b"".join([x[0] for x in out]), " ".join([x[1] for x in out])
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+        known = self.known
+        pieces = self.pieces.findall(text.lower())
+        if len(pieces) == 1:
+            return known.get(pieces[0], self._piece)
+        return b"".join([known.get(x, self._piece) for x in pieces])
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of one text as little-endian 32-bit integers."""
+        out: list[bytes] = []
+        for k, part in enumerate(self.split_special.split(text or "")):
+            if k % 2:
+                out.append(pack([self.special[part]]))
+            else:
+                out += [self.words.get(w, self._word) for w in self.spaces.split(part) if w]
+        return b"".join(out)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's ids start (and end)."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        rare = np.flatnonzero(pc.match_substring_regex(texts, self.rare).to_numpy(zero_copy_only=False))
+        lists = pc.utf8_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        get, make = self.words.get, self._word
+        ids = pa.array([get(w, make) for w in words.dictionary.to_pylist()], pa.large_binary()).take(words.indices)
+        flat, ends = _bytes(ids)
+        ends = ends[lists.offsets.to_numpy()] // 4
+        flat = flat.view(np.int32)
+        if len(rare):
+            own = [flat[a:b] for a, b in zip(ends, ends[1:])]
+            for k in rare:
+                own[k] = np.frombuffer(self.encode(texts[int(k)].as_py()), np.int32)
+            flat, ends = np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        return flat, ends
+
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        """The text, in UTF-8, that each part of ``flat`` decodes to: the strings of its ids,
+        with a space between; unknown ids have none."""
+        unknown = len(self.strings) - 1
+        at = np.where((flat >= 0) & (flat < unknown), flat, unknown)
+        data, places = _bytes(self.strings.take(pa.array(at)))
+        view = memoryview(data)
+        return [view[a: max(a, b - 1)] for a, b in zip(places[ends[:-1]].tolist(), places[ends[1:]].tolist())]
+
+
+def _quoted(text: str) -> str:
+    """A string as a pattern that stands for just it."""
+    return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large binary column without nulls, one value after another, and their offsets."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[ends[0]: ends[-1]], ends - ends[0]
 
 
 def pack(ids: list[int]) -> bytes:
@@ -164,12 +214,6 @@ def pack(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
-def unpack(ids: bytes) -> list[int]:
-    a = array("I")
-    a.frombytes(ids)
-    return a.tolist()
-
-
 _MODELS: dict[str, WordBpe] = {}
 
 
@@ -191,23 +235,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Texts per step.
+STEP = 2048
+
+
 def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    small_batches(spark)
     content = _file(spark, tokenizer)
 
     def run(batches):
         model = _model(content)
-        for batch in batches:
-            n, ids_sha, dec_sha = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids, decoded = model.encode(text)
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                dec_sha.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        for batch in slices(batches, STEP):
+            flat, ends = model.encode_all(batch.column("text"))
+            view = memoryview(flat).cast("B") if len(flat) else memoryview(b"")
+            ids_sha = [hashlib.sha256(view[4 * a: 4 * b]).hexdigest() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+            dec_sha = [hashlib.sha256(x).hexdigest() for x in model.decode_all(flat, ends)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -218,19 +263,16 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "
            text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ``token_ids`` (array of int) of every text, and ``decoded_sha256``,
     the checksum of the text that these ids decode to."""
-    small_batches(spark)
     content = _file(spark, tokenizer)
 
     def run(batches):
         model = _model(content)
-        for batch in batches:
-            ids = [model.encode(t)[0] for t in batch.column("text").to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
-            flat = np.frombuffer(b"".join(ids), np.int32)
-            dec_sha = [hashlib.sha256(model.decode(unpack(x)).encode("utf-8")).hexdigest() for x in ids]
+        for batch in slices(batches, STEP):
+            flat, ends = model.encode_all(batch.column("text"))
+            dec_sha = [hashlib.sha256(x).hexdigest() for x in model.decode_all(flat, ends)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int32())),
                  pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "token_ids", "decoded_sha256"])
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -243,9 +285,11 @@ def decode(spark: SparkSession, encoded: DataFrame, tokenizer: str) -> DataFrame
 
     def run(batches):
         model = _model(content)
-        for batch in batches:
-            texts = [model.decode(t or []) for t in batch.column("token_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
+        for batch in slices(batches, STEP):
+            ids = batch.column("token_ids").fill_null([])
+            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
+            texts = model.decode_all(ids.flatten().to_numpy(), ends)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([str(t, "utf-8") for t in texts], pa.string())],
                                              ["doc_id", "text"])
 
     return encoded.select("doc_id", "token_ids").mapInArrow(run, "doc_id long, text string")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-#: Rows per Arrow batch: about 1.7 MB of text at the usual document length, so that a
-#: Python worker holds little at once.  Longer texts only make single batches larger.
+#: Rows handled at once: about 1.7 MB of text at the usual document length.  The Arrow batches
+#: themselves are bounded by the session's spark.sql.execution.arrow.maxBytesPerBatch.
 ARROW_ROWS = 512
 #: Bytes of text that are hashed at once; temporaries are about 40 times this size.
 PIECE = 1 << 19
@@ -29,9 +29,11 @@ GAP = r"[\x20\x09-\x0D]"
 SPACES_AND_MORE = [c for c in range(0x3001) if chr(c).isspace()]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session's Python stages."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """Views of ``rows`` rows at most, so that what is derived from a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -45,11 +47,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(table: DataFrame) -> None:
-    """Delete a table that ``written`` made, once nothing reads it any more."""
-    spark = table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -242,13 +245,14 @@ def with_group_values(rows: DataFrame, key: list[str], spread: str, first: dict,
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): the smallest id reachable for each id that
-    has a link, as columns (id, comp).  Minimum labels with pointer jumping; every round is
-    written to the shared folder, and the number of rounds is logarithmic in practice."""
+    has a link, as a written table (id, comp).  Minimum labels with pointer jumping; every
+    round is written to the shared folder, and the number of rounds is logarithmic in practice."""
     edges = written(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
                     .union(links.select(F.col("b"), F.col("a"))), "edges")
-    labels = written(edges.groupBy(F.col("u").alias("id"))
-                     .agg(F.least(F.min("v"), F.first("u")).alias("comp")), "labels")
+    table = written(edges.groupBy(F.col("u").alias("id"))
+                    .agg(F.least(F.min("v"), F.first("u")).alias("comp")), "labels")
     while True:
+        labels = table.select("id", "comp")
         near = (edges.join(labels, edges.v == labels.id)
                 .groupBy(F.col("u").alias("id2")).agg(F.min("comp").alias("low")))
         step = (labels.join(near, F.col("id") == F.col("id2"))
@@ -256,7 +260,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         up = labels.select(F.col("id").alias("id3"), F.col("comp").alias("top"))
         nxt = written(step.join(up, F.col("mid") == F.col("id3"))
                       .select("id", F.least("mid", "top").alias("comp"), "old"), "labels")
-        done = nxt.where("comp <> old").limit(1).count() == 0
-        labels = nxt.select("id", "comp")
-        if done:
-            return labels
+        discard(table)
+        table = nxt
+        if nxt.where("comp <> old").limit(1).count() == 0:
+            discard(edges)
+            return table
