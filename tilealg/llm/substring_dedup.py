@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import maybe_broadcast, shuffle_parallelism
-from .shared import mix64, plain, text_key, text_words, with_group_values, written
+from .shared import mix64, plain, slices, text_key, text_words, with_group_values, written
 
 #: Letters of a whole path, and bytes of one.
 LETTERS, BYTES = 5, 4
@@ -107,7 +107,7 @@ def _fingerprints(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
 def _reader(window: int):
     """doc_id, key, fingerprint, words, hash of the joined words, and the distinct anchors."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text")
             m = batch.num_rows
             f1, f2, n_words = (np.zeros(m, np.int64) for _ in range(3))
@@ -136,7 +136,7 @@ def _suffixes(window: int):
     def run(batches):
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
+        for batch in slices(batches):
             shared = batch.column("places")
             ids, rids = batch.column("doc_id").to_numpy(), batch.column("rid").to_numpy()
             for k, runs, where in _texts(batch.column("text"), window):
@@ -225,7 +225,7 @@ def _spans(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _cutter(window: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             removed, sha, kept, spans = [], [], [], []
             for text, starts in zip(batch.column("text").cast(pa.large_binary()), batch.column("starts")):
                 a, b = _spans(np.sort(starts.values.to_numpy()), window)
@@ -269,10 +269,17 @@ def repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     anchors = first.select("doc_id", "key", F.explode(F.arrays_zip("anchors", "places")).alias("a")).select(
         "doc_id", "key", F.col("a.anchors").alias("anchor"), F.col("a.places").alias("place"))
     anchors = written(anchors, "anchors")
-    met = (anchors.groupBy(F.col("anchor").alias("met")).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-           .where("low < high").select("met"))
-    shared = (anchors.join(met, F.col("anchor") == F.col("met")).groupBy("doc_id", "key")
-              .agg(F.collect_list("place").alias("places")))
+    met = written(anchors.groupBy(F.col("anchor").alias("met")).agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low < high"), "met")
+    # an anchor of many texts is split: at most one in GROUP rows of anchors has such a one
+    hot = met.where(F.col("n") > GROUP).select(F.col("met").alias("hot"), F.ceil(F.col("n") / GROUP).alias("parts"))
+    hot = maybe_broadcast(hot, 32 * hot.count())
+    dealt = anchors.join(hot, F.col("anchor") == F.col("hot"), "left").withColumn(
+        "part", F.pmod(F.xxhash64("key", "place"), F.coalesce("parts", F.lit(1))))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / GROUP), F.lit(1)) - 1))
+    met = met.select("met", each.alias("met_part"))
+    shared = (dealt.join(met, (F.col("anchor") == F.col("met")) & (F.col("part") == F.col("met_part")))
+              .groupBy("doc_id", "key").agg(F.collect_list("place").alias("places")))
     once = texts.dropDuplicates(["doc_id", "key"])  # a row repeated very often is one row before it is shuffled
     open_texts = written(once.join(shared, ["doc_id", "key"]).withColumn("rid", F.monotonically_increasing_id()),
                          "open_texts")
