@@ -103,3 +103,29 @@ def test_pigeonhole_keys():
     a, b = nd.chunk_keys(sig), nd.chunk_keys(other)
     assert all(set(x) & set(y) for x, y in zip(a, b))
     assert not set(a[0]) & set(a[1])
+
+
+def test_pairs_that_no_anchor_decides_are_found_at_the_end(spark, docs_of, monkeypatch):
+    """No pair is near enough for an anchor: all links are left to the last comparison, which
+    has no signature bound."""
+    monkeypatch.setattr(nd, "FAR", -1)
+    rows = near_copies(3, copies=40)
+    check(spark, docs_of(rows), rows, 4)
+
+
+def test_only_the_result_is_left_in_the_shared_folder(spark, docs_of, monkeypatch):
+    from tilealg.llm import shared
+    made = []
+    real = shared.written
+
+    def written(df, name):
+        made.append(real(df, name))
+        return made[-1]
+    monkeypatch.setattr(nd, "written", written)
+    monkeypatch.setattr(shared, "written", written)
+    rows = near_copies(4)
+    out = nd.near_groups(spark, docs_of(rows), words=4)
+    fs = spark._jvm.org.apache.hadoop.fs
+    left = [t.scratch for t in made if fs.Path(t.scratch).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(t.scratch))]
+    assert len(made) > 10 and [x.split("/")[-1].split("-")[0] for x in left] == ["found"]
+    assert out.count() == len(rows)

@@ -9,7 +9,8 @@ most ``CHUNKS * (ERRORS + 1) - 1`` = 19 symbols, some chunk differs in at most E
 of its symbols; so every chunk is entered under all keys that leave out one symbol, and the
 pair meets under at least one key: all pairs within that signature distance are found.
 Pairs further apart meet by chance as well; at similarity 0.8 exactly, a pair meets no key
-with probability 2.4e-5.  Met pairs further apart than FAR symbols are dropped unread.
+with probability 2.4e-5.  Pairs with an anchor that are further apart than FAR symbols are
+not compared with it; they stay open and are decided at the end.
 
 *Groups, not pairs.*  In a round, every member of a key's bucket is compared with one
 member, the anchor; verified links join components.  Rounds with other anchors follow while
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import (components, keep_rows, mix64, plain, shingles, small_batches, text_key,
+from .shared import (components, discard, keep_rows, mix64, plain, shingles, slices, text_key,
                      text_words, with_group_values, written)
 
 CHUNKS, WIDTH, ERRORS = 10, 6, 1
@@ -109,7 +110,7 @@ def _signer(words: int):
     def run(batches):
         rid = TaskContext.get().partitionId() << 33
         seen: dict[tuple[int, int, int], int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             n_rows = batch.num_rows
             n, f1, f2 = (np.zeros(n_rows, np.int64) for _ in range(3))
             lead = np.arange(rid, rid + n_rows, dtype=np.int64)
@@ -182,7 +183,7 @@ def bit_map(items: np.ndarray) -> np.ndarray:
 def _set_reader(words: int, bloom):
     def run(batches):
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in slices(batches):
             f1, f2, out, bits = [], [], [], []
             for _, items in _sets(batch.column("text"), words):
                 if not len(items):
@@ -203,13 +204,15 @@ def _set_reader(words: int, bloom):
     return run
 
 
-def _near_enough(batches):
-    """Pairs whose signatures differ in at most FAR symbols."""
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-                for c in ("sig_a", "sig_b"))
-        ok = (a != b).sum(axis=1) <= FAR
-        yield batch.filter(pa.array(ok)).drop_columns(["sig_a", "sig_b"])
+def _near_enough(far: int):
+    """Pairs whose signatures differ in at most ``far`` symbols."""
+    def run(batches):
+        for batch in slices(batches):
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+                    for c in ("sig_a", "sig_b"))
+            ok = (a != b).sum(axis=1) <= far
+            yield batch.filter(pa.array(ok)).drop_columns(["sig_a", "sig_b"])
+    return run
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
@@ -221,7 +224,6 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     (smallest doc_id of the group) and stays (true for exactly one row of each group: the
     first with the smallest id).
     """
-    small_batches(spark)
     texts = plain(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
     signed = written(texts.mapInArrow(_signer(words), _SIGNED), "signed")
@@ -234,14 +236,16 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                                                    F.count("*").alias("size"))
                           .where("size > 1").select("key", "anchor"), "keys")
     members = written(keyed.join(shared_keys, "key"), "members")
+    discard(shared_keys)
 
     bloom = spark.sparkContext.broadcast(
         _bloom(members.select("rid").distinct().join(who, "rid").select("fp1")))
     sets = written(texts.mapInArrow(_set_reader(words, bloom), _SETS)
                    .dropDuplicates(["fp1", "fp2"]), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b), those that are links."""
+    def verified(pairs: DataFrame, bound: bool) -> tuple[DataFrame, DataFrame]:
+        """Of pairs (a, b), those that are links, and the table that they are read from.
+        ``bound``: pairs more than FAR symbols apart are dropped unread."""
         for side in ("a", "b"):
             part = who.select(F.col("rid").alias(side), *[F.col(c).alias(f"{c}_{side}")
                                                           for c in ("n", "fp1", "fp2", "sig")])
@@ -249,7 +253,9 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         near = pairs.where(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
         schema = "a long, b long, n_a long, n_b long, fp1_a long, fp2_a long, fp1_b long, fp2_b long"
         names = [x.split()[0] for x in schema.split(", ")]
-        near = written(near.select(*names, "sig_a", "sig_b").mapInArrow(_near_enough, schema), "near")
+        if bound:
+            near = near.select(*names, "sig_a", "sig_b").mapInArrow(_near_enough(FAR), schema)
+        near = written(near.select(*names), "near")
         same = (F.col("fp1_a") == F.col("fp1_b")) & (F.col("fp2_a") == F.col("fp2_b"))
         check = near.where(~same)
         for side in ("a", "b"):
@@ -258,48 +264,58 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             check = check.join(part, [f"fp1_{side}", f"fp2_{side}"])
         both = F.size(F.array_intersect("items_a", "items_b"))
         check = check.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both))
-        return near.where(same).select("a", "b").union(check.select("a", "b"))
+        return near.where(same).select("a", "b").union(check.select("a", "b")), near
 
     def could_link(open_docs: DataFrame) -> DataFrame:
-        """Pairs of (rid, comp) in different components that can reach the similarity.
+        """Pairs of (rid, comp) in different components that can reach the similarity (written).
 
         Shingles are ordered by how many of these texts hold them, rarest first.  If two
         sets of sizes n and m share ceil(percent * (n + m) / (100 + percent)) shingles, their
         first common shingle comes so early in both that as many can follow in either; so
-        only early shingles are joined, and none that a single text holds.  Bits that only
-        one of two sets has in its ``bit_map`` bound what they can share as well."""
+        only early shingles are joined, and none that a single text holds.  Of the distinct
+        pairs that are left, the ``bit_map`` of both bounds what they can share as well."""
         one = (open_docs.join(who.select("rid", "fp1", "fp2", "n"), "rid").groupBy("fp1", "fp2")
                .agg(F.min("rid").alias("rid"), F.min("comp").alias("comp"), F.min("n").alias("n")))
         items = written(one.join(sets, ["fp1", "fp2"]).select("rid", "comp", "n", "bits", "items"), "items")
         each = items.select("rid", F.explode("items").alias("item"))
-        held = written(each.groupBy("item").agg(F.count("*").alias("held")).where("held > 1"), "held")
+        held = each.groupBy("item").agg(F.count("*").alias("held")).where("held > 1")
         few = (each.join(held, "item").groupBy("rid")
                .agg(F.sort_array(F.collect_list(F.struct("held", "item"))).alias("few")))
         early = F.expr(f"n - ceil({percent} * n / 100) + 1 - (n - size(few))")
-        few = (items.drop("items").join(few, "rid").withColumn("early", early.cast("int")).where("early > 0")
-               .withColumn("alone", F.col("n") - F.size("few")))
-        few = written(few.select("rid", "comp", "n", "bits", "alone", F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
-                      .select("rid", "comp", "n", "bits", F.col("col.item").alias("item"),
+        few = (items.select("rid", "comp", "n").join(few, "rid").withColumn("early", early.cast("int"))
+               .where("early > 0").withColumn("alone", (F.col("n") - F.size("few")).cast("int")))
+        few = written(few.select("rid", "comp", F.col("n").cast("int").alias("n"), "alone",
+                                 F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
+                      .select("rid", "comp", "n", F.col("col.item").alias("item"),
                               (F.col("alone") + F.col("pos")).alias("at")), "early")
-        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at", "bits")])
-        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at", "bits")])
+        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at")])
+        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at")])
+        met = x.join(y, "item").where(
+            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
+        met = met.select("rid_x", "rid_y").distinct()
+        for side in ("x", "y"):
+            part = items.select(F.col("rid").alias(f"rid_{side}"), F.col("n").alias(f"n_{side}"),
+                                F.col("bits").alias(f"bits_{side}"))
+            met = met.join(part, f"rid_{side}")
 
         def only(a: str, b: str) -> str:
             return " + ".join(f"bit_count(bits_{a}[{k}] & ~bits_{b}[{k}])" for k in range(MAP_BITS // 64))
-        met = x.join(y, "item").where(
-            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y, n_x - ({only('x', 'y')}), "
-            f"n_y - ({only('y', 'x')})) >= {percent} * (n_x + n_y)")
-        return met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
+        met = met.where(f"({100 + percent}) * least(n_x - ({only('x', 'y')}), n_y - ({only('y', 'x')})) "
+                        f">= {percent} * (n_x + n_y)")
+        out = written(met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")), "met")
+        discard(items, few)
+        return out
 
     pair = [F.least("rid", "anchor").alias("a"), F.greatest("rid", "anchor").alias("b")]
     equal = (who.groupBy("fp1", "fp2").agg(F.min("rid").alias("anchor"), F.count("*").alias("size"))
              .where("size > 1").select("fp1", "fp2", "anchor"))
     equal = who.join(equal, ["fp1", "fp2"]).where("rid <> anchor").select(*pair)
-    links = written(equal.union(verified(members.where("rid <> anchor").select(*pair).distinct())),
-                    "links")
+    more, near = verified(members.where("rid <> anchor").select(*pair).distinct(), True)
+    links = written(equal.union(more), "links")
+    discard(near)
     labels = components(spark, links)
 
-    before, turn = None, 1
+    before, turn, n_leads = None, 1, leads.count()
     while True:
         placed = written(members.join(labels, members.rid == labels.id, "left")
                          .select("key", "rid", F.coalesce("comp", "rid").alias("comp")), "placed")
@@ -309,25 +325,29 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         open_keys = written(per_key, "open")
         left = open_keys.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
         if not left:
+            discard(placed, open_keys)
             break
-        placed = placed.join(open_keys.select("key"), "key")
-        last = left <= 4 * leads.count() or (before is not None and left > before / 2)
+        here = placed.join(open_keys.select("key"), "key")
+        last = left <= 4 * n_leads or (before is not None and left > before / 2)
         if last:
-            more = could_link(placed.select("rid", "comp").distinct())
+            tables = [met := could_link(here.select("rid", "comp").distinct())]
+            more, near = verified(met, False)
         else:
             mixed = F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), F.col("rid").alias("anchor"),
                              F.col("comp").alias("comp_x"))
-            picks = written(placed.groupBy("key").agg(F.min(mixed).alias("p")).select("key", "p.anchor", "p.comp_x"),
-                            "picks")
-            more = placed.join(picks, "key").where("comp <> comp_x").select(*pair).distinct()
-        links = written(links.union(verified(more)), "links")
+            tables = [picks := written(here.groupBy("key").agg(F.min(mixed).alias("p"))
+                                       .select("key", "p.anchor", "p.comp_x"), "picks")]
+            more, near = verified(here.join(picks, "key").where("comp <> comp_x").select(*pair).distinct(), True)
+        links, old = written(links.union(more), "links"), links
+        discard(old, near, placed, open_keys, labels, *tables)
         labels = components(spark, links)
         if last:
             break
         before, turn = left, turn + 1
 
-    found = (signed.select("rid", "lead", "doc_id", "key", "n").join(labels, F.col("lead") == F.col("id"), "left")
-             .select("rid", "doc_id", "key", "n", F.coalesce("comp", "lead").alias("comp")))
+    found = written(signed.select("rid", "lead", "doc_id", "key", "n").join(labels, F.col("lead") == F.col("id"), "left")
+                    .select("rid", "doc_id", "key", "n", F.coalesce("comp", "lead").alias("comp")), "found")
+    discard(signed, members, sets, links, labels)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
     found = with_group_values(found, ["comp"], "rid", {"best": best}, {"best": F.min("best")})
     return found.select("rid", "doc_id", "key", F.col("n").alias("n_shingles"),
