@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .shared import discard, keep_rows, plain, small_batches, text_key, with_group_values, written
+from .shared import discard, keep_rows, plain, slices, text_key, with_group_values, written
 
 #: Bytes of a block at the first level.
 BLOCK = 8192
@@ -83,7 +83,7 @@ def _rows(columns: dict[str, tuple[pa.DataType, list]], lids: list, blocks: list
 def _cut_texts(batches):
     listed = _Listed()
     rid = TaskContext.get().partitionId() << 33
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         n = len(texts)
         lids = [listed.numbers(t, BLOCK) for t in texts]
@@ -98,7 +98,7 @@ def _cut_texts(batches):
 
 def _cut_names(batches):
     listed = _Listed()
-    for batch in batches:
+    for batch in slices(batches):
         names = batch.column("names")
         flat = names.flatten().to_numpy().astype("<i8")
         ends = names.value_lengths().to_numpy().cumsum()
@@ -125,7 +125,6 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     Returns one row per row of ``docs``: rid (row id), doc_id, key (``text_key``), level and
     name (the identity of the text), keep_id, group_size, kept and text_sha256.
     """
-    small_batches(spark)
     texts = plain(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
     cut = first = written(texts.mapInArrow(_cut_texts, _FIRST), "blocks")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import slices
 
 SAMPLE_DOCS = 256
 SAMPLE_LETTERS = 24_000
@@ -245,13 +245,12 @@ def identify(spark: SparkSession, docs: DataFrame, parser: Parser, text_col: str
              names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with the predicted language and its score as columns ``names``; columns of
     these names that ``docs`` already has are replaced."""
-    small_batches(spark)
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
     shared = spark.sparkContext.broadcast(parser)
 
     def run(batches):
         p = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = [], []
             texts = batch.column(text_at)
             step, held = [], 0

@@ -17,7 +17,8 @@ A hot source has as many blocks as any other, so its rows are dealt evenly.
 Defined results: a null text, or one without words, has size 0 and goes with its block; a
 null source is a source of its own, the last one; repeated rows are taken alike, each for
 itself; null ids are rows like others; an empty table gives an empty mix; columns of any
-other names are carried through ``mix`` unchanged (``shard`` and ``order_key`` are added).
+names are carried through ``mix`` unchanged.  It adds ``shard`` and ``order_key``, or, where
+the documents have columns of these names (in any case), the same with underscores before.
 """
 
 from __future__ import annotations
@@ -165,6 +166,12 @@ class Mix:
             picked.hint("merge").join(where, (F.col("sid") == F.col("sid2")) & (F.col("place") == F.col("place2")))
             .join(maybe_broadcast(named, self.source_bytes), F.col("sid") == F.col("sid3"))
             .select("src", F.col("block").alias("blk"), "epoch", "shard"), "draws")
+        #: The names of the columns that ``mix`` adds.
+        self.added = []
+        for name in ("shard", "order_key"):
+            while name in {c.lower() for c in docs.columns}:
+                name = "_" + name
+            self.added.append(name)
         #: Proven bound of a draw's row times the most draws there can be.
         self.draw_bytes = 64 * BLOCKS * cap * max(1, len(totals))
 
@@ -184,7 +191,7 @@ class Mix:
 
     def mix(self) -> DataFrame:
         """The mixed rows: all columns of the documents once per draw, with ``shard`` and
-        ``order_key``, by which a shard is shuffled."""
+        ``order_key`` (by which a shard is shuffled) under the names in ``added``."""
         n = self.names
         row = F.xxhash64(f"`{n['doc_id']}`", f"`{n['text']}`", F.lit(self.seed))
         whole = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("_row")
@@ -192,9 +199,10 @@ class Mix:
                                 F.pmod(row, F.lit(BLOCKS)).cast("int").alias("_block"), row.alias("_hash"))
         mixed = rows.join(maybe_broadcast(self.draws, self.draw_bytes),
                           F.col("_source").eqNullSafe(F.col("src")) & (F.col("_block") == F.col("blk")))
-        return mixed.select("_row.*", "shard", F.xxhash64("_hash", "epoch").alias("order_key"))
+        return mixed.select("_row.*", F.col("shard").alias(self.added[0]),
+                            F.xxhash64("_hash", "epoch").alias(self.added[1]))
 
     def write(self, path: str) -> None:
         """Write the mix as shards (folders shard=k), rows of a file in shuffled order."""
-        (self.mix().repartitionByRange("shard", "order_key").sortWithinPartitions("shard", "order_key")
-         .write.partitionBy("shard").parquet(path))
+        (self.mix().repartitionByRange(*self.added).sortWithinPartitions(*self.added)
+         .write.partitionBy(self.added[0]).parquet(path))

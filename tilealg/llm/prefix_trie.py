@@ -80,9 +80,10 @@ def with_shared_starts(seqs: DataFrame, every: int = 20, lengths: int = 4) -> Da
 
 
 # ------------------------------------------------------------------ who ends where
-def _end_lists(batches):
+def _end_lists(batches, most: int):
     """Rows of (id, conv_id), sorted: per id its members, their number and least one.  Lists
-    that may go on in another partition stay text; the others are hashed here."""
+    that may go on in another partition stay text, in pieces of ``most`` ids; the others are
+    hashed here."""
     rows: list[tuple] = []
     now, ids, first, cut = None, [], True, False
 
@@ -109,7 +110,7 @@ def _end_lists(batches):
                     close(not first and not cut)
                     first = False
                 now, cut = key, False
-            elif len(ids) == PIECE_IDS:
+            elif len(ids) == most:
                 close(False)
                 cut = True
             ids.append(conv)
@@ -139,10 +140,13 @@ def _hash_pieces(batches):
             {"id": [now], "conv_id": [conv], "n": [n], "sha": [sha.hexdigest()]}, schema)
 
 
-def _ends(seqs: DataFrame, parts: int) -> DataFrame:
+def _ends(seqs: DataFrame, parts: int, most: int) -> DataFrame:
     """id of each distinct sequence, its least conv_id, members, and the hash of their list."""
+    def end_lists(batches):
+        return _end_lists(batches, most)
+
     lists = written(seqs.select("id", "conv_id").repartitionByRange(parts, "id", "conv_id")
-                    .sortWithinPartitions("id", "conv_id").mapInArrow(_end_lists, _ENDS), "ends")
+                    .sortWithinPartitions("id", "conv_id").mapInArrow(end_lists, _ENDS), "ends")
     pieces = (lists.where("piece IS NOT NULL").repartition(parts, "id").sortWithinPartitions("id", "conv_id")
               .mapInArrow(_hash_pieces, "id string, conv_id long, n long, sha string"))
     return lists.where("piece IS NULL").drop("piece").union(pieces)
@@ -315,8 +319,9 @@ def _arrow(rows: list, part: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({f: [r[k] for r in rows] for k, f in enumerate(_SCHEMA.names)}, _SCHEMA)
 
 
-def _forest(batches):
-    """Sorted strands of one partition -> its closed nodes and its contracted forest."""
+def _forest(batches, most: int):
+    """Sorted strands of one partition -> its closed nodes and its contracted forest; at most
+    ``most`` turns are held at once."""
     part = TaskContext.get().partitionId()
     done, strands, turns = [], [], 0
     for batch in batches:
@@ -324,7 +329,7 @@ def _forest(batches):
         for strand in zip(*[batch.column(c).to_pylist() for c in ("key", "words", "conv_id", "n", "sha")]):
             strands.append(strand)
             turns += len(strand[1]) + 1
-            if turns > CHUNK_TURNS:
+            if turns > most:
                 done.append(grow(strands, rows))
                 strands, turns = [], 0
         yield _arrow(rows, part)
@@ -367,12 +372,16 @@ def nodes(spark: SparkSession, seqs: DataFrame) -> DataFrame:
     """All nodes of the prefix trie of sequences (conv_id, turns, words): conv_id (smallest
     member), depth, turn_key (the last turn's name in ``sequences``), parent_conv_id, n_convs,
     n_children, n_leaves, saved_tokens and ends_sha256."""
-    parts = shuffle_parallelism(spark)
+    parts, most = shuffle_parallelism(spark), CHUNK_TURNS
+
+    def forest(batches):
+        return _forest(batches, most)
+
     seqs = written(seqs.select("conv_id", F.array_join("turns", "").alias("key"), "words")
                    .withColumn("id", F.md5(F.col("key").cast("binary"))), "sequences")
-    strands = (_ends(seqs, parts).select("conv_id", "n", "sha").join(seqs.drop("id"), "conv_id")
+    strands = (_ends(seqs, parts, PIECE_IDS).select("conv_id", "n", "sha").join(seqs.drop("id"), "conv_id")
                .select("key", "words", "conv_id", "n", "sha"))
-    grown = written(strands.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_forest, _NODES),
+    grown = written(strands.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(forest, _NODES),
                     "forests")
     closed, open_nodes = grown.where("NOT open"), grown.where("open")
     left = open_nodes.agg(F.max("part")).first()[0]

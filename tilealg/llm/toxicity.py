@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .langid import held_out, points
-from .shared import SPACES_AND_MORE, plain, small_batches
+from .shared import SPACES_AND_MORE, plain, slices
 
 TOXIC_DOCS, CLEAN_DOCS = 2000, 4000
 #: Letters read of a training text.
@@ -341,12 +341,11 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """doc_id and score of every whole text."""
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             s = m.score(texts) if m else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())],
