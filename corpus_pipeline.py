@@ -38,8 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at weights 3, 1, 2 in turn, 150 % of all words, a document twice at most;
     a document drawn twice is there twice (operator 1).  Rows come shard by shard, each
     shard shuffled."""
-    mixed = mixing.Mix(spark, docs, mixing.cyclic_weights(3, 1, 2)).mix().orderBy("shard", "order_key")
-    return mixed.select(*[f"`{c}`" for c in docs.columns])
+    plan = mixing.Mix(spark, docs, mixing.cyclic_weights(3, 1, 2))
+    return plan.mix().orderBy(*plan.added).select(*[f"`{c}`" for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
