@@ -259,13 +259,12 @@ def repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     texts = plain(docs, doc_id=id_col, text=text_col).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", text_key(F.col("text")).alias("key"))
     rows = written(texts.mapInArrow(_reader(window), _READ), "read")
-    owners = rows.groupBy("fp1", "fp2").agg(F.min(F.struct("doc_id", "key")).alias("own"))
-    owners = owners.select(F.col("fp1").alias("o1"), F.col("fp2").alias("o2"), F.col("own.doc_id").alias("owner"),
-                           F.col("own.key").alias("owner_key"))
-    first = (rows.where("anchors IS NOT NULL").select("doc_id", "key", "fp1", "fp2", "anchors", "places")
-             .join(owners, (F.col("fp1") == F.col("o1")) & (F.col("fp2") == F.col("o2"))
-                   & (F.col("doc_id") == F.col("owner")) & (F.col("key") == F.col("owner_key")))
-             .dropDuplicates(["doc_id", "key"]))
+    least = F.min(F.struct("doc_id", "key"))
+    owned = with_group_values(rows, ["fp1", "fp2"], "doc_id", {"own": least}, {"own": F.min("own")})
+    owned = written(owned.select("*", F.col("own.doc_id").alias("owner"), F.col("own.key").alias("owner_key"))
+                    .drop("own", "fp1", "fp2"), "owned")
+    first = (owned.where("anchors IS NOT NULL AND doc_id = owner AND key = owner_key")
+             .select("doc_id", "key", "anchors", "places").dropDuplicates(["doc_id", "key"]))
     anchors = first.select("doc_id", "key", F.explode(F.arrays_zip("anchors", "places")).alias("a")).select(
         "doc_id", "key", F.col("a.anchors").alias("anchor"), F.col("a.places").alias("place"))
     anchors = written(anchors, "anchors")
@@ -287,8 +286,7 @@ def repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     found = repeated_starts(spark, suffixes).groupBy("rid").agg(F.collect_list("start").alias("starts"))
     cut = (open_texts.select("rid", "doc_id", "key", "text").join(found, "rid")
            .select("doc_id", "key", "text", "starts").mapInArrow(_cutter(window), _CUT))
-    out = rows.drop("anchors", "places").join(owners, (F.col("fp1") == F.col("o1")) & (F.col("fp2") == F.col("o2")))
-    return out.select("doc_id", "key", "n_words", "sha", "owner", "owner_key"), cut
+    return owned.select("doc_id", "key", "n_words", "sha", "owner", "owner_key"), cut
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
