@@ -54,6 +54,42 @@ def tile_batch(keys: dict[str, list], hs: list[int], ws: list[int],
     return pa.RecordBatch.from_pydict(cols)
 
 
+class TileReader:
+    """The tiles of an Arrow batch with columns h, w, data and, if there, ``flip`` (data is
+    of the transposed tile) and ``pos`` (places of the values of a sparse tile, null for a
+    full one)."""
+
+    def __init__(self, b: pa.RecordBatch):
+        names = b.schema.names
+        self.rows = b.num_rows
+        self.h, self.w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w"))
+        self.flip = b.column("flip").to_numpy(zero_copy_only=False) if "flip" in names else np.zeros(self.rows, bool)
+        self.flat, self.offs = list_parts(b.column("data"))
+        self.full = np.ones(self.rows, bool)
+        if "pos" in names:
+            self.full = b.column("pos").is_null().to_numpy(zero_copy_only=False)
+            self.pflat, self.poffs = list_parts(b.column("pos"))
+
+    def sparse(self, r: int):
+        """(rows, columns, values) of a sparse tile, None for a full one."""
+        if self.full[r]:
+            return None
+        pos = self.pflat[self.poffs[r]:self.poffs[r + 1]]
+        vals = self.flat[self.offs[r]:self.offs[r + 1]]
+        if self.flip[r]:
+            return pos // int(self.w[r]), pos % int(self.w[r]), vals
+        return pos % int(self.h[r]), pos // int(self.h[r]), vals
+
+    def view(self, r: int) -> np.ndarray:
+        """The tile as an ``h x w`` array (of a full tile, a view of the batch)."""
+        h, w, got = int(self.h[r]), int(self.w[r]), self.sparse(r)
+        if got is None:
+            return _tile_view(self.flat, self.offs, r, h, w, bool(self.flip[r]))
+        out = np.zeros((h, w), order="F")
+        out[got[0], got[1]] = got[2]
+        return out
+
+
 # --------------------------------------------------------------------------- scatter
 def scatter_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cells of one tile ``(bi, bj, h, w, p, v)`` -> one dense column-major tile.
@@ -82,6 +118,29 @@ def scatter_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 # ----------------------------------------------------------------------------- GEMM
+def task_id() -> int:
+    from pyspark import TaskContext
+
+    return TaskContext.get().partitionId()
+
+
+def sum_tiles_part(step: int):
+    """Partial tiles of one output tile from the tasks of one range of ``step`` -> their sum,
+    which stands for the first of these tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = None
+
+        def seen():
+            nonlocal first
+            for b in batches:
+                if b.num_rows and first is None:
+                    first = b.column("part")[0].as_py() // step * step
+                yield b
+        for out in sum_tiles_group(seen()):
+            yield out.append_column("part", pa.array([first], pa.int32()))
+    return run
+
+
 def sum_tiles_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All partial tiles of one output tile -> their sum (streamed, one buffer)."""
     total = None
@@ -103,8 +162,9 @@ def sum_tiles_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 #: Rows that the product kernel reads: one tile of A (side 0) or B (side 1) for a group.
 #: ``r`` is its row (A) or column (B) in the tile grid of the product, ``k`` the inner index,
-#: ``flip`` tells that ``data`` holds the transposed tile.
-PRODUCT_ROWS = ["_gid", "k", "side", "r", "h", "w", "flip", "data"]
+#: ``flip`` tells that ``data`` holds the transposed tile, ``pos`` the places of its values if
+#: the tile is sparse.
+PRODUCT_ROWS = ["_gid", "k", "side", "r", "h", "w", "flip", "data", "pos"]
 
 
 def _tile_view(flat, offs, row: int, h: int, w: int, flip: bool) -> np.ndarray:
@@ -113,6 +173,12 @@ def _tile_view(flat, offs, row: int, h: int, w: int, flip: bool) -> np.ndarray:
     return x.reshape(h, w) if flip else x.reshape(w, h).T
 
 
+def partial_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``stream_product`` of a part of the inner index: its tiles name the task they are from."""
+    for out in stream_product(batches):
+        yield out.append_column("part", pa.array([task_id()] * out.num_rows, pa.int32()))
+
+
 def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tile product over rows sorted by (group, k): C tiles of one group stay in memory and
     the inner index streams by.  At each k the present A tiles are stacked, the present B
@@ -148,9 +214,8 @@ def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         c.clear()
 
     for batch in batches:
-        gid, k, side, r, h, w, flip = (batch.column(n).to_numpy(zero_copy_only=False)
-                                       for n in PRODUCT_ROWS[:-1])
-        flat, offs = list_parts(batch.column("data"))
+        gid, k, side, r = (batch.column(n).to_numpy(zero_copy_only=False) for n in PRODUCT_ROWS[:4])
+        tiles = TileReader(batch)
         for row in range(batch.num_rows):
             if gid[row] != state["gid"]:
                 yield from finished()
@@ -158,9 +223,9 @@ def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             elif k[row] != state["k"]:
                 multiply()
                 state["k"] = k[row]
+            t = tiles.view(row)
             # a copy: views of an Arrow batch must not outlive it
-            (b if side[row] else a)[int(r[row])] = _tile_view(
-                flat, offs, row, int(h[row]), int(w[row]), bool(flip[row])).copy()
+            (b if side[row] else a)[int(r[row])] = t.copy() if tiles.full[row] else t
     yield from finished()
 
 
@@ -179,58 +244,165 @@ def transpose_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 # ------------------------------------------------------------ map-side products with vectors
+#: Bytes of result segments that a task adds up before it sends them on.
+SEGMENT_BYTES = 64 << 20
+
+
+def _segments(out: dict[int, np.ndarray]) -> pa.RecordBatch:
+    keys = sorted(out)
+    part = tile_batch({"bi": keys, "bj": [0] * len(keys)}, [out[k].size for k in keys], [1] * len(keys),
+                      [out[k] for k in keys])
+    return part.append_column("part", pa.array([task_id()] * len(keys), pa.int32()))
+
+
 def vector_batches(left: bool):
-    """Rows ``(bi, bj, h, w, flip, data, x)``, a tile of M and the tile of a vector that it
-    meets, -> partial result tiles ``(bi, 0)``, summed per batch.  ``left``: xᵀM instead of Mx."""
+    """Rows ``(bi, bj, h, w, flip, data, pos, x)``, a tile of M and the tile of a vector that it
+    meets, -> partial result tiles ``(bi, 0)``, summed per task.  ``left``: xᵀM instead of Mx.
+    Of a sparse tile only the stored values are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[int, np.ndarray] = {}
+        held = 0
         for b in batches:
-            bi, bj, h, w, flip = (b.column(n).to_numpy(zero_copy_only=False)
-                                  for n in ("bi", "bj", "h", "w", "flip"))
-            flat, offs = list_parts(b.column("data"))
+            bi, bj = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj"))
+            tiles = TileReader(b)
             xflat, xoffs = list_parts(b.column("x"))
-            out: dict[int, np.ndarray] = {}
             for r in range(b.num_rows):
-                t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), bool(flip[r]))
                 x = xflat[xoffs[r]:xoffs[r + 1]]
-                key, y = (int(bj[r]), x @ t) if left else (int(bi[r]), t @ x)
+                got = tiles.sparse(r)
+                key = int(bj[r] if left else bi[r])
+                if got is None:
+                    y = x @ tiles.view(r) if left else tiles.view(r) @ x
+                else:
+                    (to, at), n = ((got[1], got[0]), tiles.w[r]) if left else ((got[0], got[1]), tiles.h[r])
+                    y = np.bincount(to, got[2] * x[at], int(n))
                 if key in out:
                     out[key] += y
                 else:
                     out[key] = y
-            if out:
-                keys = sorted(out)
-                yield tile_batch({"bi": keys, "bj": [0] * len(keys)}, [out[k].size for k in keys],
-                                 [1] * len(keys), [out[k] for k in keys])
+                    held += y.nbytes
+            if held > SEGMENT_BYTES:
+                yield _segments(out)
+                out, held = {}, 0
+        if out:
+            yield _segments(out)
     return run
 
 
 def quad_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with a tile of M and the vector tiles on both its sides -> one partial xᵀMy."""
+    total, any_row = 0.0, False
     for b in batches:
-        h, w, flip = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w", "flip"))
-        flat, offs = list_parts(b.column("data"))
+        tiles = TileReader(b)
         (xf, xo), (yf, yo) = list_parts(b.column("x")), list_parts(b.column("y"))
-        total = 0.0
         for r in range(b.num_rows):
-            t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), bool(flip[r]))
-            total += float(xf[xo[r]:xo[r + 1]] @ t @ yf[yo[r]:yo[r + 1]])
-        if b.num_rows:
-            yield pa.RecordBatch.from_pydict({"s": pa.array([total], pa.float64())})
+            x, y, got = xf[xo[r]:xo[r + 1]], yf[yo[r]:yo[r + 1]], tiles.sparse(r)
+            if got is None:
+                total += float(x @ tiles.view(r) @ y)
+            else:
+                total += float((x[got[0]] * got[2]) @ y[got[1]])
+            any_row = True
+    if any_row:
+        yield pa.RecordBatch.from_pydict({"s": pa.array([total], pa.float64())})
 
 
 def gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tiles of a matrix with one tile column -> one partial TᵀT per task."""
     total = None
     for b in batches:
-        h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w"))
-        flat, offs = list_parts(b.column("data"))
+        tiles = TileReader(b)
         for r in range(b.num_rows):
-            t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), False)
+            t = tiles.view(r)
             total = t.T @ t if total is None else total + t.T @ t
     if total is not None:
-        yield tile_batch({"bi": [0], "bj": [0]}, [total.shape[0]], [total.shape[1]],
-                         [total.ravel(order="F")])
+        out = tile_batch({"bi": [0], "bj": [0]}, [total.shape[0]], [total.shape[1]], [total.ravel(order="F")])
+        yield out.append_column("part", pa.array([task_id()], pa.int32()))
+
+
+# ------------------------------------------------------------------------------ sparse tiles
+def sparse_tile_batch(keys: dict[str, list], hs: list[int], ws: list[int], pos: list[np.ndarray],
+                      data: list[np.ndarray]) -> pa.RecordBatch:
+    """Sparse tiles; one that stores all its places keeps no positions."""
+    out = tile_batch(keys, hs, ws, data)
+    full = [p.size == h * w for p, h, w in zip(pos, hs, ws)]
+    kept = pa.array([None if f else p.astype(np.int32) for p, f in zip(pos, full)], pa.list_(pa.int32()))
+    return pa.RecordBatch.from_arrays([*out.columns[:-1], kept, out.columns[-1]], [*out.schema.names[:-1], "pos", "data"])
+
+
+def thin_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles -> sparse tiles with the places that are not 0; tiles of zeros go."""
+    for b in batches:
+        tiles = TileReader(b)
+        flat = [tiles.view(r).ravel(order="F") for r in range(b.num_rows)]
+        pos = [np.flatnonzero(x) for x in flat]
+        keep = [r for r in range(b.num_rows) if pos[r].size]
+        if keep:
+            keys = {n: [b.column(n)[r].as_py() for r in keep] for n in ("bi", "bj")}
+            yield sparse_tile_batch(keys, [int(tiles.h[r]) for r in keep], [int(tiles.w[r]) for r in keep],
+                                    [pos[r] for r in keep], [flat[r][pos[r]] for r in keep])
+
+
+def fill_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sparse tiles -> dense ones."""
+    for b in batches:
+        if b.num_rows:
+            tiles = TileReader(b)
+            yield tile_batch({n: b.column(n).to_pylist() for n in ("bi", "bj")}, tiles.h.tolist(), tiles.w.tolist(),
+                             [tiles.view(r).ravel(order="F") for r in range(b.num_rows)])
+
+
+def transpose_sparse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sparse tiles -> transposed sparse tiles (positions sorted again)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        tiles = TileReader(b)
+        pos, data = [], []
+        for r in range(b.num_rows):
+            h, w, got = int(tiles.h[r]), int(tiles.w[r]), tiles.sparse(r)
+            if got is None:
+                pos.append(np.arange(h * w))
+                data.append(tiles.view(r).ravel())
+            else:
+                to = got[0] * w + got[1]
+                order = np.argsort(to)
+                pos.append(to[order])
+                data.append(got[2][order])
+        yield sparse_tile_batch({"bi": b.column("bj").to_pylist(), "bj": b.column("bi").to_pylist()},
+                                tiles.w.tolist(), tiles.h.tolist(), pos, data)
+
+
+def zip_sparse_batches(op: str):
+    """Full-outer-joined sparse tiles ``(bi, bj, h, w, ap, ad, bp, bd)`` -> the sparse tile of a
+    numpy ufunc over the union of their stored places."""
+    ufunc = getattr(np, op)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            hs, ws = (b.column(n).to_pylist() for n in ("h", "w"))
+            sides = []
+            for pos, data in (("ap", "ad"), ("bp", "bd")):
+                (pf, po), (df, do) = list_parts(b.column(pos)), list_parts(b.column(data))
+                full = b.column(pos).is_null().to_numpy(zero_copy_only=False)
+                none = b.column(data).is_null().to_numpy(zero_copy_only=False)
+                sides.append((pf, po, df, do, full, none))
+            out_pos, out = [], []
+            for r in range(b.num_rows):
+                (pa_, va), (pb, vb) = (
+                    (np.zeros(0, np.int64), np.zeros(0)) if none[r] else
+                    (np.arange(hs[r] * ws[r]) if full[r] else pf[po[r]:po[r + 1]], df[do[r]:do[r + 1]])
+                    for pf, po, df, do, full, none in sides)
+                at = np.union1d(pa_, pb)
+                x, y = np.zeros(at.size), np.zeros(at.size)
+                x[np.searchsorted(at, pa_)] = va
+                y[np.searchsorted(at, pb)] = vb
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    out.append(ufunc(x, y))
+                out_pos.append(at)
+            yield sparse_tile_batch({n: b.column(n).to_pylist() for n in ("bi", "bj")}, hs, ws, out_pos, out)
+    return run
 
 
 # ------------------------------------------------------------------------- retile, reduce
@@ -288,26 +460,42 @@ SEGMENT_SCHEMA = "b bigint, n int, cnt bigint, data array<double>"
 
 
 def reduce_batches(ufunc_name: str, by_rows: bool):
-    """Tiles -> one segment per tile row (or tile column) and batch, reduced by a numpy
-    ufunc, with the number of stored values that went into each of its places."""
+    """Tiles -> one segment per tile row (or tile column) and task, reduced by a numpy ufunc,
+    with the number of places that went into each of its values.  Places that a sparse tile
+    does not store are zeros and take part; for a sum they are not touched."""
     ufunc = getattr(np, ufunc_name)
 
+    def send(seg):
+        keys = sorted(seg)
+        return pa.RecordBatch.from_pydict({
+            "b": pa.array(keys, pa.int64()), "n": pa.array([seg[k][0].size for k in keys], pa.int32()),
+            "cnt": pa.array([seg[k][1] for k in keys], pa.int64()),
+            "data": to_list_array([seg[k][0] for k in keys])})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg: dict[int, tuple[np.ndarray, int]] = {}
+        held = 0
         for b in batches:
-            bi, bj, h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj", "h", "w"))
-            flat, offs = list_parts(b.column("data"))
-            seg: dict[int, tuple[np.ndarray, int]] = {}
+            bi, bj = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj"))
+            tiles = TileReader(b)
             for r in range(b.num_rows):
-                t = _tile_view(flat, offs, r, int(h[r]), int(w[r]), False)
-                key, y, c = ((int(bi[r]), ufunc.reduce(t, axis=1), t.shape[1]) if by_rows
-                             else (int(bj[r]), ufunc.reduce(t, axis=0), t.shape[0]))
-                seg[key] = (ufunc(seg[key][0], y), seg[key][1] + c) if key in seg else (y, c)
-            if seg:
-                keys = sorted(seg)
-                yield pa.RecordBatch.from_pydict({
-                    "b": pa.array(keys, pa.int64()), "n": pa.array([seg[k][0].size for k in keys], pa.int32()),
-                    "cnt": pa.array([seg[k][1] for k in keys], pa.int64()),
-                    "data": to_list_array([seg[k][0] for k in keys])})
+                got = tiles.sparse(r) if ufunc_name == "add" else None
+                key, n, c = ((int(bi[r]), int(tiles.h[r]), int(tiles.w[r])) if by_rows
+                             else (int(bj[r]), int(tiles.w[r]), int(tiles.h[r])))
+                if got is None:
+                    y = ufunc.reduce(tiles.view(r), axis=1 if by_rows else 0)
+                else:
+                    y = np.bincount(got[0 if by_rows else 1], got[2], n)
+                if key in seg:
+                    seg[key] = (ufunc(seg[key][0], y), seg[key][1] + c)
+                else:
+                    seg[key] = (y, c)
+                    held += y.nbytes
+            if held > SEGMENT_BYTES:
+                yield send(seg)
+                seg, held = {}, 0
+        if seg:
+            yield send(seg)
     return run
 
 
@@ -384,6 +572,73 @@ def tile_local_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                          hs.tolist(), ws.tolist(), out)
 
 
+# --------------------------------------------------------------------------- exact sums
+#: Bits of a bin of an exact sum, and values that are taken apart at once (their parts are
+#: below 2^47, so that so many add up below 2^63).
+BIN, EXACT_ROWS = 24, 1 << 15
+#: Bins of NaN and of the infinities (their sums are counts).
+NAN, MORE, LESS = 1 << 20, (1 << 20) + 1, (1 << 20) + 2
+
+
+def add_exact(bins: dict[int, int], x: np.ndarray) -> None:
+    """Add doubles to ``bins``: bin b holds a whole number of 2^(BIN b)."""
+    finite = np.isfinite(x)
+    if not finite.all():
+        for key, odd in ((NAN, np.isnan(x)), (MORE, x == np.inf), (LESS, x == -np.inf)):
+            if odd.any():
+                bins[key] = bins.get(key, 0) + int(odd.sum())
+        x = x[finite]
+    for at in range(0, x.size, EXACT_ROWS):
+        frac, exp = np.frexp(x[at:at + EXACT_ROWS])
+        whole = (frac * 2.0 ** 53).astype(np.int64)
+        exp = exp.astype(np.int64) - 53
+        bin_, sign, size = exp // BIN, np.sign(whole), np.abs(whole)
+        shift = exp - bin_ * BIN
+        found, where = np.unique(bin_, return_inverse=True)
+        for k in range(3):
+            sums = np.zeros(found.size, np.int64)
+            np.add.at(sums, where, sign * (((size >> (BIN * k)) & ((1 << BIN) - 1)) << shift))
+            for b, v in zip(found.tolist(), sums.tolist()):
+                if v:
+                    bins[b + k] = bins.get(b + k, 0) + v
+
+
+def exact_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A column of doubles or of arrays of them -> (bin, hi, lo) of the task's exact sum."""
+    bins: dict[int, int] = {}
+    for b in batches:
+        x = b.column(0)
+        x = x.flatten() if pa.types.is_list(x.type) or pa.types.is_large_list(x.type) else x
+        add_exact(bins, x.drop_null().to_numpy(zero_copy_only=False))
+    keys = sorted(bins)
+    yield pa.RecordBatch.from_pydict({"bin": pa.array(keys, pa.int32()),
+                                      "hi": pa.array([bins[k] >> 32 for k in keys], pa.int64()),
+                                      "lo": pa.array([bins[k] & 0xFFFFFFFF for k in keys], pa.int64())})
+
+
+def exact_total(name: str):
+    """The row of all bins -> their sum, rounded once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins: dict[int, int] = {}
+        for b in batches:
+            for x in b.column("all").to_pylist():
+                bins.update({y["bin"]: (y["hi"] << 32) + y["lo"] for y in x})
+        nan, more, less = (bins.pop(k, 0) for k in (NAN, MORE, LESS))
+        if nan or (more and less):
+            out = float("nan")
+        elif more or less:
+            out = float("inf") if more else -float("inf")
+        else:
+            low = min([*bins, 0])
+            total = sum(v << (BIN * (k - low)) for k, v in bins.items())
+            try:
+                out = total / (1 << (-BIN * low))  # division of whole numbers rounds once
+            except OverflowError:
+                out = float("inf") if total > 0 else -float("inf")
+        yield pa.RecordBatch.from_pydict({name: pa.array([out], pa.float64())})
+    return run
+
+
 # ------------------------------------------------------------------- user functions
 def map_tiles_batches(fn):
     """Wrap a numpy ``fn(tile) -> tile`` (2-D, same shape) as a ``mapInArrow`` function."""

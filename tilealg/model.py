@@ -1,11 +1,15 @@
 """Distributed matrix and vector types.
 
 A ``TileMatrix`` is a Spark DataFrame plus the shape metadata the driver needs to
-check operands before any job runs.  Two physical layouts carry the same logical
+check operands before any job runs.  Three physical layouts carry the same logical
 matrix of doubles:
 
 * ``cells``: one row per stored entry, ``(i bigint, j bigint, v double)``.  Sparse:
   an absent cell reads as 0.  All row/column arithmetic runs as native Spark SQL.
+* ``sparse``: one row per stored tile, ``(bi, bj, h, w, pos array<int>, data
+  array<double>)`` with the stored values of the tile and their sorted column-major places;
+  ``pos`` is null for a tile that stores all its places.  Absent places read as 0, as in
+  cells, and what an operator stores is the same cell for cell.
 * ``tiles``: one row per stored tile, ``(bi bigint, bj bigint, h int, w int,
   data array<double>)`` with ``data`` in column-major order.  Edge tiles are clipped to
   their true ``h x w`` (never padded).  An absent tile reads as zeros.
@@ -32,11 +36,13 @@ if TYPE_CHECKING:  # pragma: no cover
 # Column names of the two layouts.
 I, J, V = "i", "j", "v"
 BI, BJ, H, W, DATA = "bi", "bj", "h", "w", "data"
+POS = "pos"
 
-CELLS, TILES = "cells", "tiles"
+CELLS, TILES, SPARSE = "cells", "tiles", "sparse"
 
 CELL_SCHEMA = "i bigint, j bigint, v double"
 TILE_SCHEMA = "bi bigint, bj bigint, h int, w int, data array<double>"
+SPARSE_SCHEMA = "bi bigint, bj bigint, h int, w int, pos array<int>, data array<double>"
 
 # A dense tile of h*w doubles travels through Arrow batches and sort buffers as one
 # value; keep it at or below 512 x 512 (2 MiB).
@@ -64,7 +70,7 @@ class Shape:
 
 
 class TileMatrix:
-    """A distributed matrix: a DataFrame in the ``cells`` or ``tiles`` layout."""
+    """A distributed matrix: a DataFrame in the ``cells``, ``sparse`` or ``tiles`` layout."""
 
     def __init__(self, df: DataFrame, nrows: int, ncols: int,
                  tile: tuple[int, int] = (512, 512), layout: str = CELLS):
@@ -74,7 +80,7 @@ class TileMatrix:
             raise ShapeMismatchError(f"negative shape {nrows}x{ncols}")
         if th < 1 or tw < 1:
             raise ShapeMismatchError(f"tile size must be positive, got {th}x{tw}")
-        if layout not in (CELLS, TILES):
+        if layout not in (CELLS, TILES, SPARSE):
             raise ValueError(f"unknown layout {layout!r}")
         if layout == TILES and th * tw > MAX_TILE_CELLS:
             raise ShapeMismatchError(
@@ -94,7 +100,10 @@ class TileMatrix:
         """The frame in this matrix's layout."""
         if self._df is None:
             from .functions import kernels
-            self._df = self.flipped.df.mapInArrow(kernels.transpose_batches, TILE_SCHEMA)
+            if self.layout == SPARSE:
+                self._df = self.flipped.df.mapInArrow(kernels.transpose_sparse_batches, SPARSE_SCHEMA)
+            else:
+                self._df = self.flipped.df.mapInArrow(kernels.transpose_batches, TILE_SCHEMA)
         return self._df
 
     # ----------------------------------------------------------------- metadata
@@ -154,6 +163,11 @@ class TileMatrix:
         from .operators.layout import to_tiles
         return to_tiles(self, tile)
 
+    def to_sparse(self, tile: tuple[int, int] | None = None) -> "TileMatrix":
+        """Tiles that hold their stored values and places only."""
+        from .operators.layout import to_sparse
+        return to_sparse(self, tile)
+
     def retile(self, tile: tuple[int, int]) -> "TileMatrix":
         from .operators.layout import retile
         return retile(self, tile)
@@ -185,9 +199,15 @@ class TileMatrix:
             bad_tile = F.lit(False)
         else:
             th, tw = self.tile
+            # a sparse tile has as many places as values; a full one is as long as a dense one
+            n = F.size(DATA)
+            if self.layout == SPARSE:
+                right = ((F.size(POS) == n) & (F.array_min(POS) >= 0) & (F.array_max(POS) < F.col(H) * F.col(W))
+                         & (F.size(F.array_distinct(POS)) == n))
+                n = F.when(F.col(POS).isNull(), n).when(right, F.col(H) * F.col(W)).otherwise(F.lit(-1))
             keyed = self.df.groupBy(BI, BJ).agg(F.count(F.lit(1)).alias("_n"),
                                                  F.first(H).alias(H), F.first(W).alias(W),
-                                                 F.first(F.size(DATA)).alias("_len"))
+                                                 F.first(n).alias("_len"))
             g = self.grid
             bad_range = ((F.col(BI) < 0) | (F.col(BI) >= g.nrows)
                          | (F.col(BJ) < 0) | (F.col(BJ) >= g.ncols))
@@ -302,6 +322,12 @@ class TileMatrix:
         from .operators.zipops import zip_cells
         return zip_cells(self, other, fn)
 
+    def term(self):
+        """This matrix as an operand of an element-wise expression that is evaluated in one
+        pass (``zipops.Term``)."""
+        from .operators.zipops import Term
+        return Term([self], lambda x: x)
+
     def zip_tiles(self, other: "TileMatrix", fn) -> "TileMatrix":
         from .operators.zipops import zip_tiles
         return zip_tiles(self, other, fn)
@@ -342,13 +368,13 @@ class TileMatrix:
         from .operators.reduce import reduce_cols
         return reduce_cols(self, "sum")
 
-    def reduce_rows(self, op) -> "TileVector":
+    def reduce_rows(self, op, **kw) -> "TileVector":
         from .operators.reduce import reduce_rows
-        return reduce_rows(self, op)
+        return reduce_rows(self, op, **kw)
 
-    def reduce_cols(self, op) -> "TileVector":
+    def reduce_cols(self, op, **kw) -> "TileVector":
         from .operators.reduce import reduce_cols
-        return reduce_cols(self, op)
+        return reduce_cols(self, op, **kw)
 
     # --------------------------------------------------------------- sinks
     def write_text(self, path: str, delim: str = ",", mode: str = "error") -> None:
@@ -359,10 +385,20 @@ class TileMatrix:
         from .sources.parquet import save
         save(self, path, mode=mode)
 
+    def store(self, path: str, by: str = "grid", buckets: int | None = None, mode: str = "error") -> "TileMatrix":
+        """Write into buckets by "grid", "rows" or "columns", and return the stored matrix,
+        which later joins on that key do not shuffle."""
+        from .sources.store import store
+        return store(self, path, by, buckets, mode)
+
+    def head(self, n: int = 20) -> DataFrame:
+        """The first ``n`` stored cells in index order."""
+        return self.to_cells().df.orderBy(I, J).limit(n)
+
     def show(self, n: int = 20) -> None:
         """Print the shape header and the first ``n`` cells in index order (bounded)."""
         print(self.describe())
-        self.to_cells().df.orderBy(I, J).show(n)
+        self.head(n).show(n)
 
     def to_numpy(self, limit_cells: int = 1 << 22) -> "np.ndarray":
         """Collect a *small* matrix to the driver (tests and inspection only)."""
@@ -425,7 +461,7 @@ class TileVector:
         """Public frame: ``(i, v)`` cells or ``(bi, h, data)`` tiles."""
         if self.mat.layout == CELLS:
             return self.mat.df.select(I, V)
-        return self.mat.df.select(BI, H, DATA)
+        return self.mat.df.select(BI, H, *([POS] if self.mat.layout == SPARSE else []), DATA)
 
     def describe(self) -> dict:
         return {"size": self.n, "tile": self.tile, "grid": self.num_tiles,
@@ -444,6 +480,9 @@ class TileVector:
     def to_tiles(self, tile: int | None = None) -> "TileVector":
         return TileVector(self.mat.to_tiles(None if tile is None else (tile, 1)))
 
+    def to_sparse(self, tile: int | None = None) -> "TileVector":
+        return TileVector(self.mat.to_sparse(None if tile is None else (tile, 1)))
+
     def retile(self, tile: int) -> "TileVector":
         return TileVector(self.mat.retile((tile, 1)))
 
@@ -547,13 +586,13 @@ class TileVector:
         return self.multiply(m)
 
     # ------------------------------------------------------------------ reductions
-    def sum(self) -> DataFrame:
+    def sum(self, exact: bool = False) -> DataFrame:
         from .operators.reduce import vsum
-        return vsum(self)
+        return vsum(self, exact)
 
-    def norm_squared(self) -> DataFrame:
+    def norm_squared(self, exact: bool = False) -> DataFrame:
         from .operators.reduce import norm_squared
-        return norm_squared(self)
+        return norm_squared(self, exact)
 
     def norm(self, p: float = 2.0, abs: bool = True) -> DataFrame:  # noqa: A002
         from .operators.reduce import norm
@@ -568,9 +607,17 @@ class TileVector:
         from .sources.parquet import save
         save(self.mat, path, mode=mode)
 
+    def store(self, path: str, by: str = "rows", buckets: int | None = None, mode: str = "error") -> "TileVector":
+        from .sources.store import store
+        return store(self, path, by, buckets, mode)
+
+    def head(self, n: int = 20) -> DataFrame:
+        """The first ``n`` stored entries in index order."""
+        return self.mat.head(n).select(I, V)
+
     def show(self, n: int = 20) -> None:
         print(self.describe())
-        self.to_cells().df.orderBy(I).show(n)
+        self.head(n).show(n)
 
     def to_numpy(self, limit_cells: int = 1 << 22):
         return self.mat.to_numpy(limit_cells)[:, 0]

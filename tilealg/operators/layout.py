@@ -1,4 +1,4 @@
-"""Layout changes: cells <-> tiles, retile, densify, tile selection."""
+"""Layout changes: cells <-> sparse tiles <-> tiles, retile, densify, tile selection."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.exprs import idiv, zeros_array
-from ..model import (BI, BJ, CELLS, DATA, H, I, J, MAX_TILE_CELLS, TILE_SCHEMA, TILES, V, W,
-                     ShapeMismatchError, TileMatrix)
+from ..session import bounded
+from ..model import (BI, BJ, CELLS, DATA, H, I, J, MAX_TILE_CELLS, POS, SPARSE, SPARSE_SCHEMA, TILE_SCHEMA,
+                     TILES, V, W, ShapeMismatchError, TileMatrix)
 
 
 def _range(spark, n: int, rows_per_part: int = 1 << 20):
@@ -25,11 +26,16 @@ def tile_dims(bi, bj, m: TileMatrix, th: int | None = None, tw: int | None = Non
 
 
 def to_cells(m: TileMatrix, drop_zeros: bool = False) -> TileMatrix:
-    """Tiles -> cells with ``posexplode``; every position of a stored tile becomes a cell."""
+    """Tiles -> cells; every position of a stored tile, and every stored value of a sparse
+    one, becomes a cell."""
     if m.layout == CELLS:
         return m._with(m.df.filter(F.col(V) != 0)) if drop_zeros else m
     th, tw = m.tile
-    ex = m.df.select(BI, BJ, H, F.posexplode(DATA).alias("p", V))
+    if m.layout == SPARSE:
+        places = F.coalesce(F.col(POS), F.sequence(F.lit(0), F.size(DATA) - 1))
+        ex = m.df.select(BI, BJ, H, F.inline(F.arrays_zip(places.alias("p"), F.col(DATA).alias(V))))
+    else:
+        ex = m.df.select(BI, BJ, H, F.posexplode(DATA).alias("p", V))
     p, h = F.col("p"), F.col(H)
     df = ex.select((F.col(BI) * th + F.pmod(p, h)).cast("bigint").alias(I),
                    (F.col(BJ) * tw + idiv(p, h)).alias(J),
@@ -50,6 +56,11 @@ def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
         if tile == m.tile:
             return m
         return retile(m, tile)
+    if m.layout == SPARSE and tile == m.tile:
+        out = TileMatrix(m.df.mapInArrow(kernels.fill_batches, TILE_SCHEMA), m.nrows, m.ncols, tile, TILES)
+        out.full = m.full
+        return out
+    m = to_cells(m)
     th, tw = tile
     if th * tw > MAX_TILE_CELLS:
         raise ShapeMismatchError(f"tile {th}x{tw} holds {th * tw} cells; the limit is {MAX_TILE_CELLS}")
@@ -64,6 +75,34 @@ def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     return TileMatrix(df, m.nrows, m.ncols, tile, TILES)
 
 
+def to_sparse(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
+    """Tiles that hold their stored values only, with the sorted places of these; a tile that
+    stores all its places holds no places.
+
+    From cells: one shuffle on the tile id and JVM aggregates; what is moved and kept grows
+    with the stored cells, not with the tiles' area, so such a tile may be larger than a
+    dense one (it holds ``MAX_TILE_CELLS`` values at most).  From dense tiles: zeros go, no
+    shuffle."""
+    tile = m.tile if tile is None else (int(tile[0]), int(tile[1]))
+    if m.layout == SPARSE and tile == m.tile:
+        return m
+    if m.layout == TILES and tile == m.tile:
+        return TileMatrix(m.df.mapInArrow(kernels.thin_batches, SPARSE_SCHEMA), m.nrows, m.ncols, tile, SPARSE)
+    cells = to_cells(m, drop_zeros=m.layout == TILES)
+    th, tw = tile
+    if th * tw >= 1 << 31:
+        raise ShapeMismatchError(f"places in a tile {th}x{tw} do not fit 31 bits")
+    bi, bj = idiv(F.col(I), th), idiv(F.col(J), tw)
+    h, w = tile_dims(bi, bj, m, th, tw)
+    keyed = cells.df.select(bi.alias(BI), bj.alias(BJ), F.struct(
+        (F.pmod(F.col(I), F.lit(th)) + F.pmod(F.col(J), F.lit(tw)) * h).cast("int").alias("p"), F.col(V)).alias("c"))
+    rows = keyed.groupBy(BI, BJ).agg(F.sort_array(F.collect_list("c")).alias("c"))
+    h, w = tile_dims(F.col(BI), F.col(BJ), m, th, tw)
+    full = F.size("c") == h * w
+    df = rows.select(BI, BJ, h.alias(H), w.alias(W), F.when(~full, F.col("c.p")).alias(POS), F.col(f"c.{V}").alias(DATA))
+    return TileMatrix(df, m.nrows, m.ncols, tile, SPARSE)
+
+
 def retile(m: TileMatrix, tile: tuple[int, int]) -> TileMatrix:
     """Another tile size.  Tiles are cut into the rectangles they share with the new tiles
     (numpy views), and the rectangles, not cells, are shuffled and put together."""
@@ -72,6 +111,8 @@ def retile(m: TileMatrix, tile: tuple[int, int]) -> TileMatrix:
         return m._with(m.df, tile=tile)
     if tile == m.tile:
         return m
+    if m.layout == SPARSE:
+        return to_sparse(m, tile)
     if tile[0] * tile[1] > MAX_TILE_CELLS:
         raise ShapeMismatchError(
             f"tile {tile[0]}x{tile[1]} holds {tile[0] * tile[1]} cells; the limit is {MAX_TILE_CELLS}")
@@ -95,6 +136,8 @@ def densify(m: TileMatrix) -> TileMatrix:
 
 def _densified(m: TileMatrix) -> TileMatrix:
     spark = m.spark
+    if m.layout == SPARSE:
+        m = to_tiles(m)
     if m.layout == CELLS:
         n = m.nrows * m.ncols
         grid = _range(spark, n).select(
@@ -110,6 +153,8 @@ def _densified(m: TileMatrix) -> TileMatrix:
     h, w = tile_dims(bi, bj, m)
     grid = ids.select(bi.alias(BI), bj.alias(BJ), h.alias(H), w.alias(W))
     stored = m.df.select(BI, BJ, F.col(DATA).alias("_d"))
+    # Spark's own estimate counts an array as one small value: broadcast by the proven bound only
+    stored = bounded(stored, 8 * m.nrows * m.ncols + 64 * m.num_tiles)
     df = (grid.join(stored, [BI, BJ], "left")
           .select(BI, BJ, H, W, F.coalesce(F.col("_d"), zeros_array(F.col(H) * F.col(W)))
                   .alias(DATA)))
@@ -128,7 +173,7 @@ def get_tile(m: TileMatrix, bi: int, bj: int) -> TileMatrix:
     g = m.grid
     if not (0 <= bi < g.nrows and 0 <= bj < g.ncols):
         raise ShapeMismatchError(f"tile ({bi},{bj}) is outside the {g.nrows}x{g.ncols} grid")
-    if m.layout == TILES:
+    if m.layout != CELLS:
         return m._with(m.df.filter((F.col(BI) == bi) & (F.col(BJ) == bj)))
     th, tw = m.tile
     cond = ((F.col(I) >= bi * th) & (F.col(I) < (bi + 1) * th)

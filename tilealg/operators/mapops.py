@@ -1,7 +1,7 @@
 """Per-cell maps: scalar arithmetic, math functions, transpose, user maps.
 
-All of these are narrow (no shuffle).  On cells they are a ``select``; on tiles a
-``transform`` over the tile array.
+All of these are narrow (no shuffle).  On cells they are a ``select``; on tiles, sparse or
+not, a ``transform`` over the tile array.
 
 A function with f(0) != 0 has a value where nothing is stored, too.  ``absent="fill"``
 (default) gives it there as well: the matrix is made dense first, so cells and tiles agree
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.exprs import ieee_div
-from ..model import BI, BJ, CELLS, DATA, H, I, J, TILE_SCHEMA, V, W, TileMatrix
+from ..model import BI, BJ, CELLS, DATA, H, I, J, POS, SPARSE, TILE_SCHEMA, V, W, TileMatrix
 
 
 def map_cells(m: TileMatrix, fn: Callable[[Column], Column], absent: str = "keep") -> TileMatrix:
@@ -30,7 +30,7 @@ def map_cells(m: TileMatrix, fn: Callable[[Column], Column], absent: str = "keep
     if m.layout == CELLS:
         out = m._with(m.df.select(I, J, fn(F.col(V)).cast("double").alias(V)))
     else:
-        out = m._with(m.df.select(BI, BJ, H, W,
+        out = m._with(m.df.select(BI, BJ, H, W, *([POS] if m.layout == SPARSE else []),
                                   F.transform(DATA, lambda x: fn(x).cast("double")).alias(DATA)))
     out.full = m.full
     return out

@@ -423,12 +423,12 @@ def matmul_p_c(t: Tables) -> DataFrame:
     return _cells(p @ c)
 
 
-@query("matvec_tiles_p", "J2 tiles, sparse matrix, map-side product",
+@query("matvec_tiles_p", "A14 sparse tiles + J2: stored values only, map-side product",
        _with("p", "SELECT i, sum(v * (j % 4 + 1)) AS v FROM p GROUP BY i"))
 def matvec_tiles_p(t: Tables) -> DataFrame:
     p = t.p()
     x = gen.vec_generate(t.spark, p.ncols, lambda i: F.pmod(i, F.lit(4)) + 1, tile=p.tile_w)
-    return _vec_df((p.to_tiles() @ x).to_cells(drop_zeros=True))
+    return _vec_df((p.to_sparse() @ x).to_cells(drop_zeros=True))
 
 
 @query("vecmat_tiles_e", "J3 tiles: xᵀe, map-side product",
@@ -952,6 +952,212 @@ def approx_unequal_g(t: Tables) -> DataFrame:
     return g.approx_equal((g * 2 + 1).to_tiles(), tol=0.5)
 
 
+# ================================================================ sparse tiles (A14, R6)
+@query("sparse_roundtrip_p", "A14/R6: cells -> sparse tiles -> other sparse tiles -> cells", _with("p", "SELECT i, j, v FROM p"))
+def sparse_roundtrip_p(t: Tables) -> DataFrame:
+    return _cells(t.p().to_sparse().retile((50, 70)))
+
+
+@query("sparse_thin_s", "A14: dense tiles -> sparse tiles (zeros go) -> transposed", _with("s", "SELECT j AS i, i AS j, v FROM s WHERE v <> 0"))
+def sparse_thin_s(t: Tables) -> DataFrame:
+    return _cells(t.s().to_tiles().to_sparse().T)
+
+
+@query("sparse_ew_p", "E1-E3 on sparse tiles: (p + 2 p) ∘ p - p",
+       _with("p", "SELECT i, j, (v + 2 * v) * v - v AS v FROM p"))
+def sparse_ew_p(t: Tables) -> DataFrame:
+    p = t.p().to_sparse()
+    return _cells((p + p * 2) * p - p)
+
+
+@query("sparse_row_sums_p", "R7 on sparse tiles", _with("p", "SELECT i, sum(v) AS v FROM p GROUP BY i HAVING sum(v) <> 0"))
+def sparse_row_sums_p(t: Tables) -> DataFrame:
+    return _vec_df(t.p().to_sparse((256, 256)).row_sums().to_cells(drop_zeros=True))
+
+
+@query("sparse_col_max_p", "R8 on sparse tiles: absent places are zeros",
+       _with("p", "SELECT j AS i, greatest(max(v), 0) AS v FROM p GROUP BY j HAVING max(v) > 0"))
+def sparse_col_max_p(t: Tables) -> DataFrame:
+    return _vec_df(t.p().to_sparse().reduce_cols("max").to_cells(drop_zeros=True))
+
+
+@query("sparse_matmul_p", "J1 on sparse tiles, shipped as stored values: p c, c the classes suppkey mod 5",
+       _with("p", "SELECT i, CAST(j % 5 AS BIGINT) AS j, sum(v) AS v FROM p GROUP BY 1, 2 HAVING sum(v) <> 0"))
+def sparse_matmul_p(t: Tables) -> DataFrame:
+    p = t.p().to_sparse()
+    c = from_relation(t.read("supplier"), "s_suppkey", F.col("s_suppkey") % 5, F.lit(1.0), shape=(p.ncols, 5),
+                      tile=(p.tile_w, 5))
+    return _cells((p @ c.to_sparse()).to_cells(drop_zeros=True))
+
+
+# ============================================ large vectors, stored matrices, pruned products
+@query("matvec_stored_e", "K3 + J2: matrix stored by columns; the vector is dealt out, the matrix stays",
+       _with("e", "SELECT i, sum(v * (j % 3 + 1)) AS v FROM e GROUP BY i"))
+def matvec_stored_e(t: Tables) -> DataFrame:
+    e = t.e((128, 16), layout="tiles").store(scratch_path(t.spark, "by-columns"), by="columns")
+    x = gen.vec_generate(t.spark, e.ncols, lambda i: F.pmod(i, F.lit(3)) + 1, tile=e.tile_w)
+    return _vec_df(product.matvec(e, x, broadcast=False))
+
+
+@query("vecmat_stored_e", "K3 + J3: matrix stored by rows; the vector is dealt out, the matrix stays",
+       _with("e", "SELECT j AS i, sum(v * (i % 7 + 1)) AS v FROM e GROUP BY j"))
+def vecmat_stored_e(t: Tables) -> DataFrame:
+    e = t.e((32, 64), layout="tiles").store(scratch_path(t.spark, "by-rows"), by="rows")
+    x = gen.vec_generate(t.spark, e.nrows, lambda i: F.pmod(i, F.lit(7)) + 1, tile=e.tile_h)
+    return _vec_df(product.vecmat(x, e, broadcast=False))
+
+
+@query("quad_large_s_u", "J5 with vectors that are not broadcast: a product and a dot product",
+       _with("s u", "SELECT coalesce(sum(x.v * s.v * y.v), 0) AS value FROM s JOIN u x ON s.i = x.i JOIN u y ON s.j = y.i"))
+def quad_large_s_u(t: Tables) -> DataFrame:
+    return product.quad_form(t.s().to_tiles(), t.u(), t.u(), broadcast=False)
+
+
+@query("ew_add_stored", "K3 + E1: a and b stored by grid, added without an exchange",
+       "WITH a AS (SELECT l_suppkey AS i, CAST(l_linenumber - 1 AS BIGINT) AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2), "
+       "b AS (SELECT l_suppkey AS i, CAST(l_linenumber - 1 AS BIGINT) AS j, CAST(count(*) AS DOUBLE) AS v FROM lineitem GROUP BY 1, 2) "
+       "SELECT i, j, coalesce(a.v, 0) + coalesce(b.v, 0) AS v FROM a FULL OUTER JOIN b USING (i, j)")
+def ew_add_stored(t: Tables) -> DataFrame:
+    a, b = (m.store(scratch_path(t.spark, "by-grid")) for m in (t.a(), t.b()))
+    return _cells(a + b)
+
+
+@query("matmul_block_diagonal", "J1 tiles, shipped only where a stored tile is met: d d, d block-diagonal by suppkey div 10",
+       "WITH d AS (SELECT l_suppkey AS i, l_suppkey // 10 * 10 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2) "
+       "SELECT x.i, y.j, sum(x.v * y.v) AS v FROM d x JOIN d y ON x.j = y.i GROUP BY 1, 2 HAVING sum(x.v * y.v) <> 0")
+def matmul_block_diagonal(t: Tables) -> DataFrame:
+    n = -(-(t.n_supp + 1) // 10) * 10
+    col = F.call_function("div", F.col("l_suppkey"), F.lit(10).cast("bigint")) * 10 + F.col("l_linenumber")
+    d = from_relation(t.read("lineitem"), "l_suppkey", col, "l_quantity", shape=(n, n), tile=(10, 10)).to_sparse()
+    return _cells(product.matmul(d, d, groups=(1, 1, n // 10), prune=True).to_cells(drop_zeros=True))
+
+
+@query("matmul_heavy_cells", "J1 cells by a shuffle, heavy inner indices split in a grid: aᵀ a",
+       _with("a", "SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM a x JOIN a y ON x.i = y.i GROUP BY 1, 2"))
+def matmul_heavy_cells(t: Tables) -> DataFrame:
+    a = t.a()
+    return _cells(product.matmul(a.T, a, broadcast=False))
+
+
+@query("gram_tree_e", "R5: eᵀe of many tile rows, partial tiles summed in a tree", _with("e", _GRAM_E))
+def gram_tree_e(t: Tables) -> DataFrame:
+    return _cells(t.e((4, 64), layout="tiles").gram())
+
+
+# ========================================= one pass over many operands, reductions in order
+def _line_matrix(t: Tables, value) -> TileMatrix:
+    return from_relation(t.read("lineitem"), "l_suppkey", F.col("l_linenumber") - 1, value, shape=(t.n_supp, LINES),
+                         tile=(32, 7))
+
+
+_LINES4 = ("SELECT l_suppkey AS i, CAST(l_linenumber - 1 AS BIGINT) AS j, sum(l_quantity) AS a, CAST(count(*) AS DOUBLE) AS b, "
+           "sum(round(l_tax * 100)) AS c, sum(round(l_discount * 100)) AS d FROM lineitem GROUP BY 1, 2")
+
+
+@query("fused_abcd", "E1-E4 in one pass: a + b ∘ c - d / 4 (one exchange per operand)",
+       f"SELECT i, j, a + b * c - d / 4 AS v FROM ({_LINES4}) x")
+def fused_abcd(t: Tables) -> DataFrame:
+    c, d = (_line_matrix(t, F.round(F.col(x) * 100)) for x in ("l_tax", "l_discount"))
+    return _cells((t.a().term() + t.b().term() * c.term() - d.term() / 4).matrix())
+
+
+@query("fused_tiles_s", "E1-E3 in one pass on tiles: s ∘ sᵀ + 2 s - sᵀ",
+       _with("s gs", "SELECT i, j, coalesce(x.v, 0) * coalesce(y.v, 0) + 2 * coalesce(x.v, 0) - coalesce(y.v, 0) AS v FROM gs "
+                     "LEFT JOIN s x USING (i, j) LEFT JOIN (SELECT j AS i, i AS j, v FROM s) y USING (i, j)"))
+def fused_tiles_s(t: Tables) -> DataFrame:
+    s = t.s().to_tiles()
+    x, y = s.term(), s.T.term()
+    return _cells((x * y + 2 * x - y).matrix("fill"))
+
+
+@query("fused_unstored_g", "E1 in one pass, every place: g - 1 / g (1/0 = Inf)",
+       _with("g gg", "SELECT i, j, v - 1 / v AS v FROM gg"))
+def fused_unstored_g(t: Tables) -> DataFrame:
+    g = t.g()
+    return _cells((g.term() - 1 / g.term()).matrix("fill"))
+
+
+@query("row_fold_linear_b", "U7 ordered: linear maps x -> v x + 1 composed along each row, zeros at their places",
+       "WITH b AS (SELECT l_suppkey AS i, CAST(l_linenumber - 1 AS BIGINT) AS j, CAST(1 + count(*) % 2 AS DOUBLE) AS v "
+       "FROM lineitem GROUP BY 1, 2), "
+       "r AS (SELECT DISTINCT i FROM b), d AS (SELECT r.i, k AS j, coalesce(b.v, 0) AS v FROM r, range(0, 7) t(k) "
+       "LEFT JOIN b ON b.i = r.i AND b.j = k) "
+       "SELECT i, list_reduce(list_prepend(0.0::DOUBLE, list(v ORDER BY j)), lambda x, v: v * x + 1) AS v FROM d GROUP BY i")
+def row_fold_linear_b(t: Tables) -> DataFrame:
+    def then(f, g):
+        return F.struct((f["a"] * g["a"]).alias("a"), (f["b"] * g["a"] + g["b"]).alias("b"))
+    return _vec_df(_parity(t.b()).reduce_rows(then, lift=lambda v: F.struct(v.alias("a"), F.lit(1.0).alias("b")),
+                                              finish=lambda f: f["b"]))
+
+
+@query("row_fold_last_p", "U7 ordered: last stored value of each row of a sparse matrix",
+       _with("p", "SELECT i, arg_max(v, j) AS v FROM p GROUP BY i"))
+def row_fold_last_p(t: Tables) -> DataFrame:
+    return _vec_df(t.p().reduce_rows(lambda x, y: y, absent="keep"))
+
+
+def _named(**one: DataFrame) -> DataFrame:
+    """One row per one-value frame: (name, value)."""
+    rows = None
+    for name, df in one.items():
+        row = df.toDF("value").select(F.lit(name).alias("name"), "value")
+        rows = row if rows is None else rows.union(row)
+    return rows
+
+
+@query("sum_exact_orders", "R1 exact: order totals, the same bits in any order (checked to a cent)",
+       "SELECT round(sum(o_totalprice), 2) AS sum FROM orders")
+def sum_exact_orders(t: Tables) -> DataFrame:
+    from ..sources.relation import vector_from_relation
+    o = t.read("orders")
+    n = o.agg(F.max("o_orderkey")).first()[0] or 0
+    v = vector_from_relation(o, "o_orderkey", "o_totalprice", n=n + 1, tile=1024)
+    return v.sum(exact=True).select(F.round("sum", 2).alias("sum"))
+
+
+@query("dot_exact_u_sv", "J4 and R2 exact",
+       _with("u sv", "SELECT 'dot' AS name, coalesce(sum(u.v * sv.v), 0) AS value FROM u JOIN sv USING (i) "
+                     "UNION ALL SELECT 'norm_squared', sum(v * v) FROM u"))
+def dot_exact_u_sv(t: Tables) -> DataFrame:
+    u, sv = t.u(), t.sv()
+    return _named(dot=u.dot(sv, exact=True), norm_squared=u.to_tiles().norm_squared(exact=True))
+
+
+@query("norm_scaled_u", "R3/R4 beyond the range of the squares, and the largest value",
+       _with("u", "SELECT n AS name, round(sqrt(sum(v * v)), 6) AS value FROM u, (SELECT unnest(['large', 'small']) AS n) x "
+                  "GROUP BY n UNION ALL SELECT 'top', max(v) FROM u"))
+def norm_scaled_u(t: Tables) -> DataFrame:
+    u, f = t.u(), 2.0 ** 664  # about 1e200
+    return _named(large=(u * f).norm(2).select(F.round(F.col("norm") / F.lit(f), 6)),
+                  small=(u / f).norm(2).select(F.round(F.col("norm") * F.lit(f), 6)),
+                  top=u.to_tiles().norm(float("inf")))
+
+
+# ============================================================ inspection (K4, K5), rejects
+@query("head_s", "K4 + K5: shape accessors and the first ten cells by index",
+       _with("s", "SELECT i, j, v, n AS nrows, n AS ncols, 10 AS brows, 10 AS bcols, CAST(ceil(n / 10.0) AS BIGINT) AS grid_rows, "
+                  "CAST(ceil(n / 10.0) AS BIGINT) AS grid_cols, CAST(ceil(n / 10.0) * ceil(n / 10.0) AS BIGINT) AS num_tiles "
+                  "FROM s, (SELECT CAST(max(n_nationkey) + 1 AS BIGINT) AS n FROM nation) x ORDER BY i, j LIMIT 10"))
+def head_s(t: Tables) -> DataFrame:
+    s = t.s()
+    d = s.describe()
+    known = {"nrows": d["shape"][0], "ncols": d["shape"][1], "grid_rows": d["grid"][0], "grid_cols": d["grid"][1],
+             "num_tiles": s.num_tiles}
+    return s.head(10).select(I, J, V, *[F.lit(x).cast("bigint").alias(k) for k, x in known.items()],
+                             F.lit(s.brows).alias("brows"), F.lit(s.bcols).alias("bcols"))
+
+
+@query("text_rejected_a", "S1: cells outside the declared shape are left out and can be read by themselves",
+       _with("a", "SELECT i, j, v, j >= 4 AS rejected FROM a"))
+def text_rejected_a(t: Tables) -> DataFrame:
+    a = t.a()
+    path = scratch_path(t.spark, "rejects")
+    a.write_text(path)
+    kept = text.read_text(t.spark, path, (a.nrows, 4), a.tile, mode="drop").df
+    out = text.rejected_text(t.spark, path, (a.nrows, 4))
+    return kept.withColumn("rejected", F.lit(False)).unionByName(out.withColumn("rejected", F.lit(True)))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

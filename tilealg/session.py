@@ -92,6 +92,14 @@ def maybe_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
     return df
 
 
+def bounded(df: DataFrame, max_bytes: int) -> DataFrame:
+    """A join side that is broadcast if its proven bound fits the threshold and never
+    otherwise: the merge hint keeps Spark from broadcasting it by an estimate of its own,
+    which takes an array column for one small value."""
+    out = maybe_broadcast(df, max_bytes)
+    return df.hint("merge") if out is df else out
+
+
 def shuffle_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

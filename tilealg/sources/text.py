@@ -33,12 +33,15 @@ def _combine(df: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
     raise ValueError(f"on_duplicate must be 'error' or 'sum', got {on_duplicate!r}")
 
 
-def _range_check(df: DataFrame, bounds: dict[str, int], mode: str) -> DataFrame:
-    bad = None
+def _bad(bounds: dict[str, int]):
+    bad = F.col(V).isNull()
     for k, n in bounds.items():
-        c = (F.col(k) < 0) | (F.col(k) >= n) | F.col(k).isNull()
-        bad = c if bad is None else (bad | c)
-    bad = bad | F.col(V).isNull()
+        bad = bad | F.col(k).isNull() | F.coalesce((F.col(k) < 0) | (F.col(k) >= n), F.lit(True))
+    return bad
+
+
+def _range_check(df: DataFrame, bounds: dict[str, int], mode: str) -> DataFrame:
+    bad = _bad(bounds)
     if mode == "drop":
         return df.filter(~bad)
     if mode == "error":
@@ -50,10 +53,24 @@ def _range_check(df: DataFrame, bounds: dict[str, int], mode: str) -> DataFrame:
     raise ValueError(f"mode must be 'error' or 'drop', got {mode!r}")
 
 
+def rejected_text(spark: SparkSession, path: str, shape: tuple[int, int], delim: str = ",") -> DataFrame:
+    """The cells that ``read_text(..., mode="drop")`` leaves out: outside the shape, or with a
+    NULL in them."""
+    raw = _reader(spark, MATRIX_SCHEMA, delim).csv(path)
+    return raw.filter(_bad({I: int(shape[0]), J: int(shape[1])}))
+
+
+def rejected_text_vector(spark: SparkSession, path: str, n: int, delim: str = ",") -> DataFrame:
+    """The entries that ``read_text_vector(..., mode="drop")`` leaves out."""
+    raw = _reader(spark, VECTOR_SCHEMA, delim).csv(path)
+    return raw.filter(_bad({I: int(n)}))
+
+
 def read_text(spark: SparkSession, path: str, shape: tuple[int, int],
               tile: tuple[int, int] = (512, 512), delim: str = ",",
               on_duplicate: str = "error", mode: str = "error") -> TileMatrix:
-    """Matrix from text triplets (the reference's ``fromTextFile``)."""
+    """Matrix from text triplets (the reference's ``fromTextFile``).  ``mode="drop"`` leaves out
+    what lies outside the shape; ``rejected_text`` reads just that."""
     nrows, ncols = (int(x) for x in shape)
     raw = _reader(spark, MATRIX_SCHEMA, delim).csv(path)
     checked = _range_check(raw, {I: nrows, J: ncols}, mode)
