@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .shared import plain, slices
 
 #: Bytes of words, and of pieces, remembered per generation.
-REMEMBERED = 32 << 20
+REMEMBERED = 16 << 20
 #: Bytes that an entry takes besides its word and ids.
 ENTRY = 250
 #: White space as the tokenizer's pattern has it.
@@ -184,6 +184,7 @@ class WordBpe:
             for k in rare:
                 own[k] = np.frombuffer(self.encode(texts[int(k)].as_py()), np.int32)
             flat, ends = np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        pa.default_memory_pool().release_unused()
         return flat, ends
 
     def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> list[memoryview]:
@@ -236,7 +237,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 #: Texts per step.
-STEP = 2048
+STEP = 768
 
 
 def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",

@@ -272,8 +272,8 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         Shingles are ordered by how many of these texts hold them, rarest first.  If two
         sets of sizes n and m share ceil(percent * (n + m) / (100 + percent)) shingles, their
         first common shingle comes so early in both that as many can follow in either; so
-        only early shingles are joined, and none that a single text holds.  Of the distinct
-        pairs that are left, the ``bit_map`` of both bounds what they can share as well."""
+        only early shingles are joined, and none that a single text holds.  Bits that only
+        one of two sets has in its ``bit_map`` bound what they can share as well."""
         one = (open_docs.join(who.select("rid", "fp1", "fp2", "n"), "rid").groupBy("fp1", "fp2")
                .agg(F.min("rid").alias("rid"), F.min("comp").alias("comp"), F.min("n").alias("n")))
         items = written(one.join(sets, ["fp1", "fp2"]).select("rid", "comp", "n", "bits", "items"), "items")
@@ -282,27 +282,23 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         few = (each.join(held, "item").groupBy("rid")
                .agg(F.sort_array(F.collect_list(F.struct("held", "item"))).alias("few")))
         early = F.expr(f"n - ceil({percent} * n / 100) + 1 - (n - size(few))")
-        few = (items.select("rid", "comp", "n").join(few, "rid").withColumn("early", early.cast("int"))
+        few = (items.drop("items").join(few, "rid").withColumn("early", early.cast("int"))
                .where("early > 0").withColumn("alone", (F.col("n") - F.size("few")).cast("int")))
-        few = written(few.select("rid", "comp", F.col("n").cast("int").alias("n"), "alone",
+        few = written(few.select("rid", "comp", F.col("n").cast("int").alias("n"), "bits", "alone",
                                  F.posexplode(F.slice("few", F.lit(1), F.col("early"))))
-                      .select("rid", "comp", "n", F.col("col.item").alias("item"),
+                      .select("rid", "comp", "n", "bits", F.col("col.item").alias("item"),
                               (F.col("alone") + F.col("pos")).alias("at")), "early")
-        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at")])
-        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at")])
-        met = x.join(y, "item").where(
-            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)")
-        met = met.select("rid_x", "rid_y").distinct()
-        for side in ("x", "y"):
-            part = items.select(F.col("rid").alias(f"rid_{side}"), F.col("n").alias(f"n_{side}"),
-                                F.col("bits").alias(f"bits_{side}"))
-            met = met.join(part, f"rid_{side}")
+        x = few.select("item", *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "n", "at", "bits")])
+        y = few.select("item", *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "n", "at", "bits")])
 
         def only(a: str, b: str) -> str:
             return " + ".join(f"bit_count(bits_{a}[{k}] & ~bits_{b}[{k}])" for k in range(MAP_BITS // 64))
-        met = met.where(f"({100 + percent}) * least(n_x - ({only('x', 'y')}), n_y - ({only('y', 'x')})) "
-                        f">= {percent} * (n_x + n_y)")
-        out = written(met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")), "met")
+        # the maps are in the rows, so that pairs which they rule out are never made
+        met = x.join(y, "item").where(
+            f"comp_x < comp_y AND ({100 + percent}) * least(n_x - at_x, n_y - at_y, n_x - ({only('x', 'y')}), "
+            f"n_y - ({only('y', 'x')})) >= {percent} * (n_x + n_y)")
+        out = written(met.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct(),
+                      "met")
         discard(items, few)
         return out
 

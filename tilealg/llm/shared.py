@@ -36,12 +36,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: later stages read its files and never
-    compute it again, also after an executor is lost."""
+    compute it again, also after an executor is lost.  While it is written, Arrow batches
+    have ``ARROW_ROWS`` rows at most; the session's own setting holds again afterwards."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(ARROW_ROWS))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
