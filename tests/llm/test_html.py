@@ -73,3 +73,48 @@ def test_query_form(spark):
     assert [by[k]["text"] for k in (2, 3, None)] == ["", "", ""] and by[2]["url"] is None
     assert by[4]["text"] == " ".join(["the word of it é"] * 20000)
     assert extract(spark, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("body", [
+    "<div class='content-sidebar-wrap'><article>{}</article></div>", "<div class='has-sidebar'><article>{}</article></div>",
+    "<div class='has-sidebar'>{}</div>", "<main class='no-sidebar'>{}</main>", "<article class='post has-ad'>{}</article>",
+    "<form action='/x'><article>{}</article></form>", "<div class='with-comments'><main>{}</main></div>",
+    "<aside><main id='content'>{}</main></aside>", "<div id='header-wrapper'><main><div>{}</div></main></div>"])
+def test_articles_inside_badly_named_elements(body):
+    menu = "<nav><a href='/'>the and of</a></nav><div class='ad'>Buy it and see that it is the best of all</div>"
+    assert main_text(page(menu + body.format(ART) + menu)) == WANT
+
+
+@pytest.mark.parametrize("bad", ["comments", "comment-list", "related", "commentList", "post-comments", "ad-slot", "site-footer",
+                                 "mainNav", "cookie-notice", "adverts_box", "share-bar"])
+def test_articles_of_comments_and_teasers_do_not_start_clean(bad):
+    other = f"<section class='{bad}'><article>{ART.replace('town', 'comment')}</article></section>"
+    assert main_text(page(f"<article>{ART}</article>{other}")) == WANT
+    assert main_text(page(f"<div>{ART}</div>{other}")) == WANT
+
+
+def test_long_attributes_are_read():
+    for size in (15_000, 25_000, 3_000_000):
+        ad = f"<div class='ad' data-x={'y' * size}>Buy the best of all things that are to be had in this town</div>"
+        quoted = f"<div data-x=\"{'>' * size}\" class=ad>Buy the best of all things that are to be had in this town</div>"
+        assert main_text(page(f"{ad}{quoted}<article>{ART}{ad}</article>")) == WANT
+
+
+def test_unclosed_quotes_take_linear_time():
+    import time
+    t = time.time()
+    main_text("<p a=\"'" * 100_000 + ">")
+    main_text("<p a='>x" * 100_001)
+    assert time.time() - t < 20
+
+
+POLISH = ("Wczoraj wieczorem mieszkańcy małego miasteczka zebrali się przy rynku, żeby wspólnie obejrzeć pokaz "
+          "sztucznych ogni, który przygotowały lokalne władze oraz straż pożarna.")
+
+
+def test_pages_in_other_languages_without_an_article():
+    menu = "".join(f"<div><a href='/{k}'>Strona numer {k}</a></div>" for k in range(6))
+    body = f"{menu}<div><h1>Nagłówek</h1><p>{POLISH}</p><p>{POLISH}</p></div><div class='footer'>{POLISH}</div>{menu}"
+    assert main_text(page(body)) == f"Nagłówek {POLISH} {POLISH}"
+    # on a page whose stop words are known, a long passage without any stays out
+    assert main_text(page(f"<div>{ART}</div><div>{'qwx zrt ' * 40}</div>")) == WANT

@@ -1,18 +1,22 @@
-"""Main text of web pages by two-pass block rules (operator 5).
+"""Main text of web pages by two-pass passage rules (operator 5).
 
-*Blocks.*  A page is cut into blocks of text at block-level tags.  A block knows its length,
+*Passages.*  A page is cut into passages of text at passage-level tags.  A passage knows its length,
 the share of its characters inside links, the share of its words that are stop words, and
 the elements it lies in.
 
-*First pass.*  A block inside an element that is by its name, role, class or id a menu,
+*First pass.*  A passage inside an element that is by its name, role, class or id a menu,
 header, footer, sidebar, notice, advert, form or comment section is bad, and so is one that
-is mostly links.  A block with enough stop words, long enough and with few links is good.
-Everything else is undecided: short blocks (headings, one-line paragraphs), and blocks with
-few stop words inside an article element; a long block with few stop words elsewhere is bad.
-
-*Second pass.*  Undecided blocks take the label of the nearest decided block of the element
+is mostly links.  Classes count as whole: ``has-sidebar`` is no sidebar.  If a page has nothing
+good but an article or main element in a bad one (a form around the page, a wrapper named after
+its sidebar; not comments or teasers), that starts clean.  A passage with enough stop words, long
+enough and with few links is good.  Everything else is undecided: short passages (headings,
+one-line paragraphs), and passages with few stop words inside an article element; a long passage
+with few stop words elsewhere is bad.  On a page with few stop words as a whole (another
+language), a long passage with few links is good without them.
+
+*Second pass.*  Undecided passages take the label of the nearest decided passage of the element
 they lie in, else of their section; if there is none, an article is good, and elsewhere the
-nearest decided blocks of the page count.  Of two different ones at the same distance, both
+nearest decided passages of the page count.  Of two different ones at the same distance, both
 must be good, in an article one.
 
 Scanning is linear in the page: a page of any length is taken whole, and unclosed or
@@ -63,49 +67,79 @@ INLINE = frozenset("""
 a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span
 strike strong sub sup time tt u var wbr
 """.split())
-#: Block elements that hold text rather than other blocks.
-PARTS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd html body".split())
+#: Passage elements that hold text rather than other passages.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 passagequote pre li dt dd html body".split())
 #: Start tags that end an open element of the given names.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",), "a": ("a",)}
-_TAG = re.compile(r"([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){0,20000}+)>")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TAG_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _NAME = re.compile(r"[a-z]+")
+#: Parts of a class that say what a page has or lacks rather than what an element is.
+STATES = frozenset("has have no not with without is".split())
+#: Parts that go with the name of an element without changing what it is.
+FILLERS = frozenset("wrap wrapper container box area list item inner outer section holder group row col".split())
+#: Bad names whose elements hold articles of their own (comments, teasers): no article starts
+#: anew inside them.
+HARD_NAMES = frozenset("""
+nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer colophon hidden share sharing social
+related recommended recommendations comment comments disqus reply replies respond discussion contentinfo
+ad ads adv advert adverts advertisement adbox adsense sponsor sponsored promo promotion
+""".split())
+HARD_TAGS = frozenset("nav footer button select option menu dialog noscript template svg math canvas object audio "
+                      "video".split())
 _WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-class Block:
-    __slots__ = ("text", "links", "bad", "article", "section", "box")
+class Passage:
+    __slots__ = ("text", "links", "bad", "article", "inner", "section", "box")
 
-    def __init__(self, text: str, links: int, bad: bool, article: bool, section: int, box: int):
+    def __init__(self, text: str, links: int, bad: bool, article: bool, inner: bool, section: int, box: int):
         self.text, self.links, self.bad, self.article = text, links, bad, article
+        self.inner = inner  # inside an article that is inside a bad element, but good in itself
         self.section, self.box = section, box  # numbers of the elements it lies in; 0: none
 
 
-def _attributes(raw: str) -> tuple[bool, bool]:
-    """Whether a start tag's attributes name a bad part, and whether an article."""
-    bad = article = False
+def _named(word: str) -> str | None:
+    """The bad name that a class, id or role stands for: its last part, fillers and numbers
+    aside, unless a part says that the page has or lacks such a thing."""
+    parts = _NAME.findall(_CAMEL.sub(" ", word).lower())
+    if STATES & set(parts[:-1]):
+        return None
+    while len(parts) > 1 and parts[-1] in FILLERS:
+        parts.pop()
+    # a part for which the last one is the matter: cookie-notice, comment-form, ad-slot
+    first = parts[0] if parts and parts[0] in BAD_NAMES and parts[-1] not in ARTICLE_NAMES else None
+    return parts[-1] if parts and parts[-1] in BAD_NAMES else first
+
+
+def _attributes(raw: str) -> tuple[bool, bool, bool]:
+    """Whether a start tag's attributes name a bad part, one that holds articles of its own,
+    and whether an article."""
+    bad = hard = article = False
     for m in _ATTR.finditer(raw):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             for word in value.split():
-                parts = set(_NAME.findall(_CAMEL.sub(" ", word).lower()))
-                bad = bad or bool(parts & BAD_NAMES)
+                name = _named(word)
+                bad, hard = bad or name is not None, hard or name in HARD_NAMES
                 article = article or word.lower().replace("-", "").replace("_", "") in ARTICLE_NAMES
         elif key == "hidden" or key == "aria-hidden" and value == "true":
-            bad = True
+            bad = hard = True
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-            bad = True
-    return bad, article
+            bad = hard = True
+    return bad, hard, article
 
 
 class _Page:
     def __init__(self):
-        self.blocks: list[Block] = []
-        self.stack: list[tuple[str, bool, bool, int, int]] = []  # name, and the state outside it
+        self.passages: list[Passage] = []
+        self.stack: list[tuple[str, bool, bool, bool, bool, int, int]] = []  # name, and the state outside it
         self.open: dict[str, int] = {}
-        self.bad, self.article, self.section, self.box, self.boxes = False, False, 0, 0, 0
+        self.bad, self.hard, self.article, self.inner = False, False, False, False
+        self.section, self.box, self.boxes = 0, 0, 0
         self.parts: list[str] = []
         self.links, self.in_link = 0, False
 
@@ -116,17 +150,17 @@ class _Page:
             if self.in_link:
                 self.links += len("".join(s.split()))
 
-    def end_block(self) -> None:
+    def end_passage(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, self.links, self.bad, self.article, self.section, self.box))
+                self.passages.append(Passage(text, self.links, self.bad, self.article, self.inner, self.section, self.box))
         self.parts, self.links, self.in_link = [], 0, False
 
     def start(self, name: str, attrs: str) -> None:
-        block = name not in INLINE
-        if block:
-            self.end_block()
+        passage = name not in INLINE
+        if passage:
+            self.end_passage()
             if self.open.get("p"):
                 self.close("p", within=True)
         for other in ENDS.get(name, ()):
@@ -138,18 +172,20 @@ class _Page:
             self.in_link = True
         if name in VOID:
             return
-        bad, article = _attributes(attrs) if attrs.strip() else (False, False)
+        bad, hard, article = _attributes(attrs) if attrs.strip() else (False, False, False)
+        if name in BAD_TAGS or name == "header" and not (self.article or self.inner):
+            bad, hard = True, hard or name in HARD_TAGS
+        self.stack.append((name, self.bad, self.hard, self.article, self.inner, self.section, self.box))
+        self.open[name] = self.open.get(name, 0) + 1
         if name in ("article", "main"):
             article = True
-        if name in BAD_TAGS or name == "header" and not self.article:
-            bad = True
-        self.stack.append((name, self.bad, self.article, self.section, self.box))
-        self.open[name] = self.open.get(name, 0) + 1
+            if self.bad and not (self.hard or bad or self.article):
+                self.inner = True
         if bad and name not in ("body", "html"):
-            self.bad = True
+            self.bad, self.hard, self.inner = True, self.hard or hard, False
         if article and not bad and not self.article:
             self.article = True
-        if block and name not in PARTS:
+        if passage and name not in PARTS:
             self.boxes += 1
             self.box = self.boxes
             if name in ("article", "main", "section") or article:
@@ -167,22 +203,41 @@ class _Page:
                 if self.stack[k][0] not in INLINE:
                     return
         while self.stack:
-            n, self.bad, self.article, self.section, self.box = self.stack.pop()
+            n, self.bad, self.hard, self.article, self.inner, self.section, self.box = self.stack.pop()
             self.open[n] -= 1
             if n == name:
                 return
 
     def end(self, name: str) -> None:
         if name not in INLINE:
-            self.end_block()
+            self.end_passage()
         if name == "a":
             self.in_link = False
         self.close(name)
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in page order."""
+def _tag_end(page: str, pos: int, unclosed: set[int]) -> int:
+    """Where the start tag whose attributes begin at ``pos`` ends, -1 if a quote in it is never
+    closed.  ``unclosed``: quotes that are known to lead to such an end, so that no part of a
+    page is read in vain twice."""
+    opened = []
+    while True:
+        m = _TAG_STOP.search(page, pos)
+        if m and m[0] == ">":
+            return m.start()
+        if m and m.start() not in unclosed:
+            opened.append(m.start())
+            pos = page.find(m[0], m.end()) + 1
+            if pos:
+                continue
+        unclosed.update(opened)
+        return -1
+
+
+def passages(page: str) -> list[Passage]:
+    """The passages of a page in page order."""
     p, pos, n = _Page(), 0, len(page)
+    unclosed: set[int] = set()
     while pos < n:
         lt = page.find("<", pos)
         if lt < 0:
@@ -202,9 +257,10 @@ def blocks(page: str) -> list[Block]:
             p.end(name)
             pos = n if end < 0 else end + 1
         elif nxt.isascii() and nxt.isalpha():
-            m = _TAG.match(page, lt + 1)
-            if m:
-                name, attrs, pos = m[1].lower(), m[2], m.end()
+            m = _TAG_NAME.match(page, lt + 1)
+            end = _tag_end(page, m.end(), unclosed)
+            if end >= 0:
+                name, attrs, pos = m[0].lower(), page[m.end():end], end + 1
             else:
                 end = page.find(">", lt)
                 if end < 0:
@@ -213,7 +269,7 @@ def blocks(page: str) -> list[Block]:
                 attrs, pos = "", end + 1
             if name in RAW:
                 if name not in INLINE:
-                    p.end_block()
+                    p.end_passage()
                 shut = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, pos)
                 pos = shut.end() if shut else n
             else:
@@ -221,17 +277,29 @@ def blocks(page: str) -> list[Block]:
         else:
             p.text("<")
             pos = lt + 1
-    p.end_block()
-    return p.blocks
+    p.end_passage()
+    return p.passages
+
+
+def _stop_words(b: Passage) -> tuple[int, int]:
+    words = _WORD.findall(b.text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _links(b: Passage) -> float:
+    return b.links / max(1, len(b.text) - b.text.count(" "))
 
 
-def _first_pass(b: Block) -> bool | None:
-    size = len(b.text)
-    links = b.links / max(1, size - b.text.count(" "))
+def _first_pass(b: Passage, known: bool) -> bool | None:
+    """``known``: whether the page is in a language whose stop words are known; in others a long
+    passage with few links is good."""
+    size, links = len(b.text), _links(b)
     if b.bad or links > MANY_LINKS:
         return False
-    words = _WORD.findall(b.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    stop, words = _stop_words(b)
+    stop /= max(1, words)
+    if not known and size >= LONG and links <= SOME_LINKS:
+        return True
     if size >= SHORT and stop >= MANY_STOP and links <= SOME_LINKS or size >= LONG and stop >= FEW_STOP and links <= SOME_LINKS:
         return True
     if size < LONG or b.article:
@@ -239,12 +307,22 @@ def _first_pass(b: Block) -> bool | None:
     return False
 
 
+def _first(found: list[Passage]) -> list[bool | None]:
+    seen = [_stop_words(b) for b in found if not b.bad and _links(b) <= SOME_LINKS]
+    known = sum(s for s, _ in seen) >= FEW_STOP * sum(w for _, w in seen)
+    return [_first_pass(b, known) for b in found]
+
+
 def main_text(page: str | None) -> str:
-    """The main text of a page: its good blocks in page order, joined by one space."""
-    found = blocks(page or "")
-    first = [_first_pass(b) for b in found]
+    """The main text of a page: its good passages in page order, joined by one space."""
+    found = passages(page or "")
+    first = _first(found)
+    if not any(first) and not any(b.article and not b.bad for b in found) and any(b.inner for b in found):
+        for b in found:  # what there is of an article lies in a bad element: it starts clean
+            b.bad, b.article = not b.inner, b.inner
+        first = _first(found)
     n = len(found)
-    # nearest decided blocks on either side: of the element, of the section, of the page
+    # nearest decided passages on either side: of the element, of the section, of the page
     near = [[[None, None], [None, None], [None, None]] for _ in range(n)]
     for side, order in ((0, range(n)), (1, range(n - 1, -1, -1))):
         last: list[dict[int, int]] = [{}, {}, {}]
@@ -259,7 +337,7 @@ def main_text(page: str | None) -> str:
                     if (first[k] if first[k] is not None else _second_pass(k, b, near[k], first)))
 
 
-def _second_pass(k: int, b: Block, near: list, first: list[bool | None]) -> bool:
+def _second_pass(k: int, b: Passage, near: list, first: list[bool | None]) -> bool:
     for level, sides in enumerate(near):
         if level == 2 and b.article:
             return True
