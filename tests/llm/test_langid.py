@@ -33,7 +33,8 @@ def parse(sample, s):
 def test_phrases_equal_a_plain_parse():
     rng = random.Random(4)
     parser = li.Parser({"a": "abracadabra alakazam", "b": "banana bandana cabana"})
-    back = {v: chr(c) for c, v in parser.letters.items()} | {0: " ", li.OTHER: "?"}
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    back = {int(parser.classes(li.points(c))[0]): c for c in letters if len(parser.classes(li.points(c))) == 1} | {0: " "}
     samples = {k: "".join(back[c] for c in li.squeeze(parser.classes(li.points(t)))) for k, t in
                (("a", "abracadabra alakazam"), ("b", "banana bandana cabana"))}
     seqs = ["".join(rng.choice("abcdrkn lzmq") for _ in range(rng.randint(1, li.LANE))) for _ in range(50)] + ["aa", "q", "abra"]
@@ -70,6 +71,77 @@ def test_suffix_automaton_accepts_all_substrings():
         assert accepts(x) == (x in subs)
 
 
+def test_every_letter_has_a_code_of_its_own():
+    parser = li.Parser({"a": "abc " * 9, "b": "".join(chr(0x4e00 + k) for k in range(3000))})
+    code, size = parser.codes()
+    low = li.lower_letters()
+    letters = np.unique(low[low > 0])
+    codes = {tuple(code[c][: size[c]].tolist()) for c in letters.tolist()}
+    assert len(codes) == len(letters)
+    assert not any(c[:k] in codes for c in codes for k in range(1, len(c)))  # a prefix code
+    assert all(0 < x < li.CLASSES for c in codes for x in c)
+    text = "Ab漢 字x\U00020000é"
+    parts = [parser.classes(li.points(c)).tolist() for c in text]
+    assert parser.classes(li.points(text)).tolist() == [x for p in parts for x in p]
+
+
+SCRIPTS = {"latin": range(0x61, 0x7b), "cyrillic": range(0x430, 0x450), "greek": range(0x3b1, 0x3c9),
+           "han": range(0x4e00, 0x4e00 + 800), "kana": range(0x3042, 0x3094), "hangul": range(0xac00, 0xac00 + 600)}
+
+
+def _script_text(script, variant, n, seed):
+    """Texts of one script whose variants prefer other pairs of letters."""
+    rng = random.Random(f"{script}{variant}{seed}")
+    letters = list(SCRIPTS[script])
+    pairs = [(a, random.Random(f"{a}{variant}").choice(letters)) for a in letters]
+    return " ".join("".join(chr(a) + chr(b) for a, b in rng.choices(pairs, k=rng.randint(1, 4))) for _ in range(n))
+
+
+def test_fourteen_languages_of_six_scripts(spark, docs_of):
+    langs = [(s, v) for s in SCRIPTS for v in range(3 if s in ("latin", "cyrillic") else 2)]
+    assert len(langs) == 14
+    rows = [(k, _script_text(*langs[k % 14], 25, k), "{}{}".format(*langs[k % 14])) for k in range(14 * 60)]
+    parser = li.learn(spark, docs_of(rows))
+    assert len(parser.langs) == 14
+    test = [(_script_text(*x, 25, 10_000 + k), "{}{}".format(*x)) for k in range(20) for x in langs]
+    got = parser.predict([t for t, _ in test])[0]
+    for s, v in langs:
+        own = [p == want for p, (_, want) in zip(got, test) if want == f"{s}{v}"]
+        assert sum(own) >= 0.95 * len(own), (s, v, sum(own) / len(own))
+
+
+def test_seventy_languages(spark, docs_of, monkeypatch):
+    """More languages than the sample is sized for: all are learned, each from less."""
+    monkeypatch.setattr(li, "MANY_LANGS", 8)
+    monkeypatch.setattr(li, "SAMPLE_DOCS", 32)
+    monkeypatch.setattr(li, "SAMPLE_LETTERS", 4000)
+    rows = []
+    for k in range(70 * 12):
+        rng = random.Random(f"lang{k % 70}")
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)]
+        rows.append((k, " ".join(random.Random(k).choices(words, k=30)), f"l{k % 70:02}"))
+    parser = li.learn(spark, docs_of(rows))
+    assert parser.langs == [f"l{k:02}" for k in range(70)]
+    assert len(parser.table) <= 2 * 8 * 4000 * li.CLASSES
+    got = parser.predict([t for _, t, _ in rows])[0]
+    assert sum(p == lang for p, (_, _, lang) in zip(got, rows)) >= 0.97 * len(rows)
+
+
+def test_samples_come_from_all_over_a_text(spark, docs_of):
+    """What a language is known by stands after the first two thousand characters."""
+    rows = [(k, "lorem ipsum dolor " * 200 + text(lang := sorted(SYL)[k % 3], 900, k), lang) for k in range(90)]
+    parser = li.learn(spark, docs_of(rows))
+    test = [(text(lang, 20, 5000 + k), lang) for k in range(30) for lang in SYL]
+    assert parser.predict([t for t, _ in test])[0] == [lang for _, lang in test]
+
+
+def test_learning_does_not_depend_on_the_order_of_rows(spark, docs_of):
+    """Also where one id has several texts."""
+    rows = corpus() + [(k, text(lang, 30, 9000 + k), lang) for k, _, lang in corpus(90)]
+    a, b = (li.learn(spark, docs_of(r).repartition(n)) for r, n in ((rows, 3), (rows[::-1], 7)))
+    assert a.order == b.order and (a.table == b.table).all()
+
+
 def test_held_out_accuracy_and_rejections(spark, docs_of, clashing):
     rows = corpus() + [(1000, None, "xa"), (1001, "", "yb"), (1002, "123 --- !!", "zc"), (1003, "karo ti", None), (None, "einung er schung er", "yb")]
     docs = clashing(docs_of(rows))

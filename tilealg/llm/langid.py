@@ -5,15 +5,23 @@ the substrings of that sample.  A text is parsed greedily into the longest phras
 occur in the sample of a language; each phrase costs log2 of the sample's length, and the
 language with the fewest normalised phrases (bits per letter) wins.
 
-Letters are lower-cased and mapped to at most 62 classes, a run of other characters to one
-gap class.  The automata are made dense: one table entry per state and class holds the next
-state and whether a new phrase begins there, so a letter costs one look-up per language.  A
-batch of texts is cut into lanes of ``LANE`` letters that are parsed side by side (a phrase
-ends where a lane ends); every letter of every text is parsed.
-
-The sample: per language, the documents with the smallest id hash in each of ``SAMPLE_DOCS``
-hash classes, ``SAMPLE_LETTERS`` letters at most.  The tables are broadcast; their size is
-bounded by ``MAX_LANGS`` * 2 * ``SAMPLE_LETTERS`` * 256 bytes, whatever the corpus.
+Letters are lower-cased and written in an alphabet of 62 symbols, a run of other characters
+as one gap.  The letters that are most frequent, taken over the languages alike, are one
+symbol each, the others two to four (a prefix code), so that no letter of any script is lost
+and none is taken for another.
+
+The automata are made dense: one table entry per state and symbol holds the next state and
+whether a new phrase begins there, so a symbol costs one look-up per language.  A batch of
+texts is cut into lanes of ``LANE`` symbols that are parsed side by side (a phrase ends where
+a lane ends); every letter of every text is parsed.
+
+The sample: per language, the document with the smallest id hash in each of ``SAMPLE_DOCS``
+hash classes, of each ``WINDOWS`` windows from all over its text, ``SAMPLE_LETTERS`` symbols
+at most.  Any number of languages is learned; with over ``MANY_LANGS`` the documents and
+symbols of each become fewer, so that the tables, which are broadcast, and what the driver
+holds keep their bound: 2 * ``MANY_LANGS`` * ``SAMPLE_LETTERS`` rows of 256 bytes, and
+``MANY_LANGS`` * ``SAMPLE_DOCS`` documents (were there more languages than that, those with
+the most rows are learned), whatever the corpus.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; ties go to
 the first language by name; without any labelled text every prediction is ``und``; repeated
@@ -30,17 +38,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import slices
+from .shared import slices, written
 
 SAMPLE_DOCS = 256
 SAMPLE_LETTERS = 24_000
-#: Characters read of each sample document.
-SAMPLE_CHARS = 2_000
-MAX_LANGS = 64
-#: Letters of a lane.
+#: Windows of a sample document, and characters of each.
+WINDOWS, WINDOW_CHARS = 8, 250
+MANY_LANGS = 64
+#: Symbols of a lane.
 LANE = 256
 CLASSES = 64
-GAP, OTHER = 0, 63
+GAP = 0
+#: The symbols 1..SINGLE are letters; each further one leads a code of so many symbols more:
+#: 8 lead two-symbol codes, 6 three-symbol codes, 1 four-symbol codes.
+SINGLE = 48
+LEADS = ((8, 1), (6, 2), (1, 3))
 #: Score below which a prediction is close to a tie; ``accepted`` keeps such texts.
 MIN_SCORE = 0.02
 
@@ -119,16 +131,20 @@ class Parser:
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        self._class_of = None
+        self._codes = None
         low = lower_letters()
-        seqs = {k: low[points(t)] for k, t in samples.items()}
-        found, count = np.unique(np.concatenate([s[s > 0] for s in seqs.values()] or [np.zeros(0, np.uint32)]),
-                                 return_counts=True)
-        keep = found[np.lexsort((found, -count))][: CLASSES - 2]
-        self.letters = {int(c): k + 1 for k, c in enumerate(keep)}
+        share: dict[int, float] = {}
+        for lang in self.langs:
+            seq = low[points(samples[lang])]
+            found, count = np.unique(seq[seq > 0], return_counts=True)
+            for c, n in zip(found.tolist(), (count / max(1, count.sum())).tolist()):
+                share[c] = share.get(c, 0.0) + n
+        #: Letters of the samples, most frequent first.
+        self.order = sorted(share, key=lambda c: (-share[c], c))
+        most = SAMPLE_LETTERS * MANY_LANGS // max(MANY_LANGS, len(self.langs))
         tables, self.roots, self.bits, base = [], [], [], 0
         for lang in self.langs:
-            seq = squeeze(self.classes(points(samples[lang])))[:SAMPLE_LETTERS]
+            seq = squeeze(self.classes(points(samples[lang])))[:most]
             auto = SuffixAutomaton(seq.tolist())
             tables.append(auto.dense(base))
             self.roots.append(base * CLASSES)
@@ -136,17 +152,42 @@ class Parser:
             base += len(auto.next)
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.uint32)
 
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per code point its symbols (up to four) and how many they are.  Letters beyond the
+        samples follow in the order of their code points."""
+        if self._codes is None:
+            low = lower_letters()
+            known = np.array(self.order, np.int64)
+            rest = np.setdiff1d(np.unique(low[low > 0]).astype(np.int64), known)
+            letters = np.concatenate([known, rest])
+            code, size = np.zeros((0x110000, 4), np.uint8), np.zeros(0x110000, np.uint8)
+            code[letters[:SINGLE], 0] = np.arange(1, len(letters[:SINGLE]) + 1)
+            size[letters[:SINGLE]] = 1
+            at, lead, base = SINGLE, SINGLE + 1, CLASSES - 1
+            for leads, more in LEADS:
+                some = letters[at: at + leads * base ** more]
+                n = np.arange(len(some))
+                for k in range(more, 0, -1):
+                    code[some, k] = n % base + 1
+                    n = n // base
+                code[some, 0] = lead + n
+                size[some] = more + 1
+                at, lead = at + leads * base ** more, lead + leads
+            code, size = code[low], size[low]
+            size[low == 0], code[low == 0] = 1, GAP
+            self._codes = code, size
+        return self._codes
+
     def classes(self, pts: np.ndarray) -> np.ndarray:
-        if self._class_of is None:
-            by_letter = np.full(0x110000, OTHER, np.uint8)
-            by_letter[0] = GAP
-            for c, k in self.letters.items():
-                by_letter[c] = k
-            self._class_of = by_letter[lower_letters()]
-        return self._class_of[pts]
+        """The symbols of a text, one letter's after another's."""
+        code, size = self.codes()
+        n = size[pts]
+        if n.size == 0 or n.max() == 1:
+            return code[pts, 0]
+        return code[pts][np.arange(4) < n[:, None]]
 
     def __getstate__(self):
-        return {**self.__dict__, "_class_of": None}  # made anew in each worker
+        return {**self.__dict__, "_codes": None}  # made anew in each worker
 
     def phrases(self, seqs: list[np.ndarray]) -> np.ndarray:
         """Phrases of each sequence of classes under each language, shape (texts, langs)."""
@@ -213,31 +254,46 @@ def squeeze(cls: np.ndarray) -> np.ndarray:
     return cls[keep]
 
 
+def _windows(text: Column) -> Column:
+    """Windows from all over a text (its start and end among them), or the whole short text."""
+    room = F.length(text) - WINDOW_CHARS
+    cut = [F.substring(text, (F.call_function("div", room.cast("long") * k, F.lit(WINDOWS - 1))).cast("int") + 1,
+                       F.lit(WINDOW_CHARS)) for k in range(WINDOWS)]
+    return F.when(F.length(text) <= WINDOWS * WINDOW_CHARS, F.array(text)).otherwise(F.array(*cut))
+
+
 def learn(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Parser:
-    """Automata of the languages of ``docs``' rows that are not held out.  With more than
-    MAX_LANGS languages, those with the most rows are learned."""
+    """Automata of the languages of ``docs``' rows that are not held out."""
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                     F.col(f"`{lang_col}`").alias("lang"))
     rows = d.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    part = F.shiftrightunsigned("h", 56)  # 256 classes
-    small = rows.groupBy("lang", part.alias("part")).agg(F.min("h").alias("h"), F.count("*").alias("n"))
-    picked = small.toPandas()  # at most SAMPLE_DOCS rows per language
-    top = picked.groupby("lang")["n"].sum().sort_values(ascending=False, kind="stable").index[:MAX_LANGS]
-    picked = picked[picked["lang"].isin(top)]
-    if not len(picked):
+    most = MANY_LANGS * SAMPLE_DOCS
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    n_langs = sizes.count()
+    if not n_langs:
         return Parser({})
-    chosen = spark.createDataFrame(picked[["lang", "h"]].values.tolist(), "lang string, h long")
-    texts = (rows.join(F.broadcast(chosen), ["lang", "h"])
-             .select("lang", "h", F.substring("text", 1, SAMPLE_CHARS).alias("text")).dropDuplicates(["lang", "h"])
-             .orderBy("lang", "h").collect())
-    samples: dict[str, str] = {}
-    share = {k: max(1, sum(r["lang"] == k for r in texts)) for k in top}
+    per_lang = max(1, min(SAMPLE_DOCS, most // n_langs))
+    if n_langs > most:
+        sizes = sizes.orderBy(F.desc("n"), "lang").limit(most)
+        rows = rows.join(F.broadcast(sizes.select("lang")), "lang")
+    # hash classes of equal size, the upper bits of the hash
+    part = F.shiftright(F.shiftrightunsigned("h", 32) * F.lit(per_lang), 32)
+    small = rows.groupBy("lang", part.alias("part")).agg(F.min("h").alias("h")).select("lang", "h")
+    chosen = written(small, "chosen")  # at most ``most`` rows
+    # of several texts of one id, the one with the smallest hash
+    texts = (rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h")
+             .agg(F.min_by(F.struct(_windows(F.col("text")).alias("w")), F.xxhash64("text")).alias("t"))
+             .select("lang", "h", "t.w").orderBy("lang", "h").collect())
+    found: dict[str, list] = {}
     for r in texts:
+        found.setdefault(r["lang"], []).append(r["w"])
+    samples = {}
+    for lang, own in found.items():
         # equal shares of the sample, so that many documents speak for a language
-        room = max(200, 2 * SAMPLE_LETTERS // share[r["lang"]])
-        samples[r["lang"]] = samples.get(r["lang"], "") + " " + r["text"][:room]
+        room = max(200, 2 * SAMPLE_LETTERS // len(own))
+        samples[lang] = " ".join(x[: max(1, room // len(w))] for w in own for x in w)
     return Parser(samples)
 
 
