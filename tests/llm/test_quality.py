@@ -63,7 +63,7 @@ def test_counts_and_verdicts_equal_brute_force(spark, docs_of, clashing):
     for (i, t, _, _), lost in zip(rows, brute_removed(rows, quality.LINE_DOCS)):
         c = brute_counts(t)
         failed = c[0] < 20 or 100 * c[4] > 30 * c[0]
-        want.append((-1 if i is None else i, *c, failed, lost, not failed and 100 * lost <= 80 * c[0]))
+        want.append((-1 if i is None else i, *c, failed, lost, not failed and 100 * lost <= 80 * c[0] and c[0] - lost >= 20))
     assert sorted((-1 if r["doc_id"] is None else r["doc_id"], *[r[c] for c in cols], r["base_failed"],
                    r["removed_words"], r["kept"]) for r in got) == sorted(want)
 
@@ -75,6 +75,18 @@ def test_removed_lines_leave_the_text(spark, docs_of):
     assert {r["doc_id"]: r["t"] for r in out.collect()} == {k: f"own line {k} {'x' * k}\n" for k in range(30)}
 
 
+def test_depleted_by_share_or_by_what_is_left(spark, docs_of):
+    shared = "\n".join(f"line of six words each {k}" for k in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWX")  # 300 words
+
+    def own(k, n):  # digits are all alike in a line
+        return " ".join(f"{chr(97 + k)}{i}" for i in range(n))
+    rows = [(k, f"{shared}\n{own(k, 61)}") for k in range(11)]  # over 80 percent go, 61 words stay
+    rows += [(20 + k, f"line of six words each a\n{own(k, 19)}") for k in range(11)]  # 19 words stay
+    rows += [(40, "line of six words each a\n" + " ".join(f"z{i}" for i in range(20)))]
+    got = {r["doc_id"]: (r["removed_words"], r["kept"]) for r in quality.judge(spark, docs_of(rows)).collect()}
+    assert got == {**{k: (300, False) for k in range(11)}, **{20 + k: (6, False) for k in range(11)}, 40: (6, True)}
+
+
 def test_only_jvm_expressions(spark, docs_of):
     plan = quality.judge(spark, docs_of(corpus()[:3]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

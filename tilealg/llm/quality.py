@@ -3,8 +3,8 @@
 Lines are normalised (lower case, digit runs to 0, white space runs to one space) and
 hashed; for every host, the distinct documents that hold a line are counted, where equal
 texts are one document.  Lines held by more than ``LINE_DOCS`` documents of the host are
-removed; a document that loses more than ``LOST`` percent of its words is depleted and
-rejected, as is one that fails the base rules.
+removed; a document that loses more than ``LOST`` percent of its words, or keeps fewer than
+``MIN_WORDS``, is depleted and rejected, as is one that fails the base rules.
 
 Only JVM expressions run.  Texts are read once; what follows works on narrow rows (line
 hashes).  A line that fills a third of the rows is counted by partial sums; the join of line
@@ -104,7 +104,8 @@ def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     out = base.drop("lines").join(lost, F.col("rid") == F.col("rid2"), "left").drop("rid2", "host", "text_hash")
     out = out.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
     good = 100 * F.col("removed_words") <= LOST * F.col("n_words")
-    return out.withColumn("kept", ~F.col("base_failed") & good)
+    enough = F.col("n_words") - F.col("removed_words") >= MIN_WORDS
+    return out.withColumn("kept", ~F.col("base_failed") & good & enough)
 
 
 def without_lines(text: Column, removed: Column) -> Column:

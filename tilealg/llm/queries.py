@@ -80,7 +80,7 @@ base AS (
     LEFT JOIN lost ON w.doc_id = lost.doc_id),
 failed AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
-SELECT *, NOT base_failed AND 100 * removed_words <= 80 * n_words AS kept FROM failed""")
+SELECT *, NOT base_failed AND 100 * removed_words <= 80 * n_words AND n_words - removed_words >= 20 AS kept FROM failed""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark, _documents(spark, sf_dir)).drop("rid", "removed")
 
