@@ -17,7 +17,7 @@ def docs_of(spark):
 @pytest.fixture(scope="session")
 def clashing():
     """Adds columns whose names the operators use inside."""
-    names = ["rid", "key", "row", "n", "size", "block", "shard", "_part", "_lang", "level", "name", "comp",
+    names = ["rid", "key", "row", "n", "size", "piece", "parcel", "shard", "_part", "_lang", "level", "name", "comp",
              "items", "host", "id", "k", "first"]
 
     def add(df):

@@ -17,11 +17,11 @@ def check(spark, docs, rows):
     assert got == want
 
 
-@pytest.mark.parametrize("block", [8, 64, exact_dedup.BLOCK])
-def test_groups_equal_brute_force(spark, docs_of, monkeypatch, block):
-    """Texts of many blocks that differ in single places, also at block ends."""
-    monkeypatch.setattr(exact_dedup, "BLOCK", block)
-    rng = random.Random(block)
+@pytest.mark.parametrize("piece", [8, 64, exact_dedup.PIECE])
+def test_groups_equal_brute_force(spark, docs_of, monkeypatch, piece):
+    """Texts of many pieces that differ in single places, also at piece ends."""
+    monkeypatch.setattr(exact_dedup, "PIECE", piece)
+    rng = random.Random(piece)
     texts = ["", "a", "a" * 8, "a" * 16, "a" * 24, "a" * 23, "é" * 12, "ab" * 500, "ab" * 499 + "ac", "x" + "ab" * 499]
     texts += ["".join(rng.choice("ab") for _ in range(rng.choice([7, 8, 9, 16, 17, 100]))) for _ in range(40)]
     rows = [(k, rng.choice(texts)) for k in range(200)] + [(500, None), (501, "")]

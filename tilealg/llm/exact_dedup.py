@@ -1,14 +1,14 @@
-"""Exact duplicates by deterministic block naming (operator 8).
+"""Exact duplicates by deterministic piece naming (operator 8).
 
-The UTF-8 bytes of a text are cut into blocks of ``BLOCK`` bytes (the last one may be
-shorter; an empty text is one empty block).  Equal blocks get equal integer names: blocks
+The UTF-8 bytes of a text are cut into pieces of ``PIECE`` bytes (the last one may be
+shorter; an empty text is one empty piece).  Equal pieces get equal integer names: pieces
 are dealt to hash buckets, sorted there by content, and named (bucket, rank).  The names of
-a text then are its new, 8-byte letters; adjacent pairs of them are blocks of 16 bytes that
+a text then are its new, 8-byte letters; adjacent pairs of them are pieces of 16 bytes that
 are named in the same way, and so on until every text has one name.  A name stands for one
 content only, so texts are equal exactly when (level, name) are equal: no hash value decides.
 
-Before blocks are shuffled, each task lists its distinct blocks once (bounded memory), so a
-text that fills a third of the table costs one block row per task.  Cost: the distinct bytes
+Before pieces are shuffled, each task lists its distinct pieces once (bounded memory), so a
+text that fills a third of the table costs one piece row per task.  Cost: the distinct bytes
 of the texts once through one shuffle, then narrow rows.
 
 Defined results: a null text counts as the empty one; repeated rows (same id, same text) are
@@ -28,20 +28,20 @@ from pyspark.sql import functions as F
 
 from .shared import discard, keep_rows, plain, slices, text_key, with_group_values, written
 
-#: Bytes of a block at the first level.
-BLOCK = 8192
-#: Hash buckets in which blocks are sorted.  A name is bucket * 2^40 + rank.
+#: Bytes of a piece at the first level.
+PIECE = 8192
+#: Hash buckets in which pieces are sorted.  A name is bucket * 2^40 + rank.
 BUCKETS = 1 << 20
-#: Bytes of distinct blocks a task remembers; beyond it a block may be listed twice.
+#: Bytes of distinct pieces a task remembers; beyond it a piece may be listed twice.
 LOCAL_BYTES = 48 << 20
 
 _FIRST = ("rid long, doc_id long, key long, n_bytes long, sha binary, lids array<long>, "
-          "lid long, block binary")
-_LATER = "rid long, lids array<long>, lid long, block binary"
+          "lid long, piece binary")
+_LATER = "rid long, lids array<long>, lid long, piece binary"
 
 
 class _Listed:
-    """The distinct blocks of one task: content -> task-wide unique number."""
+    """The distinct pieces of one task: content -> task-wide unique number."""
 
     def __init__(self):
         self.next = TaskContext.get().partitionId() << 33
@@ -49,10 +49,10 @@ class _Listed:
         self.held = 0
         self.fresh: list[tuple[int, bytes]] = []
 
-    def numbers(self, payload: bytes, block: int) -> list[int]:
+    def numbers(self, payload: bytes, piece: int) -> list[int]:
         out = []
-        for at in range(0, max(len(payload), 1), block):
-            part = payload[at: at + block]
+        for at in range(0, max(len(payload), 1), piece):
+            part = payload[at: at + piece]
             lid = self.known.get(part)
             if lid is None:
                 if self.held > LOCAL_BYTES:
@@ -67,17 +67,17 @@ class _Listed:
         return out
 
     def take(self) -> tuple[list[int], list[bytes]]:
-        lids, blocks = [x[0] for x in self.fresh], [x[1] for x in self.fresh]
+        lids, pieces = [x[0] for x in self.fresh], [x[1] for x in self.fresh]
         self.fresh = []
-        return lids, blocks
+        return lids, pieces
 
 
-def _rows(columns: dict[str, tuple[pa.DataType, list]], lids: list, blocks: list) -> pa.RecordBatch:
-    """The rows of texts, followed by the rows of blocks; absent values are null."""
+def _rows(columns: dict[str, tuple[pa.DataType, list]], lids: list, pieces: list) -> pa.RecordBatch:
+    """The rows of texts, followed by the rows of pieces; absent values are null."""
     n, m = len(next(iter(columns.values()))[1]), len(lids)
     arrays = [pa.array(list(v) + [None] * m, t) for t, v in columns.values()]
-    arrays += [pa.array([None] * n + lids, pa.int64()), pa.array([None] * n + blocks, pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, [*columns, "lid", "block"])
+    arrays += [pa.array([None] * n + lids, pa.int64()), pa.array([None] * n + pieces, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, [*columns, "lid", "piece"])
 
 
 def _cut_texts(batches):
@@ -86,7 +86,7 @@ def _cut_texts(batches):
     for batch in slices(batches):
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         n = len(texts)
-        lids = [listed.numbers(t, BLOCK) for t in texts]
+        lids = [listed.numbers(t, PIECE) for t in texts]
         yield _rows({"rid": (pa.int64(), range(rid, rid + n)),
                      "doc_id": (pa.int64(), batch.column("doc_id").to_pylist()),
                      "key": (pa.int64(), batch.column("key").to_pylist()),
@@ -111,11 +111,11 @@ def _cut_names(batches):
 
 
 def _named(cut: DataFrame) -> DataFrame:
-    """(lid, name) of all listed blocks: equal blocks get equal names."""
-    blocks = cut.where("lid IS NOT NULL").select(
-        "lid", "block", F.pmod(F.xxhash64("block"), F.lit(BUCKETS)).alias("bucket"))
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("block"))
-    return blocks.select("lid", (F.col("bucket") * F.lit(1 << 40) + rank).alias("name"))
+    """(lid, name) of all listed pieces: equal pieces get equal names."""
+    pieces = cut.where("lid IS NOT NULL").select(
+        "lid", "piece", F.pmod(F.xxhash64("piece"), F.lit(BUCKETS)).alias("bucket"))
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("piece"))
+    return pieces.select("lid", (F.col("bucket") * F.lit(1 << 40) + rank).alias("name"))
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
@@ -127,10 +127,10 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """
     texts = plain(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
-    cut = first = written(texts.mapInArrow(_cut_texts, _FIRST), "blocks")
+    cut = first = written(texts.mapInArrow(_cut_texts, _FIRST), "pieces")
     level, done, cuts = 0, None, [first]
     while True:
-        names = written(_named(cut), "names")  # the texts' blocks are shuffled here, once
+        names = written(_named(cut), "names")  # the texts' pieces are shuffled here, once
         rows = cut.where("rid IS NOT NULL")
         one = (rows.where("size(lids) = 1").select("rid", F.col("lids")[0].alias("lid"))
                .join(names, "lid").select("rid", F.lit(level).alias("level"), "name"))
