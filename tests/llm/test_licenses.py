@@ -47,6 +47,44 @@ def test_matches_equal_exact_containment(spark, docs_of, clashing):
     assert sum(bool(m) for _, m in want) > 100
 
 
+def decided(text, sets, names):
+    """The rule of ``decide`` on plain sets of shingles."""
+    have = shingled(text)
+    x = {k: s & have for k, s in sets.items() if s and len(s & have) >= 0.8 * len(s)}
+    within = {k: {n for n, s in sets.items() if n != k and sets[k] <= s} for k in x}
+    x = {k: f for k, f in x.items() if not any(
+        names[n] != names[k] and n not in within[k] and f <= sets[n] for n in x)}
+    first = [k for k in sets if lc.CATALOGUE[k] in lc.TEMPLATES]
+    return [(k, names[k], len(f) / len(sets[k])) for k, f in sorted(x.items()) if not any(
+        n in within[k] and (names[n] != names[k] or k not in first) for n in x)]
+
+
+def test_decisions_over_the_catalogue_equal_brute_force(spark, docs_of):
+    sets = {k: shingled(t) for k, (_, t) in enumerate(lc.CATALOGUE)}
+    names = [name for name, _ in lc.CATALOGUE]
+    rng = random.Random(8)
+    rows = []
+    for k in range(400):
+        w = [rng.choice("the of a work is under terms".split()) for _ in range(rng.randint(0, 30))]
+        for _ in range(rng.randint(1, 3)):
+            t = rng.choice(lc.CATALOGUE)[1].split()
+            if rng.random() < 0.4:
+                t[rng.randrange(len(t))] = rng.choice(["3", "Lesser", "Affero", "changed"])
+            at = rng.randint(0, len(w))
+            w[at:at] = t
+        rows.append((k, " ".join(w)))
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in
+           lc.scan(spark, docs_of(rows), lc.CATALOGUE, decide=True).collect()}
+    assert got == {k: decided(t, sets, names) for k, t in rows}
+    assert sum(len({m[1] for m in v}) > 1 for v in got.values()) > 30
+
+
+def test_templates_without_a_shingle_match_nothing(spark, docs_of):
+    own = [("short", "two words"), ("own", "My own license words come"), ("none", "")]
+    got = lc.scan(spark, docs_of([(1, "two words my own license words come two words")]), own, decide=True).collect()
+    assert [(m["template"], m["license"]) for m in got[0]["matches"]] == [(1, "own")]
+
+
 def test_only_jvm_expressions_and_no_shuffle(spark, docs_of, tmp_path):
     docs_of(corpus()[:5]).write.parquet(str(tmp_path / "d"))
     plan = lc.scan(spark, spark.read.parquet(str(tmp_path / "d")))._jdf.queryExecution().executedPlan().toString()

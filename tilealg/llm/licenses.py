@@ -3,7 +3,8 @@
 A text's letters and digits are lower-cased words; its 5-word shingles are hashed.  Windows
 of six words (two shingles) start at every second word, so that they overlap by four and no
 shingle is missed.  ``BANDS`` minimum hashes of a window (the hash values under a mask each)
-are its bands; a window that shares one band with a window of a template retrieves it.  If
+are its bands.  An index holds, per band, the templates of each value; a window retrieves the
+templates under its values (a list of all values finds the few windows that have any).  If
 half of a window's shingles are the template's, as for a template of five words, a band
 collides with probability 1/2, and all of them miss with probability 2^-20; a window inside
 a longer template collides in every band.  A retrieved template matches if at least
@@ -225,26 +226,33 @@ def scan(spark: SparkSession, docs: DataFrame, templates: list[tuple[str, str]]
     listed = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(templates)], "k int, text string")
     ordered = {r["k"]: r["_sh"] for r in _shingled(listed).collect()}
     hashes = {k: list(dict.fromkeys(s)) for k, s in ordered.items()}
-    bands: list[set[int]] = []
+    bands: list[dict[int, set[int]]] = []  # per band: value -> templates
     for m in masks():
-        keys = set()
-        for s in ordered.values():
+        index: dict[int, set[int]] = {}
+        for k, s in ordered.items():
             for x, y in zip(s, s[1:]) if len(s) > 1 else [(v, v) for v in s]:
-                keys.add(min(x ^ m, y ^ m))
-        bands.append(keys)
+                index.setdefault(min(x ^ m, y ^ m), set()).add(k)
+        bands.append(index)
     within, gives = _nested(templates, hashes) if decide else ({}, {})
     numbers = lambda of: f"CAST(array({', '.join(map(str, of))}) AS array<int>)"
     known = "array(" + ", ".join(
-        f"named_struct('k', {k}, 'license', '{templates[k][0]}', 's', array({', '.join(f'{v}L' for v in s)})"
+        f"named_struct('k', {k}, 'license', '{templates[k][0]}', 's', CAST(array({', '.join(f'{v}L' for v in s)}) AS array<bigint>)"
         + (f", 'within', {numbers(within[k])}, 'gives', {numbers(gives[k])}" if decide else "") + ")"
-        for k, s in hashes.items() if s) + ")"
-    hit = " OR ".join(f"least(w.a ^ {m}L, w.b ^ {m}L) IN ({', '.join(f'{v}L' for v in sorted(keys))})"
-                      for m, keys in zip(masks(), bands)).replace("-9223372036854775808L", "(-9223372036854775807L - 1)")
+        for k, s in sorted(hashes.items())) + ")"
+
+    def values(index) -> str:
+        return ", ".join(f"{v}L" for v in sorted(index)).replace("-9223372036854775808L", "(-9223372036854775807L - 1)")
+    bands_of = [(f"least(w.a ^ {m}L, w.b ^ {m}L)", index) for m, index in zip(masks(), bands) if index]
+    hit = " OR ".join(f"{value} IN ({values(index)})" for value, index in bands_of) or "false"
+    under = [f"coalesce(try_element_at(map_from_arrays(array({values(index)}), array({', '.join(numbers(sorted(index[v])) for v in sorted(index))})), {value}), CAST(array() AS array<int>))"
+             for value, index in bands_of]
     windows = ("transform(sequence(0, greatest(size(_sh) - 1, 0), 2), i -> named_struct("
                "'a', get(_sh, i), 'b', coalesce(get(_sh, i + 1), get(_sh, i))))")
     rows = _shingled(plain(docs, doc_id=id_col, text=text_col))
     rows = rows.select("doc_id", "_sh", F.expr(f"filter({windows}, w -> {hit})").alias("_hits"))
-    retrieved = f"filter({known}, t -> exists(_hits, w -> array_contains(t.s, w.a) OR array_contains(t.s, w.b)))"
+    none = "CAST(array() AS array<int>)"
+    candidates = f"array_sort(array_distinct(flatten(transform(_hits, w -> flatten(array({', '.join(under) or none}))))))"
+    retrieved = f"transform({candidates}, k -> get({known}, k))"
     parts = "'template', t.k, 'license', t.license, 'contained', size(array_intersect(t.s, _sh)) / size(t.s)"
     more = ", 's', t.s, 'within', t.within, 'gives', t.gives, 'found', array_intersect(t.s, _sh)" if decide else ""
     found = f"filter(transform({retrieved}, t -> named_struct({parts}{more})), m -> m.contained >= {CONTAINED})"
