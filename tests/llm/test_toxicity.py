@@ -55,9 +55,10 @@ def test_units():
     def of(text):
         letters, start, size, _ = tx.units([text])
         return sorted("".join(chr(96 + c) for c in letters[s: s + n]) for s, n in zip(start, size))
-    assert of("Id-i.o*t ÏDIÖT 1d10t") == ["idiot"] * 3
-    assert of("x i d i o t now") == ["now", "xidiot"]
-    assert of("a an ant %%% 999") == ["ant"]
+    assert of("Id-i.o*t ÏDIÖT 1d10t") == ["idiot"] * 3 + ["idiotidiot"] * 2
+    assert of("x i d i o t now") == ["now", "xidiot", "xidiotnow"]
+    assert of("a an ant %%% 999") == ["aan", "anant", "ant"]
+    assert of("abcdefgh ijklmnop q") == ["abcdefgh", "cdefghijklmn", "ijklmnop", "klmnopq"]
     long = of("abcdefghij" * 5)
     assert all(len(u) <= tx.WINDOW for u in long) and len(long) == 4
 
@@ -97,3 +98,77 @@ def test_without_labels_or_rows(spark, docs_of):
     assert m is None
     assert {r["score"] for r in tx.score(spark, docs_of(docs), m).collect()} == {0.0}
     assert tx.score(spark, docs_of([]), m).count() == 0
+
+
+def two_word_corpus(n, seed):
+    """The insult is a pair of words that clean texts hold one by one."""
+    rng = random.Random(seed)
+    vocab = ["".join(rng2.choice(SYL) for _ in range(rng2.randint(1, 3))) for rng2 in [random.Random(5)] for _ in range(150)]
+    docs, labels = [], []
+    for k in range(n):
+        w = [rng.choice(vocab) for _ in range(40)]
+        w[rng.randrange(20)], w[30 + rng.randrange(10)] = rng.choice(["sour", "milk"]), rng.choice(["sour", "milk"])
+        at = rng.randrange(20, 28)
+        if toxic := k % 4 == 0:
+            w[at: at + 2] = ["sour", "milk"]
+        docs.append(" ".join(w))
+        labels.append(int(toxic))
+    return docs, labels
+
+
+def test_insults_of_two_ordinary_words():
+    m = tx.train(*two_word_corpus(800, 1))
+    texts, y = two_word_corpus(400, 2)
+    said = m.score(texts) >= tx.THRESHOLD
+    y = np.array(y) == 1
+    assert said[y].mean() > 0.95 and said[~y].mean() < 0.05
+    cut = m.score(["the sou rmilk ing", "men so urmilk shou", "the milk an sour"])
+    assert (cut[:2] >= tx.THRESHOLD).all() and cut[2] < tx.THRESHOLD
+
+
+def test_noisy_labels_do_not_bar_an_insult():
+    """A few clean labelled texts hold insults; their rates decide."""
+    docs, labels = corpus(800)
+    noisy = [0 if y and k % 40 == 0 else y for k, y in labels]
+    m = tx.train([t for _, t in docs], noisy)
+    docs, labels = corpus(200, seed=8)
+    s = m.score([t for _, t in docs])
+    assert ((s >= tx.THRESHOLD) == (np.array([y for _, y in labels]) == 1)).mean() > 0.97
+
+
+def test_insults_late_in_long_training_texts(spark, docs_of):
+    docs, labels = corpus(240, seed=4)
+    rng = random.Random(6)
+
+    def filler():  # over 60,000 characters, the texts are no copies of each other
+        return " ".join("".join(rng.choice(SYL) for _ in range(rng.randint(1, 4))) for _ in range(9000))
+    docs = [(k, f"{filler()} {t}" if k % 2 == 0 else t) for k, t in docs]  # all toxic ones, and as many others
+    assert min(len(t) for k, t in docs if k % 2 == 0) > 50_000
+    m = tx.learn(spark, docs_of(docs), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    test, y = corpus(200, seed=9)
+    s = m.score([t for _, t in test])
+    assert ((s >= tx.THRESHOLD) == (np.array([v for _, v in y]) == 1)).mean() > 0.97
+
+
+def test_the_model_does_not_depend_on_the_order_of_rows(spark, docs_of):
+    docs, labels = corpus(200)
+    docs = docs + docs[:30]
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    a, b = (tx.learn(spark, docs_of(d).repartition(n), lab) for d, n in ((docs, 3), (docs[::-1], 8)))
+    assert (a.weights == b.weights).all() and a.curve == b.curve
+
+
+def test_copies_of_a_text_count_once():
+    """What one toxic text says in forty edited copies is no insult for that."""
+    docs, labels = corpus(400)
+    texts, y = [t for _, t in docs], [v for _, v in labels]
+    words = texts[0].split() + texts[4].split()
+    rng = random.Random(1)
+    for _ in range(40):
+        w = list(words)
+        w[rng.randrange(len(w))] = "sher"
+        texts.append(" ".join(["gulbrandsen"] + w))
+        y.append(1)
+    m = tx.train(texts, y)
+    assert m.score(["thean roti gulbrandsen menla"])[0] < tx.THRESHOLD
+    assert (m.score([f"thean roti {x} menla" for x in INSULTS]) >= tx.THRESHOLD).all()

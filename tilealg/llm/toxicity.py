@@ -1,9 +1,11 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks (operator 3).
 
-A text is judged by its most toxic *unit*.  A unit is a white-space token with everything
+A text is judged by its most toxic *unit*.  Units are the white-space tokens with everything
 but letters taken out (so ``id-i.ot`` is ``idiot``), accents folded, a few digits read as the
-letters they imitate; tokens of one letter in a row are one unit (``i d i o t``); longer
-units are cut into overlapping windows of ``WINDOW`` letters.
+letters they imitate, and the windows across the border of two tokens (their last and first
+``ACROSS`` letters), so that an insult of two words, or one cut by a space, is a unit as well;
+tokens of one letter in a row are one unit (``i d i o t``); longer units are cut into
+overlapping windows of ``WINDOW`` letters.
 
 Kernel: for units x, y it sums, over all subsequences of three letters that occur in both
 within ``SPAN`` letters, decay^(span in x) * decay^(span in y).  Inserted letters and gaps
@@ -15,10 +17,14 @@ Newton steps).  As the kernel is an inner product over letter triples, the train
 landmarks folds into one weight per triple, and scoring is a table look-up per subsequence.
 
 Training: labels belong to texts, not to units.  A bounded sample of labelled texts is taken
-(``TOXIC_DOCS``, ``CLEAN_DOCS``); the unit of each toxic text that stands out most is a
-positive example, units of clean texts are negatives; after each fit the positives are
-chosen again by the model and the best scoring clean units are added as hard negatives.  A
-logistic curve over a text's best unit gives the score.
+(``TOXIC_DOCS``, ``CLEAN_DOCS``); of a text longer than ``SAMPLE_CHARS`` characters, those are
+windows from all over it.  The unit of each toxic text that stands out most, by the rates of
+its letters in fours in toxic and in clean texts, is a positive example if it does so more than
+chance allows and if toxic texts hold it ``RATE`` times as often as clean ones; units of clean
+texts are negatives.  After each fit the
+positives are chosen again by the model, and the best scoring clean units are added as hard
+negatives.  A logistic curve over a text's best unit gives the score.  What remains: an insult
+of three or more ordinary words is known by its pairs only.
 
 Defined results: null, empty and letterless texts have score 0; without labels of both kinds
 every score is 0; several labels of one id count as toxic if one is; repeated rows score
@@ -40,8 +46,12 @@ from .langid import held_out, points
 from .shared import SPACES_AND_MORE, plain, slices
 
 TOXIC_DOCS, CLEAN_DOCS = 2000, 4000
-#: Letters read of a training text.
-SAMPLE_CHARS = 40_000
+#: Characters read of a training text, and the windows in which a longer one is read.
+SAMPLE_CHARS, SAMPLE_WINDOWS = 40_000, 16
+#: Letters of each of two tokens in the window across their border.
+ACROSS = 6
+#: How much more often toxic texts must hold a unit than clean ones for it to be an example.
+RATE = 5.0
 LANDMARKS = 400
 DECAY, SPAN, WINDOW = 0.6, 7, 20
 LETTERS = 32
@@ -49,6 +59,9 @@ THRESHOLD = 0.3
 #: Steepness of the curve from the SVM's margin to a score.
 SLOPE = 5.0
 ROUNDS = 4
+#: Letters of the runs by which copies among the training texts are found, and the seeds of
+#: their hashes.
+KIN_LETTERS, KIN_SEEDS = 20, (0x1F83D9AB, 0x5BE0CD19, 0x3C6EF372, 0x510E527F)
 #: Digits and signs that stand for letters inside a word.
 LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
@@ -94,6 +107,9 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     joins[1:] = (size[1:] == 1) & (size[:-1] == 1) & (text[1:] == text[:-1])
     start, text = start[~joins], text[~joins]
     size = np.diff(np.append(start, len(at)))
+    pair = np.flatnonzero(text[1:] == text[:-1])
+    left, right = np.minimum(size[pair], ACROSS), np.minimum(size[pair + 1], ACROSS)
+    across = start[pair + 1] - left, left + right, text[pair]
     long = np.flatnonzero(size > WINDOW)
     if len(long):
         half = WINDOW // 2
@@ -107,6 +123,7 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         start = np.concatenate([start[keep], np.array(more_s, np.int64)])
         size = np.concatenate([size[keep], np.array(more_n, np.int64)])
         text = np.concatenate([text[keep], np.array(more_t, np.int64)])
+    start, size, text = (np.concatenate(x) for x in zip((start, size, text), across))
     ok = size >= 3
     return letters, start[ok], size[ok], text[ok]
 
@@ -222,53 +239,159 @@ def _pieces(texts: list[str], room: int = 400_000):
         yield group, owners
 
 
+class _Sample:
+    """The units of the training texts, a group of texts at a time: letters, start and length
+    of each unit, the text it is from, and a hash of its letters."""
+
+    def __init__(self, texts: list[str], toxic: np.ndarray):
+        self.toxic, self.n = toxic, len(texts)
+        self.groups = []
+        least = np.full((len(KIN_SEEDS), self.n), np.iinfo(np.uint64).max)
+        for group, owners in _pieces(texts):
+            letters, start, size, text = units(group)
+            text = np.array(owners, np.int32)[text]
+            code = np.zeros(len(start), np.uint64)
+            with np.errstate(over="ignore"):
+                for n in np.unique(size):
+                    w = np.flatnonzero(size == n)
+                    h = np.full(len(w), n, np.uint64)
+                    for k in range(n):
+                        h = (h + letters[start[w] + k]) * np.uint64(0x9E3779B97F4A7C15)
+                        h ^= h >> np.uint64(29)
+                    code[w] = h
+            self.groups.append((letters, start.astype(np.int32), size.astype(np.int32), text, code))
+            run = np.zeros(len(start), np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(KIN_LETTERS):
+                    run = (run + letters[np.minimum(start + k, len(letters) - 1)]) * np.uint64(0xD6E8FEB86659FD93)
+                    run ^= run >> np.uint64(31)
+                for low, seed in zip(least, KIN_SEEDS):
+                    np.minimum.at(low, text, (run ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15))
+        # copies and near copies share most runs of letters, so one of their smallest hashes of
+        # runs: they count as one text
+        boss = list(range(self.n))
+
+        def find(k: int) -> int:
+            while boss[k] != k:
+                boss[k] = boss[boss[k]]
+                k = boss[k]
+            return k
+        for low in least:
+            first: dict[int, int] = {}
+            for k, v in enumerate(low.tolist()):
+                boss[find(k)] = find(first.setdefault(v, k))
+        kin = np.array([find(k) for k in range(self.n)])
+        self.kin = np.unique(kin * 2 + toxic, return_inverse=True)[1]
+        self.kin_toxic = np.zeros(self.kin.max(initial=0) + 1, bool)
+        self.kin_toxic[self.kin] = toxic
+        self.n1, self.n0 = max(1, int(self.kin_toxic.sum())), max(1, int((~self.kin_toxic).sum()))
+
+    def word(self, g: int, u: int) -> str:
+        letters, start, size, *_ = self.groups[g]
+        return letters[start[u]: start[u] + size[u]].tobytes().decode("latin-1")
+
+    def texts_with(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many toxic and how many clean texts hold each of these (sorted) units."""
+        out = np.zeros((2, len(codes)), np.int64)
+        pairs = []
+        for *_, text, code in self.groups:
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            hit = codes[at] == code
+            pairs.append(at[hit].astype(np.int64) * self.n + self.kin[text[hit]])
+        found = np.unique(np.concatenate(pairs))
+        np.add.at(out, (self.kin_toxic[found % self.n].astype(int), found // self.n), 1)
+        return out[1], out[0]
+
+    def rare_in_clean(self, codes: np.ndarray) -> np.ndarray:
+        """Whether toxic texts hold a unit RATE times as often as clean ones (half a text is
+        added on either side, so that one text decides nothing by itself)."""
+        t, c = self.texts_with(codes)
+        return (t + 0.5) / self.n1 >= RATE * (c + 0.5) / self.n0
+
+    def best(self, value_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text the largest value of a unit, and which unit that is (group, number)."""
+        top = np.full(self.n, -np.inf)
+        group, unit = np.full(self.n, -1), np.full(self.n, -1)
+        for g, (letters, start, size, text, _) in enumerate(self.groups):
+            if not len(start):
+                continue
+            v = value_of(letters, start, size)
+            order = np.lexsort((-np.arange(len(v)), v, text))
+            last = order[np.append(text[order][1:] != text[order][:-1], True)]
+            better = v[last] > top[text[last]]
+            last = last[better]
+            top[text[last]], group[text[last]], unit[text[last]] = v[last], g, last
+        return top, group, unit
+
+
+def _standing_out(sample: _Sample):
+    """A value for units, and the bar above which it is no chance.  The value is that of the
+    best of a unit's letters in fours: the log likelihood by how often they occur in toxic and
+    in clean texts.  The bar grows with the number of fours that were tried."""
+    count = np.zeros((2, LETTERS ** 4))
+    for letters, start, size, text, _ in sample.groups:
+        seen = []
+        for k in range(int(size.max(initial=0))):
+            w = np.flatnonzero((size > k + 3) | ((k == 0) & (size == 3)))
+            seen.append(sample.kin[text[w]].astype(np.int64) * LETTERS ** 4 + _four(letters, start[w] + k, start[w] + size[w]))
+        found = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.int64)
+        np.add.at(count, (sample.kin_toxic[found // LETTERS ** 4].astype(int), found % LETTERS ** 4), 1)
+    c, t = count
+    tried = max(2, int(((t > 0) | (c > 0)).sum()))
+    worth = np.where(t * sample.n0 > c * sample.n1,
+                     t * np.log(((t + 0.1) / sample.n1) / ((c + 0.5) / sample.n0)), 0.0)
+
+    def value(letters, start, size):
+        out = np.zeros(len(start))
+        for k in range(int(size.max(initial=0))):
+            w = np.flatnonzero((size > k + 3) | ((k == 0) & (size == 3)))
+            out[w] = np.maximum(out[w], worth[_four(letters, start[w] + k, start[w] + size[w])])
+        return out
+    return value, float(np.log(tried))
+
+
+def _four(letters: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Four letters from ``at`` on as a number (of a unit of three, those three)."""
+    code = np.zeros(len(at), np.int64)
+    for k in range(4):
+        x = letters[np.minimum(at + k, len(letters) - 1)].astype(np.int64)
+        code = code * LETTERS + np.where(at + k < end, x, 0)
+    return code
+
+
 def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model | None:
     """Fit on labelled texts; None without texts of both kinds."""
     y = np.array(toxic) == 1
     if not y.any() or y.all():
         return None
-    same: dict[str, str] = {}  # one object per distinct unit
-    per_text = []
-    for whole in texts:
-        own = set()
-        for group, _ in _pieces([whole]):
-            letters, start, size, _ = units(group)
-            raw = letters.tobytes().decode("latin-1")
-            own.update(raw[s: s + n] for s, n in zip(start.tolist(), size.tolist()))
-        per_text.append(sorted(same.setdefault(u, u) for u in own))
-    # how much a unit stands out: the best of its four-letter parts by how often they occur
-    # in toxic and in clean texts
-    n1, n0 = int(y.sum()), int((~y).sum())
-    grams = ({}, {})
-    seen_clean: dict[str, int] = {}
-    for label, us in zip(y, per_text):
-        have = {u[k: k + 4] for u in us for k in range(max(1, len(u) - 3))}
-        count = grams[int(label)]
-        for g in have:
-            count[g] = count.get(g, 0) + 1
-        if not label:
-            for u in us:
-                seen_clean[u] = seen_clean.get(u, 0) + 1
-
-    def stands_out(u: str) -> float:
-        top = 0.0
-        for k in range(max(1, len(u) - 3)):
-            t, c = grams[1].get(u[k: k + 4], 0), grams[0].get(u[k: k + 4], 0)
-            top = max(top, t * np.log(((t + 0.1) / n1) / ((c + 0.5) / n0)) if t > c * n1 / n0 else 0.0)
-        return top
-
+    sample = _Sample(texts, y)
+    if not any(len(g[1]) for g in sample.groups):
+        return None
     rng = np.random.default_rng(seed)
-    clean = sorted(seen_clean)
-    toxic_units = sorted({u for us, label in zip(per_text, y) if label for u in us})
-    shown = {u: stands_out(u) for u in toxic_units}
-    tops = [max(us, key=shown.get) for us, label in zip(per_text, y) if label and us]
-    positive = [u for u in tops if shown[u] > 0]
-    positive = [u for u in positive if u not in seen_clean] or positive
-    if not positive or not clean:
+
+    value, bar = _standing_out(sample)
+
+    def examples(group, unit, ok) -> list[str]:
+        """The best units of these toxic texts that stand out and that clean ones rarely hold."""
+        at = np.flatnonzero(ok & (group >= 0))
+        worth = np.zeros(sample.n)
+        for g, (letters, start, size, *_) in enumerate(sample.groups):
+            own = at[group[at] == g]
+            worth[own] = value(letters, start[unit[own]], size[unit[own]])
+        at = at[worth[at] > bar] if (worth[at] > bar).any() else at[worth[at] > 0]
+        code = np.array([sample.groups[group[k]][4][unit[k]] for k in at], np.uint64)
+        if not len(at):
+            return []
+        known = np.unique(code)
+        rare = sample.rare_in_clean(known)[np.searchsorted(known, code)]
+        return [sample.word(group[k], unit[k]) for k in at[rare]]
+
+    _, group, unit = sample.best(value)
+    positive = examples(group, unit, y)
+    negative = _frequent(sample, 1500, 3000, rng)
+    if not positive or not negative:
         return None
-    often = sorted(clean, key=lambda u: (-seen_clean[u], u))[:1500]
-    negative = sorted({*often, *(clean[k] for k in rng.choice(len(clean), min(len(clean), 3000), replace=False))})
-    model_w, bias = None, 0.0
+    negative = sorted(set(negative) - set(positive))
     for turn in range(ROUNDS):
         kinds = sorted(set(positive))
         near = sorted({*_spread(kinds, LANDMARKS // 2, rng), *_spread(negative, LANDMARKS // 2, rng)})
@@ -277,28 +400,41 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model | None:
         val, vec = np.linalg.eigh((own + own.T) / 2)
         ok = val > 1e-4 * val.max()
         root = vec[:, ok] / np.sqrt(val[ok])
-        examples = kinds + negative
+        rows = kinds + negative
         times = Counter(positive)
         weight = np.array([min(3.0, times[u]) * max(1.0, len(negative) / (4 * len(kinds))) for u in kinds]
                           + [1.0] * len(negative))
         target = np.array([1.0] * len(kinds) + [-1.0] * len(negative))
-        w = _svm(_kernel(examples, rows_t) @ root, target, weight)
+        w = _svm(_kernel(rows, rows_t) @ root, target, weight)
         model_w, bias = (rows_t @ (root @ w[:-1])).astype(np.float32), float(w[-1])
-        of_clean = unit_scores(model_w, *_as_units(clean)) + bias
-        of_toxic = dict(zip(toxic_units, unit_scores(model_w, *_as_units(toxic_units)) + bias))
+        best, group, unit = sample.best(lambda *u: unit_scores(model_w, *u) + bias)  # noqa: B023
         if turn < ROUNDS - 1:
-            hard = np.argsort(-of_clean)[:800]
-            negative = sorted({*negative, *(clean[k] for k in hard if of_clean[k] > -1)})
-            positive = [u for us, label in zip(per_text, y) if label
-                        for u in us if u not in seen_clean and of_toxic[u] > 0.5] or positive
+            positive = examples(group, unit, y & (best > 0.5)) or positive
+            hard = [k for k in np.argsort(-np.where(y, -np.inf, best), kind="stable")[:800] if best[k] > -1 and not y[k]]
+            negative = sorted({*negative, *(sample.word(group[k], unit[k]) for k in hard)} - set(positive))
     # the curve, on each training text's best unit: THRESHOLD lies at the best cut
-    clean_score = dict(zip(clean, of_clean))
-    best = np.array([max((clean_score[u] if not label else of_toxic[u] for u in us), default=-2.0)
-                     for us, label in zip(per_text, y)])
+    best = np.where(np.isfinite(best), best, -2.0)
     a, cut = SLOPE, _best_cut(best, y)
     return Model(model_w, (a, a * (bias - cut) + float(np.log(THRESHOLD / (1 - THRESHOLD)))))
 
 
+def _frequent(sample: _Sample, often: int, others: int, rng) -> list[str]:
+    """The units that most clean texts hold, and some of the others."""
+    codes, first = [], []
+    for g, (*_, text, code) in enumerate(sample.groups):
+        clean = np.flatnonzero(~sample.toxic[text])
+        pairs = np.unique(np.stack([code[clean], text[clean].astype(np.uint64)], axis=1), axis=0) if len(clean) else np.zeros((0, 2), np.uint64)
+        codes.append(pairs[:, 0])
+        known, at = np.unique(code[clean], return_index=True)
+        first.append((known, np.full(len(known), g), clean[at]))
+    known, n = np.unique(np.concatenate(codes), return_counts=True)
+    every, group, unit = (np.concatenate(x) for x in zip(*first))
+    where = np.unique(every, return_index=True)[1]  # the same order as ``known``
+    pick = np.lexsort((known, -n))[:often]
+    pick = np.union1d(pick, rng.choice(len(known), min(len(known), others), replace=False))
+    return sorted({sample.word(group[where[k]], unit[where[k]]) for k in pick})
+
+
 def _best_cut(best: np.ndarray, y: np.ndarray) -> float:
     """The middle of the widest gap among the cuts that part the labels best (true positive
     minus false positive rate)."""
@@ -331,11 +467,15 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
         keep = keep | ((F.col("toxic") == label) & (part < int((1 << 30) * min(1.0, most / found[label]))))
     chosen = marks.where(keep).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = plain(docs, doc_id=id_col, text=text_col).where("text IS NOT NULL")
+    window = SAMPLE_CHARS // SAMPLE_WINDOWS
+    room = F.length("text") - window
+    cut = [F.substring(F.col("text"), F.call_function("div", room.cast("long") * k, F.lit(SAMPLE_WINDOWS - 1)).cast("int") + 1,
+                       F.lit(window)) for k in range(SAMPLE_WINDOWS)]
+    read = F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat_ws("\n", *cut))
     rows = (texts.join(F.broadcast(chosen), "doc_id")  # about TOXIC_DOCS + CLEAN_DOCS ids
-            .select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "toxic")
-            .dropDuplicates(["doc_id", "text"]).toArrow())
-    pdf = rows.to_pandas().sort_values(["doc_id", "text"], kind="stable")
-    return train(pdf["text"].tolist(), pdf["toxic"].tolist())
+            .select("doc_id", read.alias("text"), "toxic").dropDuplicates(["doc_id", "text"])
+            .orderBy("doc_id", "text").collect())
+    return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: str = "doc_id",
