@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .shared import plain, slices
 
 #: Bytes of words, and of pieces, remembered per generation.
-REMEMBERED = 16 << 20
+REMEMBERED = 24 << 20
 #: Bytes that an entry takes besides its word and ids.
 ENTRY = 250
 #: White space as the tokenizer's pattern has it.
@@ -237,7 +237,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 #: Texts per step.
-STEP = 768
+STEP = 1536
 
 
 def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",

@@ -67,14 +67,12 @@ def discard(*tables: DataFrame) -> None:
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` whose id and text (by ``text_key``) are in ``kept`` (columns
     doc_id and key, each pair once); of rows that repeat both, one stays.  All columns are
-    kept; the texts are shuffled once."""
-    from pyspark.sql import Window
+    kept; the texts are shuffled once, a row that is repeated in a task only once from there."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(whole, F.col(f"`{id_col}`").cast("long").alias("id"), text_key(F.col(f"`{text_col}`")).alias("k"))
     kept = kept.select(F.col("doc_id").alias("id2"), F.col("key").alias("k2"))
-    same = rows.join(kept, (F.col("k") == F.col("k2")) & F.col("id").eqNullSafe(F.col("id2")))
-    first = F.row_number().over(Window.partitionBy("k", "id").orderBy("k"))
-    return same.withColumn("first", first).where("first = 1").select("row.*")
+    once = rows.groupBy("k", "id").agg(F.first("row").alias("row"))
+    return once.join(kept, (F.col("k") == F.col("k2")) & F.col("id").eqNullSafe(F.col("id2"))).select("row.*")
 
 
 def text_key(text):
