@@ -92,7 +92,7 @@ def test_columns_of_any_name_pass_through(spark, folder, clashing, tmp_path):
         assert docs.columns == more.columns, name
         docs.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
-    assert {tuple(r) for r in docs.select("shard", "order_key", "blk").distinct().collect()} == {(6, "order_key", "blk")}
+    assert {tuple(r) for r in docs.select("shard", "order_key", "blk").distinct().collect()} == {(7, "order_key", "blk")}
     out = corpus_pipeline.STAGES[-1][1](spark, docs, folder[0])
     want = corpus_pipeline.run(spark, folder[0])
     assert sorted((r["doc_id"], r["n_tokens"]) for r in out.collect()) == sorted(
