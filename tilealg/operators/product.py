@@ -65,8 +65,9 @@ GROUP_BYTES = 128 << 20  # C tiles of a group and the A and B tiles of one inner
 SPREAD_BYTES_PER_TASK = 64 << 20
 # Partial tiles of one output tile that meet in a group of the first levels of a sum.
 FAN = 64
-# Copies per tile from which an index of the tiles present on the other side is worth its cost.
-PRUNE_COPIES = 4
+# Copies per tile, and bytes by shape of all copies, from which an index of the tiles present on
+# the other side is worth reading that side's ids once more.
+PRUNE_COPIES, PRUNE_BYTES = 4, 1 << 30
 # Multiplications of one inner index that a task should make at most.
 HEAVY = 1 << 22
 
@@ -84,8 +85,8 @@ def matmul(a: TileMatrix, b: TileMatrix, strategy: str | None = None, salt: int
            prune: bool | None = None, broadcast: bool = True) -> TileMatrix:
     """``A @ B`` (the reference's ``multiply``).  ``groups`` sets the tiles per group along
     rows, columns and the inner dimension instead of the planner.  ``prune``: send tiles only
-    where they meet a stored one (default: where a tile would have ``PRUNE_COPIES`` copies and
-    the other side is not known to be full).  ``broadcast=False``: no side of a cells product is
+    where they meet a stored one (default: where a side would have ``PRUNE_COPIES`` copies of
+    ``PRUNE_BYTES`` in all, and the other side is not known to be full).  ``broadcast=False``: no side of a cells product is
     broadcast, however small."""
     if a.ncols != b.nrows:
         raise ShapeMismatchError(
@@ -282,14 +283,16 @@ def _matmul_tiles(a: TileMatrix, b: TileMatrix, group_bytes: int,
     gi, gj, gk = groups or plan_groups(nbi, nbj, nk, tile_bytes, par, group_bytes)
     ngi, ngj, ngk = -(-nbi // gi), -(-nbj // gj), -(-nk // gk)
 
-    def pruned(copies: int, other: TileMatrix) -> bool:
-        return prune if prune is not None else copies >= PRUNE_COPIES and not other.full
+    def pruned(copies: int, side: TileMatrix, other: TileMatrix) -> bool:
+        if prune is not None:
+            return prune
+        return copies >= PRUNE_COPIES and 8 * side.nrows * side.ncols * copies >= PRUNE_BYTES and not other.full
 
     rest = [H, W, "flip", DATA, POS]
     left = _stored(ta).select(F.col(BJ).alias("k"), F.lit(0).alias("side"), F.col(BI).alias("r"), *rest)
     right = _stored(tb).select(F.col(BI).alias("k"), F.lit(1).alias("side"), F.col(BJ).alias("r"), *rest)
-    to_cols = _present(left, right, "r", gj, ngj, nk, pruned(ngj, tb))
-    to_rows = _present(right, left, "r", gi, ngi, nk, pruned(ngi, ta))
+    to_cols = _present(left, right, "r", gj, ngj, nk, pruned(ngj, ta, tb))
+    to_rows = _present(right, left, "r", gi, ngi, nk, pruned(ngi, tb, ta))
     both = (to_cols.withColumn("_gi", idiv(F.col("r"), gi)).withColumnRenamed("_to", "_gj")
             .unionByName(to_rows.withColumn("_gj", idiv(F.col("r"), gj)).withColumnRenamed("_to", "_gi")))
     gid = (F.col("_gi") * ngj + F.col("_gj")) * ngk + idiv(F.col("k"), gk)
