@@ -234,7 +234,7 @@ def test_stored_matrix_in_another_session(spark, thin, tmpdir_path):
 
 # ------------------------------------------------------------------------- products
 def test_pruned_product_ships_stored_pairs_only(spark):
-    """Block-diagonal: every tile meets one, so it is sent once, not to all groups."""
+    """Tiles along the diagonal: every tile meets one, so it is sent once, not to all groups."""
     n, t = 20, 5
     x = np.kron(np.eye(n), np.arange(1.0, 1 + t * t).reshape(t, t))
     m = cells_of(spark, x, (t, t)).to_sparse()

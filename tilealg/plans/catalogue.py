@@ -48,7 +48,7 @@ def query(name: str, ops: str, sql: str | None):
     return deco
 
 
-# ---------------------------------------------------------------- oracle building blocks
+# ---------------------------------------------------------------- parts of the oracle SQL
 _CTE = {
     "a": "a AS (SELECT l_suppkey AS i, CAST(l_linenumber - 1 AS BIGINT) AS j, "
          "sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2)",
@@ -1022,10 +1022,10 @@ def ew_add_stored(t: Tables) -> DataFrame:
     return _cells(a + b)
 
 
-@query("matmul_block_diagonal", "J1 tiles, shipped only where a stored tile is met: d d, d block-diagonal by suppkey div 10",
+@query("matmul_tile_diagonal", "J1 tiles, shipped only where a stored tile is met: d d, d stored in tiles along the diagonal (suppkey div 10)",
        "WITH d AS (SELECT l_suppkey AS i, l_suppkey // 10 * 10 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2) "
        "SELECT x.i, y.j, sum(x.v * y.v) AS v FROM d x JOIN d y ON x.j = y.i GROUP BY 1, 2 HAVING sum(x.v * y.v) <> 0")
-def matmul_block_diagonal(t: Tables) -> DataFrame:
+def matmul_tile_diagonal(t: Tables) -> DataFrame:
     n = -(-(t.n_supp + 1) // 10) * 10
     col = F.call_function("div", F.col("l_suppkey"), F.lit(10).cast("bigint")) * 10 + F.col("l_linenumber")
     d = from_relation(t.read("lineitem"), "l_suppkey", col, "l_quantity", shape=(n, n), tile=(10, 10)).to_sparse()
