@@ -398,7 +398,7 @@ class TileMatrix:
     def show(self, n: int = 20) -> None:
         """Print the shape header and the first ``n`` cells in index order (bounded)."""
         print(self.describe())
-        self.head(n).show(n)
+        self.head(n + 1).show(n)
 
     def to_numpy(self, limit_cells: int = 1 << 22) -> "np.ndarray":
         """Collect a *small* matrix to the driver (tests and inspection only)."""
@@ -617,7 +617,7 @@ class TileVector:
 
     def show(self, n: int = 20) -> None:
         print(self.describe())
-        self.head(n).show(n)
+        self.head(n + 1).show(n)
 
     def to_numpy(self, limit_cells: int = 1 << 22):
         return self.mat.to_numpy(limit_cells)[:, 0]
