@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .shared import plain, slices
 
 #: Bytes of words, and of pieces, remembered per generation.
-REMEMBERED = 24 << 20
+REMEMBERED = 16 << 20
 #: Bytes that an entry takes besides its word and ids.
 ENTRY = 250
 #: White space as the tokenizer's pattern has it.
@@ -168,6 +168,11 @@ class WordBpe:
                 out += [self.words.get(w, self._word) for w in self.spaces.split(part) if w]
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Let go of the remembered words, so that other stages of this process have the room."""
+        self.words, self.known = Recent(), Recent()
+        pa.default_memory_pool().release_unused()
+
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids start (and end)."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -237,7 +242,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 #: Texts per step.
-STEP = 1536
+STEP = 768
 
 
 def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
@@ -255,6 +260,7 @@ def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        model.forget()
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -275,6 +281,7 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
                  pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(pa.list_(pa.int32())),
                  pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "token_ids", "decoded_sha256"])
+        model.forget()
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, decoded_sha256 string")
