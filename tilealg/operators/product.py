@@ -69,7 +69,7 @@ FAN = 64
 # the other side is worth reading that side's ids once more.
 PRUNE_COPIES, PRUNE_BYTES = 4, 1 << 30
 # Multiplications of one inner index that a task should make at most.
-HEAVY = 1 << 22
+HEAVY = 1 << 20
 
 
 def _pick_strategy(a: TileMatrix, strategy: str | None) -> str:
