@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .shared import plain, slices
 
 #: Bytes of words, and of pieces, remembered per generation.
-REMEMBERED = 16 << 20
+REMEMBERED = 32 << 20
 #: Bytes that an entry takes besides its word and ids.
 ENTRY = 250
 #: White space as the tokenizer's pattern has it.
@@ -50,9 +50,10 @@ def byte_letters() -> list[str]:
 
 
 class Recent:
-    """Values by string, in two generations of at most REMEMBERED bytes each."""
+    """Values by string, in two generations of at most ``limit`` bytes each."""
 
-    def __init__(self):
+    def __init__(self, limit: int):
+        self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
@@ -64,9 +65,9 @@ class Recent:
             if got is None:
                 got = make(key)
             size = ENTRY + 4 * len(key) + len(got)
-            if size > REMEMBERED:  # one huge word is not worth all others
+            if size > self.limit:  # one huge word is not worth all others
                 return got
-            if self.size + size > REMEMBERED:
+            if self.size + size > self.limit:
                 self.old, self.young, self.size = self.young, {}, 0
             self.young[key] = got
             self.size += size
@@ -77,7 +78,7 @@ class WordBpe:
     """Encoder and decoder of a tokenizer file with the parts this one has: NFC and lower
     case, a splitting pattern, byte letters, and BPE with a word-end suffix."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, remembered: int | None = None):
         import regex
 
         spec = json.loads(content)
@@ -105,7 +106,8 @@ class WordBpe:
         self.pieces = regex.compile(pattern.replace(r"\s", SPACE))
         self.spaces = regex.compile(f"[{SPACE}]+")
         self.letters = byte_letters()
-        self.words, self.known = Recent(), Recent()
+        self.remembered = remembered or REMEMBERED
+        self.words, self.known = Recent(self.remembered), Recent(self.remembered)
 
     def merge(self, word: str) -> list[int]:
         """Token ids of one piece (normalised, not empty)."""
@@ -170,7 +172,7 @@ class WordBpe:
 
     def forget(self) -> None:
         """Let go of the remembered words, so that other stages of this process have the room."""
-        self.words, self.known = Recent(), Recent()
+        self.words, self.known = Recent(self.remembered), Recent(self.remembered)
         pa.default_memory_pool().release_unused()
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -220,14 +222,14 @@ def pack(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
-_MODELS: dict[str, WordBpe] = {}
+_MODELS: dict[tuple, WordBpe] = {}
 
 
-def _model(content) -> WordBpe:
+def _model(content, remembered: int) -> WordBpe:
     """This process's encoder of a broadcast tokenizer file."""
-    key = hashlib.sha256(content.value).hexdigest()
+    key = hashlib.sha256(content.value).hexdigest(), remembered
     if key not in _MODELS:
-        _MODELS[key] = WordBpe(content.value)
+        _MODELS[key] = WordBpe(content.value, remembered)
     return _MODELS[key]
 
 
@@ -242,7 +244,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 #: Texts per step.
-STEP = 768
+STEP = 2048
+#: The same two for ``encode``, which is one stage among others in the same worker processes:
+#: it holds less at once, and lets go of it at the end of a task.
+STAGE_STEP, STAGE_REMEMBERED = 768, 16 << 20
 
 
 def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
@@ -251,7 +256,7 @@ def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col:
     content = _file(spark, tokenizer)
 
     def run(batches):
-        model = _model(content)
+        model = _model(content, REMEMBERED)
         for batch in slices(batches, STEP):
             flat, ends = model.encode_all(batch.column("text"))
             view = memoryview(flat).cast("B") if len(flat) else memoryview(b"")
@@ -260,7 +265,6 @@ def encode_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(dec_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        model.forget()
 
     rows = plain(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -273,8 +277,8 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer: str, id_col: str = "
     content = _file(spark, tokenizer)
 
     def run(batches):
-        model = _model(content)
-        for batch in slices(batches, STEP):
+        model = _model(content, STAGE_REMEMBERED)
+        for batch in slices(batches, STAGE_STEP):
             flat, ends = model.encode_all(batch.column("text"))
             dec_sha = [hashlib.sha256(x).hexdigest() for x in model.decode_all(flat, ends)]
             yield pa.RecordBatch.from_arrays(
@@ -292,8 +296,8 @@ def decode(spark: SparkSession, encoded: DataFrame, tokenizer: str) -> DataFrame
     content = _file(spark, tokenizer)
 
     def run(batches):
-        model = _model(content)
-        for batch in slices(batches, STEP):
+        model = _model(content, STAGE_REMEMBERED)
+        for batch in slices(batches, STAGE_STEP):
             ids = batch.column("token_ids").fill_null([])
             ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
             texts = model.decode_all(ids.flatten().to_numpy(), ends)
