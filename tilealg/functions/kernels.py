@@ -80,6 +80,28 @@ class TileReader:
             return pos // int(self.w[r]), pos % int(self.w[r]), vals
         return pos % int(self.h[r]), pos // int(self.h[r]), vals
 
+    def values(self, rows: np.ndarray):
+        """Of many sparse tiles: the place in ``rows`` of each value, and (rows, columns, values)."""
+        n = (self.offs[1:] - self.offs[:-1])[rows].astype(np.int64)
+        which = np.repeat(np.arange(rows.size), n)
+        if not rows.size:
+            return which, (which, which, np.zeros(0))
+        nth = np.arange(which.size) - np.repeat(np.cumsum(n) - n, n)
+        pos = self.pflat[self.poffs[:-1][rows][which] + nth]
+        by = np.where(self.flip[rows], self.w[rows], self.h[rows])[which]
+        flip = self.flip[rows][which]
+        low, high = pos % by, pos // by
+        return which, (np.where(flip, high, low), np.where(flip, low, high),
+                       self.flat[self.offs[:-1][rows][which] + nth])
+
+    def block(self, rows: np.ndarray, h: int, w: int) -> np.ndarray:
+        """Many tiles of one size, as they are stored: an array (tile, column, row)."""
+        if rows.size and self.full[rows].all() and not self.flip[rows].any():
+            at = self.offs[rows[0]]
+            if (np.diff(rows) == 1).all():
+                return self.flat[at:at + rows.size * h * w].reshape(rows.size, w, h)
+        return np.stack([self.view(r).T for r in rows.tolist()])
+
     def view(self, r: int) -> np.ndarray:
         """The tile as an ``h x w`` array (of a full tile, a view of the batch)."""
         h, w, got = int(self.h[r]), int(self.w[r]), self.sparse(r)
@@ -91,30 +113,109 @@ class TileReader:
 
 
 # --------------------------------------------------------------------------- scatter
-def scatter_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of one tile ``(bi, bj, h, w, p, v)`` -> one dense column-major tile.
+#: Values of the dense tiles that are written at once.
+CHUNK = 1 << 21
 
-    A group is one tile, so it holds at most h*w cells (bounded by the tile limit).
-    Duplicate positions are summed.
-    """
-    buf = None
-    key = None
+
+def then(first, second):
+    """Two kernels as one: what the first yields does not leave the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return second(first(batches))
+    return run
+
+
+def list_array(flat: np.ndarray, lengths: np.ndarray, none: np.ndarray | None = None) -> pa.Array:
+    """A list column of consecutive pieces of ``flat``; rows of ``none`` (of length 0) are null."""
+    offs = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    mask = None if none is None or not none.any() else pa.array(none)
+    return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat), mask=mask)
+
+
+def spans(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to at most ``most`` (a row at least)."""
+    ends, at = np.cumsum(sizes), 0
+    while at < ends.size:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield at, to
+        at = to
+
+
+def cell_runs(batches: Iterator[pa.RecordBatch], add: bool = True):
+    """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> whole tiles, as many at a time as a batch
+    ends: (their bi, bj, h, w and number of cells, and the places, values and nulls of all cells).
+
+    What is left of a batch waits for the rest of its tile; with ``add`` equal places are summed
+    when that is more than a tile can hold."""
+    key, held, n = None, [], 0
     for b in batches:
-        if b.num_rows == 0:
+        if not b.num_rows:
             continue
-        if buf is None:
-            bi = b.column("bi")[0].as_py()
-            bj = b.column("bj")[0].as_py()
-            h = b.column("h")[0].as_py()
-            w = b.column("w")[0].as_py()
-            key = (bi, bj, h, w)
-            buf = np.zeros(h * w)
-        p = b.column("p").to_numpy(zero_copy_only=False)
-        v = b.column("v").to_numpy(zero_copy_only=False)
-        np.add.at(buf, p, v)
-    if buf is not None:
-        bi, bj, h, w = key
-        yield tile_batch({"bi": [bi], "bj": [bj]}, [h], [w], [buf])
+        bi, bj, h, w, p, v = (b.column(c).to_numpy(zero_copy_only=False) for c in ("bi", "bj", "h", "w", "p", "v"))
+        none = b.column("v").is_null().to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.concatenate([[True], (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])]))
+        if starts.size == 1 and key is not None and (int(bi[0]), int(bj[0])) == key[:2]:
+            held.append((p, v, none))  # one tile goes on
+            n += p.size
+        else:
+            tiles = [x[starts] for x in (bi, bj, h, w)]
+            sizes = np.diff(np.append(starts, p.size))
+            if key is not None:
+                p, v, none = (np.concatenate(x) for x in zip(*held, (p, v, none)))
+                if (int(bi[0]), int(bj[0])) == key[:2]:
+                    sizes[0] += n
+                else:
+                    tiles = [np.insert(x, 0, y) for x, y in zip(tiles, key)]
+                    sizes = np.insert(sizes, 0, n)
+            last = p.size - int(sizes[-1])
+            if sizes.size > 1:
+                yield *(x[:-1] for x in tiles), sizes[:-1], p[:last], v[:last], none[:last]
+            key, n = tuple(int(x[-1]) for x in tiles), int(sizes[-1])
+            held = [(p[last:], v[last:], none[last:])]
+        if add and n > 2 * max(key[2] * key[3], CHUNK):
+            p, v, none = (np.concatenate(x) for x in zip(*held))
+            at, to = np.unique(p, return_inverse=True)
+            held, n = [(at, np.bincount(to, v, at.size), np.zeros(at.size, bool))], at.size
+    if key is not None:
+        yield *(np.array([x]) for x in key), np.array([n]), *(np.concatenate(x) for x in zip(*held))
+
+
+def gather_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> sparse tiles, many at once."""
+    for bi, bj, h, w, sizes, p, v, none in cell_runs(batches, add=False):
+        tile = np.repeat(np.arange(sizes.size), sizes)
+        order = np.lexsort((v, p, tile))
+        p, v, none = p[order], v[order], none[order]
+        full = sizes == h.astype(np.int64) * w
+        data = pa.array(v, mask=none) if none.any() else pa.array(v)
+        offs = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        yield pa.RecordBatch.from_pydict({
+            "bi": pa.array(bi, pa.int64()), "bj": pa.array(bj, pa.int64()), "h": pa.array(h.astype(np.int32)),
+            "w": pa.array(w.astype(np.int32)),
+            "pos": list_array(p[~full[tile]].astype(np.int32), np.where(full, 0, sizes), full),
+            "data": pa.ListArray.from_arrays(offs, data)})
+
+
+def scatter_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> dense column-major tiles, many at once.
+
+    Memory: a batch of cells, the cells of one tile and ``CHUNK`` values of tiles.  Duplicate
+    positions are summed."""
+    for bi, bj, h, w, sizes, p, v, _ in cell_runs(batches):
+        area = h.astype(np.int64) * w
+        if (area <= 0).any() or ((p < 0) | (p >= np.repeat(area, sizes))).any():
+            raise IndexError("a cell lies outside its tile")
+        ends = np.cumsum(sizes)
+        for at, to in spans(area, CHUNK):
+            first = ends[at - 1] if at else 0
+            offs = np.cumsum(area[at:to]) - area[at:to]
+            total = int(area[at:to].sum())
+            where = np.repeat(offs, sizes[at:to]) + p[first:ends[to - 1]]
+            flat = np.bincount(where, v[first:ends[to - 1]], total)
+            yield pa.RecordBatch.from_pydict({
+                "bi": pa.array(bi[at:to], pa.int64()), "bj": pa.array(bj[at:to], pa.int64()),
+                "h": pa.array(h[at:to].astype(np.int32)), "w": pa.array(w[at:to].astype(np.int32)),
+                "data": list_array(flat, area[at:to])})
 
 
 # ----------------------------------------------------------------------------- GEMM

@@ -89,6 +89,9 @@ class TileMatrix:
         #: The stored matrix whose transpose this is (tiles layout), or None.  Products read
         #: it as it is; ``df`` writes the transposed tiles out.
         self.flipped: TileMatrix | None = None
+        #: The cells that these tiles are built of (tiles layout), or None.  ``df`` writes the
+        #: tiles out; what needs one tile, or reduces tiles where they are built, reads the cells.
+        self.source: TileMatrix | None = None
         #: Known to store every cell (or every tile).
         self.full = False
         self.nrows, self.ncols = nrows, ncols
@@ -100,7 +103,10 @@ class TileMatrix:
         """The frame in this matrix's layout."""
         if self._df is None:
             from .functions import kernels
-            if self.layout == SPARSE:
+            if self.source is not None:
+                from .operators.layout import tile_runs
+                self._df = tile_runs(self.source).mapInArrow(kernels.scatter_sorted, TILE_SCHEMA)
+            elif self.layout == SPARSE:
                 self._df = self.flipped.df.mapInArrow(kernels.transpose_sparse_batches, SPARSE_SCHEMA)
             else:
                 self._df = self.flipped.df.mapInArrow(kernels.transpose_batches, TILE_SCHEMA)
@@ -135,7 +141,7 @@ class TileMatrix:
 
     @property
     def spark(self):
-        return (self.flipped or self).df.sparkSession
+        return (self.source or self.flipped or self).df.sparkSession
 
     def _with(self, df: DataFrame, nrows: int | None = None, ncols: int | None = None,
               tile: tuple[int, int] | None = None, layout: str | None = None) -> "TileMatrix":

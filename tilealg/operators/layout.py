@@ -48,8 +48,8 @@ def to_cells(m: TileMatrix, drop_zeros: bool = False) -> TileMatrix:
 def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     """Cells -> dense column-major tiles.
 
-    One shuffle on the tile id; each group is one tile (at most h*w cells), scattered
-    into a numpy buffer in an Arrow task.  Duplicate cells are summed.
+    One shuffle on the tile id; the sorted cells stream through an Arrow task, which scatters
+    them into numpy buffers of many tiles at a time.  Duplicate cells are summed.
     """
     tile = m.tile if tile is None else (int(tile[0]), int(tile[1]))
     if m.layout == TILES:
@@ -64,22 +64,29 @@ def to_tiles(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     th, tw = tile
     if th * tw > MAX_TILE_CELLS:
         raise ShapeMismatchError(f"tile {th}x{tw} holds {th * tw} cells; the limit is {MAX_TILE_CELLS}")
-    bi = idiv(F.col(I), th)
-    bj = idiv(F.col(J), tw)
-    h, w = tile_dims(bi, bj, m, th, tw)
+    out = TileMatrix(None, m.nrows, m.ncols, tile, TILES)
+    out.source = retile(m, tile)
+    return out
+
+
+def tile_runs(m: TileMatrix):
+    """Cells with their tile and place, ``(bi, bj, h, w, p, v)``: the cells of a tile follow one
+    another, all in one partition."""
+    th, tw = m.tile
+    bi, bj = idiv(F.col(I), th), idiv(F.col(J), tw)
+    h, w = tile_dims(bi, bj, m)
     keyed = m.df.select(bi.alias(BI), bj.alias(BJ), h.alias(H), w.alias(W),
                         (F.pmod(F.col(I), F.lit(th)) + F.pmod(F.col(J), F.lit(tw)) * h)
                         .cast("bigint").alias("p"),
                         F.col(V))
-    df = keyed.groupBy(BI, BJ).applyInArrow(kernels.scatter_group, TILE_SCHEMA)
-    return TileMatrix(df, m.nrows, m.ncols, tile, TILES)
+    return keyed.repartition(BI, BJ).sortWithinPartitions(BI, BJ)
 
 
 def to_sparse(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     """Tiles that hold their stored values only, with the sorted places of these; a tile that
     stores all its places holds no places.
 
-    From cells: one shuffle on the tile id and JVM aggregates; what is moved and kept grows
+    From cells: one shuffle on the tile id, and the sorted cells stream by; what is moved and kept grows
     with the stored cells, not with the tiles' area, so such a tile may be larger than a
     dense one (it holds ``MAX_TILE_CELLS`` values at most).  From dense tiles: zeros go, no
     shuffle."""
@@ -92,14 +99,7 @@ def to_sparse(m: TileMatrix, tile: tuple[int, int] | None = None) -> TileMatrix:
     th, tw = tile
     if th * tw >= 1 << 31:
         raise ShapeMismatchError(f"places in a tile {th}x{tw} do not fit 31 bits")
-    bi, bj = idiv(F.col(I), th), idiv(F.col(J), tw)
-    h, w = tile_dims(bi, bj, m, th, tw)
-    keyed = cells.df.select(bi.alias(BI), bj.alias(BJ), F.struct(
-        (F.pmod(F.col(I), F.lit(th)) + F.pmod(F.col(J), F.lit(tw)) * h).cast("int").alias("p"), F.col(V)).alias("c"))
-    rows = keyed.groupBy(BI, BJ).agg(F.sort_array(F.collect_list("c")).alias("c"))
-    h, w = tile_dims(F.col(BI), F.col(BJ), m, th, tw)
-    full = F.size("c") == h * w
-    df = rows.select(BI, BJ, h.alias(H), w.alias(W), F.when(~full, F.col("c.p")).alias(POS), F.col(f"c.{V}").alias(DATA))
+    df = tile_runs(retile(cells, tile)).mapInArrow(kernels.gather_sorted, SPARSE_SCHEMA)
     return TileMatrix(df, m.nrows, m.ncols, tile, SPARSE)
 
 
@@ -169,13 +169,18 @@ def drop_zero_tiles(m: TileMatrix) -> TileMatrix:
 
 
 def get_tile(m: TileMatrix, bi: int, bj: int) -> TileMatrix:
-    """Tile ``(bi, bj)``, as a filter the scan can push down (keeps global indices)."""
+    """Tile ``(bi, bj)``, as a filter the scan can push down (keeps global indices).  Of tiles
+    that are built of cells only this one is built."""
     g = m.grid
     if not (0 <= bi < g.nrows and 0 <= bj < g.ncols):
         raise ShapeMismatchError(f"tile ({bi},{bj}) is outside the {g.nrows}x{g.ncols} grid")
-    if m.layout != CELLS:
-        return m._with(m.df.filter((F.col(BI) == bi) & (F.col(BJ) == bj)))
     th, tw = m.tile
     cond = ((F.col(I) >= bi * th) & (F.col(I) < (bi + 1) * th)
             & (F.col(J) >= bj * tw) & (F.col(J) < (bj + 1) * tw))
+    if m.layout != CELLS:
+        if m.source is not None:
+            # cells outside the shape stay, so that what checks them still does
+            inside = (F.col(I) >= 0) & (F.col(I) < m.nrows) & (F.col(J) >= 0) & (F.col(J) < m.ncols)
+            m = to_tiles(m.source._with(m.source.df.filter(cond | ~F.coalesce(inside, F.lit(False)))))
+        return m._with(m.df.filter((F.col(BI) == bi) & (F.col(BJ) == bj)))
     return m._with(m.df.filter(cond))
