@@ -50,6 +50,17 @@ def test_one_tile_still_checks_all_indices(spark):
         _cells(spark, [(0, 0, 1.0), (40, 3, 1.0)]).to_tiles().get_tile(0, 0).df.collect()
 
 
+@pytest.mark.parametrize("op", ["sum", "product", "min", "max"])
+def test_tiles_are_reduced_where_they_are_built(spark, op):
+    rows = _random(2)
+    m = _cells(spark, rows).to_tiles()
+    got = m.reduce_rows(op)
+    assert _plan(got.df).count("MapInArrow") == 1 and "scatter_group" not in _plan(got.df)
+    f = {"sum": np.sum, "product": np.prod, "min": np.min, "max": np.max}[op]
+    assert (got.to_numpy() == f(_dense(rows), axis=1)).all()
+    assert (m.reduce_cols(op).to_numpy() == f(_dense(rows), axis=0)).all()
+
+
 def _thin(n, seed=0):
     pos = np.random.default_rng(seed).integers(0, 2048, n).astype(np.int32)
     one = pa.array(np.arange(n + 1, dtype=np.int32))

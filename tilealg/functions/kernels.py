@@ -573,25 +573,48 @@ def reduce_batches(ufunc_name: str, by_rows: bool):
             "cnt": pa.array([seg[k][1] for k in keys], pa.int64()),
             "data": to_list_array([seg[k][0] for k in keys])})
 
+    def reduced(b, tiles):
+        """Per tile row that is in the batch: its key, segment and number of places."""
+        key, n, c = ((b.column("bi").to_numpy(zero_copy_only=False), tiles.h, tiles.w) if by_rows
+                     else (b.column("bj").to_numpy(zero_copy_only=False), tiles.w, tiles.h))
+        thin = ~tiles.full & (ufunc_name == "add")
+        if thin.any():
+            rows = np.flatnonzero(thin)
+            found, nth = np.unique(key[rows], return_inverse=True)
+            length, places = np.zeros(found.size, np.int64), np.zeros(found.size, np.int64)
+            length[nth] = n[rows]
+            np.add.at(places, nth, c[rows])
+            offs = np.cumsum(length) - length
+            which, (i, j, v) = tiles.values(rows)
+            sums = np.bincount(offs[nth][which] + (i if by_rows else j), v, int(length.sum()))
+            for k, at, m, p in zip(found.tolist(), offs.tolist(), length.tolist(), places.tolist()):
+                yield k, sums[at:at + m], p
+        sizes = tiles.h.astype(np.int64) << 32 | tiles.w
+        for size in np.unique(sizes[~thin]).tolist():
+            h, w = size >> 32, size & 0xFFFFFFFF
+            rows = np.flatnonzero((sizes == size) & ~thin)
+            rows = rows[np.argsort(key[rows], kind="stable")]
+            axis = 1 if by_rows else 2
+            y = ufunc.reduce(tiles.block(rows, h, w), axis=axis)
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(key[rows]) != 0]))
+            count = np.diff(np.append(starts, rows.size)) * (w if by_rows else h)
+            for k, x, p in zip(key[rows][starts].tolist(), ufunc.reduceat(y, starts, axis=0), count.tolist()):
+                yield k, x, p
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg: dict[int, tuple[np.ndarray, int]] = {}
         held = 0
-        for b in batches:
-            bi, bj = (b.column(n).to_numpy(zero_copy_only=False) for n in ("bi", "bj"))
-            tiles = TileReader(b)
-            for r in range(b.num_rows):
-                got = tiles.sparse(r) if ufunc_name == "add" else None
-                key, n, c = ((int(bi[r]), int(tiles.h[r]), int(tiles.w[r])) if by_rows
-                             else (int(bj[r]), int(tiles.w[r]), int(tiles.h[r])))
-                if got is None:
-                    y = ufunc.reduce(tiles.view(r), axis=1 if by_rows else 0)
-                else:
-                    y = np.bincount(got[0 if by_rows else 1], got[2], n)
-                if key in seg:
-                    seg[key] = (ufunc(seg[key][0], y), seg[key][1] + c)
-                else:
-                    seg[key] = (y, c)
-                    held += y.nbytes
+        for whole in batches:
+            area = (whole.column("h").to_numpy(zero_copy_only=False).astype(np.int64)
+                    * whole.column("w").to_numpy(zero_copy_only=False))
+            for at, to in spans(area, CHUNK):
+                b = whole.slice(at, to - at)
+                for key, y, c in reduced(b, TileReader(b)):
+                    if key in seg:
+                        seg[key] = (ufunc(seg[key][0], y), seg[key][1] + c)
+                    else:
+                        seg[key] = (y, c)
+                        held += y.nbytes
             if held > SEGMENT_BYTES:
                 yield send(seg)
                 seg, held = {}, 0

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..functions.exprs import idiv
 from ..model import CELLS, DATA, I, J, MAX_TILE_CELLS, TILE_SCHEMA, TILES, V, TileMatrix, TileVector
+from .layout import tile_runs
 
 NAMED_OPS = ("sum", "product", "min", "max")
 UFUNCS = {"sum": "add", "product": "multiply", "min": "minimum", "max": "maximum"}
@@ -211,7 +212,10 @@ def _by_tiles(m: TileMatrix, op) -> bool:
 def _reduce_tiles(m: TileMatrix, op: str, by_rows: bool) -> TileVector:
     """Row (or column) reduction of tiles: segments per task, then per tile row."""
     name = UFUNCS[op]
-    part = m.df.mapInArrow(kernels.reduce_batches(name, by_rows), kernels.SEGMENT_SCHEMA)
+    rows, kernel = m.df if m.source is None else tile_runs(m.source), kernels.reduce_batches(name, by_rows)
+    if m.source is not None:  # tiles are reduced in the task that builds them
+        kernel = kernels.then(kernels.scatter_sorted, kernel)
+    part = rows.mapInArrow(kernel, kernels.SEGMENT_SCHEMA)
     full, n, tile = (m.ncols, m.nrows, m.tile_h) if by_rows else (m.nrows, m.ncols, m.tile_w)
     df = part.groupBy("b").applyInArrow(kernels.combine_segments(name, full), TILE_SCHEMA)
     return TileVector(TileMatrix(df, n, 1, (tile, 1), TILES))
