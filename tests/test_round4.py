@@ -67,6 +67,30 @@ def _thin(n, seed=0):
     return pa.ListArray.from_arrays(one, pa.array(pos)), pa.ListArray.from_arrays(one, pa.array(np.ones(n)))
 
 
+def test_many_thin_tiles_are_zipped_at_once():
+    n = 40_000
+    (ap, ad), (bp, bd) = _thin(n, 1), _thin(n, 2)
+    ids = pa.array(np.arange(n))
+    b = pa.RecordBatch.from_pydict({"bi": ids, "bj": ids, "h": pa.array([128] * n, pa.int32()), "w": pa.array([16] * n, pa.int32()),
+                                    "ap": ap, "ad": ad, "bp": bp, "bd": bd})
+    start = time.process_time()
+    got = list(kernels.zip_sparse_batches("add")(iter([b])))
+    assert time.process_time() - start < 1.0  # 40,000 tiles, one after another, took over 2 s
+    pos, data = (np.concatenate([x.column(c).flatten().to_numpy() for x in got]) for c in ("pos", "data"))
+    same = ap.flatten().to_numpy() == bp.flatten().to_numpy()
+    assert pos.size == 2 * n - same.sum() and data.sum() == 2 * n
+
+
+def test_values_of_one_matrix_are_combined_without_a_join(spark):
+    rows = _random(3)
+    p, q = _cells(spark, rows).to_sparse(), _cells(spark, _random(4)).to_sparse()
+    got = (p + p * 2) * p - p
+    assert "Join" not in _plan(got.df) and "Join" in _plan((p + q).df)
+    x, y = _dense(rows), _dense(_random(4))
+    assert (got.to_numpy() == (x + 2 * x) * x - x).all()
+    assert ((p + q * 2 - p).to_numpy() == 2 * y).all()
+
+
 def test_sparse_tiles_of_batches_of_any_size():
     """Runs of cells that end in the middle of a batch, or span many."""
     rng = np.random.default_rng(5)

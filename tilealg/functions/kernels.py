@@ -475,34 +475,47 @@ def transpose_sparse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 def zip_sparse_batches(op: str):
     """Full-outer-joined sparse tiles ``(bi, bj, h, w, ap, ad, bp, bd)`` -> the sparse tile of a
-    numpy ufunc over the union of their stored places."""
+    numpy ufunc over the union of their stored places, all tiles of a batch (up to ``CHUNK``
+    places) at once."""
     ufunc = getattr(np, op)
 
+    def side(b, pos: str, data: str, starts, area):
+        """Places of a side, counted through all tiles of the batch, and their values."""
+        (pf, po), (df, do) = list_parts(b.column(pos)), list_parts(b.column(data))
+        n = np.where(b.column(data).is_null().to_numpy(zero_copy_only=False), 0, np.diff(do))
+        full = b.column(pos).is_null().to_numpy(zero_copy_only=False)
+        tile = np.repeat(np.arange(n.size), n)
+        nth = np.arange(tile.size) - np.repeat(np.cumsum(n) - n, n)
+        place = nth.copy()  # a full tile stores its places in order
+        some = ~full[tile]
+        place[some] = pf[(po[:-1][tile] + nth)[some]]
+        return starts[tile] + place, df[do[:-1][tile] + nth]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            hs, ws = (b.column(n).to_pylist() for n in ("h", "w"))
-            sides = []
-            for pos, data in (("ap", "ad"), ("bp", "bd")):
-                (pf, po), (df, do) = list_parts(b.column(pos)), list_parts(b.column(data))
-                full = b.column(pos).is_null().to_numpy(zero_copy_only=False)
-                none = b.column(data).is_null().to_numpy(zero_copy_only=False)
-                sides.append((pf, po, df, do, full, none))
-            out_pos, out = [], []
-            for r in range(b.num_rows):
-                (pa_, va), (pb, vb) = (
-                    (np.zeros(0, np.int64), np.zeros(0)) if none[r] else
-                    (np.arange(hs[r] * ws[r]) if full[r] else pf[po[r]:po[r + 1]], df[do[r]:do[r + 1]])
-                    for pf, po, df, do, full, none in sides)
-                at = np.union1d(pa_, pb)
-                x, y = np.zeros(at.size), np.zeros(at.size)
-                x[np.searchsorted(at, pa_)] = va
-                y[np.searchsorted(at, pb)] = vb
+        for whole in batches:
+            stored = sum(np.diff(list_parts(whole.column(c))[1]) for c in ("ad", "bd")) if whole.num_rows else np.zeros(0)
+            for first, to in spans(stored, CHUNK):
+                b = whole.slice(first, to - first)
+                h, w = (b.column(n).to_numpy(zero_copy_only=False) for n in ("h", "w"))
+                area = h.astype(np.int64) * w
+                starts = np.cumsum(area) - area
+                (pa_, va), (pb, vb) = side(b, "ap", "ad", starts, area), side(b, "bp", "bd", starts, area)
+                if pa_.size == pb.size and (pa_ == pb).all() and (np.diff(pa_) > 0).all():
+                    at, x, y = pa_, va, vb
+                else:
+                    at = np.union1d(pa_, pb)
+                    x, y = np.zeros(at.size), np.zeros(at.size)
+                    x[np.searchsorted(at, pa_)] = va
+                    y[np.searchsorted(at, pb)] = vb
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    out.append(ufunc(x, y))
-                out_pos.append(at)
-            yield sparse_tile_batch({n: b.column(n).to_pylist() for n in ("bi", "bj")}, hs, ws, out_pos, out)
+                    out = ufunc(x, y)
+                sizes = np.diff(np.searchsorted(at, np.append(starts, area.sum())))
+                full = sizes == area
+                kept = ~np.repeat(full, sizes)
+                place = (at - np.repeat(starts, sizes))[kept].astype(np.int32)
+                yield pa.RecordBatch.from_pydict({
+                    **{n: b.column(n) for n in ("bi", "bj", "h", "w")},
+                    "pos": list_array(place, np.where(full, 0, sizes), full), "data": list_array(out, sizes)})
     return run
 
 

@@ -92,6 +92,9 @@ class TileMatrix:
         #: The cells that these tiles are built of (tiles layout), or None.  ``df`` writes the
         #: tiles out; what needs one tile, or reduces tiles where they are built, reads the cells.
         self.source: TileMatrix | None = None
+        #: (m, values) of sparse tiles at the very places of the matrix m, whose ``data`` is the
+        #: Column ``values`` of m's frame, or None.  Two such matrices are combined without a join.
+        self.values = None
         #: Known to store every cell (or every tile).
         self.full = False
         self.nrows, self.ncols = nrows, ncols

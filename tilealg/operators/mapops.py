@@ -32,6 +32,9 @@ def map_cells(m: TileMatrix, fn: Callable[[Column], Column], absent: str = "keep
     else:
         out = m._with(m.df.select(BI, BJ, H, W, *([POS] if m.layout == SPARSE else []),
                                   F.transform(DATA, lambda x: fn(x).cast("double")).alias(DATA)))
+        if m.layout == SPARSE:
+            of, values = m.values or (m, F.col(DATA))
+            out.values = (of, F.transform(values, lambda x: fn(x).cast("double")))
     out.full = m.full
     return out
 

@@ -41,8 +41,16 @@ def _align(a: TileMatrix, b: TileMatrix) -> TileMatrix:
 SPARSE_OPS = {"add": "add", "subtract": "subtract", "element-wise multiply": "multiply", "element-wise divide": "divide"}
 
 
-def _zip_sparse(a: TileMatrix, b: TileMatrix, ufunc: str) -> TileMatrix:
-    """Two sparse matrices, tile by tile, over the union of their stored places."""
+def _zip_sparse(a: TileMatrix, b: TileMatrix, ufunc: str, fn: Callable[[Column, Column], Column]) -> TileMatrix:
+    """Two sparse matrices, tile by tile, over the union of their stored places.  Where both are
+    made value by value of one matrix they store the same places, and nothing is joined."""
+    (of, x), (other, y) = (m.values or (m, F.col(DATA)) for m in (a, b))
+    if of is other:
+        nan = F.lit(float("nan"))  # what the kernel takes a null for
+        values = F.zip_with(x, y, lambda u, v: fn(F.coalesce(u, nan), F.coalesce(v, nan)).cast("double"))
+        out = a._with(of.df.select(BI, BJ, H, W, POS, values.alias(DATA)))
+        out.values = (of, values)
+        return out
     left = a.df.select(BI, BJ, F.col(H).alias("_h1"), F.col(W).alias("_w1"), F.col(POS).alias("ap"), F.col(DATA).alias("ad"))
     right = b.df.select(BI, BJ, F.col(H).alias("_h2"), F.col(W).alias("_w2"), F.col(POS).alias("bp"), F.col(DATA).alias("bd"))
     rows = left.join(right, [BI, BJ], "full_outer").select(
@@ -55,7 +63,7 @@ def zip_cells(a: TileMatrix, b: TileMatrix, fn: Callable[[Column, Column], Colum
     """``fn(a_value, b_value)`` over the union of stored positions (missing side = 0)."""
     _check_same_shape(a, b, what)
     if a.layout == SPARSE and b.layout != TILES and what in SPARSE_OPS:
-        return _zip_sparse(a, b.to_sparse(a.tile), SPARSE_OPS[what])
+        return _zip_sparse(a, b.to_sparse(a.tile), SPARSE_OPS[what], fn)
     if a.layout == SPARSE:  # stored places stay the stored places
         a = a.to_cells() if b.layout != TILES else a.to_tiles()
     b = _align(a, b)
