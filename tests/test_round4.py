@@ -120,3 +120,31 @@ def _product_rows(n, value=1.0):
         rows.append((0, k, 1, 0, 16, 5, False, [float(x) for x in rng.integers(0, 9, 80)], None))
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.float64()), pa.list_(pa.int32())]
     return rows, pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], kernels.PRODUCT_ROWS)
+
+
+@pytest.mark.parametrize("value", [3.0, float("inf")])
+def test_thin_tiles_times_dense_ones(value):
+    rows, batch = _product_rows(2000, value)
+    want = np.zeros((100, 128, 5))
+    b = {k: np.array(data).reshape(5, 16).T for _, k, side, _, _, _, _, data, _ in rows if side}
+    with np.errstate(invalid="ignore"):
+        for _, k, side, r, h, w, _, data, pos in rows:
+            if not side:
+                a = np.zeros((h, w))
+                a[pos[0] % h, pos[0] // h] = data[0]
+                want[r] += a @ b[k]
+        got = pa.Table.from_batches(kernels.stream_product(iter([batch.slice(0, 700), batch.slice(700)])))
+    data = np.array(got["data"].to_pylist()).reshape(100, 5, 128).transpose(0, 2, 1)
+    assert np.array_equal(data, want, equal_nan=True)
+
+
+def test_thin_tiles_are_not_written_out():
+    _, batch = _product_rows(20_000)
+    seen = []
+    view = kernels.TileReader.view
+    kernels.TileReader.view = lambda self, r: seen.append(r) or view(self, r)
+    try:
+        list(kernels.stream_product(iter([batch])))
+    finally:
+        kernels.TileReader.view = view
+    assert len(seen) == 200  # the tiles of B; the 20,000 thin ones of A were written out, too

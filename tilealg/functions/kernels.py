@@ -280,19 +280,68 @@ def partial_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield out.append_column("part", pa.array([task_id()] * out.num_rows, pa.int32()))
 
 
+#: Bytes of products of thin tiles that wait to be added up.
+PENDING_BYTES = 32 << 20
+
+
 def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tile product over rows sorted by (group, k): C tiles of one group stay in memory and
     the inner index streams by.  At each k the present A tiles are stacked, the present B
     tiles are set side by side, and one GEMM adds to every C tile whose pair is present: an
-    absent tile is never multiplied, whatever the plan.  Memory: the C tiles of a group and
-    the tiles of one inner index.
+    absent tile is never multiplied, whatever the plan.  Thin A tiles (at most an eighth of the
+    places stored) are not written out: the rows of B that their values meet are scaled, and
+    added up for many tiles and inner indices at once; where a value is not finite, the zeros of
+    the tile count and it is multiplied as a dense one.  Memory: the C tiles of a group, the
+    tiles of one inner index and ``PENDING_BYTES``.
     """
-    state = {"gid": None, "k": None}
+    state = {"gid": None, "k": None, "pending": 0}
     c: dict[tuple[int, int], np.ndarray] = {}
     a: dict[int, np.ndarray] = {}
     b: dict[int, np.ndarray] = {}
+    thin: list[tuple] = []
+    pending: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def scale():
+        """Products of the thin tiles of one inner index."""
+        values = np.concatenate([t[4] for t in thin])
+        if not (np.isfinite(values).all() and all(np.isfinite(x).all() for x in b.values())):
+            for r, h, i, j, v, w in thin:
+                a[r] = np.zeros((h, w))
+                a[r][i, j] = v
+            return
+        at = np.concatenate([t[2] for t in thin]) + np.repeat(
+            np.array([t[0] for t in thin], np.int64) << 32, [t[4].size for t in thin])
+        inner = np.concatenate([t[3] for t in thin])
+        for q, x in b.items():
+            for t in thin:
+                if (t[0], q) not in c:
+                    c[t[0], q] = np.zeros((t[1], x.shape[1]))
+            step = max(1, PENDING_BYTES // (8 * x.shape[1]))
+            for lo in range(0, at.size, step):
+                part = values[lo:lo + step, None] * x[inner[lo:lo + step]]
+                pending.setdefault(q, []).append((at[lo:lo + step], part))
+                state["pending"] += part.nbytes
+                if state["pending"] > PENDING_BYTES:
+                    settle()
+
+    def settle():
+        for q, parts in pending.items():
+            at, x = (np.concatenate(y) for y in zip(*parts))
+            order = np.argsort(at, kind="stable")
+            at, x = at[order], x[order]
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(at) != 0])) if at.size else np.zeros(0, int)
+            if not starts.size:
+                continue
+            rows, sums = at[starts], np.add.reduceat(x, starts, axis=0)
+            first = np.flatnonzero(np.concatenate([[True], np.diff(rows >> 32) != 0]))
+            for lo, hi in zip(first.tolist(), np.append(first[1:], rows.size).tolist()):
+                c[int(rows[lo] >> 32), q][rows[lo:hi] & 0xFFFFFFFF] += sums[lo:hi]
+        pending.clear()
+        state["pending"] = 0
 
     def multiply():
+        if thin and b:
+            scale()
         if a and b:
             rows, cols = sorted(a), sorted(b)
             top = np.concatenate([[0], np.cumsum([a[r].shape[0] for r in rows])])
@@ -307,16 +356,23 @@ def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                         c[r, q] = part.copy()
         a.clear()
         b.clear()
+        thin.clear()
 
     def finished():
         multiply()
+        settle()
         for (r, q), x in sorted(c.items()):
             yield tile_batch({"bi": [r], "bj": [q]}, [x.shape[0]], [x.shape[1]], [x.ravel(order="F")])
         c.clear()
 
     for batch in batches:
-        gid, k, side, r = (batch.column(n).to_numpy(zero_copy_only=False) for n in PRODUCT_ROWS[:4])
+        gid, k, side, r = (batch.column(n).to_numpy(zero_copy_only=False).tolist() for n in PRODUCT_ROWS[:4])
         tiles = TileReader(batch)
+        stored = np.diff(tiles.offs)
+        few = ~tiles.full & (np.array(side) == 0) & (8 * stored <= tiles.h.astype(np.int64) * tiles.w)
+        _, (ti, tj, tv) = tiles.values(np.flatnonzero(few))
+        ends = np.cumsum(np.where(few, stored, 0)).tolist()
+        hs, ws, few, full, stored = tiles.h.tolist(), tiles.w.tolist(), few.tolist(), tiles.full.tolist(), stored.tolist()
         for row in range(batch.num_rows):
             if gid[row] != state["gid"]:
                 yield from finished()
@@ -324,9 +380,13 @@ def stream_product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             elif k[row] != state["k"]:
                 multiply()
                 state["k"] = k[row]
+            if few[row]:
+                mine = slice(ends[row] - stored[row], ends[row])
+                thin.append((r[row], hs[row], ti[mine], tj[mine], tv[mine], ws[row]))
+                continue
             t = tiles.view(row)
             # a copy: views of an Arrow batch must not outlive it
-            (b if side[row] else a)[int(r[row])] = t.copy() if tiles.full[row] else t
+            (b if side[row] else a)[r[row]] = t.copy() if full[row] else t
     yield from finished()
 
 
