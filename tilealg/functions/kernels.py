@@ -141,27 +141,26 @@ def spans(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def cell_runs(batches: Iterator[pa.RecordBatch], add: bool = True):
+def cell_runs(batches: Iterator[pa.RecordBatch]):
     """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> whole tiles, as many at a time as a batch
-    ends: (their bi, bj, h, w and number of cells, and the places, values and nulls of all cells).
+    ends: (their bi, bj, h, w and number of cells, and the places and values of all cells).
 
-    What is left of a batch waits for the rest of its tile; with ``add`` equal places are summed
-    when that is more than a tile can hold."""
+    What is left of a batch waits for the rest of its tile; equal places are summed when
+    that is more than a tile can hold."""
     key, held, n = None, [], 0
     for b in batches:
         if not b.num_rows:
             continue
         bi, bj, h, w, p, v = (b.column(c).to_numpy(zero_copy_only=False) for c in ("bi", "bj", "h", "w", "p", "v"))
-        none = b.column("v").is_null().to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(np.concatenate([[True], (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])]))
         if starts.size == 1 and key is not None and (int(bi[0]), int(bj[0])) == key[:2]:
-            held.append((p, v, none))  # one tile goes on
+            held.append((p, v))  # one tile goes on
             n += p.size
         else:
             tiles = [x[starts] for x in (bi, bj, h, w)]
             sizes = np.diff(np.append(starts, p.size))
             if key is not None:
-                p, v, none = (np.concatenate(x) for x in zip(*held, (p, v, none)))
+                p, v = (np.concatenate(x) for x in zip(*held, (p, v)))
                 if (int(bi[0]), int(bj[0])) == key[:2]:
                     sizes[0] += n
                 else:
@@ -169,39 +168,23 @@ def cell_runs(batches: Iterator[pa.RecordBatch], add: bool = True):
                     sizes = np.insert(sizes, 0, n)
             last = p.size - int(sizes[-1])
             if sizes.size > 1:
-                yield *(x[:-1] for x in tiles), sizes[:-1], p[:last], v[:last], none[:last]
+                yield *(x[:-1] for x in tiles), sizes[:-1], p[:last], v[:last]
             key, n = tuple(int(x[-1]) for x in tiles), int(sizes[-1])
-            held = [(p[last:], v[last:], none[last:])]
-        if add and n > 2 * max(key[2] * key[3], CHUNK):
-            p, v, none = (np.concatenate(x) for x in zip(*held))
+            held = [(p[last:], v[last:])]
+        if n > 2 * max(key[2] * key[3], CHUNK):
+            p, v = (np.concatenate(x) for x in zip(*held))
             at, to = np.unique(p, return_inverse=True)
-            held, n = [(at, np.bincount(to, v, at.size), np.zeros(at.size, bool))], at.size
+            held, n = [(at, np.bincount(to, v, at.size))], at.size
     if key is not None:
         yield *(np.array([x]) for x in key), np.array([n]), *(np.concatenate(x) for x in zip(*held))
 
 
-def gather_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> sparse tiles, many at once."""
-    for bi, bj, h, w, sizes, p, v, none in cell_runs(batches, add=False):
-        tile = np.repeat(np.arange(sizes.size), sizes)
-        order = np.lexsort((v, p, tile))
-        p, v, none = p[order], v[order], none[order]
-        full = sizes == h.astype(np.int64) * w
-        data = pa.array(v, mask=none) if none.any() else pa.array(v)
-        offs = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        yield pa.RecordBatch.from_pydict({
-            "bi": pa.array(bi, pa.int64()), "bj": pa.array(bj, pa.int64()), "h": pa.array(h.astype(np.int32)),
-            "w": pa.array(w.astype(np.int32)),
-            "pos": list_array(p[~full[tile]].astype(np.int32), np.where(full, 0, sizes), full),
-            "data": pa.ListArray.from_arrays(offs, data)})
-
-
 def scatter_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cells ``(bi, bj, h, w, p, v)`` sorted by tile -> dense column-major tiles, many at once.
 
     Memory: a batch of cells, the cells of one tile and ``CHUNK`` values of tiles.  Duplicate
     positions are summed."""
-    for bi, bj, h, w, sizes, p, v, _ in cell_runs(batches):
+    for bi, bj, h, w, sizes, p, v in cell_runs(batches):
         area = h.astype(np.int64) * w
         if (area <= 0).any() or ((p < 0) | (p >= np.repeat(area, sizes))).any():
             raise IndexError("a cell lies outside its tile")
