@@ -75,7 +75,7 @@ def test_many_thin_tiles_are_zipped_at_once():
                                     "ap": ap, "ad": ad, "bp": bp, "bd": bd})
     start = time.process_time()
     got = list(kernels.zip_sparse_batches("add")(iter([b])))
-    assert time.process_time() - start < 1.0  # 40,000 tiles, one after another, took over 2 s
+    assert time.process_time() - start < 0.6  # one after another they took 1.14 s
     pos, data = (np.concatenate([x.column(c).flatten().to_numpy() for x in got]) for c in ("pos", "data"))
     same = ap.flatten().to_numpy() == bp.flatten().to_numpy()
     assert pos.size == 2 * n - same.sum() and data.sum() == 2 * n
